@@ -19,22 +19,41 @@ OPEN_FROM = dt.date(1900, 1, 1)
 OPEN_UNTIL = dt.date(9999, 1, 1)
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+# Column types of the tables: Spark type and, for driver-held rows, Arrow type.
+_TYPES = {
+    "int": (T.IntegerType(), pa.int32()),
+    "bigint": (T.LongType(), pa.int64()),
+    "smallint": (T.ShortType(), pa.int16()),
+    "double": (T.DoubleType(), pa.float64()),
+    "size": (T.DecimalType(10, 2), pa.decimal128(10, 2)),
+    "string": (T.StringType(), pa.string()),
+    "boolean": (T.BooleanType(), pa.bool_()),
+    "date": (T.DateType(), pa.date32()),
+    "timestamp": (T.TimestampType(), pa.timestamp("us", tz="UTC")),
+}
+
+
+def schema_of(columns: str) -> T.StructType:
+    """`name type, name type not null, ..` as a schema; needs no session."""
+    fields = []
+    for column in columns.split(","):
+        name, kind, *rest = column.split()
+        fields.append(T.StructField(name, _TYPES[kind][0], rest != ["not", "null"]))
+    return T.StructType(fields)
 
 
 _VALUES_DDL = ", ".join(f"{v} double" for v in VALUES)
 
-FACT_DAY = _schema(
+FACT_DAY = schema_of(
     f"date date not null, activity_id int not null, forecast_id int not null, {_VALUES_DDL}, "
     "site_id int, import_id int, date_updated timestamp"
 )
-FACT_INTRADAY = _schema(
+FACT_INTRADAY = schema_of(
     f"date date not null, interval_id smallint not null, activity_id int not null, "
     f"forecast_id int not null, {_VALUES_DDL}, duration_min smallint, site_id int, "
     "import_id int, date_updated timestamp"
 )
-DIM_ACTIVITY = _schema(
+DIM_ACTIVITY = schema_of(
     "activity_id int, activity_name string, activity_set string, activity_code string, "
     "description string, segment string, domain string, region string, template_id int, "
     "slicer1 string, slicer2 string, slicer3 string, sort_order smallint, resource string, "
@@ -42,12 +61,12 @@ DIM_ACTIVITY = _schema(
     "category string, site_id int, activity_guid string, active boolean, tags string, "
     "color string, font_awesome string, date_updated timestamp, date_created timestamp"
 )
-DIM_FORECAST = _schema(
+DIM_FORECAST = schema_of(
     "forecast_id int, forecast_name string, forecast_code string, forecast_guid string, "
     "description string, domain string, category string, status string, active boolean, "
     "sort_order int, site_id int, date_updated timestamp, date_created timestamp"
 )
-DIM_TEMPLATE = _schema(
+DIM_TEMPLATE = schema_of(
     "template_id int, template_name string, template_guid string, description string, "
     "category string, domain string, status string, "
     + ", ".join(f"{v} string, {v}_description string" for v in VALUES)
@@ -61,18 +80,18 @@ _RUN_SETTINGS = (
     "sort_order int, active boolean, domain string, category string, status string, "
     "description string, site_id int, date_updated timestamp, date_created timestamp"
 )
-IMPORT_PROCEDURE = _schema(
+IMPORT_PROCEDURE = schema_of(
     "procedure_id int, procedure_name string, procedure_guid string, procedure_code string, "
     "app string, " + _RUN_SETTINGS
 )
-IMPORT = _schema(
+IMPORT = schema_of(
     "import_id int, import_code string, procedure_id int, procedure_code string, "
     "activity_id int, forecast_id int, template_id int, import_guid string, file_id int, "
     + _RUN_SETTINGS
 )
-IMPORT_FILE = _schema(
+IMPORT_FILE = schema_of(
     "file_id int, file_name string, source string, attributes string, file_created string, "
-    "file_updated string, file_last_access string, size decimal(10,2), field_date string, "
+    "file_updated string, file_last_access string, size size, field_date string, "
     "field_date_format string, rows_skip int, fields string, session string, domain string, "
     "category string, description string, status string, site_id int, active boolean, "
     "file_guid string, tab string, records int, date_created timestamp, date_updated timestamp, "
@@ -88,13 +107,13 @@ IMPORT_FILE = _schema(
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LETTERS = [p + c for p in ("", "A", "B") for c in _ALPHABET]
 
-SOURCE_FILE = _schema(
+SOURCE_FILE = schema_of(
     "id bigint, date timestamp, source string, import_id int, activity_id int, "
     "forecast_id int, file_id int, "
-    + ", ".join(f"`{c}` string" for c in LETTERS)
+    + ", ".join(f"{c} string" for c in LETTERS)
     + ", site_id int, session string"
 )
-SOURCE_CALENDAR = _schema(
+SOURCE_CALENDAR = schema_of(
     "calendar_id int, category string, domain string, segment string, subject string, "
     "start_date timestamp, end_date timestamp, timezone string, recurence string, "
     "allday boolean, region string, resource string, description string, type string, "
@@ -102,7 +121,7 @@ SOURCE_CALENDAR = _schema(
     "text3 string, status string, p1 string, p2 string, p3 string, date_updated timestamp, "
     "site_id int not null"
 )
-RUN_LOG = _schema(
+RUN_LOG = schema_of(
     "logged timestamp, category string, session string, site int, object string, "
     "object_sub string, object_id int, step string, data string, result string, "
     "duration double, value bigint"
@@ -143,32 +162,18 @@ class Run:
         return replace(self, date_from=date_from, date_until=date_until)
 
 
-def local_table(spark: SparkSession, rows: Sequence[dict], ddl: str) -> DataFrame:
+def local_table(
+    spark: SparkSession, rows: Sequence[dict], columns: str | T.StructType
+) -> DataFrame:
     """A driver-held table as a local relation.
 
     Its exact size is in the plan's statistics, so Spark itself decides whether the
     table is small enough to broadcast; no hint is set.
     """
-    schema = T.StructType.fromDDL(ddl)
-    arrow = [_arrow_field(f) for f in schema.fields]
-    table = pa.Table.from_pylist(list(rows), schema=pa.schema(arrow))
-    return spark.createDataFrame(table, schema)
-
-
-_ARROW = {
-    "int": pa.int32(),
-    "bigint": pa.int64(),
-    "smallint": pa.int16(),
-    "double": pa.float64(),
-    "string": pa.string(),
-    "boolean": pa.bool_(),
-    "date": pa.date32(),
-    "timestamp": pa.timestamp("us", tz="UTC"),
-}
-
-
-def _arrow_field(f: T.StructField) -> pa.Field:
-    return pa.field(f.name, _ARROW[f.dataType.simpleString()], f.nullable)
+    schema = schema_of(columns) if isinstance(columns, str) else columns
+    arrow_types = dict(_TYPES.values())
+    arrow = pa.schema([pa.field(f.name, arrow_types[f.dataType], f.nullable) for f in schema.fields])
+    return spark.createDataFrame(pa.Table.from_pylist(list(rows), schema=arrow), schema)
 
 
 def run_time(when: dt.datetime | None) -> Column:

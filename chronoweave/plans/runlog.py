@@ -53,12 +53,12 @@ class RunLog:
         self._pending.append(row)
 
     def frame(self) -> DataFrame:
-        return local_table(self.spark, self.rows, RUN_LOG.toDDL())
+        return local_table(self.spark, self.rows, RUN_LOG)
 
     def flush(self) -> None:
         """Appends what came since the last flush."""
         if self.path and self._pending:
-            local_table(self.spark, self._pending, RUN_LOG.toDDL()).coalesce(1).write.mode(
+            local_table(self.spark, self._pending, RUN_LOG).coalesce(1).write.mode(
                 "append"
             ).parquet(self.path)
         self._pending = []
