@@ -21,7 +21,7 @@ from chronoweave.operators.replace import HEAD, TAIL, Scope, replaced_counts, wi
 
 PARTITIONS = ["site_id", "forecast_id", "year_month"]
 _GLOB = "/".join(f"{p}=*" for p in PARTITIONS)
-_MOVES = "_moves"
+_MOVES = "moves.txt"  # Spark does not read files whose names start with _
 
 
 class FactStore:
@@ -161,9 +161,9 @@ class FactStore:
         self._fs.rename(draft, self._at(f"{staging}/{_MOVES}"))
 
     def _swap(self, staging: str) -> None:
-        lines = self.spark.read.option("wholetext", True).text(f"{staging}/{_MOVES}").first()
-        for line in (lines[0].splitlines() if lines else []):
-            action, directory = line.split(" ", 1)
+        # One line per touched month partition.
+        for row in self.spark.read.text(f"{staging}/{_MOVES}").collect():
+            action, directory = row["value"].split(" ", 1)
             target, fresh = self._at(f"{self.path}/{directory}"), self._at(f"{staging}/{directory}")
             if action == "drop":
                 self._fs.delete(target, True)
