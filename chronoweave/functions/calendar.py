@@ -91,15 +91,20 @@ def last_day_previous_year(d: Column | None = None) -> Column:
 
 def first_day_current_year_week(d: Column | None = None) -> Column:
     """Monday of ISO week 1 of the calendar year of `d` (the week that holds 4 January)."""
-    return F.trunc(F.make_date(F.year(_day(d)), F.lit(1), F.lit(4)), "WEEK")
+    return _week_one(F.year(_day(d)))
+
+
+def _week_one(iso: Column) -> Column:
+    """Monday of week 1 of an ISO year."""
+    return F.trunc(F.make_date(iso, F.lit(1), F.lit(4)), "WEEK")
 
 
 def same_week_in_year(d: Column, years: Column) -> Column:
     """The day with the same ISO week and weekday `years` ISO years later; null if that year
     lacks the week (week 53)."""
-    week_one = F.trunc(F.make_date(iso_year(d) + years, F.lit(1), F.lit(4)), "WEEK")
-    day = F.date_add(week_one, (F.weekofyear(d) - 1) * 7 + F.weekday(d))
-    return F.when(F.weekofyear(day) == F.weekofyear(d), day)
+    year = iso_year(d)
+    day = F.date_add(d, F.datediff(_week_one(year + years), _week_one(year)))
+    return F.when(day < _week_one(year + years + 1), day)
 
 
 def same_day_in_year(d: Column, years: Column) -> Column:

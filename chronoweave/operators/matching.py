@@ -46,8 +46,8 @@ def match_filters(rows: DataFrame, filters: Sequence[str], number: str = "filter
             passes.append(kept.withColumn(number, F.lit(start)))
             continue
         kept = rows if not all(chunk) else rows.where(reduce(lambda a, b: a | b, tests))
-        hits = F.array_compact(
-            F.array(*[F.when(t, F.lit(start + i)) for i, t in enumerate(tests)])
+        hits = F.array_remove(
+            F.array(*[F.when(t, F.lit(start + i)).otherwise(ANY) for i, t in enumerate(tests)]), ANY
         )
         passes.append(kept.withColumn(number, F.explode(hits)))
     return union_all(passes)

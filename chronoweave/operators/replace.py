@@ -149,21 +149,27 @@ def write_back(
     """`source` with `import_field` set to the import that reads the row, and `updated_by`.
 
     Imports go in order, so the last one that reads a row keeps it; with
-    `-SOURCE_UPDATE_NULL` an import only takes rows without an id. `updated_by` is null on
-    untouched rows; counting it per id gives the updated rows.
+    `-SOURCE_UPDATE_NULL` an import only takes rows that have no id by then. `updated_by` is
+    null on untouched rows; counting it per id gives the rows each import holds in the end.
     """
     site = "site_id" in source.columns
-    old = F.col(import_field).cast("int")
-    value, updated = old, F.lit(None).cast("int")
-    for r in runs:
+
+    def reads(r: Run) -> Column:
         day = F.expr(sql_text(r.group_by) or "date").cast("date")
         test = day.between(F.lit(r.date_from), F.lit(r.date_until))
         if r.filter.strip():
             test = test & F.expr(sql_text(r.filter))
         if site:
             test = test & (F.col("site_id") == r.site_id)
-        if r.has("SOURCE_UPDATE_NULL"):
-            test = test & value.isNull()
-        value = F.when(test, F.lit(r.import_id)).otherwise(value)
-        updated = F.when(test, F.lit(r.import_id)).otherwise(updated)
-    return source.withColumns({import_field: value, "updated_by": updated})
+        return F.when(test, F.lit(r.import_id))
+
+    # In order, this comes to: the last import that overwrites, else the old id, else the
+    # first import that fills gaps. Each filter appears once, however many imports there are.
+    none = F.lit(None).cast("int")
+    old = F.col(import_field).cast("int")
+    overwrites = F.coalesce(none, *[reads(r) for r in reversed(runs) if not r.has("SOURCE_UPDATE_NULL")])
+    fills = F.coalesce(none, *[reads(r) for r in runs if r.has("SOURCE_UPDATE_NULL")])
+    updated = F.coalesce(overwrites, F.when(old.isNull(), fills))
+    return source.withColumn("updated_by", updated).withColumn(
+        import_field, F.coalesce("updated_by", old)
+    )

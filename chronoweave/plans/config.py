@@ -164,34 +164,39 @@ def in_run_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy("sort_order", "procedure_name", "import_id")
 
 
-def merge_parameters(own: Column, passed: Column) -> Column:
-    """JSON parameters of the import with those passed for the run laid over them."""
+def parameter(name: str, own: Column, passed: Column) -> Column:
+    """One key of the import's JSON parameters with those passed for the run laid over them;
+    a key passed as null takes the import's own value away."""
+    return F.when(F.map_contains_key(passed, name), passed[name]).otherwise(own[name])
+
+
+def _parameters(text: Column) -> Column:
     kind = "map<string,string>"
-    base = F.coalesce(F.from_json(own, kind), F.create_map().cast(kind))
-    over = F.coalesce(F.from_json(passed, kind), F.create_map().cast(kind))
-    kept = F.map_filter(base, lambda k, _: ~F.array_contains(F.map_keys(over), k))
-    return F.map_concat(kept, over)
+    return F.coalesce(F.from_json(text, kind), F.create_map().cast(kind))
 
 
-def with_parameters(rows: DataFrame, passed: str | Column = "{}", own: str = "p1") -> DataFrame:
+def with_parameters(
+    rows: DataFrame, passed: str | Column = "{}", own: str = "p1", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Lays the JSON keys `date_import_from`, `date_import_until`, `source_import_id_field` and
-    `intraday_duration` over the configuration; values that do not parse change nothing."""
+    `intraday_duration` over the configuration; values that do not parse change nothing.
+    `keep` names further keys to return as columns."""
     over = F.lit(passed) if isinstance(passed, str) else passed
-    merged = merge_parameters(F.col(own), over)
-    rows = rows.withColumn("_p", merged)
-    minutes = F.col("_p")["intraday_duration"].try_cast("int")
+    rows = rows.withColumns({"_own": _parameters(F.col(own)), "_passed": _parameters(over)})
+
+    def value(name: str) -> Column:
+        return parameter(name, F.col("_own"), F.col("_passed"))
+
+    minutes = value("intraday_duration").try_cast("int")
+    dates = ("date_import_from", "date_import_until")
     return rows.withColumns(
         {
-            "date_import_from": F.coalesce(
-                F.col("_p")["date_import_from"].try_cast("date"), F.col("date_import_from")
-            ),
-            "date_import_until": F.coalesce(
-                F.col("_p")["date_import_until"].try_cast("date"), F.col("date_import_until")
-            ),
-            "source_import_id_field": F.coalesce(F.col("_p")["source_import_id_field"], F.lit("")),
+            **{n: F.coalesce(value(n).try_cast("date"), F.col(n)) for n in dates},
+            "source_import_id_field": F.coalesce(value("source_import_id_field"), F.lit("")),
             "intraday_duration": F.when(minutes > 0, minutes).otherwise(15),
+            **{n: value(n) for n in keep},
         }
-    ).drop("_p")
+    ).drop("_own", "_passed")
 
 
 def to_run(row, commands: str = "") -> Run:

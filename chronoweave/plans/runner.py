@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.calendar import with_calendar
 from chronoweave.functions.text import error_json, field_list, sql_text, to_int
-from chronoweave.model import Run
+from chronoweave.model import OPEN_FROM, Run
 from chronoweave.operators import alert, correlation, imports, parallel, regression, split, ytd
 from chronoweave.operators.copies import copy_imports, copy_series
 from chronoweave.operators.replace import Scope, scope_of, write_back
@@ -366,7 +366,7 @@ class Runner:
 
     def _derive(self, operator: str, outcomes: list[Outcome]) -> None:
         runs = [o.run for o in outcomes]
-        t, facts = self.tables, self.day.read()
+        t, facts = self.tables, self._facts_for(operator, runs)
         if operator == "ytd":
             new = ytd.year_to_date(facts, runs, t.activity, self.when)
         elif operator == "parallel":
@@ -383,6 +383,18 @@ class Runner:
             new = alert.alert_series(facts, runs, t.activity, self.when)
         self._store(operator, "DAY", self.day, new, outcomes, [_derived_scope(operator, r) for r in runs])
 
+    def _facts_for(self, operator: str, runs: Sequence[Run]) -> DataFrame:
+        """The day facts an operator can need: only the months its windows reach."""
+        first, last = min(r.date_from for r in runs), max(r.date_until for r in runs)
+        if operator in ("ytd", "alert"):
+            return self.day.where_days(first, last)
+        if operator in ("regression", "regression_simple"):
+            return self.day.where_days(max(first, OPEN_FROM) - dt.timedelta(regression.HISTORY_DAYS), last)
+        if operator == "parallel":
+            spans = [parallel.source_span(r) for r in runs]
+            return self.day.where_days(min(s[0] for s in spans), max(s[1] for s in spans))
+        return self.day.read()
+
     def _store(self, operator, step, store, new, outcomes: list[Outcome], scopes: list[Scope]) -> None:
         for o in outcomes:
             if o.run.has("LOG_QUERY"):

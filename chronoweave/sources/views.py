@@ -116,7 +116,8 @@ def job_history_view(
 ) -> DataFrame:
     """Job runs with status text, `hh:mm:ss` duration, seconds and seconds since the start.
 
-    `run_date` is yyyymmdd, `run_time` and `run_duration` are hhmmss, all as integers.
+    `run_date` is yyyymmdd, `run_time` and `run_duration` are hhmmss, all as integers. Times are
+    the scheduler's wall clock, without a zone, and so is `now`.
     """
     if job_name is not None:
         jobs = jobs.where(F.col("name") == job_name)
@@ -127,7 +128,7 @@ def job_history_view(
     started = F.try_to_timestamp(
         F.format_string("%08d%06d", F.col("run_date").cast("int"), F.col("run_time").cast("int")),
         F.lit("yyyyMMddHHmmss"),
-    )
+    ).cast("timestamp_ntz")
     clock = F.lpad(F.col("run_duration").cast("string"), 6, "0")
     part = [F.substring(clock, i, 2) for i in (1, 3, 5)]
     seconds = (
@@ -136,7 +137,7 @@ def job_history_view(
     status = F.lit(None).cast("string")
     for code, text in RUN_STATUS.items():
         status = F.when(F.col("run_status") == code, text).otherwise(status)
-    present = F.current_timestamp() if now is None else F.lit(now)
+    present = F.localtimestamp() if now is None else F.lit(str(now)).cast("timestamp_ntz")
     return rows.withColumn("_at", started).select(
         F.col("name").alias("JobName"),
         "step_id",

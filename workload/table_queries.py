@@ -16,7 +16,7 @@ from chronoweave.operators.copies import (
     duplicate_activities,
     listed,
 )
-from chronoweave.plans.config import merge_parameters, resolve_config, select_imports, with_parameters
+from chronoweave.plans.config import resolve_config, select_imports, with_parameters
 from chronoweave.sources.generators import date_dimension, interval_dimension
 from chronoweave.sources.views import (
     fact_day_view,
@@ -345,12 +345,11 @@ def q_json_param_merge(spark, sf):
     rows = table(spark, sf, "events").select(
         "event_id",
         "props",
-        merge_parameters(F.col("props"), passed)["k"].alias("k"),
         F.lit(D(2020, 1, 1)).alias("date_import_from"),
         F.lit(D(2020, 12, 31)).alias("date_import_until"),
         passed.alias("passed"),
     )
-    return with_parameters(rows, F.col("passed"), "props").drop("props", "passed")
+    return with_parameters(rows, F.col("passed"), "props", keep=("k",)).drop("props", "passed")
 
 
 SQL_JSON_PARAM_MERGE = """
