@@ -176,6 +176,20 @@ def local_table(
     return spark.createDataFrame(pa.Table.from_pylist(list(rows), schema=arrow), schema)
 
 
+# Rows up to which a dimension or id table is sent to every task instead of being shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """`rows` marked for broadcast if a count finds at most `most` of them.
+
+    Estimates for joined or filtered tables are often far too high, and then the facts would be
+    shuffled to meet a few thousand rows. Larger tables stay unmarked: Spark shuffles both
+    sides and splits skewed keys.
+    """
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def run_time(when: dt.datetime | None) -> Column:
     """The run's time stamp; the clock of the session when none is given."""
     return F.current_timestamp() if when is None else F.lit(when)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chronoweave.model import run_time
+from chronoweave.model import broadcast_if_small, run_time
 
 NUMBERED_TOGETHER = 10_000
 
@@ -22,7 +22,7 @@ def listed(rows: DataFrame, column: str, ids: str | DataFrame) -> DataFrame:
     """Rows whose `column` is in a comma-separated list, or in the first column of a table."""
     if isinstance(ids, DataFrame):
         keys = ids.select(F.col(ids.columns[0]).cast("int").alias(column)).distinct()
-        return rows.join(keys, column, "left_semi")
+        return rows.join(broadcast_if_small(keys), column, "left_semi")
     return rows.where(F.col(column).isin(*id_list(ids)))
 
 
@@ -77,7 +77,7 @@ def copy_series(facts: DataFrame, copies: DataFrame, forecast_to: int) -> DataFr
         F.col("old_import_id").alias("import_id"), F.col("import_id").alias("_new")
     )
     return (
-        facts.join(ids, "import_id")
+        facts.join(broadcast_if_small(ids), "import_id")
         .withColumns({"import_id": F.col("_new"), "forecast_id": F.lit(forecast_to)})
         .select(*facts.columns)
     )

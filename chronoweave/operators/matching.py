@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.functions.text import sql_text
-from chronoweave.model import Run, local_table, union_all
+from chronoweave.model import Run, broadcast_if_small, local_table, union_all
 
 FILTERS_PER_PASS = 48
 ANY = -1
@@ -173,4 +173,4 @@ def with_activity(facts: DataFrame, activity: DataFrame | None) -> DataFrame:
     if activity is None:
         return facts
     extra = [c for c in activity.columns if c not in facts.columns]
-    return facts.join(activity.select("activity_id", *extra), "activity_id")
+    return facts.join(broadcast_if_small(activity.select("activity_id", *extra)), "activity_id")

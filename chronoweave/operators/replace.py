@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.functions.text import sql_text
-from chronoweave.model import SERIES, Run, local_table
+from chronoweave.model import SERIES, Run, broadcast_if_small, local_table
 from chronoweave.operators.matching import with_activity
 
 RANGE, TAIL, HEAD = "range", "tail", "head"
@@ -113,7 +113,9 @@ def without_scopes(
 
 def _left_activity(rows: DataFrame, activity: DataFrame) -> DataFrame:
     extra = [c for c in activity.columns if c not in rows.columns]
-    return rows.join(activity.select("activity_id", *extra), "activity_id", "left")
+    return rows.join(
+        broadcast_if_small(activity.select("activity_id", *extra)), "activity_id", "left"
+    )
 
 
 def replaced_counts(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.functions.calendar import calendar_columns
-from chronoweave.model import VALUES
+from chronoweave.model import VALUES, broadcast_if_small
 
 _DATE_COLUMNS = {
     "YYYY": "year",
@@ -39,22 +39,23 @@ def fact_intraday_view(
     dates: DataFrame | None = None,
 ) -> DataFrame:
     """As `fact_day_view` for 15-minute facts, with the interval's start time."""
-    timed = facts.join(
-        intervals.select(F.col("interval_id").cast("smallint"), "time_start"), "interval_id"
-    )
+    starts = intervals.select(F.col("interval_id").cast("smallint"), "time_start")
+    timed = facts.join(broadcast_if_small(starts), "interval_id")
     return _view(timed, activity, forecast, dates, ["time_start"])
 
 
 def _view(facts, activity, forecast, dates, more) -> DataFrame:
-    named = facts.join(
-        activity.select(
-            "activity_id", "activity_name", "activity_set", "domain", "region",
-            "slicer1", "slicer2", "slicer3",
-        ),
-        "activity_id",
-    ).join(forecast.select("forecast_id", "forecast_name"), "forecast_id")
+    names = activity.select(
+        "activity_id", "activity_name", "activity_set", "domain", "region",
+        "slicer1", "slicer2", "slicer3",
+    )
+    scenarios = forecast.select("forecast_id", "forecast_name")
+    named = facts.join(broadcast_if_small(names), "activity_id").join(
+        broadcast_if_small(scenarios), "forecast_id"
+    )
     if dates is not None:
-        named = named.join(dates.select("date", *_DATE_COLUMNS.values()), "date")
+        days = dates.select("date", *_DATE_COLUMNS.values())
+        named = named.join(broadcast_if_small(days), "date")
         attributes = {out: F.col(name) for out, name in _DATE_COLUMNS.items()}
     else:
         cal = calendar_columns(F.col("date"))
@@ -85,9 +86,8 @@ def labelled_values(facts: DataFrame, activity: DataFrame, template: DataFrame)
         *[F.col(v).alias(f"{v}_name") for v in VALUES],
         *[f"{v}_description" for v in VALUES],
     )
-    joined = facts.join(activity.select("activity_id", "template_id"), "activity_id").join(
-        titles, "template_id"
-    )
+    titled = activity.select("activity_id", "template_id").join(titles, "template_id")
+    joined = facts.join(broadcast_if_small(titled), "activity_id")
     entries = F.array(
         *[
             F.struct(
@@ -121,10 +121,9 @@ def job_history_view(
     """
     if job_name is not None:
         jobs = jobs.where(F.col("name") == job_name)
-    rows = (
-        history.join(jobs.select("job_id", "name"), "job_id")
-        .join(steps.select("job_id", "step_id", "step_name"), ["job_id", "step_id"], "left")
-    )
+    names = broadcast_if_small(jobs.select("job_id", "name"))
+    titles = broadcast_if_small(steps.select("job_id", "step_id", "step_name"))
+    rows = history.join(names, "job_id").join(titles, ["job_id", "step_id"], "left")
     started = F.try_to_timestamp(
         F.format_string("%08d%06d", F.col("run_date").cast("int"), F.col("run_time").cast("int")),
         F.lit("yyyyMMddHHmmss"),
