@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chronoweave.functions.calendar import with_calendar
 from chronoweave.functions.text import field_list, sql_text
 from chronoweave.model import Run, as_fact_day, local_table, union_all
-from chronoweave.operators.matching import ANY, KEYS, Reading, Want, own_window, with_activity
+from chronoweave.operators.matching import ANY, KEYS, Reading, Want, filterable, own_window
 from chronoweave.operators.split import CALENDAR_FROM, CALENDAR_UNTIL
 
 
@@ -60,7 +60,7 @@ def _alerts(facts, runs, period, value, benchmark, activity, when, calendar) ->
     runs = [r.with_window(max(r.date_from, lo), min(r.date_until, hi)) for r in runs]
     runs = [r for r in runs if r.date_from <= r.date_until]
     reading = Reading(spark, wants(runs))
-    rows = reading.rows(reading.in_any_window(with_activity(facts, activity)))
+    rows = reading.rows(reading.in_any_window(filterable(facts, activity)))
     # Per day before imports are attached: the facts are aggregated once per distinct filter.
     per_day = rows.groupBy(*KEYS, "date").agg(
         F.sum(F.expr(value).try_cast("double")).alias("v"),

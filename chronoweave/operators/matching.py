@@ -3,11 +3,15 @@
 Filters are free SQL text per import, so thousands of imports could mean thousands of scans.
 Here all distinct filters are tried in one pass over the rows (a few dozen per pass), and
 imports are attached afterwards by an equi-join on the number of the filter plus the keys.
-Operators aggregate between the two steps, so rows are never copied once per import.
+Operators aggregate between the two steps, so rows are never copied once per import. When
+there are more filters than fit one pass, those that only compare columns with constants are
+looked up by an equi-join instead of being tried one by one.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -15,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoweave.functions.calendar import with_calendar
 from chronoweave.functions.text import sql_text
 from chronoweave.model import Run, broadcast_if_small, local_table, union_all
 
@@ -37,20 +42,75 @@ class Want:
 
 def match_filters(rows: DataFrame, filters: Sequence[str], number: str = "filter_no") -> DataFrame:
     """Each row once per filter it meets, with the filter's position in `number`."""
-    passes = []
-    for start in range(0, len(filters), FILTERS_PER_PASS):
-        chunk = filters[start : start + FILTERS_PER_PASS]
-        tests = [F.expr(f) if f else F.lit(True) for f in chunk]
-        if len(chunk) == 1:
-            kept = rows if not chunk[0] else rows.where(tests[0])
-            passes.append(kept.withColumn(number, F.lit(start)))
-            continue
-        kept = rows if not all(chunk) else rows.where(reduce(lambda a, b: a | b, tests))
-        hits = F.array_remove(
-            F.array(*[F.when(t, F.lit(start + i)).otherwise(ANY) for i, t in enumerate(tests)]), ANY
-        )
-        passes.append(kept.withColumn(number, F.explode(hits)))
-    return union_all(passes)
+    numbered = list(enumerate(filters))
+    parts = []
+    if len(filters) > FILTERS_PER_PASS:
+        kinds = dict(rows.dtypes)
+        lookups: dict[tuple[str, ...], list[tuple[int, dict]]] = {}
+        tried = []
+        for n, text in numbered:
+            constants = _constants(text, kinds)
+            if constants is None:
+                tried.append((n, text))
+            else:
+                lookups.setdefault(tuple(sorted(constants)), []).append((n, constants))
+        parts = [_look_up(rows, columns, found, number) for columns, found in lookups.items()]
+        numbered = tried
+    for start in range(0, len(numbered), FILTERS_PER_PASS):
+        parts.append(_try(rows, numbered[start : start + FILTERS_PER_PASS], number))
+    return union_all(parts)
+
+
+def _try(rows: DataFrame, numbered: Sequence[tuple[int, str]], number: str) -> DataFrame:
+    tests = [F.expr(f) if f else F.lit(True) for _, f in numbered]
+    if len(numbered) == 1:
+        (n, text), kept = numbered[0], rows
+        return (kept.where(tests[0]) if text else kept).withColumn(number, F.lit(n))
+    open_filter = any(not f for _, f in numbered)
+    kept = rows if open_filter else rows.where(reduce(lambda a, b: a | b, tests))
+    hits = F.array_remove(
+        F.array(*[F.when(t, F.lit(n)).otherwise(ANY) for (n, _), t in zip(numbered, tests)]), ANY
+    )
+    return kept.withColumn(number, F.explode(hits))
+
+
+_COMPARED = re.compile(r"[\s(]*`?(\w+)`?\s*=\s*(?:'([^']*)'|(-?\d{1,18}))[\s)]*")
+_WHOLE = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _constants(text: str, kinds: dict[str, str]) -> dict[str, object] | None:
+    """Column -> constant, if the filter is nothing but such comparisons joined by AND."""
+    out: dict[str, object] = {}
+    for part in re.split(r"\bAND\b", text, flags=re.IGNORECASE):
+        m = _COMPARED.fullmatch(part)
+        if m is None or m.group(1) in out:
+            return None
+        column, word, whole = m.groups()
+        kind = kinds.get(column)
+        if word is not None and kind == "string":
+            out[column] = word
+        elif whole is not None and kind in _WHOLE:
+            out[column] = int(whole)
+        else:
+            return None
+    return out if text.count("(") == text.count(")") else None
+
+
+def _look_up(
+    rows: DataFrame, columns: tuple[str, ...], found: list[tuple[int, dict]], number: str
+) -> DataFrame:
+    kinds = dict(rows.dtypes)
+    keys = {c: f"_key{i}" for i, c in enumerate(columns)}
+    table = local_table(
+        rows.sparkSession,
+        [{number: n, **{keys[c]: v for c, v in constants.items()}} for n, constants in found],
+        f"{number} int, "
+        + ", ".join(f"{keys[c]} {'string' if kinds[c] == 'string' else 'bigint'}" for c in columns),
+    )
+    keyed = rows.withColumns(
+        {k: F.col(c) if kinds[c] == "string" else F.col(c).cast("bigint") for c, k in keys.items()}
+    )
+    return keyed.join(table, list(keys.values())).drop(*keys.values())
 
 
 class Reading:
@@ -135,8 +195,6 @@ class Reading:
         return rows.join(self.runs(extra), KEYS)
 
     def earliest(self, days_before: int = 0):
-        import datetime as dt
-
         first = min(w.run.date_from for w in self.wants)
         return first if (first - dt.date.min).days <= days_before else first - dt.timedelta(days=days_before)
 
@@ -167,6 +225,11 @@ def target_series(rows: DataFrame) -> DataFrame:
     )
 
 
+def filterable(facts: DataFrame, activity: DataFrame | None) -> DataFrame:
+    """Facts with activity and calendar attributes; those that no filter uses are pruned."""
+    return with_calendar(with_activity(facts, activity))
+
+
 def with_activity(facts: DataFrame, activity: DataFrame | None) -> DataFrame:
     """Facts with the activity's attributes for filters; facts of unknown activities drop out.
     Without an activity table only the fact columns can be filtered on."""

@@ -17,7 +17,7 @@ from chronoweave.operators.matching import (
     KEYS,
     Reading,
     Want,
-    with_activity,
+    filterable,
 )
 
 
@@ -75,7 +75,7 @@ def _parallel(facts, runs, fields, targets, activity, when) -> DataFrame:
     reading = Reading(facts.sparkSession, wants(runs))
     spans = [source_span(r) for r in runs]
     near = F.col("date").between(F.lit(min(s[0] for s in spans)), F.lit(max(s[1] for s in spans)))
-    rows = reading.rows(with_activity(facts.where(near), activity))
+    rows = reading.rows(filterable(facts.where(near), activity))
     mapped = rows.select(
         *KEYS,
         "activity_id",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chronoweave.functions.calendar import calendar_columns
 from chronoweave.functions.text import to_int
 from chronoweave.model import VALUES, Run, as_fact_day
-from chronoweave.operators.matching import ANY, Reading, Want, own_window, with_activity
+from chronoweave.operators.matching import ANY, Reading, Want, filterable, own_window
 
 
 def wants(runs: Sequence[Run]) -> list[Want]:
@@ -40,7 +40,7 @@ def year_to_date(
     row is dated at the last day with data; accumulation starts at the window's first day.
     """
     reading = Reading(facts.sparkSession, wants(runs))
-    rows = reading.rows(reading.in_any_window(with_activity(facts, activity)))
+    rows = reading.rows(reading.in_any_window(filterable(facts, activity)))
     dated = reading.attach(
         rows.select(*KEEP, *VALUES), {"weekly": ("boolean", lambda w: "w" in w.run.p2.lower())}
     ).where(own_window())

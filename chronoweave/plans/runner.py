@@ -264,6 +264,8 @@ class Runner:
                 continue
             try:
                 check(o.run)
+                if operator.startswith("regression") and self.tables.staged is None:
+                    raise ValueError("a regression needs the staged parameter rows")
             except Exception as e:  # noqa: BLE001
                 self._fail(operator, o, "PARAMETERS TEST", e)
                 continue

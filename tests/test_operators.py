@@ -38,6 +38,25 @@ def test_match_filters_over_several_passes(spark):
     assert counts == {**{i: 5 - i % 5 for i in range(n)}, n: 5}
 
 
+def test_many_constant_filters_are_looked_up(spark):
+    rows = spark.range(40).select(
+        F.col("id"), F.concat(F.lit("k"), (F.col("id") % 7).cast("string")).alias("k"),
+        F.when(F.col("id") != 3, F.col("id").cast("int") % 5).alias("n"), (F.col("id") / 2).alias("x"),
+    )
+    filters = [f"k = 'k{i}'" for i in range(7)] + [f"(n={i})" for i in range(5)]
+    filters += [f"`k`='k{i}' and ( n = {j} )" for i in range(7) for j in range(5)]
+    filters += ["x = 3", "k = 'k1' or n = 2", "n = '2'", "upper(k) = 'K1'", "k = 'a and b'", "n = 1 and n = 2", ""]
+    filters += [f"id > {i}" for i in range(3)]
+    assert len(filters) > FILTERS_PER_PASS
+    got = sorted(map(tuple, match_filters(rows, filters).select("filter_no", "id").collect()))
+    want = sorted(
+        (i, r["id"]) for i, f in enumerate(filters) for r in (rows.where(f) if f else rows).select("id").collect()
+    )
+    assert got == want
+    plan = match_filters(rows, filters)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
 def test_import_windows_filters_and_null_values(spark, day_facts, tuples):
     source = day_facts(
         [("2020-01-01", 1, 1, 2.0), ("2020-01-01", 1, 1, None), ("2020-01-02", 1, 1, 5.0),
@@ -285,6 +304,16 @@ def test_alert_periods_tests_and_missing_values(spark, day_facts, tuples):
     assert other.count() == 0
 
 
+def test_alert_filter_may_use_the_calendar(spark, day_facts, tuples):
+    facts = day_facts(days("2024-01-30", [1.0] * 4))
+    run = Run(
+        1, 1, 9, filter="forecast_id=1 and T.[month]=2", p3="value > 0", group_by="T.[month]",
+        date_from=D(2024, 1, 30), date_until=D(2024, 3, 1),
+    )
+    got = tuples(alert_series(facts, [run]), "date", "value1")
+    assert got == [("2024-02-01", 2.0)]
+
+
 def test_alert_uses_the_own_activity(spark, day_facts, tuples):
     facts = day_facts([("2024-01-01", a, 1, float(a)) for a in (1, 2)])
     runs = [
