@@ -45,24 +45,12 @@ def correlation_forecast(
     spark = facts.sparkSession
     roles = _roles(spark, runs)
     wanted = {(r.site_id, a, f) for r in runs for a, f, _ in _reads(r)}
-    weekly = (
+    lags = sorted({to_int(r.p4) for r in runs})
+    weekly = weekly_series(
         facts.where(_among("site_id", sorted({s for s, _, _ in wanted})))
         .where(_among("forecast_id", sorted({f for _, _, f in wanted})))
-        .where(_among("activity_id", sorted({a for _, a, _ in wanted})))
-        .groupBy(*SERIES, continuous_week(F.col("date")).alias("week_no"))
-        .agg(F.sum(F.coalesce("value1", F.lit(0.0))).alias("total"))
-    )
-    # One window pass per series, shared by all imports that use it; a series has at most one
-    # row per week. The few distinct lags are columns of that same pass.
-    by_week = W.partitionBy(*SERIES).orderBy("week_no")
-    weekly = weekly.withColumn("smooth", F.avg("total").over(by_week.rowsBetween(-1, 1)))
-    lags = sorted({to_int(r.p4) for r in runs})
-    weekly = weekly.withColumns(
-        {
-            f"{name}_{i}": F.lag(name, n).over(by_week) if n else F.col(name)
-            for i, n in enumerate(lags)
-            for name in ("smooth", "total")
-        }
+        .where(_among("activity_id", sorted({a for _, a, _ in wanted}))),
+        lags,
     )
 
     def lagged(name: str):
@@ -155,6 +143,26 @@ def correlation_forecast(
     )
 
 
+def weekly_series(facts: DataFrame, lags: Sequence[int] = ()) -> DataFrame:
+    """Per series and continuous week: the `total` of value1, its centred three-week mean
+    `smooth`, and both moved by each of `lags` weeks with data, as `total_0, smooth_0, ..`.
+
+    One window pass for all series and lags; a series has at most one row per week.
+    """
+    weekly = facts.groupBy(*SERIES, continuous_week(F.col("date")).alias("week_no")).agg(
+        F.sum(F.coalesce("value1", F.lit(0.0))).alias("total")
+    )
+    by_week = W.partitionBy(*SERIES).orderBy("week_no")
+    smoothed = weekly.withColumn("smooth", F.avg("total").over(by_week.rowsBetween(-1, 1)))
+    return smoothed.withColumns(
+        {
+            f"{name}_{i}": F.lag(name, n).over(by_week) if n else F.col(name)
+            for i, n in enumerate(lags)
+            for name in ("smooth", "total")
+        }
+    )
+
+
 def _reads(run: Run) -> list[tuple[int, int, str]]:
     return [
         (run.activity_id, to_int(run.p2), "activity"),

@@ -9,7 +9,8 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.functions.text import blank_as_null, flag_set, to_int
+from chronoweave.functions.calendar import with_calendar
+from chronoweave.functions.text import blank_as_null, flag_set, sql_text, to_int
 from chronoweave.model import OPEN_FROM, OPEN_UNTIL, Run
 
 _OVERRIDES = ["p1", "p2", "p3", "p4", "p5", "schedule", "source", "group_by"]
@@ -199,6 +200,17 @@ def with_parameters(
     ).drop("_own", "_passed")
 
 
+def due(schedule: str) -> Column:
+    """Whether a schedule holds, over the columns of `with_run_columns`; null counts as no."""
+    return F.coalesce(F.expr(sql_text(schedule)), F.lit(False))
+
+
+def with_run_columns(days: DataFrame) -> DataFrame:
+    """What a schedule may test, for days with `date` and the time stamp `run_ts`: `run_date`
+    and the calendar attributes."""
+    return with_calendar(days.withColumn("run_date", F.col("date")))
+
+
 def to_run(row, commands: str = "") -> Run:
     """A resolved row as an operator's input; the caller's commands go in front."""
     words = f"{commands} {row['commands']}".strip()

@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.functions.calendar import with_calendar
 from chronoweave.functions.text import error_json, field_list, sql_text, to_int
 from chronoweave.model import OPEN_FROM, Run
 from chronoweave.operators import alert, correlation, imports, parallel, regression, split, ytd
@@ -22,11 +21,13 @@ from chronoweave.operators.copies import copy_imports, copy_series
 from chronoweave.operators.replace import Scope, scope_of, write_back
 from chronoweave.plans.config import (
     current_year_window,
+    due,
     in_run_order,
     resolve_config,
     select_imports,
     to_run,
     with_parameters,
+    with_run_columns,
 )
 from chronoweave.plans.runlog import DEBUG, FAILED, SUCCEEDED, WARNING, RunLog, Timer
 from chronoweave.plans.store import FactStore
@@ -234,19 +235,18 @@ class Runner:
         planned = [o for o in outcomes if o.run.schedule.strip() and not o.run.has("NOSCHEDULE")]
         if not planned:
             return
-        today = self.spark.range(1).select(
-            F.lit(self.when.date()).alias("date"),
-            F.lit(self.when.date()).alias("run_date"),
-            F.lit(self.when).alias("run_ts"),
+        today = with_run_columns(
+            self.spark.range(1).select(
+                F.lit(self.when.date()).alias("date"), F.lit(self.when).alias("run_ts")
+            )
         )
-        today = with_calendar(today)
         tests: dict[str, object] = {}
         for o in planned:
             text = sql_text(o.run.schedule)
             if text in tests:
                 continue
             try:
-                tests[text] = today.select(F.coalesce(F.expr(text), F.lit(False)).alias("ok")).first()["ok"]
+                tests[text] = today.select(due(text).alias("ok")).first()["ok"]
             except Exception as e:  # noqa: BLE001 - any error in user text fails that import
                 tests[text] = e
         for o in planned:
@@ -288,6 +288,8 @@ class Runner:
             if len(live) == 1:
                 self._fail(operator, live[0], "INSERT DAY", e)
                 return
+            for o in live:  # what was already written is replaced by the next attempt
+                o.deleted = o.inserted = o.updated = 0
             middle = len(live) // 2
             self._run_batch(operator, live[:middle], extras)
             self._run_batch(operator, live[middle:], extras)

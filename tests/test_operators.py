@@ -159,6 +159,19 @@ def test_split_totals_add_up_to_the_month(spark, day_facts):
     assert got[1] == pytest.approx(621.0) and got[2] == pytest.approx(560.0) and len(got) == 2
 
 
+def test_split_of_a_year_by_twelve_totals(spark, day_facts):
+    totals = "120167.5 106857 115187 109621 118050 117460 119799 117152 110963 112695 114696 121626"
+    facts = day_facts(days("2022-01-01", [float(i % 13 + 2) for i in range(365)], activity=99))
+    run = Run(
+        1, 50, 2, source=totals, filter="activity_id=99 and forecast_id=1 and year=2022",
+        date_from=D(2022, 1, 1), date_until=D(2022, 12, 31),
+    )
+    rows = split_totals(facts, [run]).groupBy(F.month("date").alias("m")).agg(F.sum("value1").alias("v"))
+    got = dict(rows.collect())
+    for month, total in enumerate(totals.split(), 1):
+        assert got[month] == pytest.approx(float(total))
+
+
 def test_split_of_a_zero_month_and_feb29(spark, day_facts, tuples):
     facts = day_facts([("2020-01-01", 1, 1, 0.0), ("2020-02-28", 1, 1, 1.0), ("2020-02-29", 1, 1, 3.0)])
     run = Run(1, 7, 4, source="10 20", filter="activity_id=1", date_from=D(2024, 1, 1), date_until=D(2024, 3, 31))

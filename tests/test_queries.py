@@ -25,3 +25,10 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_an_oracle():
     assert set(registry.ORACLE) == set(registry.QUERIES)
+
+
+def test_entry_and_contract(spark):
+    import __spark_entry__ as contract
+
+    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert contract.entry(spark).count() > 0

@@ -130,6 +130,37 @@ SELECT CAST(o_orderdate AS DATE) AS date, CASE o_orderstatus WHEN 'F' THEN 1 WHE
 FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')"""
 
 
+def _line_filters() -> list[tuple[str, str | None, int]]:
+    """(flag, status or None for any, line number): more filters than one pass tries."""
+    return [(f, s, n) for f in "ANR" for s in ("O", "F", None) for n in range(1, 8)]
+
+
+def q_import_many_filters(spark, sf):
+    """An import per flag, status and line number, and one per flag and line number."""
+    runs = [
+        Run(
+            import_id=i,
+            activity_id=n,
+            forecast_id=1,
+            filter=f"l_returnflag = '{flag}' AND (l_linenumber = {n}" + (f" and l_linestatus = '{status}')" if status else ")"),
+            group_by="l_shipdate",
+            fields_source="sum(l_quantity), max(l_extendedprice)",
+            fields_target="value1,value2",
+        )
+        for i, (flag, status, n) in enumerate(_line_filters(), 1)
+    ]
+    return shown(import_day(table(spark, sf, "lineitem"), runs), "value1", "value2")
+
+
+SQL_IMPORT_MANY_FILTERS = f"""WITH runs(import_id, flag, status, n) AS (VALUES {
+    ", ".join(f"({i}, '{f}', {repr(s) if s else 'NULL'}, {n})" for i, (f, s, n) in enumerate(_line_filters(), 1))
+})
+SELECT CAST(l_shipdate AS DATE) AS date, n AS activity_id, 1 AS forecast_id, 1 AS site_id, import_id,
+       round(sum(l_quantity), 4) AS value1, round(max(l_extendedprice), 4) AS value2
+FROM lineitem JOIN runs ON l_returnflag = flag AND l_linenumber = n AND l_linestatus = coalesce(status, l_linestatus)
+GROUP BY ALL"""
+
+
 def event_imports(**more) -> list[Run]:
     return [
         Run(
@@ -395,6 +426,7 @@ QUERIES = {
     "import_day": q_import_day,
     "import_day_sumfields": q_import_day_sumfields,
     "import_day_nogroupby": q_import_day_nogroupby,
+    "import_many_filters": q_import_many_filters,
     "import_intraday": q_import_intraday,
     "import_by_source_id": q_import_by_source_id,
     "delta_window": q_delta_window,
@@ -411,6 +443,7 @@ ORACLE = {
     "import_day": SQL_IMPORT_DAY,
     "import_day_sumfields": SQL_IMPORT_DAY_SUMFIELDS,
     "import_day_nogroupby": SQL_IMPORT_DAY_NOGROUPBY,
+    "import_many_filters": SQL_IMPORT_MANY_FILTERS,
     "import_intraday": SQL_IMPORT_INTRADAY,
     "import_by_source_id": SQL_IMPORT_BY_SOURCE_ID,
     "delta_window": _delta_sql(),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chronoweave.functions.calendar import with_calendar
 from chronoweave.model import Run, local_table
 from chronoweave.operators.alert import alert_series
-from chronoweave.operators.correlation import RATIO_WEIGHTS, correlation_forecast
+from chronoweave.operators.correlation import RATIO_WEIGHTS, correlation_forecast, weekly_series
 from chronoweave.operators.forecast_weeks import FIRST_YEAR, YEAR_COLUMNS, assign_forecast_weeks
 from chronoweave.operators.parallel import parallel_period
 from chronoweave.operators.regression import (
@@ -349,6 +349,23 @@ SELECT n AS import_id, date, round(v, 4) AS c0,
   round(sum(v) OVER (PARTITION BY n ORDER BY date ROWS BETWEEN 13 PRECEDING AND 7 PRECEDING), 4) AS c4
 FROM f"""
 
+def q_weekly_series(spark, sf):
+    """Every supplier's weekly quantity, smoothed and moved by one and four weeks."""
+    rows = weekly_series(supplier_facts(spark, sf), [1, 4])
+    return rows.select(
+        "activity_id", "week_no", *[F.round(c, 4).alias(c) for c in ("total", "smooth", "smooth_0", "total_1")]
+    )
+
+
+SQL_WEEKLY_SERIES = f"""WITH {SUPPLIER_FACTS},
+w AS (SELECT activity_id, CAST(floor(date_diff('day', DATE '2000-01-03', date) / 7.0) AS INTEGER) AS week_no,
+             sum(value1) AS total FROM supplier_facts GROUP BY 1, 2),
+s AS (SELECT *, avg(total) OVER (PARTITION BY activity_id ORDER BY week_no ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS smooth FROM w)
+SELECT activity_id, week_no, round(total, 4) AS total, round(smooth, 4) AS smooth,
+  round(lag(smooth, 1) OVER (PARTITION BY activity_id ORDER BY week_no), 4) AS smooth_0,
+  round(lag(total, 4) OVER (PARTITION BY activity_id ORDER BY week_no), 4) AS total_1
+FROM s"""
+
 ALERT_FROM, ALERT_UNTIL = D(1994, 12, 20), D(2001, 8, 15)
 
 
@@ -459,6 +476,7 @@ QUERIES = {
     "regression_lag_categories": q_regression_lag_categories,
     "regression_simple": q_regression_simple,
     "lag_categories": q_lag_categories,
+    "weekly_series": q_weekly_series,
     **{name: _alert(*spec[:3]) for name, spec in _ALERTS.items()},
     "forecast_week_assign": q_forecast_week_assign,
 }
@@ -473,6 +491,7 @@ ORACLE = {
     "regression_lag_categories": SQL_REGRESSION_LAG_CATEGORIES,
     "regression_simple": SQL_REGRESSION_SIMPLE,
     "lag_categories": SQL_LAG_CATEGORIES,
+    "weekly_series": SQL_WEEKLY_SERIES,
     **{name: _alert_sql(*spec) for name, spec in _ALERTS.items()},
     "forecast_week_assign": SQL_FORECAST_WEEK_ASSIGN,
 }

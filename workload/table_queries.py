@@ -16,7 +16,13 @@ from chronoweave.operators.copies import (
     duplicate_activities,
     listed,
 )
-from chronoweave.plans.config import resolve_config, select_imports, with_parameters
+from chronoweave.plans.config import (
+    due,
+    resolve_config,
+    select_imports,
+    with_parameters,
+    with_run_columns,
+)
 from chronoweave.sources.generators import date_dimension, interval_dimension
 from chronoweave.sources.views import (
     fact_day_view,
@@ -360,6 +366,30 @@ SELECT event_id, CASE WHEN event_type = 'click' THEN '9' ELSE json_extract_strin
   CAST(CASE WHEN event_type = 'click' THEN 30 ELSE 15 END AS INTEGER) AS intraday_duration
 FROM events"""
 
+SCHEDULES = {
+    "mondays": ("[day_week] = 1", "isodow(d) = 1"),
+    "first_days": ("day_month <= 3 and month(getdate()) in (1, 7)", "day(d) <= 3 AND month(d) IN (1, 7)"),
+    "long_months": ("run_date > '1996-06-30' and month_days = 31", "d > DATE '1996-06-30' AND day(last_day(d)) = 31"),
+    "unknown": ("nullif(week, week) = 1", "false"),
+}
+
+
+def q_schedule_test(spark, sf):
+    """Whether each schedule would have run on the day of each order."""
+    days = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("date"), F.col("o_orderdate").alias("run_ts")
+    )
+    return with_run_columns(days).select(
+        "o_orderkey", *[due(text).alias(name) for name, (text, _) in SCHEDULES.items()]
+    )
+
+
+SQL_SCHEDULE_TEST = (
+    "SELECT o_orderkey, "
+    + ", ".join(f"{test} AS {name}" for name, (_, test) in SCHEDULES.items())
+    + " FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders) o"
+)
+
 _FLAG_TEXT = {
     "BUILDING": "-print  -NODELTA\\t-LOG_QUERY",
     "AUTOMOBILE": "-NO_SCHEDULE -SUMFIELDS",
@@ -537,6 +567,7 @@ QUERIES = {
     "resolve_config": q_resolve_config,
     "select_imports": q_select_imports,
     "json_param_merge": q_json_param_merge,
+    "schedule_test": q_schedule_test,
     "command_flags": q_command_flags,
     "copy_imports": q_copy_imports,
     "copy_series": q_copy_series,
@@ -557,6 +588,7 @@ ORACLE = {
     "resolve_config": SQL_RESOLVE_CONFIG,
     "select_imports": SQL_SELECT_IMPORTS,
     "json_param_merge": SQL_JSON_PARAM_MERGE,
+    "schedule_test": SQL_SCHEDULE_TEST,
     "command_flags": _flag_sql(),
     "copy_imports": SQL_COPY_IMPORTS,
     "copy_series": SQL_COPY_SERIES,
