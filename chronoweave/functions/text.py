@@ -55,31 +55,29 @@ def command_flags(commands: Column) -> dict[str, Column]:
 
 def flag_set(commands: str) -> frozenset[str]:
     words = {w.lstrip("-") for w in commands.upper().split() if w.startswith("-")}
-    if words & {"LOG_IMPORT", "LOG_IMPORTS"}:
-        words.add("LOG_IMPORTS")
+    for flag in ("LOG_IMPORTS", "LOG_QUERY"):
+        # Singular and plural forms count alike.
+        if any(w.startswith(flag[:-1]) for w in words):
+            words.add(flag)
     return frozenset(words)
 
 
 _QUOTED_OR_NAME = re.compile(
     r"'(?:[^']|'')*'"            # text literals stay as they are
     r"|\[(?P<name>[^\]]+)\]"     # [name] -> `name`
-    r"|\b(?:S|F|D|T|A|DATA)\."   # table letters of the documented filters
-    r"|\bgetdate\(\)",
+    r"|\b(?:S|F|D|T|A|DATA)\.",  # table letters of the documented filters
     re.IGNORECASE,
 )
 
 
 def sql_text(text: str) -> str:
-    """Configured SQL text as a Spark expression: [name] quoting, the table letters that
-    documented filters use, and getdate()."""
+    """Configured SQL text as a Spark expression: [name] quoting and the table letters that
+    documented filters use."""
 
     def one(m: re.Match) -> str:
         if m.group("name"):
             return f"`{m.group('name')}`"
-        found = m.group(0)
-        if found.startswith("'"):
-            return found
-        return "run_ts" if found.lower().startswith("getdate") else ""
+        return m.group(0) if m.group(0).startswith("'") else ""
 
     return _QUOTED_OR_NAME.sub(one, text or "").strip()
 

@@ -59,6 +59,8 @@ def _alerts(facts, runs, period, value, benchmark, activity, when, calendar) ->
     lo, hi = calendar
     runs = [r.with_window(max(r.date_from, lo), min(r.date_until, hi)) for r in runs]
     runs = [r for r in runs if r.date_from <= r.date_until]
+    if not runs:
+        return as_fact_day(facts.where("false"), when)
     reading = Reading(spark, wants(runs))
     rows = reading.rows(reading.in_any_window(filterable(facts, activity)))
     # Per day before imports are attached: the facts are aggregated once per distinct filter.

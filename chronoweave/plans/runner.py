@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoweave.functions.session import register_functions
 from chronoweave.functions.text import error_json, field_list, sql_text, to_int
 from chronoweave.model import OPEN_FROM, Run
 from chronoweave.operators import alert, correlation, imports, parallel, regression, split, ytd
@@ -109,6 +110,7 @@ class Runner:
         self.codes = codes or {}
         self.default_current_year = default_current_year
         self.on_source_update = on_source_update
+        register_functions(spark, self.when)
         self.log = RunLog(spark, uuid.uuid4().hex, log_path)
         self.plans: dict[tuple[str, ...], DataFrame] = {}
 
@@ -400,13 +402,14 @@ class Runner:
         return self.day.read()
 
     def _store(self, operator, step, store, new, outcomes: list[Outcome], scopes: list[Scope]) -> None:
-        for o in outcomes:
-            if o.run.has("LOG_QUERY"):
-                self.log.add(
-                    CATEGORY, f"INSERT {step}", DEBUG, site=o.run.site_id, object=operator,
-                    object_sub=o.run.procedure_name, object_id=o.run.import_id,
-                    data=", ".join(new.columns) + " <- " + sql_text(o.run.filter),
-                )
+        logged = [o.run for o in outcomes if o.run.has("LOG_QUERY")]
+        if logged:
+            # All imports of the batch share this plan, so it is logged once.
+            self.log.add(
+                CATEGORY, f"INSERT {step}", DEBUG, site=logged[0].site_id, object=operator,
+                object_sub=logged[0].procedure_name, object_id=logged[0].import_id,
+                data=new._jdf.queryExecution().optimizedPlan().toString(), value=len(logged),
+            )
         printed = [o.run.has("PRINT") for o in outcomes]
         if any(printed):
             if not all(printed):

@@ -45,11 +45,13 @@ class FactStore:
     def _at(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
-    def _partitions(self) -> DataFrame:
+    def _partitions(self, directories: Sequence[str] | None = None) -> DataFrame:
+        """The stored rows with their month; of some partition directories only, if given."""
         stored = T.StructType([*self.schema.fields, T.StructField("year_month", T.IntegerType())])
-        if not self._fs.globStatus(self._at(f"{self.path}/{_GLOB}")):
+        if not (self._list(self.path) if directories is None else directories):
             return self.spark.createDataFrame([], stored)
-        return self.spark.read.schema(stored).parquet(self.path)
+        paths = [self.path] if directories is None else [f"{self.path}/{d}" for d in directories]
+        return self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths)
 
     def read(self) -> DataFrame:
         """All facts. Filters on site, forecast and date prune partitions and row groups when
@@ -89,7 +91,7 @@ class FactStore:
         `inserted` tells new rows from kept ones, such as the time stamp of this run.
         """
         touched = self._touched(scopes)
-        old = self._partitions().where(touched).select(*self.schema.names)
+        old = self._partitions(touched).select(*self.schema.names)
         deleted = _counts(replaced_counts(old, scopes, activity), "rows_deleted")
         staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
         result = without_scopes(old, scopes, activity).unionByName(new.select(*self.schema.names))
@@ -104,7 +106,7 @@ class FactStore:
             added = _counts(
                 written.where(inserted).groupBy("import_id").agg(F.count(F.lit(1)).alias("n")), "n"
             )
-        emptied = [d for d in self._list(self.path) if self._is_touched(d, scopes) and d not in staged]
+        emptied = [d for d in touched if d not in set(staged)]
         self._note(staging, [f"drop {d}" for d in emptied] + [f"move {d}" for d in staged])
         self._swap(staging)
         return deleted, added
@@ -121,35 +123,21 @@ class FactStore:
             else:
                 self._fs.delete(self._at(staging), True)
 
-    def _touched(self, scopes: Sequence[Scope]) -> Column:
-        """Partitions that hold replaced rows or will hold new ones, as a test on their keys."""
+    def _touched(self, scopes: Sequence[Scope]) -> list[str]:
+        """Directories of the partitions that hold replaced rows or will get new ones."""
         spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for s in scopes:
             spans.setdefault((s.site_id, s.forecast_id), []).append(_months(s))
-        tests = [
-            (F.col("site_id") == site)
-            & (F.col("forecast_id") == forecast)
-            & F.col("year_month").between(min(a for a, _ in m), max(b for _, b in m))
-            for (site, forecast), m in spans.items()
-        ]
-        out = tests[0]
-        for t in tests[1:]:
-            out = out | t
+        out = []
+        for (site, forecast), months in spans.items():
+            first, last = min(a for a, _ in months), max(b for _, b in months)
+            for d in self._list(self.path, f"site_id={site}/forecast_id={forecast}/year_month=*"):
+                if first <= int(d.rsplit("=", 1)[1]) <= last:
+                    out.append(d)
         return out
 
-    @staticmethod
-    def _is_touched(directory: str, scopes: Sequence[Scope]) -> bool:
-        keys = dict(part.split("=", 1) for part in directory.split("/"))
-        site, forecast, month = (keys[p] for p in PARTITIONS)
-        spans = [
-            _months(s) for s in scopes if (str(s.site_id), str(s.forecast_id)) == (site, forecast)
-        ]
-        if not spans or not month.isdigit():
-            return False
-        return min(a for a, _ in spans) <= int(month) <= max(b for _, b in spans)
-
-    def _list(self, path: str) -> list[str]:
-        found = self._fs.globStatus(self._at(f"{path}/{_GLOB}")) or []
+    def _list(self, path: str, pattern: str = _GLOB) -> list[str]:
+        found = self._fs.globStatus(self._at(f"{path}/{pattern}")) or []
         return ["/".join(s.getPath().toString().split("/")[-len(PARTITIONS):]) for s in found]
 
     def _note(self, staging: str, lines: list[str]) -> None:

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from chronoweave.functions import calendar as cal
-from chronoweave.functions import text
+from chronoweave.functions import session, text
 from chronoweave.sources.generators import date_dimension, interval_dimension
 
 D = dt.date
@@ -62,7 +62,7 @@ def test_string_spaces_keeps_the_ends(spark):
 def test_sql_text():
     assert text.sql_text("[date] between '[x]' and S.value1") == "`date` between '[x]' and value1"
     assert text.sql_text("A.domain='S.x' and DATA.site_id=1") == "domain='S.x' and site_id=1"
-    assert text.sql_text("day(getdate())=1") == "day(run_ts)=1"
+    assert text.sql_text("data.v > 1.5 and xs.v = 2") == "v > 1.5 and xs.v = 2"
 
 
 def test_field_list():
@@ -81,3 +81,15 @@ def test_flags_are_whole_words(spark):
 def test_numbers_from_text():
     assert text.to_int(" 7 ") == 7 and text.to_int("") == 0 and text.to_int("x") == 0
     assert text.to_scale("1,5") == 1.5 and text.to_scale("0") == 1.0 and text.to_scale("") == 1.0
+
+
+def test_sql_functions_equal_the_column_functions(spark):
+    session.register_functions(spark, dt.datetime(2024, 3, 15, 12, 0, 0, 5, tzinfo=dt.timezone.utc))
+    days = spark.range(800).select(F.date_add(F.lit(D(2019, 11, 1)), F.col("id").cast("int")).alias("d"))
+    for name in session.FUNCTIONS:
+        if name != "string_spaces":
+            same = days.where(F.expr(f"{name}(d)") == getattr(cal, name)(F.col("d"))).count()
+            assert same == 800, name
+    assert spark.sql("select string_spaces(' a\\t\\n b ') as x").first()["x"] == " a b "
+    assert one(spark, F.expr("date_format(getdate(), 'yyyy-MM-dd HH:mm:ss.SSSSSS')")) == "2024-03-15 12:00:00.000005"
+    assert one(spark, F.expr("first_day_next_year()")) == one(spark, cal.first_day_next_year())

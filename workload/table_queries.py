@@ -210,6 +210,11 @@ FROM x"""
 # --- configuration tables derived from customers (imports) and nations (procedures) ---
 
 
+def _stamp(when: dt.datetime):
+    """A time stamp of the session's time zone."""
+    return F.lit(str(when)).cast("timestamp")
+
+
 def _when(test: str, then: str, otherwise=None):
     return F.when(F.expr(test), F.lit(then)).otherwise(F.lit(otherwise))
 
@@ -230,7 +235,7 @@ def procedures(spark, sf):
         _when("n_nationkey = 3", "day_week = 1", None).alias("schedule"),
         _when("n_nationkey % 5 = 0", "30", " ").alias("days_back"),
         _when("n_nationkey % 5 = 1", "7", "x").alias("days_forward"),
-        F.when(F.expr("n_nationkey % 4 = 1"), F.lit(dt.datetime(2020, 1, 1))).alias("date_import_from"),
+        F.when(F.expr("n_nationkey % 4 = 1"), _stamp(dt.datetime(2020, 1, 1))).alias("date_import_from"),
         F.lit(None).cast("timestamp").alias("date_import_until"),
         _when("n_regionkey = 0", " 7 ", None).alias("p1"),
         *[F.lit(None).cast("string").alias(f"p{i}") for i in range(2, 6)],
@@ -241,7 +246,7 @@ def procedures(spark, sf):
         F.lit("plan").alias("domain"),
         F.col("n_name").alias("category"),
         F.lit(None).cast("string").alias("description"),
-        F.lit(dt.datetime(2023, 6, 1)).alias("date_updated"),
+        _stamp(dt.datetime(2023, 6, 1)).alias("date_updated"),
     )
 
 
@@ -261,8 +266,8 @@ def imports(spark, sf):
         _when("c_custkey % 50 = 0", "month = 1", "").alias("schedule"),
         _when("c_custkey % 4 = 0", " 10", "").alias("days_back"),
         _when("c_custkey % 4 = 1", "3", None).alias("days_forward"),
-        F.when(F.expr("c_custkey % 6 = 0"), F.lit(dt.datetime(2021, 5, 6, 7, 8, 9))).alias("date_import_from"),
-        F.when(F.expr("c_custkey % 5 = 0"), F.lit(dt.datetime(2023, 12, 31))).alias("date_import_until"),
+        F.when(F.expr("c_custkey % 6 = 0"), _stamp(dt.datetime(2021, 5, 6, 7, 8, 9))).alias("date_import_from"),
+        F.when(F.expr("c_custkey % 5 = 0"), _stamp(dt.datetime(2023, 12, 31))).alias("date_import_until"),
         _when("c_custkey % 2 = 0", "3", "").alias("p1"),
         *[F.lit(None).cast("string").alias(f"p{i}") for i in range(2, 6)],
         _when("c_custkey % 3 = 1", "-INTRADAY", "").alias("commands"),
@@ -272,7 +277,7 @@ def imports(spark, sf):
         F.lit(None).cast("string").alias("domain"),
         F.col("c_mktsegment").alias("category"),
         F.when(F.expr("c_custkey % 2 = 1"), F.lit(1)).otherwise(F.lit(1)).alias("site_id"),
-        F.when(F.expr("c_custkey % 2 = 0"), F.lit(dt.datetime(2024, 1, 2))).alias("date_updated"),
+        F.when(F.expr("c_custkey % 2 = 0"), _stamp(dt.datetime(2024, 1, 2))).alias("date_updated"),
         F.lit("old").alias("import_guid"),
     )
 
@@ -368,7 +373,7 @@ FROM events"""
 
 SCHEDULES = {
     "mondays": ("[day_week] = 1", "isodow(d) = 1"),
-    "first_days": ("day_month <= 3 and month(getdate()) in (1, 7)", "day(d) <= 3 AND month(d) IN (1, 7)"),
+    "first_days": ("day_month <= 3 and month(run_ts) in (1, 7)", "day(d) <= 3 AND month(d) IN (1, 7)"),
     "long_months": ("run_date > '1996-06-30' and month_days = 31", "d > DATE '1996-06-30' AND day(last_day(d)) = 31"),
     "unknown": ("nullif(week, week) = 1", "false"),
 }
