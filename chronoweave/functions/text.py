@@ -24,11 +24,6 @@ def blank_as_null(s: Column) -> Column:
     return F.nullif(F.trim(s), F.lit(""))
 
 
-def int_or_zero(s: Column) -> Column:
-    """Blank or unreadable numbers count as 0."""
-    return F.coalesce(F.trim(s).try_cast("int"), F.lit(0))
-
-
 def error_json(error: BaseException, where: str = "-") -> dict[str, str]:
     """What went wrong, for the run log: the error's class and condition, and its message."""
     condition = getattr(error, "getCondition", lambda: None)() or type(error).__name__

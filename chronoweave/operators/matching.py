@@ -24,6 +24,8 @@ from chronoweave.functions.text import sql_text
 from chronoweave.model import Run, broadcast_if_small, local_table, union_all
 
 FILTERS_PER_PASS = 48
+# Fewer constant filters on the same columns than this are not worth a pass of their own.
+LOOKUP_LEAST = 16
 ANY = -1
 
 KEYS = ["filter_no", "site_id", "activity_key", "forecast_key"]
@@ -54,7 +56,11 @@ def match_filters(rows: DataFrame, filters: Sequence[str], number: str = "filter
                 tried.append((n, text))
             else:
                 lookups.setdefault(tuple(sorted(constants)), []).append((n, constants))
-        parts = [_look_up(rows, columns, found, number) for columns, found in lookups.items()]
+        for columns, found in lookups.items():
+            if len(found) < LOOKUP_LEAST:
+                tried += [(n, filters[n]) for n, _ in found]
+            else:
+                parts.append(_look_up(rows, columns, found, number))
         numbered = tried
     for start in range(0, len(numbered), FILTERS_PER_PASS):
         parts.append(_try(rows, numbered[start : start + FILTERS_PER_PASS], number))

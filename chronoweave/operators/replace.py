@@ -33,14 +33,6 @@ class Scope:
     mode: str = RANGE
     filter: str = ""
 
-    def day_bounds(self) -> tuple[dt.date | None, dt.date | None]:
-        """First and last day that can be affected."""
-        if self.mode == TAIL:
-            return self.date_from, None
-        if self.mode == HEAD:
-            return None, self.date_until
-        return self.date_from, self.date_until
-
 
 def scope_of(run: Run) -> Scope:
     mode = TAIL if run.has("DELETE_TAIL") else HEAD if run.has("DELETE_HEAD") else RANGE

@@ -12,11 +12,7 @@ from chronoweave.operators.forecast_weeks import assign_forecast_weeks
 from chronoweave.operators.imports import delta_windows, import_day, import_intraday
 from chronoweave.operators.matching import FILTERS_PER_PASS, match_filters
 from chronoweave.operators.parallel import parallel_period
-from chronoweave.operators.regression import (
-    LAG_LAYOUT,
-    regression_lag_categories,
-    regression_simple,
-)
+from chronoweave.operators.regression import regression_lag_categories, regression_simple
 from chronoweave.operators.replace import Scope, replace_range, replaced_counts, write_back
 from chronoweave.operators.split import split_totals
 from chronoweave.operators.ytd import year_to_date

@@ -8,20 +8,23 @@ from chronoweave.functions.text import flag_set
 from chronoweave.model import (
     DIM_ACTIVITY,
     DIM_FORECAST,
+    DIM_TEMPLATE,
     FACT_DAY,
     FACT_INTRADAY,
     IMPORT,
+    IMPORT_FILE,
     IMPORT_PROCEDURE,
     OPEN_FROM,
     OPEN_UNTIL,
     SOURCE_FILE,
     local_table,
 )
-from chronoweave.operators.copies import copy_imports, number_by_id
+from chronoweave.operators.copies import copy_files, copy_imports, number_by_id
 from chronoweave.operators.replace import Scope
 from chronoweave.plans.config import resolve_config, with_parameters
 from chronoweave.plans.runner import Runner, Tables, totals
 from chronoweave.plans.store import FactStore
+from chronoweave.sources.views import labelled_values
 from chronoweave.sources.staged import StagedFile, read_staged_files
 
 D = dt.date
@@ -285,6 +288,32 @@ def test_copied_imports_get_new_guids(spark):
     assert (row["import_id"], row["forecast_id"]) == (10, 2) and row["import_guid"] != "g"
 
 
+def test_copied_files_keep_their_creation(spark):
+    created = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [
+        {"file_id": i, "category": "c", "site_id": s, "forecast_id": 3, "file_guid": "g", "date_created": created}
+        for i, s in ((1, 1), (2, 2), (3, 1))
+    ]
+    files = local_table(spark, rows, IMPORT_FILE)
+    copies = copy_files(files, "1, 2,3", 1, 10, None, "", "s", NOW).orderBy("file_id").collect()
+    assert [(r["file_id"], r["category"], r["forecast_id"], r["session"]) for r in copies] == [(10, "c", 3, "s"), (11, "c", 3, "s")]
+    assert all(r["date_created"] == created.replace(tzinfo=None) and r["file_guid"] != "g" for r in copies)
+    renamed = copy_files(files, "2", 2, 20, 4, "2025").first()
+    assert (renamed["category"], renamed["forecast_id"]) == ("c2025", 4)
+
+
+def test_labelled_values_follow_the_template(spark, day_facts):
+    facts = day_facts([("2024-01-01", 1, 1, 5.0, 6.0), ("2024-01-01", 2, 1, 7.0)])
+    activity = local_table(spark, [{"activity_id": a, "template_id": a} for a in (1, 2)], DIM_ACTIVITY)
+    template = local_table(
+        spark, [{"template_id": 1, "value1": "calls", "value2": "cost", "value2_description": "in euro"}], DIM_TEMPLATE
+    )
+    rows = labelled_values(facts, activity, template).collect()
+    assert sorted((r["value_name"], r["value_description"] or "", r["value"]) for r in rows) == [
+        ("calls", "", 5.0), ("cost", "in euro", 6.0),
+    ]
+
+
 def test_staged_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text("title\nday,amount\n03-01-2024,\"1,5\"\n\n04-01-2024,x\n")
     (tmp_path / "b.txt").write_text("2024-01-05;7;extra\n")

@@ -32,3 +32,26 @@ def test_entry_and_contract(spark):
 
     assert set(contract.queries()) == set(contract.oracle_sql())
     assert contract.entry(spark).count() > 0
+
+
+def _plan(spark, name):
+    return registry.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", list(registry.QUERIES))
+def test_plans_stay_in_the_engine(spark, name):
+    plan = _plan(spark, name)
+    for word in ("Cartesian", "Python", "ArrowEval", "MapInPandas", "Scan ExistingRDD"):
+        assert word not in plan
+
+
+def test_imports_read_once_and_push_down(spark):
+    plan = _plan(spark, "import_day_sumfields")
+    assert plan.count("FileScan") == 1
+    assert "GreaterThanOrEqual(l_shipdate" in plan and "l_orderkey" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_parallel_periods_add_no_shuffle(spark):
+    facts = _plan(spark, "fact_day_view").count("Exchange hashpartitioning")
+    assert _plan(spark, "parallel_week").count("Exchange hashpartitioning") == facts

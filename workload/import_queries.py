@@ -28,7 +28,6 @@ from workload.inputs import (
 )
 
 D = dt.date
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
 def order_imports() -> list[Run]:
