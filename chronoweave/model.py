@@ -28,6 +28,7 @@ _TYPES = {
     "size": (T.DecimalType(10, 2), pa.decimal128(10, 2)),
     "string": (T.StringType(), pa.string()),
     "boolean": (T.BooleanType(), pa.bool_()),
+    "ints": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
     "date": (T.DateType(), pa.date32()),
     "timestamp": (T.TimestampType(), pa.timestamp("us", tz="UTC")),
 }

@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from chronoweave.functions.calendar import with_calendar
 from chronoweave.functions.text import field_list, sql_text
 from chronoweave.model import Run, as_fact_day, local_table, union_all
-from chronoweave.operators.matching import ANY, KEYS, Reading, Want, filterable, own_window
+from chronoweave.operators.matching import (
+    ANY,
+    KEYS,
+    Reading,
+    Want,
+    filterable,
+    numbered,
+    own_window,
+)
 from chronoweave.operators.split import CALENDAR_FROM, CALENDAR_UNTIL
 
 
@@ -77,14 +85,14 @@ def _alerts(facts, runs, period, value, benchmark, activity, when, calendar) ->
             F.sum(F.when(F.col("role") == "benchmark", F.col("b"))).alias("benchmark"),
         )
     )
-    windows = list(dict.fromkeys((r.date_from, r.date_until) for r in runs))
-    tests = list(dict.fromkeys(sql_text(r.p3) for r in runs))
+    windows = numbered((r.date_from, r.date_until) for r in runs)
+    tests = numbered(sql_text(r.p3) for r in runs)
     targets = local_table(
         spark,
         [
             {
-                "window_no": windows.index((r.date_from, r.date_until)),
-                "test_no": tests.index(sql_text(r.p3)),
+                "window_no": windows[r.date_from, r.date_until],
+                "test_no": tests[sql_text(r.p3)],
                 "import_id": r.import_id,
                 "activity_id": r.activity_id,
                 "forecast_id": r.forecast_id,
@@ -94,7 +102,7 @@ def _alerts(facts, runs, period, value, benchmark, activity, when, calendar) ->
         ],
         "window_no int, test_no int, import_id int, activity_id int, forecast_id int, site_id int",
     )
-    periods = complete_periods(spark, windows, period).join(targets, "window_no")
+    periods = complete_periods(spark, list(windows), period).join(targets, "window_no")
     found = periods.join(sums, ["import_id", "period"], "left").withColumn(
         "dif_pct",
         F.when(
@@ -103,7 +111,7 @@ def _alerts(facts, runs, period, value, benchmark, activity, when, calendar) ->
         ),
     )
     failed = F.lit(False)
-    for i, test in enumerate(tests):
+    for test, i in tests.items():
         if test:
             failed = failed | ((F.col("test_no") == i) & F.expr(test))
     alerts = found.where(failed | F.col("value").isNull())

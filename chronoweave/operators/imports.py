@@ -20,7 +20,7 @@ from chronoweave.model import (
     local_table,
     union_all,
 )
-from chronoweave.operators.matching import match_filters
+from chronoweave.operators.matching import match_filters, numbered
 
 # What an empty source reports as its first and last day.
 EMPTY_FIRST = dt.date(9999, 1, 1)
@@ -112,7 +112,7 @@ def _import(
 ) -> DataFrame:
     spark = source.sparkSession
     intraday = durations is not None
-    filters = list(dict.fromkeys(sql_text(r.filter) for r in runs))
+    filters = numbered(sql_text(r.filter) for r in runs)
     site = "site_id" in source.columns
     first, last = min(r.date_from for r in runs), max(r.date_until for r in runs)
 
@@ -124,7 +124,7 @@ def _import(
         matched = dated.withColumn("_import", F.col(shape.by_import_field).cast("int"))
         keys = ["_import"]
     else:
-        matched = match_filters(dated, filters, "_filter")
+        matched = match_filters(dated, list(filters), "_filter")
         keys = ["_filter"]
     if site:
         matched = matched.withColumn("_site", F.col("site_id").cast("int"))
@@ -150,7 +150,7 @@ def _import(
         spark,
         [
             {
-                "_filter": filters.index(sql_text(r.filter)),
+                "_filter": filters[sql_text(r.filter)],
                 "_import": r.import_id,
                 "_site": r.site_id,
                 "import_id": r.import_id,
@@ -186,20 +186,20 @@ def delta_range(source: DataFrame, runs: Sequence[Run]) -> DataFrame:
         by_date[sql_text(run.group_by) or "date"].append(run)
     parts = []
     for date, group in by_date.items():
-        filters = list(dict.fromkeys(sql_text(r.filter) for r in group))
+        filters = numbered(sql_text(r.filter) for r in group)
         keys = ["_filter", "_site"] if site else ["_filter"]
         dated = source.withColumn("_day", F.expr(date).cast("date"))
         if site:
             dated = dated.withColumn("_site", F.col("site_id").cast("int"))
         found = (
-            match_filters(dated, filters, "_filter")
+            match_filters(dated, list(filters), "_filter")
             .groupBy(*keys)
             .agg(F.min("_day").alias("_min"), F.max("_day").alias("_max"))
         )
         table = local_table(
             spark,
             [
-                {"_filter": filters.index(sql_text(r.filter)), "_site": r.site_id, "import_id": r.import_id}
+                {"_filter": filters[sql_text(r.filter)], "_site": r.site_id, "import_id": r.import_id}
                 for r in group
             ],
             "_filter int, _site int, import_id int",

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -44,40 +44,44 @@ class Want:
 
 def match_filters(rows: DataFrame, filters: Sequence[str], number: str = "filter_no") -> DataFrame:
     """Each row once per filter it meets, with the filter's position in `number`."""
-    numbered = list(enumerate(filters))
-    parts = []
+    tried = list(enumerate(filters))
+    lookups: dict[tuple[str, ...], list[tuple[int, dict]]] = {}
     if len(filters) > FILTERS_PER_PASS:
         kinds = dict(rows.dtypes)
-        lookups: dict[tuple[str, ...], list[tuple[int, dict]]] = {}
-        tried = []
-        for n, text in numbered:
-            constants = _constants(text, kinds)
-            if constants is None:
-                tried.append((n, text))
-            else:
-                lookups.setdefault(tuple(sorted(constants)), []).append((n, constants))
-        for columns, found in lookups.items():
-            if len(found) < LOOKUP_LEAST:
-                tried += [(n, filters[n]) for n, _ in found]
-            else:
-                parts.append(_look_up(rows, columns, found, number))
-        numbered = tried
-    for start in range(0, len(numbered), FILTERS_PER_PASS):
-        parts.append(_try(rows, numbered[start : start + FILTERS_PER_PASS], number))
-    return union_all(parts)
-
-
-def _try(rows: DataFrame, numbered: Sequence[tuple[int, str]], number: str) -> DataFrame:
-    tests = [F.expr(f) if f else F.lit(True) for _, f in numbered]
-    if len(numbered) == 1:
-        (n, text), kept = numbered[0], rows
-        return (kept.where(tests[0]) if text else kept).withColumn(number, F.lit(n))
-    open_filter = any(not f for _, f in numbered)
-    kept = rows if open_filter else rows.where(reduce(lambda a, b: a | b, tests))
-    hits = F.array_remove(
-        F.array(*[F.when(t, F.lit(n)).otherwise(ANY) for (n, _), t in zip(numbered, tests)]), ANY
+        constant = {n: c for n, text in tried if (c := _constants(text, kinds)) is not None}
+        for n, c in constant.items():
+            lookups.setdefault(tuple(sorted(c)), []).append((n, c))
+        lookups = {columns: found for columns, found in lookups.items() if len(found) >= LOOKUP_LEAST}
+        looked_up = {n for found in lookups.values() for n, _ in found}
+        tried = [(n, text) for n, text in tried if n not in looked_up]
+    chunks = [tried[i : i + FILTERS_PER_PASS] for i in range(0, len(tried), FILTERS_PER_PASS)]
+    if not lookups:
+        return union_all(_try(rows, chunk, number) for chunk in chunks)
+    # All lookups and the first chunk of other filters share one pass over the rows.
+    return union_all(
+        [_look_up(rows, lookups, chunks[0] if chunks else [], number)]
+        + [_try(rows, chunk, number) for chunk in chunks[1:]]
     )
-    return kept.withColumn(number, F.explode(hits))
+
+
+def numbered(values: Iterable) -> dict:
+    """Distinct values in order of appearance, each with its position."""
+    return {v: i for i, v in enumerate(dict.fromkeys(values))}
+
+
+def _try(rows: DataFrame, chunk: Sequence[tuple[int, str]], number: str) -> DataFrame:
+    if len(chunk) == 1:
+        (n, text), = chunk
+        return (rows.where(F.expr(text)) if text else rows).withColumn(number, F.lit(n))
+    if all(f for _, f in chunk):
+        rows = rows.where(reduce(lambda a, b: a | b, [F.expr(f) for _, f in chunk]))
+    return rows.withColumn(number, F.explode(_hits(chunk)))
+
+
+def _hits(chunk: Sequence[tuple[int, str]]) -> Column:
+    """The numbers of the filters that a row meets."""
+    tests = [(n, F.expr(f) if f else F.lit(True)) for n, f in chunk]
+    return F.array_remove(F.array(*[F.when(t, F.lit(n)).otherwise(ANY) for n, t in tests]), ANY)
 
 
 _COMPARED = re.compile(r"[\s(]*`?(\w+)`?\s*=\s*(?:'([^']*)'|(-?\d{1,18}))[\s)]*")
@@ -103,20 +107,30 @@ def _constants(text: str, kinds: dict[str, str]) -> dict[str, object] | None:
 
 
 def _look_up(
-    rows: DataFrame, columns: tuple[str, ...], found: list[tuple[int, dict]], number: str
+    rows: DataFrame,
+    lookups: dict[tuple[str, ...], list[tuple[int, dict]]],
+    tried: Sequence[tuple[int, str]],
+    number: str,
 ) -> DataFrame:
-    kinds = dict(rows.dtypes)
-    keys = {c: f"_key{i}" for i, c in enumerate(columns)}
-    table = local_table(
-        rows.sparkSession,
-        [{number: n, **{keys[c]: v for c, v in constants.items()}} for n, constants in found],
-        f"{number} int, "
-        + ", ".join(f"{keys[c]} {'string' if kinds[c] == 'string' else 'bigint'}" for c in columns),
-    )
-    keyed = rows.withColumns(
-        {k: F.col(c) if kinds[c] == "string" else F.col(c).cast("bigint") for c, k in keys.items()}
-    )
-    return keyed.join(table, list(keys.values())).drop(*keys.values())
+    """Constant filters by a join on their columns, one table per set of columns, together with
+    filters that have to be tried."""
+    kinds, columns_in = dict(rows.dtypes), rows.columns
+    hits = [_hits(tried)] if tried else []
+    for i, (columns, found) in enumerate(lookups.items()):
+        numbers: dict[tuple, list[int]] = {}
+        for n, constants in found:
+            numbers.setdefault(tuple(constants[c] for c in columns), []).append(n)
+        keys = {c: f"_key{i}_{j}" for j, c in enumerate(columns)}
+        types = {c: "string" if kinds[c] == "string" else "bigint" for c in columns}
+        table = local_table(
+            rows.sparkSession,
+            [{f"_hits{i}": n, **dict(zip(keys.values(), values))} for values, n in numbers.items()],
+            f"_hits{i} ints, " + ", ".join(f"{keys[c]} {types[c]}" for c in columns),
+        )
+        rows = rows.withColumns({k: F.col(c).cast(types[c]) for c, k in keys.items()})
+        rows = rows.join(table, list(keys.values()), "left")
+        hits.append(F.coalesce(f"_hits{i}", F.array().cast("array<int>")))
+    return rows.select(*columns_in, F.explode(F.concat(*hits)).alias(number))
 
 
 class Reading:
@@ -125,7 +139,8 @@ class Reading:
     def __init__(self, spark: SparkSession, wants: Sequence[Want]):
         self.spark = spark
         self.wants = list(wants)
-        self.filters = list(dict.fromkeys(sql_text(w.filter) for w in self.wants))
+        self._number = numbered(sql_text(w.filter) for w in self.wants)
+        self.filters = list(self._number)
         self._kinds = sorted({(w.activity != ANY, w.forecast != ANY) for w in self.wants})
 
     def rows(self, source: DataFrame) -> DataFrame:
@@ -176,7 +191,7 @@ class Reading:
         extra = extra or {}
         rows = [
             {
-                "filter_no": self.filters.index(sql_text(w.filter)),
+                "filter_no": self._number[sql_text(w.filter)],
                 "site_id": w.run.site_id,
                 "activity_key": w.activity,
                 "forecast_key": w.forecast,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from chronoweave.functions.calendar import day_week
 from chronoweave.functions.text import field_list, sql_text, to_int
 from chronoweave.model import Run, as_fact_day, local_table
-from chronoweave.operators.matching import ANY, KEYS, Reading, Want, match_filters
+from chronoweave.operators.matching import ANY, KEYS, Reading, Want, match_filters, numbered
 
 # Days of history read before the window, enough for the longest lag.
 HISTORY_DAYS = 30
@@ -93,16 +93,16 @@ def parameter_rows(
     staged: DataFrame, runs: Sequence[Run], layout: dict[str, str]
 ) -> DataFrame:
     """`import_id, cat` and the coefficients: staged rows of `p1` whose column A is the activity."""
-    filters = list(dict.fromkeys(sql_text(r.p1) for r in runs))
+    filters = numbered(sql_text(r.p1) for r in runs)
     table = local_table(
         staged.sparkSession,
         [
-            {"import_id": r.import_id, "_p": filters.index(sql_text(r.p1)), "_a": r.activity_id}
+            {"import_id": r.import_id, "_p": filters[sql_text(r.p1)], "_a": r.activity_id}
             for r in runs
         ],
         "import_id int, _p int, _a int",
     )
-    rows = match_filters(staged, filters, "_p").withColumn("_a", F.trim("A").try_cast("int"))
+    rows = match_filters(staged, list(filters), "_p").withColumn("_a", F.trim("A").try_cast("int"))
     return rows.join(table, ["_p", "_a"]).select(
         "import_id",
         F.right(F.trim("C"), F.lit(1)).try_cast("int").alias("cat"),
