@@ -177,18 +177,27 @@ def local_table(
     return spark.createDataFrame(pa.Table.from_pylist(list(rows), schema=arrow), schema)
 
 
-# Rows up to which a dimension or id table is sent to every task instead of being shuffled.
-BROADCAST_ROWS = 200_000
+# Size up to which a dimension or id table is sent to every task instead of being shuffled.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """`rows` marked for broadcast if a count finds at most `most` of them.
+def broadcast_if_small(rows: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """`rows` marked for broadcast if they are measured to take at most `most` bytes.
 
     Estimates for joined or filtered tables are often far too high, and then the facts would be
     shuffled to meet a few thousand rows. Larger tables stay unmarked: Spark shuffles both
     sides and splits skewed keys.
     """
-    return F.broadcast(rows) if rows.count() <= most else rows
+    return F.broadcast(rows) if measured_bytes(rows) <= most else rows
+
+
+def measured_bytes(rows: DataFrame) -> int:
+    """Size of a flat table: 8 bytes per value and the length of its texts."""
+    texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
+    found = rows.agg(
+        F.count(F.lit(1)), *[F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)) for c in texts]
+    ).first()
+    return found[0] * 8 * len(rows.columns) + sum(found[1:])
 
 
 def run_time(when: dt.datetime | None) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.calendar import day_of_year_in, with_calendar
 from chronoweave.functions.text import field_list, string_spaces, to_scale
-from chronoweave.model import BROADCAST_ROWS, Run, as_fact_day, union_all
+from chronoweave.model import BROADCAST_BYTES, Run, as_fact_day, union_all
 from chronoweave.operators.matching import KEYS, Reading, Want, target_series
 
 # Years that open-ended windows are cut to, as a date table would.
@@ -83,8 +83,9 @@ def _split(facts, runs, fields, targets, when, drop_feb29, calendar) -> DataFram
         F.col("_text").try_cast("double").alias("total"),
     )
     shares = months.join(totals, [*KEYS, "month_no"])
-    # A month of a filter meets at most one total of each import.
-    if sum(len(r.source.split()) for r in runs) <= BROADCAST_ROWS:
+    # A month of a filter meets at most one total of each import, so the totals bound the rows.
+    most_bytes = sum(len(r.source.split()) for r in runs) * len(shares.columns) * 8
+    if most_bytes <= BROADCAST_BYTES:
         shares = F.broadcast(shares)
     years = F.sequence(F.year("first_day"), F.year("last_day"))
     days = (

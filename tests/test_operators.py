@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronoweave.functions.text import flag_set
-from chronoweave.model import Run, local_table
+from chronoweave.model import Run, broadcast_if_small, local_table, measured_bytes
 from chronoweave.operators.alert import alert_series
 from chronoweave.operators.correlation import correlation_forecast
 from chronoweave.operators.forecast_weeks import assign_forecast_weeks
@@ -34,6 +34,18 @@ def test_match_filters_over_several_passes(spark):
     assert counts == {**{i: 5 - i % 5 for i in range(n)}, n: 5}
 
 
+def test_broadcast_only_after_measuring(spark):
+    rows = spark.range(1000).select("id", F.repeat(F.lit("x"), 92).alias("text"))
+    assert measured_bytes(rows) == 1000 * (16 + 92)
+    facts = spark.range(10).repartition(3)
+
+    def joined(most):
+        plan = facts.join(broadcast_if_small(rows, most), "id")
+        return plan._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "broadcast" in joined(200_000) and "broadcast" not in joined(50_000)
+
+
 def test_many_constant_filters_are_looked_up(spark):
     rows = spark.range(40).select(
         F.col("id"), F.concat(F.lit("k"), (F.col("id") % 7).cast("string")).alias("k"),
