@@ -32,6 +32,8 @@ from chronoweave.plans.config import (
 )
 from chronoweave.plans.runlog import DEBUG, FAILED, SUCCEEDED, WARNING, RunLog, Timer
 from chronoweave.plans.store import FactStore
+from chronoweave.sources.generators import interval_dimension
+from chronoweave.sources.views import fact_day_view, fact_intraday_view
 
 CATEGORY = "SERIES RUN"
 
@@ -188,6 +190,25 @@ class Runner:
         self.log.flush()
         return results
 
+    def create_views(self) -> None:
+        """Temporary views for reports in SQL: `fact_day`, `fact_day_view` and `import_run`, and
+        with an intraday store `fact_intraday` and `fact_intraday_view`."""
+        t = self.tables
+        views = {
+            "fact_day": self.day.read(),
+            "fact_day_view": fact_day_view(self.day.read(), t.activity, t.forecast),
+            "import_run": resolve_config(
+                t.imports, t.procedures, t.activity, t.forecast, self.when.date()
+            ),
+        }
+        if self.intraday is not None:
+            facts = self.intraday.read()
+            intervals = interval_dimension(self.spark)
+            views["fact_intraday"] = facts
+            views["fact_intraday_view"] = fact_intraday_view(facts, t.activity, t.forecast, intervals)
+        for name, rows in views.items():
+            rows.createOrReplaceTempView(name)
+
     def copy_imports(
         self, ids: str, forecast_to: int, first_id: int, commands: str = ""
     ) -> DataFrame:
@@ -434,7 +455,7 @@ class Runner:
     def _source(self, name: str) -> DataFrame:
         if not name:
             return self.day.read()
-        bare = name.strip("[]")
+        bare = name.replace("[", "").replace("]", "")
         return self.tables.sources[bare] if bare in self.tables.sources else self.spark.table(bare)
 
     def _summaries(self, operator, outcomes, commands, site_id, timer: Timer) -> None:

@@ -270,6 +270,18 @@ def test_source_marking_and_intraday(spark, tmp_path):
     assert marked == 3
 
 
+def test_reports_in_sql(spark, tmp_path):
+    runner = make_runner(spark, tmp_path, sales_config(spark))
+    runner.run("import")
+    runner.create_views()
+    rows = spark.sql(
+        "select activity_name, YYYYMM, sum(value1) as v from fact_day_view "
+        "where date_view >= first_day_current_year(getdate()) group by all order by 1, 2"
+    ).collect()
+    assert [tuple(r) for r in rows] == [("a1", "202401", 3.0), ("a1", "202402", 8.0), ("a2", "202401", 4.0)]
+    assert spark.table("import_run").count() == 2 and spark.table("fact_intraday_view").count() == 0
+
+
 def test_copy_with_series_is_repeatable(spark, tmp_path):
     runner = make_runner(spark, tmp_path, sales_config(spark))
     runner.run("import")
