@@ -392,8 +392,19 @@ class Runner:
         return source
 
     def _derive(self, operator: str, outcomes: list[Outcome]) -> None:
+        t = self.tables
+        if operator == "regression":
+            repeated = regression.lag_parameters(t.staged, [o.run for o in outcomes]).where("repeated")
+            bad = {r["import_id"] for r in repeated.select("import_id").collect()}
+            for o in outcomes:
+                if o.run.import_id in bad:
+                    error = ValueError(f"import {o.run.import_id}: repeated parameter category")
+                    self._fail(operator, o, "PARAMETERS TEST", error)
+            outcomes = [o for o in outcomes if not o.blocked]
+            if not outcomes:
+                return
         runs = [o.run for o in outcomes]
-        t, facts = self.tables, self._facts_for(operator, runs)
+        facts = self._facts_for(operator, runs)
         if operator == "ytd":
             new = ytd.year_to_date(facts, runs, t.activity, self.when)
         elif operator == "parallel":

@@ -270,6 +270,67 @@ def test_source_marking_and_intraday(spark, tmp_path):
     assert marked == 3
 
 
+def test_every_derived_series_through_the_runner(spark, day_facts, tmp_path):
+    def procedure(n, code, **more):
+        return {"procedure_id": n, "procedure_name": code, "procedure_code": code, "app": "SP", "status": "TEST", "sort_order": n, **more}
+
+    procedures = [
+        procedure(1, "ytd", p1="1", p2="w"),
+        procedure(2, "parallel", p1="1", p2="month", p5="1"),
+        procedure(3, "split", fields_target="value2"),
+        procedure(4, "correlation", p2="1", p3="2", p4="1", p5="2"),
+        procedure(5, "regression", p1="file_id = 417", filter="forecast_id=1", fields_source="value1,value8", fields_target="value1,value2"),
+        procedure(6, "regression_simple", p1="[file_id]=418", filter="forecast_id=1 and activity_id=1"),
+        procedure(7, "alert", p2="forecast_id=2", p3="dif_pct > 0.1", group_by="[year_week]"),
+    ]
+    window = {
+        "date_import_from": dt.datetime(2023, 6, 1, tzinfo=dt.timezone.utc),
+        "date_import_until": dt.datetime(2024, 2, 29, tzinfo=dt.timezone.utc),
+    }
+    imports = [
+        {"import_id": 10 + n, "procedure_id": n, "activity_id": 1, "forecast_id": 10 + n, **window, **more}
+        for n, more in (
+            (1, {"filter": "domain = 'x'"}), (2, {"filter": "A.activity_name like 'a%'"}),
+            (3, {"source": "100 200,5 300 400 500 600 700", "filter": "activity_id=1 and forecast_id=1 and year=2023"}),
+            (4, {"p1": "2"}), (5, {}), (6, {}), (7, {"filter": "forecast_id=1"}),
+        )
+    ] + [
+        {"import_id": 30, "procedure_id": 4, "activity_id": 2, "forecast_id": 20, **window},
+        {"import_id": 31, "procedure_id": 5, "activity_id": 3, "forecast_id": 15, **window},
+        {"import_id": 32, "procedure_id": 3, "activity_id": 1, "forecast_id": 21, **window},
+    ]
+    tables = config(spark, imports, procedures, forecasts=range(1, 22))
+    tables.activity = tables.activity.withColumn("parent", F.when(F.col("activity_id") == 1, F.lit("1")))
+    start = D(2023, 1, 2)
+    facts = [
+        (str(start + dt.timedelta(days=i)), a, f, float(5 + (i * a) % 7 + f))
+        for i in range(400) for a in (1, 2) for f in (1, 2)
+    ]
+    letters = "ABCDEFGHIJKLMNOP"
+    lag_rows = [[1, "n", f"cat{k}", 0.1, 0.5, *[0.1] * 6, 1.0] for k in range(5)]
+    lag_rows += [[3, "n", "cat0", *[0.1] * 8, 1.0]] * 2
+    simple_rows = [[1, "n", "c0", 0.1, 0, *[0.1] * 11]]
+    staged = [dict(zip(letters, map(str, r))) | {"file_id": 417} for r in lag_rows]
+    staged += [dict(zip(letters, map(str, r))) | {"file_id": 418} for r in simple_rows]
+    tables.staged = local_table(spark, staged, "file_id int, " + ", ".join(f"{c} string" for c in letters))
+    runner = make_runner(spark, tmp_path, tables)
+    runner.day.append(day_facts(facts))
+    first = runner.run_all()
+    assert {n: r["Errors"] for n, r in first.items()} == {
+        "ytd": 0, "parallel": 0, "split": 1, "correlation": 1, "regression": 1, "regression_simple": 0, "alert": 0,
+    }
+    assert all(r["Inserted"] > 0 and r["Deleted"] == 0 for r in first.values())
+    before = facts_of(runner.day)
+    again = runner.run_all()
+    assert {n: (r["Deleted"], r["Inserted"]) for n, r in again.items()} == {
+        n: (r["Inserted"], r["Inserted"]) for n, r in first.items()
+    }
+    assert facts_of(runner.day) == before
+    messages = [json.loads(r["data"])["Message"] for r in runner.log.rows if r["step"] == "PARAMETERS TEST"]
+    for word in ("driver", "totals", "repeated"):
+        assert any(word in m for m in messages)
+
+
 def test_reports_in_sql(spark, tmp_path):
     runner = make_runner(spark, tmp_path, sales_config(spark))
     runner.run("import")
