@@ -54,8 +54,8 @@ class FactStore:
         return self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths)
 
     def read(self) -> DataFrame:
-        """All facts. Filters on site, forecast and date prune partitions and row groups when
-        `where_days` is used for the dates."""
+        """All facts. Filters on site and forecast prune partitions; `where_days` also prunes
+        months."""
         return self._partitions().select(*self.schema.names)
 
     def where_days(self, first: dt.date, last: dt.date) -> DataFrame:
@@ -88,16 +88,21 @@ class FactStore:
     ) -> tuple[dict[int, int], dict[int, int]]:
         """Removes the scopes' rows, adds `new`, and returns rows deleted and inserted per import.
 
-        `inserted` tells new rows from kept ones, such as the time stamp of this run.
+        `inserted` tells new rows from kept ones, such as the time stamp of this run. New rows
+        have to lie in the months of the scopes.
         """
-        touched = self._touched(scopes)
-        old = self._partitions(touched).select(*self.schema.names)
+        touched = set(self._touched(scopes))
+        old = self._partitions(sorted(touched)).select(*self.schema.names)
         deleted = _counts(replaced_counts(old, scopes, activity), "rows_deleted")
         staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
         result = without_scopes(old, scopes, activity).unionByName(new.select(*self.schema.names))
         self._write(result, staging, "overwrite")
 
         staged = self._list(staging)
+        outside = [d for d in staged if d not in touched and self._fs.exists(self._at(f"{self.path}/{d}"))]
+        if outside:
+            self._fs.delete(self._at(staging), True)
+            raise ValueError(f"new rows outside the months to replace: {outside[:5]}")
         added: dict[int, int] = {}
         if staged:
             written = self.spark.read.schema(
@@ -106,7 +111,7 @@ class FactStore:
             added = _counts(
                 written.where(inserted).groupBy("import_id").agg(F.count(F.lit(1)).alias("n")), "n"
             )
-        emptied = [d for d in touched if d not in set(staged)]
+        emptied = sorted(touched.difference(staged))
         self._note(staging, [f"drop {d}" for d in emptied] + [f"move {d}" for d in staged])
         self._swap(staging)
         return deleted, added
@@ -146,7 +151,8 @@ class FactStore:
         out = self._fs.create(draft, True)
         out.write(bytearray("\n".join(lines).encode()))
         out.close()
-        self._fs.rename(draft, self._at(f"{staging}/{_MOVES}"))
+        if not self._fs.rename(draft, self._at(f"{staging}/{_MOVES}")):
+            raise OSError(f"could not decide the moves of {staging}")
 
     def _swap(self, staging: str) -> None:
         # One line per touched month partition.
@@ -158,7 +164,8 @@ class FactStore:
             elif self._fs.exists(fresh):
                 self._fs.delete(target, True)
                 self._fs.mkdirs(target.getParent())
-                self._fs.rename(fresh, target)
+                if not self._fs.rename(fresh, target):
+                    raise OSError(f"could not move {fresh} to {target}; recover() tries again")
         self._fs.delete(self._at(staging), True)
 
 

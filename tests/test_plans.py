@@ -132,6 +132,15 @@ def test_store_replaces_only_its_range(spark, day_facts, tmp_path):
     assert not list((tmp_path / "day").glob("site_id=1/forecast_id=1/year_month=202401"))
 
 
+def test_store_refuses_rows_outside_its_scopes(spark, day_facts, tmp_path):
+    store = FactStore(spark, str(tmp_path / "day"))
+    store.append(day_facts([("2024-01-31", 1, 1, 1.0), ("2024-03-01", 1, 1, 2.0)]))
+    new = day_facts([("2024-02-01", 1, 1, 7.0), ("2024-03-02", 1, 1, 8.0)])
+    with pytest.raises(ValueError, match="outside"):
+        store.replace(new, [Scope(1, 1, 1, D(2024, 2, 1), D(2024, 2, 28), 1)], F.lit(True))
+    assert [f[3] for f in facts_of(store)] == [1.0, 2.0]
+
+
 def test_store_recovers_an_interrupted_move(spark, day_facts, tmp_path, monkeypatch):
     store = FactStore(spark, str(tmp_path / "day"))
     store.append(day_facts([("2024-01-31", 1, 1, 1.0), ("2024-02-01", 1, 1, 2.0)]))
