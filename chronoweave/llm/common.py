@@ -156,14 +156,11 @@ def pair_blocks(rows: DataFrame, keys: list[str], spread: str, block: int, load:
     two parts, whose pairs are those across; it is null in a group of one part, whose pairs are
     all. Groups are dealt to tasks of about `load` rows. Every pair of rows of a key meets once.
     """
-    counts = rows.groupBy(*keys).count()
-    hot = checkpoint(counts.where(F.col("count") > block))
-    size = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    n_hot, n_rows = hot.count(), 0
-    plain = rows.withColumns({"parts": F.lit(1).cast("long")})
+    counts = rows.groupBy(*keys).count().withColumn("parts", F.ceil(F.col("count") / block))
+    n_rows, n_hot = counts.agg(F.sum(F.col("count") * F.col("parts")), F.count_if(F.col("parts") > 1)).first()
+    plain = rows.withColumn("parts", F.lit(1).cast("long"))
     if n_hot:
-        n_rows = hot.agg(F.sum(F.col("count") * F.ceil(F.col("count") / block))).first()[0]
-        split = hot.select(*[F.col(k).alias(f"hot_{k}") for k in keys], F.ceil(F.col("count") / block).alias("parts"))
+        split = counts.where("parts > 1").select(*[F.col(k).alias(f"hot_{k}") for k in keys], "parts")
         split = F.broadcast(split) if n_hot <= MOST_BROADCAST_KEYS else split
         same = [F.col(k) == F.col(f"hot_{k}") for k in keys]
         plain = rows.join(split, same, "left").drop(*[f"hot_{k}" for k in keys]).withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -171,7 +168,7 @@ def pair_blocks(rows: DataFrame, keys: list[str], spread: str, block: int, load:
     each = plain.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     part = F.least("own", "other") * F.col("parts") + F.greatest("own", "other")
     side = F.when(F.col("own") != F.col("other"), (F.col("own") > F.col("other")).cast("int"))
-    n_tasks = max(1, (size + n_rows) // load)
+    n_tasks = max(1, (n_rows or 0) // load)
     each = each.withColumns({"part": part, "side": side}).drop("own", "other", "parts")
     return each.withColumn("task", F.pmod(F.xxhash64(*keys, "part"), F.lit(n_tasks)).cast("int"))
 

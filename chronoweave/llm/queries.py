@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import bpe, decontamination, pii
+from chronoweave.llm import bpe, decontamination, pii, simhash
 from chronoweave.llm.common import added
 
 
@@ -52,9 +52,14 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *fields(found, "n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_personal_data, op5_byte_bpe)
+    for f in (op1_decontamination, op2_personal_data, op5_byte_bpe, op9_simhash)
 }
 
 ORACLE: dict[str, str] = {}
