@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import bpe, decontamination, pii, simhash
+from chronoweave.llm import bpe, decontamination, language_id, pii, simhash
 from chronoweave.llm.common import added
 
 
@@ -41,6 +41,18 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *fields(found, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.remainder(docs.doc_id, 5) == 0
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs, ~held_out), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        (language_id.remainder(found.doc_id, 5) == 0).alias("held_out"),
+        added(found, "lang").alias("lang_pred"),
+        *fields(found, "score", "rejected"),
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.encode_documents(
         documents(spark, sf_dir),
@@ -59,7 +71,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_personal_data, op5_byte_bpe, op9_simhash)
+    for f in (op1_decontamination, op2_personal_data, op4_language, op5_byte_bpe, op9_simhash)
 }
 
 ORACLE: dict[str, str] = {}
