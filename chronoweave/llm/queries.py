@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import bpe, decontamination, language_id, pii, simhash
+from chronoweave.llm import bpe, decontamination, language_id, pii, simhash, substring_dedup
 from chronoweave.llm.common import added
 
 
@@ -64,6 +64,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *fields(found, "n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(documents(spark, sf_dir), with_text=False)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
@@ -71,7 +76,19 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_personal_data, op4_language, op5_byte_bpe, op9_simhash)
+    for f in (op1_decontamination, op2_personal_data, op4_language, op5_byte_bpe, op8_substring_dedup, op9_simhash)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS ws FROM documents),
+        g AS (SELECT doc_id, unnest(generate_series(1, len(ws) - 19)) AS s, ws FROM d WHERE len(ws) >= 20),
+        x AS (SELECT doc_id, s, list_slice(ws, s, s + 19) AS w FROM g),
+        r AS (SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) AS n FROM x),
+        c AS (SELECT DISTINCT doc_id, s + unnest(generate_series(0, 19)) AS i FROM r WHERE n > 1),
+        l AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id)
+        SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+               sha256(array_to_string(list_filter(ws, lambda w, i: NOT coalesce(list_contains(gone, i), false)), ' ')) AS kept_sha256
+        FROM d LEFT JOIN l USING (doc_id)
+    """,
+}
