@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import bpe, decontamination, language_id, pii, simhash, substring_dedup
-from chronoweave.llm.common import added
+from chronoweave.llm import bpe, decontamination, language_id, pii, simhash, substring_dedup, vector_dedup, warc
+from chronoweave.llm.common import added, shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +43,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *fields(found, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"))
 
 
+def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = language_id.remainder(docs.doc_id, 5) == 0
@@ -74,9 +80,26 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    found = warc.pages_again(warc.read_records(spark, folder, with_payload=False))
+
+    def page(column: str):
+        return F.regexp_extract(column, "^<urn:page:(-?[0-9]*):", 1).try_cast("long")
+
+    return found.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        page("refers_to").alias("refers_to"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_personal_data, op4_language, op5_byte_bpe, op8_substring_dedup, op9_simhash)
+    for f in (op1_decontamination, op2_personal_data, op3_vector_dedup, op4_language, op5_byte_bpe, op8_substring_dedup, op9_simhash, op10_warc)
 }
 
 ORACLE: dict[str, str] = {
@@ -91,4 +114,28 @@ ORACLE: dict[str, str] = {
                sha256(array_to_string(list_filter(ws, lambda w, i: NOT coalesce(list_contains(gone, i), false)), ' ')) AS kept_sha256
         FROM d LEFT JOIN l USING (doc_id)
     """,
+    "op3_vector_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        l AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+        c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
+        n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+        SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN c ON c.x = vec_id LEFT JOIN n ON n.x = vec_id
+    """,
+    "op10_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body, sha1(encode(coalesce(html, ''))) AS h FROM pages),
+        f AS (SELECT body, min(page_id) AS one FROM p GROUP BY body)
+        SELECT page_id, octet_length(body)::BIGINT AS payload_bytes,
+               array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((('0x' || substr(h, (i // 4 * 5 + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31) + 1, 1)), '') AS payload_digest,
+               CASE WHEN page_id = one THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> one THEN one END AS refers_to
+        FROM p JOIN f USING (body)
+    """,
 }
