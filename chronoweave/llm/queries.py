@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.llm import bpe, decontamination, language_id, pii, simhash, substring_dedup, vector_dedup, warc
+from chronoweave.llm import (
+    bpe,
+    decontamination,
+    html_text,
+    language_id,
+    pii,
+    simhash,
+    substring_dedup,
+    toxicity,
+    vector_dedup,
+    warc,
+)
 from chronoweave.llm.common import added, shared_folder
 
 
@@ -70,6 +81,23 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *fields(found, "n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), language_id.remainder(docs.doc_id, 3) != 1)
+    found = toxicity.score(docs, model, ["doc_id"])
+    return found.select(
+        "doc_id",
+        (language_id.remainder(found.doc_id, 3) == 1).alias("held_out"),
+        F.col("found.score").alias("score"),
+        (F.col("found.score") >= toxicity.TOXIC).cast("int").alias("predicted"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(documents(spark, sf_dir), with_text=False)
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
@@ -99,7 +127,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_personal_data, op3_vector_dedup, op4_language, op5_byte_bpe, op8_substring_dedup, op9_simhash, op10_warc)
+    for f in (op1_decontamination, op2_personal_data, op3_vector_dedup, op4_language, op5_byte_bpe, op6_html_text, op7_toxicity, op8_substring_dedup, op9_simhash, op10_warc)
 }
 
 ORACLE: dict[str, str] = {
