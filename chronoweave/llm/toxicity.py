@@ -35,7 +35,7 @@ TOXIC = 0.7
 #: What the channel charges: for a sign instead of its letter, for leaving a sign out, for a letter
 #: said again in a run of three or more or of two, for reading a separator between single letters
 #: as none or as the end of a word.
-SIGN, DROPPED, AGAIN, TWICE, JOINED, PARTED = 0.7, 8.0, 0.5, 3.0, 0.1, 3.0
+SIGN, DROPPED, AGAIN, TWICE, JOINED, PARTED = 0.7, 8.0, 0.5, 6.0, 0.1, 3.0
 #: Disguised stretches whose reading a task remembers.
 MOST_READINGS = 100_000
 
