@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 #: A list of hot keys of at most so many rows is broadcast; a longer one is joined by shuffle.
 MOST_BROADCAST_KEYS = 50_000
 
+#: Bytes of a batch that an operator works on at a time; a larger row is worked on alone.
+PART_BYTES = 6 << 20
+
 
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -38,9 +41,12 @@ def annotate(docs: DataFrame, fields: str, make: Callable, inputs: list[str], ke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            found = pa.StructArray.from_arrays(work(*[batch.column(i) for i in places]), names=names)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n_keep], found], names=[*read[:n_keep], name])
+        for whole in batches:
+            n_rows = max(1, whole.num_rows * PART_BYTES // max(1, whole.nbytes))
+            for at in range(0, whole.num_rows, n_rows):
+                batch = whole.slice(at, n_rows)
+                found = pa.StructArray.from_arrays(work(*[batch.column(i) for i in places]), names=names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n_keep], found], names=[*read[:n_keep], name])
 
     return docs.select(*[docs[quoted(c)] for c in read]).mapInArrow(run, schema)
 

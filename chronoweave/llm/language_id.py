@@ -234,8 +234,8 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None,
         def work(texts: pa.Array) -> list[pa.Array]:
             data, offsets = utf8(texts)
             n = len(texts)
-            plain = np.concatenate([[0], np.cumsum((_FOLD[data] >= 97) & (data < 128))])
-            lettered = plain[offsets[1:]] > plain[offsets[:-1]]
+            plain = np.flatnonzero((_FOLD[data] >= 97) & (data < 128))
+            lettered = np.diff(np.searchsorted(plain, offsets)) > 0
             for i in np.flatnonzero(~lettered & (offsets[1:] > offsets[:-1])):
                 lettered[i] = _LETTER.search(texts[int(i)].as_py()) is not None
             best, score = own.predict(data, offsets) if own else (np.zeros(n, np.int64), np.zeros(n))
