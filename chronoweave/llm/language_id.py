@@ -27,9 +27,9 @@ BUCKETS, LENGTHS, SIZE = 8192, (2, 3, 4), 16
 ROWS_PER_LANGUAGE, MOST_LANGUAGES = 800, 64
 #: Training: passes, rows in a step, step size, seed.
 PASSES, STEP_ROWS, RATE, SEED = 12, 32, 6.0, 11
-#: A text is rejected below even odds. Where that leaves over WRONG of wrong languages, below the
+#: A text is rejected near chance, below NEAR. Where that leaves over WRONG of wrong languages, below the
 #: confidence that does not; but at most LOST of the rightly predicted texts are rejected.
-EVEN, WRONG, LOST = 0.5, 0.01, 0.001
+NEAR, WRONG, LOST = 0.35, 0.01, 0.001
 #: What a text is called that has no letter.
 UNKNOWN = "und"
 
@@ -157,7 +157,7 @@ def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray]], labels: n
     order = np.argsort(-confidence)
     wrong = np.cumsum(~right[order]) / np.arange(1, len(order) + 1)
     good = np.flatnonzero(wrong <= WRONG)
-    wanted = 1.0 if not len(good) else EVEN if good[-1] == len(order) - 1 else confidence[order[good[-1]]]
+    wanted = 1.0 if not len(good) else NEAR if good[-1] == len(order) - 1 else confidence[order[good[-1]]]
     spared = np.quantile(confidence[right], LOST) if right.any() else 0.0
     model.threshold = float(min(wanted, spared))
 
