@@ -36,7 +36,9 @@ def annotate(docs: DataFrame, fields: str, make: Callable, inputs: list[str], ke
         name += "_"
     read = list(dict.fromkeys([*keep, *inputs]))
     struct = T.StructType.fromDDL(fields)
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, struct)])
+    # Under plain names inside: a column's own name may hold dots.
+    plain = [f"c{i}" for i in range(len(read))]
+    schema = T.StructType([T.StructField(p, docs.schema[c].dataType) for p, c in zip(plain, keep)] + [T.StructField("found", struct)])
     places, names, n_keep = [read.index(c) for c in inputs], struct.names, len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,9 +48,10 @@ def annotate(docs: DataFrame, fields: str, make: Callable, inputs: list[str], ke
             for at in range(0, whole.num_rows, n_rows):
                 batch = whole.slice(at, n_rows)
                 found = pa.StructArray.from_arrays(work(*[batch.column(i) for i in places]), names=names)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:n_keep], found], names=[*read[:n_keep], name])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n_keep], found], names=[*plain[:n_keep], "found"])
 
-    return docs.select(*[docs[quoted(c)] for c in read]).mapInArrow(run, schema)
+    own = docs.select(*[docs[quoted(c)].alias(p) for c, p in zip(read, plain)])
+    return own.mapInArrow(run, schema).toDF(*keep, name)
 
 
 def added(df: DataFrame, field: str):

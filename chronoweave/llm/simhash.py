@@ -189,11 +189,11 @@ def distinct_documents(docs: DataFrame, id: str = "doc_id", text: str = "text",
     kept = found.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("bits").alias("b"))
     sole, more = kept.where("n = 1 and doc_id is not null"), kept.where("n > 1 or doc_id is null")
     ids = sole.select(F.col("doc_id").alias("kept_id"))
-    rows = docs.join(ids, docs[quoted(id)] == F.col("kept_id"), "left_semi")
+    rows = docs.join(ids, docs[quoted(id)] == ids.kept_id, "left_semi")
     repeated = checkpoint(more.select("doc_id"))
     if repeated.isEmpty():
         return rows
-    some = docs.join(repeated.select(F.col("doc_id").alias("kept_id")), docs[quoted(id)].eqNullSafe(F.col("kept_id")), "left_semi")
+    some = docs.join(repeated, docs[quoted(id)].eqNullSafe(repeated.doc_id), "left_semi")
     return rows.union(first_of_each(some, id, text, **options))
 
 

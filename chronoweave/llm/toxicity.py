@@ -197,9 +197,10 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, id: str, text: str
     draw = F.xxhash64(F.col("of").cast("string"), F.lit("toxicity"))
     half = [own.where(F.col("toxic") == t).orderBy(draw, "of").limit(rows // 2) for t in (0, 1)]
     chosen = checkpoint(half[0].union(half[1]))
-    named = docs.where(learn).join(F.broadcast(chosen), docs[quoted(id)] == F.col("of"))
     content = F.coalesce(docs[quoted(text)].cast("string"), F.lit(""))
-    texts = named.groupBy(content.alias("text")).agg(F.max("toxic").alias("toxic"))
+    named = docs.where(learn).select(docs[quoted(id)].alias("id"), content.alias("text"))
+    named = named.join(F.broadcast(chosen), F.col("id") == F.col("of"))
+    texts = named.groupBy("text").agg(F.max("toxic").alias("toxic"))
     return checkpoint(texts.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(3))))
 
 
