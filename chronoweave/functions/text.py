@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ COMMANDS = (
     "DELETE_HEAD", "LOG_ROWCOUNT", "LOG_QUERY", "LOG_WARNING", "LOG_IMPORTS", "DATADAY",
 )
 
+# Flags whose singular and plural forms count alike.
+EITHER_NUMBER = ("LOG_IMPORTS", "LOG_QUERY")
+
 
 def string_spaces(s: Column) -> Column:
     """Tabs and line ends become spaces and runs of them one space; the ends are not trimmed."""
@@ -33,7 +37,7 @@ def error_json(error: BaseException, where: str = "-") -> dict[str, str]:
         "State": state,
         "Procedure": where,
         "Line": condition,
-        "Message": str(error)[:1500],
+        "Message": str(error),
     }
 
 
@@ -45,34 +49,40 @@ def command_words(commands: Column) -> Column:
 def command_flags(commands: Column) -> dict[str, Column]:
     """Flag name -> whether the command text holds it."""
     words = command_words(commands)
-    return {c: F.array_contains(words, "-" + c) for c in COMMANDS}
+
+    def held(flag: str) -> Column:
+        form = flag[:-1] if flag in EITHER_NUMBER else flag + "$"
+        return F.exists(words, lambda w: w.rlike(f"^-+{form}"))
+
+    return {c: held(c) for c in COMMANDS}
 
 
 def flag_set(commands: str) -> frozenset[str]:
     words = {w.lstrip("-") for w in commands.upper().split() if w.startswith("-")}
-    for flag in ("LOG_IMPORTS", "LOG_QUERY"):
-        # Singular and plural forms count alike.
+    for flag in EITHER_NUMBER:
         if any(w.startswith(flag[:-1]) for w in words):
             words.add(flag)
     return frozenset(words)
 
 
 _QUOTED_OR_NAME = re.compile(
-    r"'(?:[^']|'')*'"            # text literals stay as they are
-    r"|\[(?P<name>[^\]]+)\]"     # [name] -> `name`
-    r"|\b(?:S|F|D|T|A|DATA)\.",  # table letters of the documented filters
+    r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`"          # quoted text stays as it is
+    r"|(?<![\w)\]'\"`])\[(?P<name>[A-Za-z_][^\]'\"`]*)\]"  # [name] -> `name`, no element of an array or map
+    r"|(?<![\w.])(?P<table>S|F|D|T|A|DATA)\.",              # table letters of the documented filters
     re.IGNORECASE,
 )
 
 
-def sql_text(text: str) -> str:
+def sql_text(text: str, columns: Collection[str] = ()) -> str:
     """Configured SQL text as a Spark expression: [name] quoting and the table letters that
-    documented filters use."""
+    documented filters use. A letter that is one of `columns` is a struct's name and stays."""
+    own = {c.upper() for c in columns}
 
     def one(m: re.Match) -> str:
         if m.group("name"):
             return f"`{m.group('name')}`"
-        return m.group(0) if m.group(0).startswith("'") else ""
+        letter = m.group("table")
+        return "" if letter and letter.upper() not in own else m.group(0)
 
     return _QUOTED_OR_NAME.sub(one, text or "").strip()
 

@@ -162,6 +162,17 @@ class Run:
     def with_window(self, date_from: dt.date, date_until: dt.date) -> Run:
         return replace(self, date_from=date_from, date_until=date_until)
 
+    def closed(self, calendar: tuple[dt.date, dt.date] | None = None) -> Run:
+        """The run with open bounds taken from a calendar; bounds that are given never change."""
+        first, last = calendar or (OPEN_FROM, OPEN_UNTIL)
+        run = self.with_window(
+            first if self.date_from == OPEN_FROM else self.date_from,
+            last if self.date_until == OPEN_UNTIL else self.date_until,
+        )
+        if OPEN_FROM == run.date_from or OPEN_UNTIL == run.date_until:
+            raise ValueError(f"import {self.import_id}: the window is open and there is no calendar to close it")
+        return run
+
 
 def local_table(
     spark: SparkSession, rows: Sequence[dict], columns: str | T.StructType

@@ -21,7 +21,6 @@ from chronoweave.operators.matching import (
     numbered,
     own_window,
 )
-from chronoweave.operators.split import CALENDAR_FROM, CALENDAR_UNTIL
 
 
 def wants(runs: Sequence[Run]) -> list[Want]:
@@ -43,29 +42,28 @@ def alert_series(
     runs: Sequence[Run],
     activity: DataFrame | None = None,
     when: dt.datetime | None = None,
-    calendar: tuple[dt.date, dt.date] = (CALENDAR_FROM, CALENDAR_UNTIL),
+    calendar: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """One row per period that fails: value, benchmark and relative difference in value1..3.
 
     Periods are the values of `group_by` (default `date`) in the window; weeks and months count
     only when complete. `p3` is the test over `value`, `benchmark` and `dif_pct`; a period
-    without a value always alerts, and a blank test alerts on nothing else. Open windows are cut
-    to `calendar`.
+    without a value always alerts, and a blank test alerts on nothing else. Open ends of a
+    window are those of `calendar`, without which they are an error.
     """
+    runs = [r.closed(calendar) for r in runs]
     shapes: dict[tuple, list[Run]] = defaultdict(list)
     for r in runs:
         value = (field_list(r.fields_source) or ["value1"])[0]
         benchmark = (field_list(r.fields_target) or [value])[0]
         shapes[sql_text(r.group_by) or "date", value, benchmark].append(r)
     return union_all(
-        _alerts(facts, group, *shape, activity, when, calendar) for shape, group in shapes.items()
+        _alerts(facts, group, *shape, activity, when) for shape, group in shapes.items()
     )
 
 
-def _alerts(facts, runs, period, value, benchmark, activity, when, calendar) -> DataFrame:
+def _alerts(facts, runs, period, value, benchmark, activity, when) -> DataFrame:
     spark = facts.sparkSession
-    lo, hi = calendar
-    runs = [r.with_window(max(r.date_from, lo), min(r.date_until, hi)) for r in runs]
     runs = [r for r in runs if r.date_from <= r.date_until]
     if not runs:
         return as_fact_day(facts.where("false"), when)

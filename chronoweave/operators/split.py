@@ -15,40 +15,38 @@ from chronoweave.functions.text import field_list, string_spaces, to_scale
 from chronoweave.model import BROADCAST_BYTES, Run, as_fact_day, union_all
 from chronoweave.operators.matching import KEYS, Reading, Want, target_series
 
-# Years that open-ended windows are cut to, as a date table would.
-CALENDAR_FROM = dt.date(1990, 1, 1)
-CALENDAR_UNTIL = dt.date(2050, 12, 31)
-
 
 def split_totals(
     facts: DataFrame,
     runs: Sequence[Run],
     when: dt.datetime | None = None,
     drop_feb29: bool = False,
-    calendar: tuple[dt.date, dt.date] = (CALENDAR_FROM, CALENDAR_UNTIL),
+    calendar: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Day values `share of the month * total of the month * p5`.
 
     The profile is the facts that meet `filter`, which may use calendar attributes such as
     `year=2022`. The n-th total in `source` (space separated) belongs to the profile's n-th
     month. Profile days move to the days with the same number in the years of the window.
-    `drop_feb29` leaves 29 February out of the profile.
+    `drop_feb29` leaves 29 February out of the profile. Open ends of a window are those of
+    `calendar`, without which they are an error; a given window is used as it is.
     """
     for r in runs:
         if not r.filter.strip() or not r.source.strip():
             raise ValueError(f"import {r.import_id}: a split needs a filter and totals in source")
+    runs = [r.closed(calendar) for r in runs]
     shapes: dict[tuple, list[Run]] = defaultdict(list)
     for r in runs:
         fields = field_list(r.fields_source) or ["value1"]
         targets = field_list(r.fields_target) or ["value1"]
         shapes[tuple(fields), tuple(targets)].append(r)
     return union_all(
-        _split(facts, group, fields, targets, when, drop_feb29, calendar)
+        _split(facts, group, fields, targets, when, drop_feb29)
         for (fields, targets), group in shapes.items()
     )
 
 
-def _split(facts, runs, fields, targets, when, drop_feb29, calendar) -> DataFrame:
+def _split(facts, runs, fields, targets, when, drop_feb29) -> DataFrame:
     reading = Reading(facts.sparkSession, [Want(r, filter=r.filter) for r in runs])
     profile = reading.rows(with_calendar(facts))
     if drop_feb29:
@@ -60,13 +58,12 @@ def _split(facts, runs, fields, targets, when, drop_feb29, calendar) -> DataFram
     months = profile.groupBy(*KEYS, "year_month").agg(F.sum("value1").alias("month_sum"))
     in_order = W.partitionBy(*KEYS).orderBy("year_month")
     months = months.withColumn("month_no", F.dense_rank().over(in_order))
-    lo, hi = calendar
     totals = reading.runs(
         {
             "totals": ("string", lambda w: w.run.source.replace(",", ".")),
             "scale": ("double", lambda w: to_scale(w.run.p5)),
-            "first_day": ("date", lambda w: max(w.run.date_from, lo)),
-            "last_day": ("date", lambda w: min(w.run.date_until, hi)),
+            "first_day": ("date", lambda w: w.run.date_from),
+            "last_day": ("date", lambda w: w.run.date_until),
         }
     ).select(
         "*", F.posexplode(F.split(string_spaces(F.col("totals")), " ")).alias("_pos", "_text")

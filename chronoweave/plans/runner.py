@@ -106,12 +106,16 @@ class Runner:
         codes: dict[str, str] | None = None,
         default_current_year: bool = False,
         on_source_update: Callable[[str, DataFrame], None] | None = None,
+        calendar: tuple[dt.date, dt.date] | None = None,
     ):
         self.spark, self.tables, self.day, self.intraday = spark, tables, day, intraday
         self.when = when or dt.datetime.now(dt.timezone.utc)
         self.codes = codes or {}
         self.default_current_year = default_current_year
         self.on_source_update = on_source_update
+        # First and last day that open windows of splits and alerts reach to.
+        self.calendar = calendar
+        self.has_views = False
         register_functions(spark, self.when)
         self.log = RunLog(spark, uuid.uuid4().hex, log_path)
         self.plans: dict[tuple[str, ...], DataFrame] = {}
@@ -153,12 +157,17 @@ class Runner:
         if self.default_current_year:
             for o in outcomes:
                 o.run = current_year_window(o.run, self.when.date())
+        if operator in ("split", "alert") and self.calendar:
+            for o in outcomes:
+                o.run = o.run.closed(self.calendar)
         self._check_schedules(operator, outcomes)
         self._check_parameters(operator, outcomes)
         for batch in _batches(outcomes, operator):
             self._run_batch(operator, batch, extras)
         self._summaries(operator, outcomes, commands, site_id, timer)
         self.log.flush()
+        if self.has_views:
+            self.create_views()  # those before list files that are gone
         return outcomes
 
     def run_all(self, app: str = "SP", status: str = "TEST", commands: str = "") -> dict[str, dict]:
@@ -193,6 +202,7 @@ class Runner:
     def create_views(self) -> None:
         """Temporary views for reports in SQL: `fact_day`, `fact_day_view` and `import_run`, and
         with an intraday store `fact_intraday` and `fact_intraday_view`."""
+        self.has_views = True
         t = self.tables
         views = {
             "fact_day": self.day.read(),
@@ -504,9 +514,11 @@ def _check_source_forecast(run: Run) -> None:
 def _check_split(run: Run) -> None:
     if not run.filter.strip() or not run.source.strip():
         raise ValueError(f"import {run.import_id}: a split needs a filter and totals in source")
+    run.closed()
 
 
 def _check_alert(run: Run) -> None:
+    run.closed()
     alert.wants([run])
     if len(field_list(run.fields_source)) > 1:
         raise ValueError(f"import {run.import_id}: an alert tests a single field")

@@ -135,9 +135,9 @@ class FactStore:
             spans.setdefault((s.site_id, s.forecast_id), []).append(_months(s))
         out = []
         for (site, forecast), months in spans.items():
-            first, last = min(a for a, _ in months), max(b for _, b in months)
             for d in self._list(self.path, f"site_id={site}/forecast_id={forecast}/year_month=*"):
-                if first <= int(d.rsplit("=", 1)[1]) <= last:
+                month = int(d.rsplit("=", 1)[1])
+                if any(first <= month <= last for first, last in months):
                     out.append(d)
         return out
 

@@ -28,6 +28,11 @@ class StagedFile:
     activity_id: int | None = None
     forecast_id: int | None = None
 
+#: Files whose first lines are broadcast at most; beyond, they are joined by shuffle.
+MOST_BROADCAST_FILES = 50_000
+#: What a line has past the last column that can be stored.
+BEYOND = "beyond"
+
 
 def read_staged_files(spark: SparkSession, files: Sequence[StagedFile], session: str = "") -> DataFrame:
     """All files as staged rows. Files are split like any text input; one record per line."""
@@ -35,7 +40,8 @@ def read_staged_files(spark: SparkSession, files: Sequence[StagedFile], session:
 
 
 def _read(spark: SparkSession, file: StagedFile, session: str) -> DataFrame:
-    lines = spark.read.text(file.path).select(
+    text = spark.read.text(file.path)
+    lines = text.select(
         "value",
         F.monotonically_increasing_id().alias("line_no"),
         F.col("_metadata.file_path").alias("path"),
@@ -49,13 +55,17 @@ def _read(spark: SparkSession, file: StagedFile, session: str) -> DataFrame:
             .groupBy("path")
             .agg(F.min("line_no").alias("first_no"))
         )
+        if len(text.inputFiles()) <= MOST_BROADCAST_FILES:
+            head = F.broadcast(head)  # one row a file
         lines = lines.join(head, "path").where(
             (F.col("block_start") > 0) | (F.col("line_no") >= F.col("first_no") + file.rows_skip)
         )
     cells = F.from_csv(
-        "value", ", ".join(f"`{c}` string" for c in LETTERS), {"sep": file.separator}
+        "value", ", ".join(f"`{c}` string" for c in [*LETTERS, BEYOND]), {"sep": file.separator}
     )
-    rows = lines.where(F.trim("value") != "").select("line_no", cells.alias("cell"))
+    wide = F.raise_error(F.concat(F.lit("more columns than BZ in "), F.col("path"))).cast("boolean")
+    rows = lines.where(F.trim("value") != "").withColumn("cell", cells)
+    rows = rows.where(F.when(F.col("cell")[BEYOND].isNotNull(), wide).otherwise(True)).select("line_no", "cell")
     kept = {c.strip().upper() for c in file.fields.split(",") if c.strip()} or set(LETTERS)
     date = (
         F.try_to_timestamp(F.trim(F.col("cell")[file.field_date.upper()]), F.lit(file.field_date_format))

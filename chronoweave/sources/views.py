@@ -128,11 +128,11 @@ def job_history_view(
         F.format_string("%08d%06d", F.col("run_date").cast("int"), F.col("run_time").cast("int")),
         F.lit("yyyyMMddHHmmss"),
     ).cast("timestamp_ntz")
-    clock = F.lpad(F.col("run_duration").cast("string"), 6, "0")
-    part = [F.substring(clock, i, 2) for i in (1, 3, 5)]
-    seconds = (
-        part[0].try_cast("int") * 3600 + part[1].try_cast("int") * 60 + part[2].try_cast("int")
-    )
+    took = F.col("run_duration").cast("long")
+    # Hours have as many digits as they need.
+    part = [F.floor(took / 10000), F.floor(took / 100) % 100, took % 100]
+    seconds = (part[0] * 3600 + part[1] * 60 + part[2]).cast("int")
+    clock = F.when(took.isNotNull(), F.format_string("%02d:%02d:%02d", *part))
     status = F.lit(None).cast("string")
     for code, text in RUN_STATUS.items():
         status = F.when(F.col("run_status") == code, text).otherwise(status)
@@ -148,7 +148,7 @@ def job_history_view(
         ).alias("StepName"),
         F.col("_at").cast("date").alias("RunDate"),
         F.col("_at").alias("RunDateAndTime"),
-        F.concat_ws(":", *part).alias("duration_time"),
+        clock.alias("duration_time"),
         seconds.alias("duration_sec"),
         status.alias("RunStatus"),
         F.concat(seconds.cast("string"), F.lit(" sec duration. "), F.col("message")).alias("message"),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions import calendar as cal
 from chronoweave.functions import session, text
+from chronoweave.functions.text import COMMANDS, command_flags, error_json, flag_set, sql_text
 from chronoweave.sources.generators import date_dimension, interval_dimension
 
 D = dt.date
@@ -93,3 +94,21 @@ def test_sql_functions_equal_the_column_functions(spark):
     assert spark.sql("select string_spaces(' a\\t\\n b ') as x").first()["x"] == " a b "
     assert one(spark, F.expr("date_format(getdate(), 'yyyy-MM-dd HH:mm:ss.SSSSSS')")) == "2024-03-15 12:00:00.000005"
     assert one(spark, F.expr("first_day_next_year()")) == one(spark, cal.first_day_next_year())
+
+
+def test_sql_text_leaves_elements_structs_and_quoted_text_alone():
+    assert sql_text("split(x,'-')[0] = 'a'") == "split(x,'-')[0] = 'a'"
+    assert sql_text("props['k'] = 1 and [my name] > 2") == "props['k'] = 1 and `my name` > 2"
+    assert sql_text('name = "S.A. Corp"') == 'name = "S.A. Corp"'
+    assert sql_text("S.[year] = 1 and F.value1 > row.s.id") == "`year` = 1 and value1 > row.s.id"
+    assert sql_text("data.value > 1", ["data"]) == "data.value > 1"
+
+
+def test_flags_of_columns_and_of_texts_agree(spark):
+    for text in ("-LOG_QUERIES", "-log_import --PRINT", "NODAY -NODAYS", "-LOG_QUERY -DATADAY"):
+        row = spark.range(1).select(*[c.alias(k) for k, c in command_flags(F.lit(text)).items()]).first()
+        assert {k for k, held in row.asDict().items() if held} == flag_set(text) & set(COMMANDS)
+
+
+def test_error_messages_are_whole():
+    assert len(error_json(ValueError("x" * 5000))["Message"]) == 5000

@@ -352,6 +352,45 @@ def test_reports_in_sql(spark, tmp_path):
     assert spark.table("import_run").count() == 2 and spark.table("fact_intraday_view").count() == 0
 
 
+def split_config(spark, first, last):
+    window = {
+        "date_import_from": first and dt.datetime(*first, tzinfo=dt.timezone.utc),
+        "date_import_until": last and dt.datetime(*last, tzinfo=dt.timezone.utc),
+    }
+    return config(
+        spark,
+        [{"import_id": 1, "procedure_id": 1, "activity_id": 1, "forecast_id": 5, "source": "100", "filter": "forecast_id=1", **window}],
+        [{"procedure_id": 1, "procedure_name": "s", "procedure_code": "split", "app": "SP", "status": "TEST"}],
+    )
+
+
+@pytest.mark.parametrize("year", [1985, 2055])
+def test_split_far_from_today_writes_what_it_deletes(spark, day_facts, tmp_path, year):
+    runner = make_runner(spark, tmp_path, split_config(spark, (year, 1, 1), (year, 12, 31)))
+    runner.day.append(day_facts([("2023-01-01", 1, 1, 1.0), ("2023-01-02", 1, 1, 3.0), (f"{year}-01-05", 1, 5, 9.0)]))
+    done = runner.run("split")[0]
+    assert (done.errors, done.deleted, done.inserted) == (0, 1, 2)
+    assert [f for f in facts_of(runner.day) if f[2] == 5] == [(f"{year}-01-01", 1, 5, 25.0, 1), (f"{year}-01-02", 1, 5, 75.0, 1)]
+
+
+def test_open_split_needs_a_calendar(spark, day_facts, tmp_path):
+    facts = [("2023-01-01", 1, 1, 1.0), ("2023-01-02", 1, 1, 3.0), ("1950-01-05", 1, 5, 9.0)]
+    runner = make_runner(spark, tmp_path, split_config(spark, None, None))
+    runner.day.append(day_facts(facts))
+    before = facts_of(runner.day)
+    assert runner.run("split")[0].errors == 1 and facts_of(runner.day) == before
+    closed = make_runner(spark, tmp_path, split_config(spark, None, None), calendar=(D(2030, 1, 1), D(2030, 12, 31)))
+    assert closed.run("split")[0].inserted == 2 and len(facts_of(closed.day)) == len(before) + 2
+
+
+def test_views_hold_after_a_run(spark, tmp_path):
+    runner = make_runner(spark, tmp_path, sales_config(spark))
+    runner.run("import")
+    runner.create_views()
+    runner.run("import")
+    assert spark.sql("select count(*) from fact_day_view").first()[0] == len(facts_of(runner.day))
+
+
 def test_copy_with_series_is_repeatable(spark, tmp_path):
     runner = make_runner(spark, tmp_path, sales_config(spark))
     runner.run("import")
@@ -409,6 +448,19 @@ def test_staged_files(spark, tmp_path):
     assert got == [(1, "2024-01-03", "1,5", None, 1), (1, "2024-01-04", "x", None, 1), (2, "2024-01-05", "7", None, 3)]
 
 
+def test_staged_columns_past_the_last_are_an_error(spark, tmp_path):
+    (tmp_path / "wide.csv").write_text(",".join(map(str, range(80))) + "\n")
+    with pytest.raises(Exception, match="more columns than BZ"):
+        read_staged_files(spark, [StagedFile(str(tmp_path / "wide.csv"), 1)]).collect()
+
+
+def test_only_months_of_each_scope_are_touched(spark, day_facts, tmp_path):
+    store = FactStore(spark, str(tmp_path / "s"))
+    store.append(day_facts([(f"20{y:02}-01-01", 1, 1, 1.0) for y in range(1, 24)]))
+    scopes = [Scope(n, 1, 1, D(y, 1, 1), D(y, 1, 31), 1) for n, y in ((1, 2001), (2, 2023))]
+    assert len(store._touched(scopes)) == 2
+
+
 def test_fact_schemas():
     assert FACT_DAY["date"].nullable is False
     assert set(FACT_INTRADAY.names) - set(FACT_DAY.names) == {"interval_id", "duration_min"}

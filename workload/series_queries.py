@@ -269,7 +269,7 @@ def _regression_runs(file_id: int, base: int, **more) -> list[Run]:
             parent=str(n),
             p1=f"file_id={file_id}",
             date_from=D(1995, 1, 5),
-            date_until=D(2001, 7, 31),
+            date_until=D(2001, 12, 31),
             **more,
         )
         for n in range(1, 6)
@@ -290,7 +290,7 @@ def q_regression_lag_categories(spark, sf):
 _LAG_SQL = f"""{ORDER_FACTS},
 d AS (SELECT n, date, sum(value1) AS v FROM order_facts
       JOIN (VALUES (1), (2), (3), (4), (5)) r(n) ON activity_id = n OR (n = 1 AND activity_id = 5)
-      WHERE date BETWEEN DATE '1995-01-05' - INTERVAL 30 DAY AND DATE '2001-07-31' GROUP BY 1, 2),
+      WHERE date BETWEEN DATE '1995-01-05' - INTERVAL 30 DAY AND DATE '2001-12-31' GROUP BY 1, 2),
 lags AS (SELECT n, date, isodow(date) AS dw, v AS c0,
     sum(v) OVER (PARTITION BY n ORDER BY date ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS c1,
     sum(v) OVER (PARTITION BY n ORDER BY date ROWS BETWEEN 2 PRECEDING AND 2 PRECEDING) AS c2,

@@ -59,11 +59,15 @@ CALENDAR_NAMES = (
 
 def q_date_dimension(spark, sf):
     """Orders per day with every calendar attribute of the day."""
-    days = date_dimension(spark, D(1990, 1, 1), D(2010, 12, 31))
     counts = table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(
         F.count(F.lit(1)).alias("orders")
     )
-    return counts.join(days, "date").select("date", "orders", *CALENDAR_NAMES)
+    return counts.join(_days_of(spark, counts), "date").select("date", "orders", *CALENDAR_NAMES)
+
+
+def _days_of(spark, rows):
+    """The date dimension from the first to the last day of rows."""
+    return date_dimension(spark, *rows.agg(F.min("date"), F.max("date")).first())
 
 
 SQL_DATE_DIMENSION = f"""SELECT date, orders, {calendar_sql('date')} FROM (
@@ -123,14 +127,14 @@ JOIN forecasts c ON f.forecast_id = c.forecast_id"""
 
 
 def q_fact_intraday_view(spark, sf):
-    """With a date table of half the month, so that other days drop out."""
+    facts = intraday_facts(spark, sf)
     return _view_shown(
         fact_intraday_view(
-            intraday_facts(spark, sf),
+            facts,
             supplier_activity(spark, sf),
             forecasts(spark, sf),
             interval_dimension(spark),
-            date_dimension(spark, D(2024, 1, 1), D(2024, 1, 16)),
+            _days_of(spark, facts),
         ),
         "time_start",
     )
@@ -139,8 +143,7 @@ def q_fact_intraday_view(spark, sf):
 SQL_FACT_INTRADAY_VIEW = f"""WITH {INTRADAY_FACTS}, {SUPPLIER_ACTIVITY}, {FORECASTS}
 {_VIEW_SQL}, lpad(CAST(interval_id // 4 AS VARCHAR), 2, '0') || ':' || lpad(CAST((interval_id % 4) * 15 AS VARCHAR), 2, '0') AS time_start
 FROM intraday_facts f JOIN supplier_activity a ON f.activity_id = a.activity_id
-JOIN forecasts c ON f.forecast_id = c.forecast_id
-WHERE f.date BETWEEN DATE '2024-01-01' AND DATE '2024-01-16'"""
+JOIN forecasts c ON f.forecast_id = c.forecast_id"""
 
 
 def q_labelled_values(spark, sf):
@@ -172,7 +175,7 @@ def q_job_history_view(spark, sf):
         (key % 4).cast("int").alias("step_id"),
         F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("run_date"),
         ((key % 24) * 10000 + (key % 60) * 100 + key % 59).cast("int").alias("run_time"),
-        ((key % 30) * 10000 + (key % 60) * 100 + key % 60).cast("int").alias("run_duration"),
+        ((key % 130) * 10000 + (key % 60) * 100 + key % 60).cast("int").alias("run_duration"),
         (key % 6).cast("int").alias("run_status"),
         F.col("o_orderpriority").alias("message"),
     )
@@ -190,7 +193,7 @@ def q_job_history_view(spark, sf):
 SQL_JOB_HISTORY_VIEW = """WITH h AS (
   SELECT o_custkey AS job_id, CAST(o_orderkey % 4 AS INTEGER) AS step_id, CAST(o_orderdate AS DATE) AS d,
     CAST(o_orderkey % 24 AS INTEGER) AS th, CAST(o_orderkey % 60 AS INTEGER) AS tm, CAST(o_orderkey % 59 AS INTEGER) AS tsec,
-    CAST(o_orderkey % 30 AS INTEGER) AS dh, CAST(o_orderkey % 60 AS INTEGER) AS dm,
+    CAST(o_orderkey % 130 AS INTEGER) AS dh, CAST(o_orderkey % 60 AS INTEGER) AS dm,
     o_orderkey % 6 AS st, o_orderpriority AS message FROM orders),
 x AS (SELECT h.*, c.c_name, s.c_mktsegment AS step_name, dh * 3600 + dm * 60 + dm AS secs,
     CAST(d AS TIMESTAMP) + to_seconds(th * 3600 + tm * 60 + tsec) AS started
@@ -199,7 +202,7 @@ x AS (SELECT h.*, c.c_name, s.c_mktsegment AS step_name, dh * 3600 + dm * 60 + d
 SELECT c_name AS "JobName", step_id,
   'step ' || lpad(CAST(step_id AS VARCHAR), 3, '0') || '. ' || coalesce(step_name, 'Job Status') AS "StepName",
   CAST(started AS DATE) AS "RunDate", strftime(started, '%Y-%m-%d %H:%M:%S') AS "RunDateAndTime",
-  lpad(CAST(dh AS VARCHAR), 2, '0') || ':' || lpad(CAST(dm AS VARCHAR), 2, '0') || ':' || lpad(CAST(dm AS VARCHAR), 2, '0') AS duration_time,
+  printf('%02d', dh) || ':' || lpad(CAST(dm AS VARCHAR), 2, '0') || ':' || lpad(CAST(dm AS VARCHAR), 2, '0') AS duration_time,
   CAST(secs AS INTEGER) AS duration_sec,
   CASE st WHEN 0 THEN 'Failed' WHEN 1 THEN 'Succeeded' WHEN 2 THEN 'Retry' WHEN 3 THEN 'Canceled' WHEN 4 THEN 'In Progress' END AS "RunStatus",
   secs || ' sec duration. ' || message AS message,
