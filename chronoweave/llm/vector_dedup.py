@@ -32,6 +32,8 @@ LEAST_COSINE = 0.93
 NEAREST, SHARED = 8, 2
 #: The sample of pivots: its growth with the root of the classes, and its bounds.
 PIVOT_RATE, LEAST_PIVOTS, MOST_PIVOTS, MOST_PIVOT_BYTES = 2, 16, 4096, 32 << 20
+#: Of sampled pivots whose cosine is this or more, one stays: near copies tell vectors nothing apart.
+PIVOT_COSINE = 0.8
 #: Classes in a block of a long list, rows in a task, pairs whose cosine is computed at a time.
 BLOCK, LOAD, PAIRS = 1024, 20_000, 1 << 15
 
@@ -86,7 +88,11 @@ def with_pivots(classes: DataFrame, nearest: int) -> tuple[DataFrame, int]:
     places = np.zeros((len(sample), dim or 1))
     for k, r in enumerate(sample):
         places[k, : r.dim] = units([bytes(r.vec)], r.dim)
-    shared, k = classes.sparkSession.sparkContext.broadcast(places), min(nearest, len(sample))
+    apart: list[int] = []
+    for i in range(len(places)):
+        if not apart or (places[apart] @ places[i]).max() < PIVOT_COSINE:
+            apart.append(i)
+    shared, k = classes.sparkSession.sparkContext.broadcast(places[apart]), min(nearest, len(apart))
 
     def make() -> Callable:
         pivots = shared.value
