@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -188,6 +189,12 @@ def local_table(
     return spark.createDataFrame(pa.Table.from_pylist(list(rows), schema=arrow), schema)
 
 
+def literal_rows(rows: Sequence[dict], columns: str) -> Column:
+    """Driver-held rows as one constant: an array of structs."""
+    kind = T.ArrayType(T.StructType.fromDDL(columns))
+    return F.from_json(F.lit(json.dumps(list(rows), default=str)), kind)
+
+
 # Size up to which a dimension or id table is sent to every task instead of being shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
 

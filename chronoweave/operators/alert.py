@@ -20,6 +20,7 @@ from chronoweave.operators.matching import (
     filterable,
     numbered,
     own_window,
+    with_dates,
 )
 
 
@@ -43,13 +44,15 @@ def alert_series(
     activity: DataFrame | None = None,
     when: dt.datetime | None = None,
     calendar: tuple[dt.date, dt.date] | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """One row per period that fails: value, benchmark and relative difference in value1..3.
 
     Periods are the values of `group_by` (default `date`) in the window; weeks and months count
     only when complete. `p3` is the test over `value`, `benchmark` and `dif_pct`; a period
     without a value always alerts, and a blank test alerts on nothing else. Open ends of a
-    window are those of `calendar`, without which they are an error.
+    window are those of `calendar`, without which they are an error. Filters and periods may
+    use the attributes of a date table, `dates`; days without a period belong to none.
     """
     runs = [r.closed(calendar) for r in runs]
     shapes: dict[tuple, list[Run]] = defaultdict(list)
@@ -58,17 +61,17 @@ def alert_series(
         benchmark = (field_list(r.fields_target) or [value])[0]
         shapes[sql_text(r.group_by) or "date", value, benchmark].append(r)
     return union_all(
-        _alerts(facts, group, *shape, activity, when) for shape, group in shapes.items()
+        _alerts(facts, group, *shape, activity, when, dates) for shape, group in shapes.items()
     )
 
 
-def _alerts(facts, runs, period, value, benchmark, activity, when) -> DataFrame:
+def _alerts(facts, runs, period, value, benchmark, activity, when, dates) -> DataFrame:
     spark = facts.sparkSession
     runs = [r for r in runs if r.date_from <= r.date_until]
     if not runs:
         return as_fact_day(facts.where("false"), when)
     reading = Reading(spark, wants(runs))
-    rows = reading.rows(reading.in_any_window(filterable(facts, activity)))
+    rows = reading.rows(reading.in_any_window(filterable(facts, activity, dates)))
     # Per day before imports are attached: the facts are aggregated once per distinct filter.
     per_day = rows.groupBy(*KEYS, "date").agg(
         F.sum(F.expr(value).try_cast("double")).alias("v"),
@@ -76,7 +79,7 @@ def _alerts(facts, runs, period, value, benchmark, activity, when) -> DataFrame:
     )
     attached = reading.attach(per_day, {"role": ("string", lambda w: w.role)}).where(own_window())
     sums = (
-        with_calendar(attached)
+        with_dates(with_calendar(attached), dates)
         .groupBy("import_id", F.expr(period).alias("period"))
         .agg(
             F.sum(F.when(F.col("role") == "value", F.col("v"))).alias("value"),
@@ -100,7 +103,7 @@ def _alerts(facts, runs, period, value, benchmark, activity, when) -> DataFrame:
         ],
         "window_no int, test_no int, import_id int, activity_id int, forecast_id int, site_id int",
     )
-    periods = complete_periods(spark, list(windows), period).join(targets, "window_no")
+    periods = complete_periods(spark, list(windows), period, dates).join(targets, "window_no")
     found = periods.join(sums, ["import_id", "period"], "left").withColumn(
         "dif_pct",
         F.when(
@@ -128,7 +131,9 @@ def _alerts(facts, runs, period, value, benchmark, activity, when) -> DataFrame:
     )
 
 
-def complete_periods(spark, windows: Sequence[tuple[dt.date, dt.date]], period: str) -> DataFrame:
+def complete_periods(
+    spark, windows: Sequence[tuple[dt.date, dt.date]], period: str, dates: DataFrame | None = None
+) -> DataFrame:
     """`window_no, period, date_first`: the calendar groups of each window; weeks need 7 days
     and months all their days."""
     table = local_table(
@@ -137,6 +142,7 @@ def complete_periods(spark, windows: Sequence[tuple[dt.date, dt.date]], period:
         "window_no int, lo date, hi date",
     )
     days = with_calendar(table.select("window_no", F.explode(F.sequence("lo", "hi")).alias("date")))
+    days = with_dates(days, dates).where(F.expr(period).isNotNull())
     groups = days.groupBy("window_no", F.expr(period).alias("period")).agg(
         F.min("date").alias("date_first"),
         F.count(F.lit(1)).alias("days"),

@@ -17,6 +17,7 @@ from chronoweave.model import (
     Run,
     as_fact_day,
     as_fact_intraday,
+    literal_rows,
     local_table,
     union_all,
 )
@@ -146,28 +147,34 @@ def _import(
     else:
         found = matched.select(*per_day, *values)
 
-    table = local_table(
-        spark,
-        [
-            {
-                "_filter": filters[sql_text(r.filter)],
-                "_import": r.import_id,
-                "_site": r.site_id,
-                "import_id": r.import_id,
-                "activity_id": r.activity_id,
-                "forecast_id": r.forecast_id,
-                "site_id": r.site_id,
-                "date_from": r.date_from,
-                "date_until": r.date_until,
-                "duration_min": (durations or {}).get(r.import_id, 15),
-            }
-            for r in runs
-        ],
+    columns = (
         "_filter int, _import int, _site int, import_id int, activity_id int, forecast_id int, "
-        "site_id int, date_from date, date_until date, duration_min smallint",
+        "site_id int, date_from date, date_until date, duration_min smallint"
     )
+    targets = [
+        {
+            "_filter": filters[sql_text(r.filter)],
+            "_import": r.import_id,
+            "_site": r.site_id,
+            "import_id": r.import_id,
+            "activity_id": r.activity_id,
+            "forecast_id": r.forecast_id,
+            "site_id": r.site_id,
+            "date_from": r.date_from,
+            "date_until": r.date_until,
+            "duration_min": (durations or {}).get(r.import_id, 15),
+        }
+        for r in runs
+    ]
     in_window = F.col("_day").between(F.col("date_from"), F.col("date_until"))
-    rows = found.join(table, keys).where(in_window).withColumn("date", F.col("_day"))
+    if keys == ["_filter"] and len(filters) == 1:
+        # A join on a constant would be a nested loop: the targets go along with each row.
+        each = literal_rows(targets, columns)
+        own = F.filter(each, lambda t: F.col("_day").between(t["date_from"], t["date_until"]))
+        rows = found.drop("_filter").select("*", F.inline(own))
+    else:
+        rows = found.join(local_table(spark, targets, columns), keys).where(in_window)
+    rows = rows.withColumn("date", F.col("_day"))
     if not intraday:
         return as_fact_day(rows, when)
     return as_fact_intraday(rows.withColumn("interval_id", F.col("_interval")), when)

@@ -1,11 +1,11 @@
 """Which rows does each import read?
 
 Filters are free SQL text per import, so thousands of imports could mean thousands of scans.
-Here all distinct filters are tried in one pass over the rows (a few dozen per pass), and
+Here all distinct filters are tried in one pass over the rows, however many there are, and
 imports are attached afterwards by an equi-join on the number of the filter plus the keys.
-Operators aggregate between the two steps, so rows are never copied once per import. When
-there are more filters than fit one pass, those that only compare columns with constants are
-looked up by an equi-join instead of being tried one by one.
+Operators aggregate between the two steps, so rows are never copied once per import. Filters
+that only compare columns with constants are looked up by an equi-join instead of being tried
+one by one.
 """
 
 from __future__ import annotations
@@ -21,12 +21,10 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.calendar import with_calendar
 from chronoweave.functions.text import sql_text
-from chronoweave.model import Run, broadcast_if_small, local_table, union_all
+from chronoweave.model import Run, broadcast_if_small, local_table
 
-FILTERS_PER_PASS = 48
-# Fewer constant filters on the same columns than this are not worth a pass of their own.
-LOOKUP_LEAST = 16
 ANY = -1
+HITS = "_filter_hits"
 
 KEYS = ["filter_no", "site_id", "activity_key", "forecast_key"]
 
@@ -44,24 +42,49 @@ class Want:
 
 def match_filters(rows: DataFrame, filters: Sequence[str], number: str = "filter_no") -> DataFrame:
     """Each row once per filter it meets, with the filter's position in `number`."""
-    tried = list(enumerate(filters))
+    if len(filters) == 1:
+        text = filters[0]
+        return (rows.where(F.expr(text)) if text else rows).withColumn(number, F.lit(0))
+    found = with_hits(rows, filters)
+    return found.select(*rows.columns, F.explode(HITS).alias(number))
+
+
+def with_hits(rows: DataFrame, filters: Sequence[str], only: bool = True) -> DataFrame:
+    """The rows with an array of the numbers of the filters they meet, in one pass.
+
+    Filters that only compare columns with constants are looked up by an equi-join on these
+    columns, one table per set of columns; the others are tried on the row. With `only`, rows
+    that meet none may be left out, by a condition that can reach the scan.
+    """
+    kinds = dict(rows.dtypes)
     lookups: dict[tuple[str, ...], list[tuple[int, dict]]] = {}
-    if len(filters) > FILTERS_PER_PASS:
-        kinds = dict(rows.dtypes)
-        constant = {n: c for n, text in tried if (c := _constants(text, kinds)) is not None}
-        for n, c in constant.items():
-            lookups.setdefault(tuple(sorted(c)), []).append((n, c))
-        lookups = {columns: found for columns, found in lookups.items() if len(found) >= LOOKUP_LEAST}
-        looked_up = {n for found in lookups.values() for n, _ in found}
-        tried = [(n, text) for n, text in tried if n not in looked_up]
-    chunks = [tried[i : i + FILTERS_PER_PASS] for i in range(0, len(tried), FILTERS_PER_PASS)]
-    if not lookups:
-        return union_all(_try(rows, chunk, number) for chunk in chunks)
-    # All lookups and the first chunk of other filters share one pass over the rows.
-    return union_all(
-        [_look_up(rows, lookups, chunks[0] if chunks else [], number)]
-        + [_try(rows, chunk, number) for chunk in chunks[1:]]
-    )
+    tried: list[tuple[int, str]] = []
+    for n, text in enumerate(filters):
+        constants = _constants(text, kinds)
+        if constants is None:
+            tried.append((n, text))
+        else:
+            lookups.setdefault(tuple(sorted(constants)), []).append((n, constants))
+    if only and all(text for _, text in tried):
+        among = [
+            reduce(lambda a, b: a & b, [F.expr(_in(c, {k[c] for _, k in found})) for c in columns])
+            for columns, found in lookups.items()
+        ]
+        rows = rows.where(_any([*among, *[F.expr(text) for _, text in tried]]))
+    return _look_up(rows, lookups, tried)
+
+
+def _any(tests: list[Column]) -> Column:
+    """Any of the tests, as a balanced tree, so that its depth stays small."""
+    while len(tests) > 1:
+        tests = [reduce(lambda a, b: a | b, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0]
+
+
+def _in(column: str, values: Iterable) -> str:
+    """SQL for `column` being one of some whole numbers or texts without quotes or escapes."""
+    listed = [f"'{v}'" if isinstance(v, str) else str(v) for v in sorted(values)]
+    return f"`{column}` in ({', '.join(listed)})"
 
 
 def numbered(values: Iterable) -> dict:
@@ -69,22 +92,13 @@ def numbered(values: Iterable) -> dict:
     return {v: i for i, v in enumerate(dict.fromkeys(values))}
 
 
-def _try(rows: DataFrame, chunk: Sequence[tuple[int, str]], number: str) -> DataFrame:
-    if len(chunk) == 1:
-        (n, text), = chunk
-        return (rows.where(F.expr(text)) if text else rows).withColumn(number, F.lit(n))
-    if all(f for _, f in chunk):
-        rows = rows.where(reduce(lambda a, b: a | b, [F.expr(f) for _, f in chunk]))
-    return rows.withColumn(number, F.explode(_hits(chunk)))
-
-
-def _hits(chunk: Sequence[tuple[int, str]]) -> Column:
-    """The numbers of the filters that a row meets."""
-    tests = [(n, F.expr(f) if f else F.lit(True)) for n, f in chunk]
+def _tried(filters: Sequence[tuple[int, str]]) -> Column:
+    """The numbers of the filters that a row meets, each filter being tried."""
+    tests = [(n, F.expr(f) if f else F.lit(True)) for n, f in filters]
     return F.array_remove(F.array(*[F.when(t, F.lit(n)).otherwise(ANY) for n, t in tests]), ANY)
 
 
-_COMPARED = re.compile(r"[\s(]*`?(\w+)`?\s*=\s*(?:'([^']*)'|(-?\d{1,18}))[\s)]*")
+_COMPARED = re.compile(r"[\s(]*`?(\w+)`?\s*=\s*(?:'([^'\\]*)'|(-?\d{1,18}))[\s)]*")
 _WHOLE = {"tinyint", "smallint", "int", "bigint"}
 
 
@@ -110,12 +124,10 @@ def _look_up(
     rows: DataFrame,
     lookups: dict[tuple[str, ...], list[tuple[int, dict]]],
     tried: Sequence[tuple[int, str]],
-    number: str,
 ) -> DataFrame:
-    """Constant filters by a join on their columns, one table per set of columns, together with
-    filters that have to be tried."""
+    """Constant filters by a join on their columns, together with filters that are tried."""
     kinds, columns_in = dict(rows.dtypes), rows.columns
-    hits = [_hits(tried)] if tried else []
+    hits = [_tried(tried)] if tried else []
     for i, (columns, found) in enumerate(lookups.items()):
         numbers: dict[tuple, list[int]] = {}
         for n, constants in found:
@@ -130,7 +142,7 @@ def _look_up(
         rows = rows.withColumns({k: F.col(c).cast(types[c]) for c, k in keys.items()})
         rows = rows.join(table, list(keys.values()), "left")
         hits.append(F.coalesce(f"_hits{i}", F.array().cast("array<int>")))
-    return rows.select(*columns_in, F.explode(F.concat(*hits)).alias(number))
+    return rows.select(*columns_in, F.concat(*hits).alias(HITS))
 
 
 class Reading:
@@ -227,12 +239,9 @@ class Reading:
         return rows.where(F.col(date).between(F.lit(self.earliest(days_before)), F.lit(self.latest())))
 
 
-def _among(column: str, values: Sequence[int], most: int = 500) -> Column:
-    """`column` is one of `values`; beyond `most` values only their range, which is cheaper
-    for the scan to test."""
-    if len(values) <= most:
-        return F.col(column).isin(*values)
-    return F.col(column).between(values[0], values[-1])
+def _among(column: str, values: Sequence[int]) -> Column:
+    """`column` is one of `values`; for long lists the scan itself tests their range."""
+    return F.expr(_in(column, values))
 
 
 def own_window() -> Column:
@@ -246,9 +255,22 @@ def target_series(rows: DataFrame) -> DataFrame:
     )
 
 
-def filterable(facts: DataFrame, activity: DataFrame | None) -> DataFrame:
+def filterable(
+    facts: DataFrame, activity: DataFrame | None, dates: DataFrame | None = None
+) -> DataFrame:
     """Facts with activity and calendar attributes; those that no filter uses are pruned."""
-    return with_calendar(with_activity(facts, activity))
+    return with_dates(with_calendar(with_activity(facts, activity)), dates)
+
+
+def with_dates(rows: DataFrame, dates: DataFrame | None) -> DataFrame:
+    """Rows plus the attributes a user keeps in a date table; null on days it does not hold."""
+    if dates is None:
+        return rows
+    extra = [c for c in dates.columns if c not in rows.columns]
+    if not extra:
+        return rows
+    kept = dates.select(F.col("date").cast("date").alias("date"), *extra).dropDuplicates(["date"])
+    return rows.join(broadcast_if_small(kept), "date", "left")
 
 
 def with_activity(facts: DataFrame, activity: DataFrame | None) -> DataFrame:

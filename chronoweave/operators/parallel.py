@@ -52,6 +52,7 @@ def parallel_period(
     runs: Sequence[Run],
     activity: DataFrame | None = None,
     when: dt.datetime | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Each source day moved `p5` years on, if it lands in the window.
 
@@ -66,16 +67,16 @@ def parallel_period(
             fields, targets = list(VALUES), list(VALUES)
         shapes[tuple(fields), tuple(targets)].append(r)
     return union_all(
-        _parallel(facts, group, fields, targets, activity, when)
+        _parallel(facts, group, fields, targets, activity, when, dates)
         for (fields, targets), group in shapes.items()
     )
 
 
-def _parallel(facts, runs, fields, targets, activity, when) -> DataFrame:
+def _parallel(facts, runs, fields, targets, activity, when, dates) -> DataFrame:
     reading = Reading(facts.sparkSession, wants(runs))
     spans = [source_span(r) for r in runs]
     near = F.col("date").between(F.lit(min(s[0] for s in spans)), F.lit(max(s[1] for s in spans)))
-    rows = reading.rows(filterable(facts.where(near), activity))
+    rows = reading.rows(filterable(facts.where(near), activity, dates))
     mapped = rows.select(
         *KEYS,
         "activity_id",

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.functions.text import sql_text
-from chronoweave.model import SERIES, Run, broadcast_if_small, local_table
-from chronoweave.operators.matching import with_activity
+from chronoweave.model import SERIES, Run, broadcast_if_small, literal_rows, local_table
+from chronoweave.functions.calendar import with_calendar
+from chronoweave.operators.matching import HITS, numbered, with_activity, with_dates, with_hits
 
 RANGE, TAIL, HEAD = "range", "tail", "head"
 
@@ -86,7 +87,10 @@ def _by_filter(scopes: Sequence[Scope]) -> Column:
 
 
 def without_scopes(
-    old: DataFrame, scopes: Sequence[Scope], activity: DataFrame | None = None
+    old: DataFrame,
+    scopes: Sequence[Scope],
+    activity: DataFrame | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of `old` that no scope replaces."""
     series = [s for s in scopes if s.activity_id is not None]
@@ -99,6 +103,7 @@ def without_scopes(
         kept = o.join(s, [*on, _in_scope()], "left_anti")
     if filters:
         attributed = kept if activity is None else _left_activity(kept, activity)
+        attributed = with_dates(with_calendar(attributed), dates)
         kept = attributed.where(_by_filter(filters).isNull())
     return kept.select(*columns)
 
@@ -111,7 +116,10 @@ def _left_activity(rows: DataFrame, activity: DataFrame) -> DataFrame:
 
 
 def replaced_counts(
-    old: DataFrame, scopes: Sequence[Scope], activity: DataFrame | None = None
+    old: DataFrame,
+    scopes: Sequence[Scope],
+    activity: DataFrame | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """`import_id, rows_deleted`: how many rows of `old` each scope replaces."""
     series = [s for s in scopes if s.activity_id is not None]
@@ -121,7 +129,7 @@ def replaced_counts(
         found = old.join(scope_table(old.sparkSession, series), SERIES).where(_in_scope())
         parts.append(found.select(F.col("scope_import").alias("import_id")))
     if filters:
-        found = with_activity(old, activity).select(_by_filter(filters).alias("import_id"))
+        found = with_dates(with_calendar(with_activity(old, activity)), dates).select(_by_filter(filters).alias("import_id"))
         parts.append(found.where(F.col("import_id").isNotNull()))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return rows.groupBy("import_id").agg(F.count(F.lit(1)).alias("rows_deleted"))
@@ -132,9 +140,10 @@ def replace_range(
     new: DataFrame,
     scopes: Sequence[Scope],
     activity: DataFrame | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """`old` with the rows of the scopes removed and `new` added; day and 15-minute facts alike."""
-    return without_scopes(old, scopes, activity).unionByName(new)
+    return without_scopes(old, scopes, activity, dates).unionByName(new)
 
 
 def write_back(
@@ -147,23 +156,45 @@ def write_back(
     null on untouched rows; counting it per id gives the rows each import holds in the end.
     """
     site = "site_id" in source.columns
+    filters = numbered(sql_text(r.filter) for r in runs)
+    days = numbered(sql_text(r.group_by) or "date" for r in runs)
+    by_filter: list[list[dict]] = [[] for _ in filters]
+    for place, r in enumerate(runs):
+        by_filter[filters[sql_text(r.filter)]].append(
+            {
+                "place": place,
+                "id": r.import_id,
+                "fills": r.has("SOURCE_UPDATE_NULL"),
+                "day": days[sql_text(r.group_by) or "date"],
+                "site": r.site_id,
+                "first": r.date_from,
+                "last": r.date_until,
+            }
+        )
+    # One expression, however many imports there are: the imports of the filters that a row
+    # meets, those of its day and site, and among them the last that overwrites, else the old
+    # id, else the first that fills gaps.
+    marks = literal_rows(
+        [{"imports": m} for m in by_filter],
+        "imports array<struct<place: int, id: int, fills: boolean, day: int, site: int, first: date, last: date>>",
+    )
+    found = with_hits(source, list(filters), only=False)
+    found = found.withColumn("_days", F.array(*[F.expr(d).cast("date") for d in days]))
+
+    def reads(m: Column) -> Column:
+        test = F.get("_days", m["day"]).between(m["first"], m["last"])
+        return test & (F.col("site_id") == m["site"]) if site else test
+
+    met = F.flatten(F.transform(HITS, lambda h: F.get(marks, h)["imports"]))
+    found = found.withColumn("_met", F.filter(met, reads))
+
+    def choose(kind: bool, pick) -> Column:
+        own = F.filter("_met", lambda m: m["fills"] == kind)
+        return pick(F.transform(own, lambda m: F.struct(m["place"], m["id"])))["id"]
 
-    def reads(r: Run) -> Column:
-        day = F.expr(sql_text(r.group_by) or "date").cast("date")
-        test = day.between(F.lit(r.date_from), F.lit(r.date_until))
-        if r.filter.strip():
-            test = test & F.expr(sql_text(r.filter))
-        if site:
-            test = test & (F.col("site_id") == r.site_id)
-        return F.when(test, F.lit(r.import_id))
-
-    # In order, this comes to: the last import that overwrites, else the old id, else the
-    # first import that fills gaps. Each filter appears once, however many imports there are.
-    none = F.lit(None).cast("int")
     old = F.col(import_field).cast("int")
-    overwrites = F.coalesce(none, *[reads(r) for r in reversed(runs) if not r.has("SOURCE_UPDATE_NULL")])
-    fills = F.coalesce(none, *[reads(r) for r in runs if r.has("SOURCE_UPDATE_NULL")])
-    updated = F.coalesce(overwrites, F.when(old.isNull(), fills))
-    return source.withColumn("updated_by", updated).withColumn(
-        import_field, F.coalesce("updated_by", old)
+    updated = F.coalesce(choose(False, F.array_max), F.when(old.isNull(), choose(True, F.array_min)))
+    return found.withColumn("updated_by", updated).select(
+        *[F.coalesce("updated_by", old).alias(c) if c == import_field else F.col(f"`{c}`") for c in source.columns],
+        "updated_by",
     )

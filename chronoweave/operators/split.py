@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from chronoweave.functions.calendar import day_of_year_in, with_calendar
 from chronoweave.functions.text import field_list, string_spaces, to_scale
 from chronoweave.model import BROADCAST_BYTES, Run, as_fact_day, union_all
-from chronoweave.operators.matching import KEYS, Reading, Want, target_series
+from chronoweave.operators.matching import KEYS, Reading, Want, target_series, with_dates
 
 
 def split_totals(
@@ -22,6 +22,7 @@ def split_totals(
     when: dt.datetime | None = None,
     drop_feb29: bool = False,
     calendar: tuple[dt.date, dt.date] | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Day values `share of the month * total of the month * p5`.
 
@@ -41,14 +42,14 @@ def split_totals(
         targets = field_list(r.fields_target) or ["value1"]
         shapes[tuple(fields), tuple(targets)].append(r)
     return union_all(
-        _split(facts, group, fields, targets, when, drop_feb29)
+        _split(facts, group, fields, targets, when, drop_feb29, dates)
         for (fields, targets), group in shapes.items()
     )
 
 
-def _split(facts, runs, fields, targets, when, drop_feb29) -> DataFrame:
+def _split(facts, runs, fields, targets, when, drop_feb29, dates) -> DataFrame:
     reading = Reading(facts.sparkSession, [Want(r, filter=r.filter) for r in runs])
-    profile = reading.rows(with_calendar(facts))
+    profile = reading.rows(with_dates(with_calendar(facts), dates))
     if drop_feb29:
         profile = profile.where(~((F.col("month") == 2) & (F.col("day_month") == 29)))
     profile = profile.select(*KEYS, "date", "year_month", "day_year", "value1")

@@ -33,6 +33,7 @@ def year_to_date(
     runs: Sequence[Run],
     activity: DataFrame | None = None,
     when: dt.datetime | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Running totals of all ten values within a year, one row per period with data.
 
@@ -40,9 +41,11 @@ def year_to_date(
     row is dated at the last day with data; accumulation starts at the window's first day.
     """
     reading = Reading(facts.sparkSession, wants(runs))
-    rows = reading.rows(reading.in_any_window(filterable(facts, activity)))
+    rows = reading.rows(reading.in_any_window(filterable(facts, activity, dates)))
+    # Per day before imports are attached: a filter that n imports share is aggregated once.
+    per_day = rows.groupBy(*KEEP).agg(*[F.sum(v).alias(v) for v in VALUES])
     dated = reading.attach(
-        rows.select(*KEEP, *VALUES), {"weekly": ("boolean", lambda w: "w" in w.run.p2.lower())}
+        per_day, {"weekly": ("boolean", lambda w: "w" in w.run.p2.lower())}
     ).where(own_window())
     cal = calendar_columns(F.col("date"))
     series = ["import_id", "site_id", "activity_id", "to_forecast"]

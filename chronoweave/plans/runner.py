@@ -41,7 +41,8 @@ CATEGORY = "SERIES RUN"
 @dataclass
 class Tables:
     """Configuration and input tables. `sources` names what imports may read; other names are
-    looked up in the catalog."""
+    looked up in the catalog. `dates` holds attributes that users keep per date, for filters
+    and alert periods."""
 
     imports: DataFrame
     procedures: DataFrame
@@ -49,6 +50,7 @@ class Tables:
     forecast: DataFrame
     staged: DataFrame | None = None
     sources: dict[str, DataFrame] = field(default_factory=dict)
+    dates: DataFrame | None = None
 
 
 @dataclass
@@ -62,6 +64,7 @@ class Outcome:
     inserted: int = 0
     updated: int = 0
     blocked: bool = False
+    marked: bool = False  # its source rows hold its id; a retry does not mark them again
 
     def summary(self, number: int) -> dict:
         return {
@@ -167,7 +170,7 @@ class Runner:
         self._summaries(operator, outcomes, commands, site_id, timer)
         self.log.flush()
         if self.has_views:
-            self.create_views()  # those before list files that are gone
+            self.create_views()  # those before show the facts as they were
         return outcomes
 
     def run_all(self, app: str = "SP", status: str = "TEST", commands: str = "") -> dict[str, dict]:
@@ -322,7 +325,7 @@ class Runner:
                 self._fail(operator, live[0], "INSERT DAY", e)
                 return
             for o in live:  # what was already written is replaced by the next attempt
-                o.deleted = o.inserted = o.updated = 0
+                o.deleted = o.inserted = 0
             middle = len(live) // 2
             self._run_batch(operator, live[:middle], extras)
             self._run_batch(operator, live[middle:], extras)
@@ -330,12 +333,12 @@ class Runner:
     def _import(self, outcomes: list[Outcome], extras: dict) -> None:
         by_source: dict[str, list[Outcome]] = {}
         for o in outcomes:
-            by_source.setdefault(o.run.source.strip(), []).append(o)
+            by_source.setdefault(_bare(o.run.source), []).append(o)
         if len(by_source) > 1:
             for group in by_source.values():
                 self._run_batch("import", group, extras)
             return
-        name = outcomes[0].run.source.strip()
+        name = _bare(outcomes[0].run.source)
         source = self._source(name)
 
         measured = [o for o in outcomes if not o.run.has("NODELTA") or o.run.has("FORCEDELTA")]
@@ -364,7 +367,9 @@ class Runner:
             raise ValueError(f"imports of one source mark different id fields: {sorted(fields)}")
         import_field = fields.pop() if fields else ""
         if import_field:
-            source = self._write_back(name, source, [o for o in outcomes if o.run.import_id in marked], import_field)
+            marking = [o for o in outcomes if o.run.import_id in marked and not o.marked]
+            if marking:
+                source = self._write_back(name, source, marking, import_field)
 
         day = [o for o in outcomes if not o.run.has("NODAY")]
         if day:
@@ -382,8 +387,11 @@ class Runner:
             )
 
     def _write_back(self, name: str, source: DataFrame, outcomes: list[Outcome], import_field: str) -> DataFrame:
-        marked = write_back(source, [o.run for o in outcomes], import_field)
-        if any(o.run.has("PRINT") for o in outcomes):
+        """Marks the rows that imports read, where the source is kept: in the day store, in
+        `Tables.sources`, or in the catalog's table."""
+        runs = [o.run for o in outcomes]
+        marked = write_back(source, runs, import_field)
+        if any(r.has("PRINT") for r in runs):
             return marked.drop("updated_by")
         counts = {
             r["updated_by"]: r["n"]
@@ -392,11 +400,29 @@ class Runner:
             .agg(F.count(F.lit(1)).alias("n"))
             .collect()
         }
-        for o in outcomes:
-            o.updated += counts.get(o.run.import_id, 0)
         source = marked.drop("updated_by")
-        if name:
-            self.tables.sources[name] = source
+        if not name:
+            first, last = min(r.date_from for r in runs), max(r.date_until for r in runs)
+            # A store's rows are dated by their own column, whatever the imports date them by.
+            own = all((sql_text(r.group_by) or "date") == "date" for r in runs)
+            self.day.update(
+                lambda rows: write_back(rows, runs, import_field).drop("updated_by"),
+                first if own else dt.date.min, last if own else dt.date.max,
+            )
+            source = self.day.read()
+        elif _bare(name) in self.tables.sources:
+            if self.spark.sparkContext.getCheckpointDir():
+                source = source.checkpoint()  # so that batch after batch does not stack up plans
+            self.tables.sources[_bare(name)] = source
+        else:
+            # A table cannot be overwritten while it is read, hence the copy beside it.
+            copy = f"{_bare(name)}_marked_{uuid.uuid4().hex}"
+            source.write.saveAsTable(copy)
+            self.spark.table(copy).write.insertInto(_bare(name), overwrite=True)
+            self.spark.sql(f"DROP TABLE {copy}")
+            source = self.spark.table(_bare(name))
+        for o in outcomes:
+            o.updated, o.marked = counts.get(o.run.import_id, 0), True
         if self.on_source_update is not None:
             self.on_source_update(name, source)
         return source
@@ -416,11 +442,11 @@ class Runner:
         runs = [o.run for o in outcomes]
         facts = self._facts_for(operator, runs)
         if operator == "ytd":
-            new = ytd.year_to_date(facts, runs, t.activity, self.when)
+            new = ytd.year_to_date(facts, runs, t.activity, self.when, t.dates)
         elif operator == "parallel":
-            new = parallel.parallel_period(facts, runs, t.activity, self.when)
+            new = parallel.parallel_period(facts, runs, t.activity, self.when, t.dates)
         elif operator == "split":
-            new = split.split_totals(facts, runs, self.when)
+            new = split.split_totals(facts, runs, self.when, dates=t.dates)
         elif operator == "correlation":
             new = correlation.correlation_forecast(facts, runs, self.when)
         elif operator == "regression":
@@ -428,7 +454,7 @@ class Runner:
         elif operator == "regression_simple":
             new = regression.regression_simple(facts, t.staged, runs, self.when)
         else:
-            new = alert.alert_series(facts, runs, t.activity, self.when)
+            new = alert.alert_series(facts, runs, t.activity, self.when, dates=t.dates)
         self._store(operator, "DAY", self.day, new, outcomes, [_derived_scope(operator, r) for r in runs])
 
     def _facts_for(self, operator: str, runs: Sequence[Run]) -> DataFrame:
@@ -460,7 +486,8 @@ class Runner:
             return
         timer = Timer()
         deleted, added = store.replace(
-            new, scopes, F.col("date_updated") == F.lit(self.when), self.tables.activity
+            new, scopes, F.col("date_updated") == F.lit(self.when), self.tables.activity,
+            self.tables.dates,
         )
         for o in outcomes:
             o.deleted += deleted.get(o.run.import_id, 0)
@@ -476,7 +503,7 @@ class Runner:
     def _source(self, name: str) -> DataFrame:
         if not name:
             return self.day.read()
-        bare = name.replace("[", "").replace("]", "")
+        bare = _bare(name)
         return self.tables.sources[bare] if bare in self.tables.sources else self.spark.table(bare)
 
     def _summaries(self, operator, outcomes, commands, site_id, timer: Timer) -> None:
@@ -497,6 +524,11 @@ class Runner:
         )
 
 
+def _bare(name: str) -> str:
+    """A source's name without the brackets it may be written in."""
+    return name.replace("[", "").replace("]", "").strip()
+
+
 OPERATORS = (
     "import", "ytd", "parallel", "split", "correlation", "regression", "regression_simple", "alert",
 )

@@ -1,16 +1,19 @@
 """Fact tables on a shared file system, where an import replaces exactly its range.
 
-Plain parquet has no row-level delete, so the month partitions an import touches are written
-anew next to the table and moved into place once complete; other partitions stay as they are.
-A list of the moves is the commit point: before it exists the old data stand, afterwards
-`recover` finishes what a lost driver left undone.
+Plain parquet has no row-level delete, so the partitions an import touches are written anew,
+each time under a new version directory; other partitions stay as they are. A small manifest
+lists the partition directories in force. Writing the next manifest is the only step that
+changes what readers see: a writer lost before it has changed nothing, and afterwards nothing
+is left to finish. Directories of the version before stay, so that plans made before a
+replacement can still run; older ones are removed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +22,16 @@ from pyspark.sql import types as T
 from chronoweave.model import FACT_DAY, FACT_INTRADAY
 from chronoweave.operators.replace import HEAD, TAIL, Scope, replaced_counts, without_scopes
 
-PARTITIONS = ["site_id", "forecast_id", "year_month"]
-_GLOB = "/".join(f"{p}=*" for p in PARTITIONS)
-_MOVES = "moves.txt"  # Spark does not read files whose names start with _
+PARTITIONS = ["site_id", "forecast_id", "year_month", "bucket"]
+#: Activities of a month are spread over so many partitions; an import of one rewrites one.
+ACTIVITY_BUCKETS = 8
+_MANIFEST = "_manifest"  # Spark does not read names that start with _
+_VALUE = r"=(-?\d+|__HIVE_DEFAULT_PARTITION__)/"  # the latter stands for null
+_PARTITION = re.compile(r"version=\w+/" + "".join(p + _VALUE for p in PARTITIONS))
 
 
 class FactStore:
-    """Day or 15-minute facts under `path`, partitioned by site, forecast and month.
+    """Day or 15-minute facts under `path`, partitioned by site, forecast, month and activities.
 
     One writer at a time. `replace` is safe to repeat: running an import twice equals once.
     """
@@ -45,39 +51,30 @@ class FactStore:
     def _at(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
-    def _partitions(self, directories: Sequence[str] | None = None) -> DataFrame:
-        """The stored rows with their month; of some partition directories only, if given."""
-        stored = T.StructType([*self.schema.fields, T.StructField("year_month", T.IntegerType())])
-        if not (self._list(self.path) if directories is None else directories):
-            return self.spark.createDataFrame([], stored)
-        paths = [self.path] if directories is None else [f"{self.path}/{d}" for d in directories]
-        return self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths)
+    # --- reading --------------------------------------------------------------------
 
     def read(self) -> DataFrame:
-        """All facts. Filters on site and forecast prune partitions; `where_days` also prunes
-        months."""
-        return self._partitions().select(*self.schema.names)
+        """All facts."""
+        return self._rows(self._entries())
 
     def where_days(self, first: dt.date, last: dt.date) -> DataFrame:
         """Facts of a date range, reading only its months."""
-        rows = self._partitions().where(F.col("year_month").between(_month(first), _month(last)))
-        return rows.where(F.col("date").between(F.lit(first), F.lit(last))).select(*self.schema.names)
+        entries = [e for e in self._entries() if _month(first) <= _place(e)[2] <= _month(last)]
+        return self._rows(entries).where(F.col("date").between(F.lit(first), F.lit(last)))
 
-    def append(self, rows: DataFrame) -> None:
-        self._write(rows, self.path, "append")
+    def _rows(self, entries: Sequence[str]) -> DataFrame:
+        """The rows of some partition directories; no other is listed."""
+        if not entries:
+            return self.spark.createDataFrame([], self.schema)
+        places = T.StructType([T.StructField("version", T.StringType()), *[T.StructField(p, T.IntegerType()) for p in PARTITIONS]])
+        stored = T.StructType([*self.schema.fields, *[f for f in places if f.name not in self.schema.names]])
+        reader = self.spark.read.schema(stored).option("basePath", self.path)
+        return reader.parquet(*[f"{self.path}/{e}" for e in entries]).select(*self.schema.names)
 
-    def _write(self, rows: DataFrame, path: str, mode: str) -> None:
-        month = F.year("date") * 100 + F.month("date")
-        # The rebalance keeps one partition's rows together but splits a month that is too
-        # large for one task; sorted files let activity and date filters skip row groups.
-        (
-            rows.withColumn("year_month", month)
-            .hint("rebalance", *PARTITIONS)
-            .sortWithinPartitions(*PARTITIONS, "activity_id", "date")
-            .write.mode(mode)
-            .partitionBy(*PARTITIONS)
-            .parquet(path)
-        )
+    # --- writing --------------------------------------------------------------------
+
+    def append(self, rows: DataFrame) -> None:
+        self._commit([*self._entries(), *self._write(rows)])
 
     def replace(
         self,
@@ -85,88 +82,125 @@ class FactStore:
         scopes: Sequence[Scope],
         inserted: Column,
         activity: DataFrame | None = None,
+        dates: DataFrame | None = None,
     ) -> tuple[dict[int, int], dict[int, int]]:
         """Removes the scopes' rows, adds `new`, and returns rows deleted and inserted per import.
 
         `inserted` tells new rows from kept ones, such as the time stamp of this run. New rows
         have to lie in the months of the scopes.
         """
-        touched = set(self._touched(scopes))
-        old = self._partitions(sorted(touched)).select(*self.schema.names)
-        deleted = _counts(replaced_counts(old, scopes, activity), "rows_deleted")
-        staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
-        result = without_scopes(old, scopes, activity).unionByName(new.select(*self.schema.names))
-        self._write(result, staging, "overwrite")
-
-        staged = self._list(staging)
-        outside = [d for d in staged if d not in touched and self._fs.exists(self._at(f"{self.path}/{d}"))]
+        entries = self._entries()
+        touched = set(self._touched(scopes, entries))
+        old = self._rows(sorted(touched))
+        deleted = _counts(replaced_counts(old, scopes, activity, dates), "rows_deleted")
+        kept = without_scopes(old, scopes, activity, dates)
+        written = self._write(kept.unionByName(new.select(*self.schema.names)))
+        spared = [e for e in entries if e not in touched]
+        outside = {_place(e) for e in written} & {_place(e) for e in spared}
         if outside:
-            self._fs.delete(self._at(staging), True)
-            raise ValueError(f"new rows outside the months to replace: {outside[:5]}")
+            self._drop(written)
+            raise ValueError(f"new rows outside the months to replace: {sorted(outside, key=str)[:5]}")
         added: dict[int, int] = {}
-        if staged:
-            written = self.spark.read.schema(
-                T.StructType([*self.schema.fields, T.StructField("year_month", T.IntegerType())])
-            ).parquet(staging)
-            added = _counts(
-                written.where(inserted).groupBy("import_id").agg(F.count(F.lit(1)).alias("n")), "n"
-            )
-        emptied = sorted(touched.difference(staged))
-        self._note(staging, [f"drop {d}" for d in emptied] + [f"move {d}" for d in staged])
-        self._swap(staging)
+        if written:
+            by_import = self._rows(written).where(inserted).groupBy("import_id")
+            added = _counts(by_import.agg(F.count(F.lit(1)).alias("n")), "n")
+        self._commit([*spared, *written])
         return deleted, added
 
-    def recover(self) -> None:
-        """Finishes moves that were decided but not completed, and drops other leftovers."""
-        root = f"{self.path}/_staging"
-        if not self._fs.exists(self._at(root)):
-            return
-        for status in self._fs.listStatus(self._at(root)):
-            staging = status.getPath().toString()
-            if self._fs.exists(self._at(f"{staging}/{_MOVES}")):
-                self._swap(staging)
-            else:
-                self._fs.delete(self._at(staging), True)
-
-    def _touched(self, scopes: Sequence[Scope]) -> list[str]:
+    def update(self, change: Callable[[DataFrame], DataFrame], first: dt.date, last: dt.date) -> None:
+        """Writes the months from `first` to `last` anew with `change` applied to their rows."""
+        entries = self._entries()
+        touched = {e for e in entries if _month(first) <= _place(e)[2] <= _month(last)}
+        if touched:
+            written = self._write(change(self._rows(sorted(touched))).select(*self.schema.names))
+            self._commit([*[e for e in entries if e not in touched], *written])
+
+    def _write(self, rows: DataFrame) -> list[str]:
+        """The partition directories that hold `rows` now, as yet in no manifest."""
+        version = f"version={uuid.uuid4().hex}"
+        # The rebalance keeps one partition's rows together but splits a month that is too
+        # large for one task; sorted files let activity and date filters skip row groups.
+        (
+            rows.withColumn("year_month", F.year("date") * 100 + F.month("date"))
+            .withColumn("bucket", F.pmod(F.coalesce("activity_id", F.lit(0)), F.lit(ACTIVITY_BUCKETS)))
+            .hint("rebalance", *PARTITIONS)
+            .sortWithinPartitions(*PARTITIONS, "activity_id", "date")
+            .write.partitionBy(*PARTITIONS)
+            .parquet(f"{self.path}/{version}")
+        )
+        found = self._fs.globStatus(self._at(f"{self.path}/{version}/" + "/".join(f"{p}=*" for p in PARTITIONS))) or []
+        return sorted("/".join(s.getPath().toString().split("/")[-len(PARTITIONS) - 1 :]) for s in found)
+
+    def _touched(self, scopes: Sequence[Scope], entries: Sequence[str]) -> list[str]:
         """Directories of the partitions that hold replaced rows or will get new ones."""
-        spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        spans: dict[tuple[int, int], list[tuple[int, int, int | None]]] = {}
         for s in scopes:
-            spans.setdefault((s.site_id, s.forecast_id), []).append(_months(s))
+            bucket = None if s.activity_id is None else s.activity_id % ACTIVITY_BUCKETS
+            spans.setdefault((s.site_id, s.forecast_id), []).append((*_months(s), bucket))
         out = []
-        for (site, forecast), months in spans.items():
-            for d in self._list(self.path, f"site_id={site}/forecast_id={forecast}/year_month=*"):
-                month = int(d.rsplit("=", 1)[1])
-                if any(first <= month <= last for first, last in months):
-                    out.append(d)
+        for e in entries:
+            site, forecast, month, bucket = _place(e)
+            if any(a <= month <= b and c in (None, bucket) for a, b, c in spans.get((site, forecast), ())):
+                out.append(e)
         return out
 
-    def _list(self, path: str, pattern: str = _GLOB) -> list[str]:
-        found = self._fs.globStatus(self._at(f"{path}/{pattern}")) or []
-        return ["/".join(s.getPath().toString().split("/")[-len(PARTITIONS):]) for s in found]
-
-    def _note(self, staging: str, lines: list[str]) -> None:
-        # Written under another name first: the list counts only once it is complete.
-        draft = self._at(f"{staging}/{_MOVES}.draft")
+    # --- manifest -------------------------------------------------------------------
+
+    def _numbers(self) -> list[int]:
+        found = self._fs.globStatus(self._at(f"{self.path}/{_MANIFEST}/[0-9]*")) or []
+        return sorted(int(s.getPath().getName()) for s in found)
+
+    def _entries(self, number: int | None = None) -> list[str]:
+        """The partition directories in force: one line each in the newest manifest."""
+        if number is None:
+            number = max(self._numbers(), default=0)
+        if not number:
+            return []
+        stream = self._fs.open(self._at(f"{self.path}/{_MANIFEST}/{number:012}"))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
+        finally:
+            stream.close()
+
+    def _commit(self, entries: Iterable[str]) -> None:
+        """Makes `entries` the partitions in force, in one step."""
+        numbers = self._numbers()
+        number = max(numbers, default=0) + 1
+        # Written under another name first: a manifest counts only once it is complete.
+        draft = self._at(f"{self.path}/{_MANIFEST}/.{uuid.uuid4().hex}")
         out = self._fs.create(draft, True)
-        out.write(bytearray("\n".join(lines).encode()))
+        out.write(bytearray("\n".join(entries).encode()))
         out.close()
-        if not self._fs.rename(draft, self._at(f"{staging}/{_MOVES}")):
-            raise OSError(f"could not decide the moves of {staging}")
-
-    def _swap(self, staging: str) -> None:
-        # One line per touched month partition.
-        for row in self.spark.read.text(f"{staging}/{_MOVES}").collect():
-            action, directory = row["value"].split(" ", 1)
-            target, fresh = self._at(f"{self.path}/{directory}"), self._at(f"{staging}/{directory}")
-            if action == "drop":
-                self._fs.delete(target, True)
-            elif self._fs.exists(fresh):
-                self._fs.delete(target, True)
-                self._fs.mkdirs(target.getParent())
-                if not self._fs.rename(fresh, target):
-                    raise OSError(f"could not move {fresh} to {target}; recover() tries again")
-        self._fs.delete(self._at(staging), True)
+        target = self._at(f"{self.path}/{_MANIFEST}/{number:012}")
+        if self._fs.exists(target) or not self._fs.rename(draft, target):
+            raise OSError(f"could not write {target}; is there another writer?")
+        self._forget(numbers)
+
+    def _forget(self, before: Sequence[int]) -> None:
+        """Drops what only manifests older than the one before the newest hold."""
+        if len(before) < 2:
+            return
+        held = set(self._entries()) | set(self._entries(before[-1]))
+        for number in before[:-1]:
+            self._drop([e for e in self._entries(number) if e not in held])
+            self._fs.delete(self._at(f"{self.path}/{_MANIFEST}/{number:012}"), False)
+
+    def _drop(self, entries: Iterable[str]) -> None:
+        for e in entries:
+            self._fs.delete(self._at(f"{self.path}/{e}"), True)
+
+    def recover(self) -> None:
+        """Removes versions that a lost writer left and no manifest names. Readers need no
+        recovery; call it while nothing writes."""
+        held = {e.split("/")[0] for n in self._numbers() for e in self._entries(n)}
+        for status in self._fs.globStatus(self._at(f"{self.path}/version=*")) or []:
+            if status.getPath().getName() not in held:
+                self._fs.delete(status.getPath(), True)
+
+
+def _place(entry: str) -> tuple:
+    """Site, forecast, month and bucket of a partition directory."""
+    return tuple(None if v.startswith("_") else int(v) for v in _PARTITION.fullmatch(entry + "/").groups())
 
 
 def _month(d: dt.date) -> int:

@@ -10,7 +10,7 @@ from chronoweave.operators.alert import alert_series
 from chronoweave.operators.correlation import correlation_forecast
 from chronoweave.operators.forecast_weeks import assign_forecast_weeks
 from chronoweave.operators.imports import delta_windows, import_day, import_intraday
-from chronoweave.operators.matching import FILTERS_PER_PASS, match_filters
+from chronoweave.operators.matching import match_filters
 from chronoweave.operators.parallel import parallel_period
 from chronoweave.operators.regression import regression_lag_categories, regression_simple
 from chronoweave.operators.replace import Scope, replace_range, replaced_counts, write_back
@@ -27,8 +27,36 @@ def days(first, values, activity=1, forecast=1, step=1):
     ]
 
 
-def test_match_filters_over_several_passes(spark):
-    n = FILTERS_PER_PASS + 3
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [2, 48, 51, 480])
+def test_any_number_of_filters_is_one_pass(spark, tmp_path, n):
+    spark.range(5).write.parquet(str(tmp_path / "ids"))
+    rows = match_filters(spark.read.parquet(str(tmp_path / "ids")), [f"id >= {i % 5}" for i in range(n)])
+    assert executed(rows).count("FileScan") == 1
+    counts = dict(rows.groupBy("filter_no").count().collect())
+    assert counts == {i: 5 - i % 5 for i in range(n)}
+
+
+@pytest.mark.parametrize("flags", [frozenset(), frozenset({"NOGROUPBY"})])
+def test_one_filter_needs_no_nested_loop(spark, flags):
+    source = spark.createDataFrame([(D(2024, 1, d), float(d)) for d in (1, 2, 3)], "date date, v double")
+    field = "v" if flags else "sum(v)"
+    runs = [
+        Run(i, 10 + i, 1, filter="v > 0", fields_source=field, fields_target="value1", flags=flags,
+            date_from=D(2024, 1, i), date_until=D(2024, 1, 3))
+        for i in (1, 2)
+    ]
+    rows = import_day(source, runs)
+    assert "NestedLoop" not in executed(rows) and "Cartesian" not in executed(rows)
+    got = sorted((r["import_id"], r["activity_id"], r["date"].day, r["value1"], r["site_id"]) for r in rows.collect())
+    assert got == [(1, 11, 1, 1.0, 1), (1, 11, 2, 2.0, 1), (1, 11, 3, 3.0, 1), (2, 12, 2, 2.0, 1), (2, 12, 3, 3.0, 1)]
+
+
+def test_match_filters_counts(spark):
+    n = 51
     rows = match_filters(spark.range(5), [f"id >= {i % 5}" for i in range(n)] + [""])
     counts = dict(rows.groupBy("filter_no").count().collect())
     assert counts == {**{i: 5 - i % 5 for i in range(n)}, n: 5}
@@ -55,7 +83,6 @@ def test_many_constant_filters_are_looked_up(spark):
     filters += [f"`k`='k{i}' and ( n = {j} )" for i in range(7) for j in range(5)]
     filters += ["x = 3", "k = 'k1' or n = 2", "n = '2'", "upper(k) = 'K1'", "k = 'a and b'", "n = 1 and n = 2", ""]
     filters += [f"id > {i}" for i in range(3)]
-    assert len(filters) > FILTERS_PER_PASS
     got = sorted(map(tuple, match_filters(rows, filters).select("filter_no", "id").collect()))
     want = sorted(
         (i, r["id"]) for i, f in enumerate(filters) for r in (rows.where(f) if f else rows).select("id").collect()

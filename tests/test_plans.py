@@ -115,7 +115,7 @@ def test_store_replaces_only_its_range(spark, day_facts, tmp_path):
     assert store.read().count() == 0
     when = dt.datetime(2024, 1, 1)
     store.append(day_facts([("2024-01-31", 1, 1, 1.0), ("2024-02-01", 1, 1, 2.0), ("2024-02-02", 2, 1, 3.0), ("2024-02-01", 1, 2, 4.0)]))
-    untouched = sorted((tmp_path / "day").glob("site_id=1/forecast_id=2/*/*.parquet"))
+    untouched = [e for e in store._entries() if "/forecast_id=2/" in e]
     new = day_facts([("2024-02-03", 1, 1, 9.0)]).withColumns(
         {"import_id": F.lit(5), "date_updated": F.lit(when)}
     )
@@ -126,10 +126,10 @@ def test_store_replaces_only_its_range(spark, day_facts, tmp_path):
         assert [f[:4] for f in facts_of(store)] == [
             ("2024-01-31", 1, 1, 1.0), ("2024-02-01", 1, 2, 4.0), ("2024-02-02", 2, 1, 3.0), ("2024-02-03", 1, 1, 9.0),
         ]
-    assert sorted((tmp_path / "day").glob("site_id=1/forecast_id=2/*/*.parquet")) == untouched
+    assert [e for e in store._entries() if "/forecast_id=2/" in e] == untouched
     # A month left without rows disappears.
     store.replace(new.limit(0), [Scope(6, 1, 1, D(2024, 1, 1), D(2024, 1, 31), 1)], F.lit(False))
-    assert not list((tmp_path / "day").glob("site_id=1/forecast_id=1/year_month=202401"))
+    assert not [e for e in store._entries() if "/forecast_id=1/year_month=202401/" in e]
 
 
 def test_store_refuses_rows_outside_its_scopes(spark, day_facts, tmp_path):
@@ -141,19 +141,55 @@ def test_store_refuses_rows_outside_its_scopes(spark, day_facts, tmp_path):
     assert [f[3] for f in facts_of(store)] == [1.0, 2.0]
 
 
-def test_store_recovers_an_interrupted_move(spark, day_facts, tmp_path, monkeypatch):
-    store = FactStore(spark, str(tmp_path / "day"))
+def test_readers_see_a_replacement_at_once_or_not_at_all(spark, day_facts, tmp_path, monkeypatch):
+    """A reader between any two steps of a replacement finds the facts before it or after it."""
+    path = str(tmp_path / "day")
+    store = FactStore(spark, path)
     store.append(day_facts([("2024-01-31", 1, 1, 1.0), ("2024-02-01", 1, 1, 2.0)]))
     new = day_facts([("2024-02-01", 1, 1, 7.0)])
     scopes = [Scope(1, 1, 1, D(2024, 1, 1), D(2024, 2, 28), 1)]
+    seen, held = [], store.read()
+
+    def watched(name):
+        own = getattr(FactStore, name)
+
+        def step(self, *args):
+            seen.append([f[3] for f in facts_of(FactStore(spark, path))])
+            out = own(self, *args)
+            seen.append([f[3] for f in facts_of(FactStore(spark, path))])
+            return out
+
+        return step
+
     with monkeypatch.context() as m:
-        m.setattr(FactStore, "_swap", lambda self, staging: None)
+        for name in ("_write", "_commit", "_forget"):
+            m.setattr(FactStore, name, watched(name))
         store.replace(new, scopes, F.lit(True))
-    assert [f[3] for f in facts_of(store)] == [1.0, 2.0]
-    store.recover()
-    assert [f[3] for f in facts_of(store)] == [7.0]
+    assert seen[:3] == [[1.0, 2.0]] * 3 and seen[3:] == [[7.0]] * 3
+    assert sorted(r["value1"] for r in held.collect()) == [1.0, 2.0]  # a plan made before still runs
+
+
+def test_a_lost_writer_leaves_nothing_but_files(spark, day_facts, tmp_path, monkeypatch):
+    store = FactStore(spark, str(tmp_path / "day"))
+    store.append(day_facts([("2024-01-31", 1, 1, 1.0)]))
+    with monkeypatch.context() as m:
+        m.setattr(FactStore, "_commit", lambda self, entries: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.append(day_facts([("2024-01-31", 1, 1, 9.0)]))
+    assert [f[3] for f in facts_of(FactStore(spark, store.path))] == [1.0]
+    versions = tmp_path / "day"
+    assert len(list(versions.glob("version=*"))) == 2
     store.recover()
-    assert [f[3] for f in facts_of(store)] == [7.0]
+    assert len(list(versions.glob("version=*"))) == 1 and [f[3] for f in facts_of(store)] == [1.0]
+
+
+def test_old_versions_go(spark, day_facts, tmp_path):
+    store = FactStore(spark, str(tmp_path / "day"))
+    scopes = [Scope(1, 1, 1, D(2024, 1, 1), D(2024, 1, 31), 1)]
+    for n in range(4):
+        store.replace(day_facts([("2024-01-01", 1, 1, float(n))]), scopes, F.lit(True))
+    assert [f[3] for f in facts_of(store)] == [3.0]
+    assert len(store._numbers()) == 2 and len(list((tmp_path / "day").glob("version=*/site_id=1/*/*/*"))) == 2
 
 
 def make_runner(spark, tmp_path, tables, **more):
@@ -279,6 +315,95 @@ def test_source_marking_and_intraday(spark, tmp_path):
     assert marked == 3
 
 
+def marking_config(spark, source_name, flags="", second="kind='b'"):
+    imports = [
+        {"import_id": 1, "procedure_id": 1, "activity_id": 1, "forecast_id": 1, "filter": "kind='a'"},
+        {"import_id": 2, "procedure_id": 1, "activity_id": 2, "forecast_id": 1, "filter": second},
+    ]
+    procedure = {
+        "procedure_id": 1, "procedure_name": "M", "procedure_code": "import", "source": source_name, "group_by": "day",
+        "fields_source": "sum(v)", "fields_target": "value1", "commands": f"-SOURCE_FILTER_IMPORT {flags}",
+    }
+    return config(spark, imports, [procedure])
+
+
+@pytest.mark.parametrize("name", ["[src]", "src"])
+def test_marks_stay_for_the_next_runner(spark, tmp_path, name):
+    tables = marking_config(spark, name, "-SOURCE_UPDATE_NULL")
+    tables.sources["src"] = source(spark, SALES).withColumn("import_id", F.lit(None).cast("int"))
+    done = make_runner(spark, tmp_path, tables).run("import")
+    assert [o.updated for o in done] == [3, 1] and [o.inserted for o in done] == [2, 1]
+    again = make_runner(spark, tmp_path, tables).run("import")
+    assert [o.updated for o in again] == [0, 0] and [o.inserted for o in again] == [2, 1]
+
+
+def test_marks_of_a_catalog_table_are_stored(spark, tmp_path):
+    rows = source(spark, SALES).withColumn("import_id", F.lit(None).cast("int"))
+    rows.write.option("path", str(tmp_path / "marked_sales")).saveAsTable("marked_sales")
+    try:
+        done = make_runner(spark, tmp_path, marking_config(spark, "[marked_sales]", "-SOURCE_UPDATE_NULL")).run("import")
+        assert [o.updated for o in done] == [3, 1]
+        got = spark.table("marked_sales").groupBy("import_id").count().collect()
+        assert sorted(map(tuple, got)) == [(1, 3), (2, 1)]
+    finally:
+        spark.sql("DROP TABLE marked_sales")
+
+
+def test_marks_of_the_day_facts_are_stored(spark, day_facts, tmp_path):
+    tables = config(
+        spark,
+        [{"import_id": 7, "procedure_id": 1, "activity_id": 1, "forecast_id": 3, "filter": "forecast_id=1",
+          "commands": "-SOURCE_FILTER_IMPORT -SOURCE_UPDATE_NULL"}],
+        [{"procedure_id": 1, "procedure_name": "F", "procedure_code": "import", "fields_source": "sum(value1)", "fields_target": "value1"}],
+    )
+    runner = make_runner(spark, tmp_path, tables)
+    runner.day.append(day_facts([("2024-01-01", 1, 1, 1.0), ("2024-02-01", 2, 1, 2.0)]).withColumn("import_id", F.lit(None).cast("int")))
+    (done,) = runner.run("import")
+    assert (done.errors, done.updated, done.inserted) == (0, 2, 2)
+    assert [f[4] for f in facts_of(FactStore(spark, runner.day.path))] == [7] * 4
+    (again,) = make_runner(spark, tmp_path, tables).run("import")
+    assert (again.updated, again.inserted) == (0, 2)
+
+
+def test_updated_counts_survive_a_retry(spark, tmp_path):
+    tables = marking_config(spark, "src", "-SOURCE_UPDATE_NULL")
+    tables.sources["src"] = source(spark, SALES).withColumn("import_id", F.lit(None).cast("int"))
+    tables.imports = tables.imports.withColumn(
+        "fields_source", F.when(F.col("import_id") == 2, F.lit("no_such_function(v)"))
+    )
+    done = {o.run.import_id: o for o in make_runner(spark, tmp_path, tables).run("import")}
+    assert (done[1].errors, done[1].updated, done[1].inserted) == (0, 3, 2)
+    assert done[2].errors == 1
+
+
+def test_attributes_that_users_keep_per_date(spark, day_facts, tmp_path):
+    """An alert by a kept attribute, and a year-to-date whose filter replaces by another."""
+    procedures = [
+        {"procedure_id": 1, "procedure_name": "al", "procedure_code": "alert", "group_by": "year_next_week_fc", "filter": "forecast_id=1", "p3": "value > 5"},
+        {"procedure_id": 2, "procedure_name": "yt", "procedure_code": "ytd", "p1": "1", "p2": "month", "filter": "season = 'low' and year = 2024"},
+    ]
+    window = {
+        "date_import_from": dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc),
+        "date_import_until": dt.datetime(2024, 1, 10, tzinfo=dt.timezone.utc),
+    }
+    imports = [{"import_id": n, "procedure_id": n, "activity_id": 1, "forecast_id": 3 + n, **window} for n in (1, 2)]
+    tables = config(spark, imports, procedures)
+    days = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(9)]
+    tables.dates = spark.createDataFrame(
+        [(d, 202401 + i // 7, "low" if i < 3 else "high") for i, d in enumerate(days)],
+        "date date, year_next_week_fc int, season string",
+    )
+    runner = make_runner(spark, tmp_path, tables)
+    runner.day.append(day_facts([(str(d), 1, 1, 1.0) for d in days]))
+    (alerted,) = runner.run("alert")
+    assert (alerted.errors, alerted.inserted) == (0, 1)
+    assert [f for f in facts_of(runner.day) if f[2] == 4] == [("2024-01-01", 1, 4, 7.0, 1)]
+    for deleted in (0, 1):
+        (done,) = runner.run("ytd")
+        assert (done.errors, done.deleted, done.inserted) == (0, deleted, 1)
+    assert [f for f in facts_of(runner.day) if f[2] == 5] == [("2024-01-03", 1, 5, 3.0, 2)]
+
+
 def test_every_derived_series_through_the_runner(spark, day_facts, tmp_path):
     def procedure(n, code, **more):
         return {"procedure_id": n, "procedure_name": code, "procedure_code": code, "app": "SP", "status": "TEST", "sort_order": n, **more}
@@ -457,8 +582,11 @@ def test_staged_columns_past_the_last_are_an_error(spark, tmp_path):
 def test_only_months_of_each_scope_are_touched(spark, day_facts, tmp_path):
     store = FactStore(spark, str(tmp_path / "s"))
     store.append(day_facts([(f"20{y:02}-01-01", 1, 1, 1.0) for y in range(1, 24)]))
+    store.append(day_facts([("2001-01-01", 2, 1, 1.0)]))
     scopes = [Scope(n, 1, 1, D(y, 1, 1), D(y, 1, 31), 1) for n, y in ((1, 2001), (2, 2023))]
-    assert len(store._touched(scopes)) == 2
+    before = set(store._entries())
+    store.replace(day_facts([]), scopes, F.lit(True))
+    assert len(before - set(store._entries())) == 2
 
 
 def test_fact_schemas():
