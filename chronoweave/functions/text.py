@@ -87,10 +87,10 @@ def sql_text(text: str, columns: Collection[str] = ()) -> str:
     return _QUOTED_OR_NAME.sub(one, text or "").strip()
 
 
-def field_list(text: str) -> list[str]:
+def field_list(text: str, columns: Collection[str] = ()) -> list[str]:
     """The expressions of a comma-separated list; commas inside brackets or quotes do not split."""
     out, depth, quoted, part = [], 0, False, ""
-    for c in sql_text(text):
+    for c in sql_text(text, columns):
         quoted ^= c == "'"
         if not quoted:
             depth += (c == "(") - (c == ")")

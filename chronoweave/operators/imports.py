@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -39,9 +39,9 @@ class Shape:
     by_import_field: str = ""
 
 
-def shape_of(run: Run, import_field: str = "") -> Shape:
+def shape_of(run: Run, import_field: str = "", columns: Collection[str] = ()) -> Shape:
     """`-SUMFIELDS` sums each field as a number and forces grouping, over `-NOGROUPBY`."""
-    sources, targets = field_list(run.fields_source), field_list(run.fields_target)
+    sources, targets = field_list(run.fields_source, columns), field_list(run.fields_target)
     if not sources or not targets:
         sources, targets = list(VALUES), list(VALUES)
     if len(sources) != len(targets):
@@ -53,7 +53,7 @@ def shape_of(run: Run, import_field: str = "") -> Shape:
         sources = [f"sum(try_cast({s} as double))" for s in sources]
     own = import_field or "import_id" if run.has("SOURCE_FILTER_IMPORT") else ""
     return Shape(
-        date=sql_text(run.group_by) or "date",
+        date=sql_text(run.group_by, columns) or "date",
         fields=tuple(sources),
         targets=tuple(t.strip("`") for t in targets),
         grouped=sums or not run.has("NOGROUPBY"),
@@ -61,10 +61,10 @@ def shape_of(run: Run, import_field: str = "") -> Shape:
     )
 
 
-def _by_shape(runs: Sequence[Run], import_field: str) -> dict[Shape, list[Run]]:
+def _by_shape(runs: Sequence[Run], import_field: str, columns: Collection[str]) -> dict[Shape, list[Run]]:
     groups: dict[Shape, list[Run]] = defaultdict(list)
     for run in runs:
-        groups[shape_of(run, import_field)].append(run)
+        groups[shape_of(run, import_field, columns)].append(run)
     return groups
 
 
@@ -83,7 +83,7 @@ def import_day(
     """
     parts = [
         _import(source, shape, group, when, None)
-        for shape, group in _by_shape(runs, import_field).items()
+        for shape, group in _by_shape(runs, import_field, source.columns).items()
     ]
     return union_all(parts)
 
@@ -98,7 +98,7 @@ def import_intraday(
     parts = [
         _import(source, shape, group, when, durations or {})
         for shape, group in _by_shape(
-            [replace(r, flags=r.flags - {"SOURCE_FILTER_IMPORT"}) for r in runs], ""
+            [replace(r, flags=r.flags - {"SOURCE_FILTER_IMPORT"}) for r in runs], "", source.columns
         ).items()
     ]
     return union_all(parts)
@@ -113,7 +113,7 @@ def _import(
 ) -> DataFrame:
     spark = source.sparkSession
     intraday = durations is not None
-    filters = numbered(sql_text(r.filter) for r in runs)
+    filters = numbered(sql_text(r.filter, source.columns) for r in runs)
     site = "site_id" in source.columns
     first, last = min(r.date_from for r in runs), max(r.date_until for r in runs)
 
@@ -153,7 +153,7 @@ def _import(
     )
     targets = [
         {
-            "_filter": filters[sql_text(r.filter)],
+            "_filter": filters[sql_text(r.filter, source.columns)],
             "_import": r.import_id,
             "_site": r.site_id,
             "import_id": r.import_id,
@@ -190,10 +190,10 @@ def delta_range(source: DataFrame, runs: Sequence[Run]) -> DataFrame:
     site = "site_id" in source.columns
     by_date: dict[str, list[Run]] = defaultdict(list)
     for run in runs:
-        by_date[sql_text(run.group_by) or "date"].append(run)
+        by_date[sql_text(run.group_by, source.columns) or "date"].append(run)
     parts = []
     for date, group in by_date.items():
-        filters = numbered(sql_text(r.filter) for r in group)
+        filters = numbered(sql_text(r.filter, source.columns) for r in group)
         keys = ["_filter", "_site"] if site else ["_filter"]
         dated = source.withColumn("_day", F.expr(date).cast("date"))
         if site:
@@ -206,7 +206,7 @@ def delta_range(source: DataFrame, runs: Sequence[Run]) -> DataFrame:
         table = local_table(
             spark,
             [
-                {"_filter": filters[sql_text(r.filter)], "_site": r.site_id, "import_id": r.import_id}
+                {"_filter": filters[sql_text(r.filter, source.columns)], "_site": r.site_id, "import_id": r.import_id}
                 for r in group
             ],
             "_filter int, _site int, import_id int",

@@ -156,16 +156,16 @@ def write_back(
     null on untouched rows; counting it per id gives the rows each import holds in the end.
     """
     site = "site_id" in source.columns
-    filters = numbered(sql_text(r.filter) for r in runs)
-    days = numbered(sql_text(r.group_by) or "date" for r in runs)
+    filters = numbered(sql_text(r.filter, source.columns) for r in runs)
+    days = numbered(sql_text(r.group_by, source.columns) or "date" for r in runs)
     by_filter: list[list[dict]] = [[] for _ in filters]
     for place, r in enumerate(runs):
-        by_filter[filters[sql_text(r.filter)]].append(
+        by_filter[filters[sql_text(r.filter, source.columns)]].append(
             {
                 "place": place,
                 "id": r.import_id,
                 "fills": r.has("SOURCE_UPDATE_NULL"),
-                "day": days[sql_text(r.group_by) or "date"],
+                "day": days[sql_text(r.group_by, source.columns) or "date"],
                 "site": r.site_id,
                 "first": r.date_from,
                 "last": r.date_until,

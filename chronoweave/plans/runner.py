@@ -467,6 +467,8 @@ class Runner:
         if operator == "parallel":
             spans = [parallel.source_span(r) for r in runs]
             return self.day.where_days(min(s[0] for s in spans), max(s[1] for s in spans))
+        if operator == "split":
+            return self.day.read_by_month()  # profiles are often those of a year
         return self.day.read()
 
     def _store(self, operator, step, store, new, outcomes: list[Outcome], scopes: list[Scope]) -> None:

@@ -57,19 +57,32 @@ class FactStore:
         """All facts."""
         return self._rows(self._entries())
 
+    def read_by_month(self) -> DataFrame:
+        """All facts with `year`, `month` and `year_month` taken from the partitions, so that
+        conditions on them in a filter leave the other months unread."""
+        entries = self._entries()
+        if not entries:
+            return self.read()
+        stored = F.col("year_month")
+        return self._rows(entries, ["year_month"]).withColumns(
+            {"year": F.expr("year_month div 100").cast("int"), "month": F.pmod(stored, F.lit(100))}
+        )
+
     def where_days(self, first: dt.date, last: dt.date) -> DataFrame:
         """Facts of a date range, reading only its months."""
         entries = [e for e in self._entries() if _month(first) <= _place(e)[2] <= _month(last)]
         return self._rows(entries).where(F.col("date").between(F.lit(first), F.lit(last)))
 
-    def _rows(self, entries: Sequence[str]) -> DataFrame:
-        """The rows of some partition directories; no other is listed."""
+    def _rows(self, entries: Sequence[str], places: Sequence[str] = ()) -> DataFrame:
+        """The rows of some partition directories, with some columns of their places; no other
+        directory is listed."""
         if not entries:
             return self.spark.createDataFrame([], self.schema)
-        places = T.StructType([T.StructField("version", T.StringType()), *[T.StructField(p, T.IntegerType()) for p in PARTITIONS]])
-        stored = T.StructType([*self.schema.fields, *[f for f in places if f.name not in self.schema.names]])
+        stored = T.StructType([*self.schema.fields, T.StructField("version", T.StringType())])
+        for name in ("year_month", "bucket"):
+            stored = stored.add(name, T.IntegerType())
         reader = self.spark.read.schema(stored).option("basePath", self.path)
-        return reader.parquet(*[f"{self.path}/{e}" for e in entries]).select(*self.schema.names)
+        return reader.parquet(*[f"{self.path}/{e}" for e in entries]).select(*self.schema.names, *places)
 
     # --- writing --------------------------------------------------------------------
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoweave.model import LETTERS, SOURCE_FILE, union_all
@@ -14,7 +14,8 @@ from chronoweave.model import LETTERS, SOURCE_FILE, union_all
 @dataclass(frozen=True)
 class StagedFile:
     """How to read one file. `fields` limits the columns that are kept (comma-separated
-    letters, blank for all); `field_date` is the letter of the date column."""
+    letters, blank for all); `field_date` is the letter of the date column. With `multi_line`
+    quoted cells may hold line breaks; such a file is read by one task."""
 
     path: str
     file_id: int
@@ -27,22 +28,68 @@ class StagedFile:
     separator: str = ","
     activity_id: int | None = None
     forecast_id: int | None = None
+    multi_line: bool = False
+
 
 #: Files whose first lines are broadcast at most; beyond, they are joined by shuffle.
 MOST_BROADCAST_FILES = 50_000
 #: What a line has past the last column that can be stored.
 BEYOND = "beyond"
+_CELLS = ", ".join(f"`{c}` string" for c in [*LETTERS, BEYOND])
+
+
+def configured_files(files: DataFrame, folder: str, **more) -> list[StagedFile]:
+    """The active rows of an `import_file` table as files of `folder`, in order of their id.
+
+    `more` are settings the table does not hold, such as `separator` and `multi_line`.
+    """
+    rows = files.where(F.coalesce("active", F.lit(True))).orderBy("file_id").collect()
+    return [
+        StagedFile(
+            f"{folder.rstrip('/')}/{r['file_name']}",
+            r["file_id"],
+            r["source"] or "",
+            1 if r["site_id"] is None else r["site_id"],
+            r["rows_skip"] or 0,
+            r["fields"] or "",
+            (r["field_date"] or "").strip(),
+            (r["field_date_format"] or "").strip() or StagedFile.field_date_format,
+            activity_id=r["activity_id"],
+            forecast_id=r["forecast_id"],
+            **more,
+        )
+        for r in rows
+    ]
+
+
+def staged_cells(value: Column, separator: str = ",") -> Column:
+    """The cells of a line, by letter; what follows the last letter is in `beyond`."""
+    return F.from_csv(value, _CELLS, {"sep": separator})
+
+
+def staged_number(cell: Column) -> Column:
+    return F.trim(cell).try_cast("double")
+
+
+def staged_date(cell: Column, format: str = StagedFile.field_date_format) -> Column:
+    """A cell as a time stamp; null where it does not have the format."""
+    return F.try_to_timestamp(F.trim(cell), F.lit(format))
 
 
 def read_staged_files(spark: SparkSession, files: Sequence[StagedFile], session: str = "") -> DataFrame:
-    """All files as staged rows. Files are split like any text input; one record per line."""
+    """All files as staged rows. Files are split like any text input, one
+    record per line, unless they are `multi_line`."""
     return union_all(_read(spark, f, session) for f in files)
 
 
 def _read(spark: SparkSession, file: StagedFile, session: str) -> DataFrame:
-    text = spark.read.text(file.path)
+    if file.multi_line:
+        read = spark.read.schema(_CELLS).csv(file.path, sep=file.separator, multiLine=True, escape='"')
+        text = read.select(F.struct(*read.columns).alias("cell"), "_metadata")
+    else:
+        text = spark.read.text(file.path).select("value", "_metadata")
     lines = text.select(
-        "value",
+        "*",
         F.monotonically_increasing_id().alias("line_no"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -60,15 +107,13 @@ def _read(spark: SparkSession, file: StagedFile, session: str) -> DataFrame:
         lines = lines.join(head, "path").where(
             (F.col("block_start") > 0) | (F.col("line_no") >= F.col("first_no") + file.rows_skip)
         )
-    cells = F.from_csv(
-        "value", ", ".join(f"`{c}` string" for c in [*LETTERS, BEYOND]), {"sep": file.separator}
-    )
     wide = F.raise_error(F.concat(F.lit("more columns than BZ in "), F.col("path"))).cast("boolean")
-    rows = lines.where(F.trim("value") != "").withColumn("cell", cells)
-    rows = rows.where(F.when(F.col("cell")[BEYOND].isNotNull(), wide).otherwise(True)).select("line_no", "cell")
+    if not file.multi_line:
+        lines = lines.where(F.trim("value") != "").withColumn("cell", staged_cells(F.col("value"), file.separator))
+    rows = lines.where(F.when(F.col("cell")[BEYOND].isNotNull(), wide).otherwise(True)).select("line_no", "cell")
     kept = {c.strip().upper() for c in file.fields.split(",") if c.strip()} or set(LETTERS)
     date = (
-        F.try_to_timestamp(F.trim(F.col("cell")[file.field_date.upper()]), F.lit(file.field_date_format))
+        staged_date(F.col("cell")[file.field_date.upper()], file.field_date_format)
         if file.field_date
         else F.lit(None).cast("timestamp")
     )

@@ -25,7 +25,7 @@ from chronoweave.plans.config import resolve_config, with_parameters
 from chronoweave.plans.runner import Runner, Tables, totals
 from chronoweave.plans.store import FactStore
 from chronoweave.sources.views import labelled_values
-from chronoweave.sources.staged import StagedFile, read_staged_files
+from chronoweave.sources.staged import StagedFile, configured_files, read_staged_files
 
 D = dt.date
 NOW = dt.datetime(2024, 3, 15, 12, 0, tzinfo=dt.timezone.utc)
@@ -579,6 +579,28 @@ def test_staged_columns_past_the_last_are_an_error(spark, tmp_path):
         read_staged_files(spark, [StagedFile(str(tmp_path / "wide.csv"), 1)]).collect()
 
 
+def test_quoted_line_breaks_and_configured_files(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('title\nday,note,n\n2024-01-03,"x\ny ""z""",1\n2024-01-04,b,2\n')
+    rows = [
+        {"file_id": 9, "file_name": "q.csv", "source": "Q", "rows_skip": 2, "fields": "A,B", "field_date": "a", "active": True,
+         "site_id": 4, "forecast_id": 3},
+        {"file_id": 10, "file_name": "gone.csv", "active": False},
+    ]
+    files = configured_files(local_table(spark, rows, IMPORT_FILE), str(tmp_path), multi_line=True)
+    assert [(f.file_id, f.rows_skip, f.site_id, f.forecast_id, f.field_date_format) for f in files] == [(9, 2, 4, 3, "yyyy-MM-dd")]
+    got = sorted((str(r["date"])[:10], r["B"], r["C"], r["source"]) for r in read_staged_files(spark, files).collect())
+    assert got == [("2024-01-03", 'x\ny "z"', None, "Q"), ("2024-01-04", "b", None, "Q")]
+
+
+def test_split_reads_the_months_of_its_filter(spark, day_facts, tmp_path):
+    store = FactStore(spark, str(tmp_path / "s"))
+    store.append(day_facts([(f"{y}-{m:02}-01", 1, 1, 1.0) for y in (2022, 2023) for m in (1, 2)]))
+    for text, n in (("year = 2022", 2), ("year_month = 202301", 1)):
+        rows = store.read_by_month().where(text)
+        assert rows.count() == n
+        assert rows.inputFiles() and "PartitionFilters: []" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_only_months_of_each_scope_are_touched(spark, day_facts, tmp_path):
     store = FactStore(spark, str(tmp_path / "s"))
     store.append(day_facts([(f"20{y:02}-01-01", 1, 1, 1.0) for y in range(1, 24)]))

@@ -10,6 +10,7 @@ from chronoweave.functions.text import flag_set
 from chronoweave.model import Run
 from chronoweave.operators.imports import delta_windows, import_day, import_intraday
 from chronoweave.operators.replace import Scope, replace_range, replaced_counts, write_back
+from chronoweave.sources.staged import staged_cells, staged_date, staged_number
 from workload.inputs import (
     EVENT_ACTIVITY,
     EVENT_SOURCE,
@@ -130,7 +131,7 @@ FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')"""
 
 
 def _line_filters() -> list[tuple[str, str | None, int]]:
-    """(flag, status or None for any, line number): more filters than one pass tries."""
+    """(flag, status or None for any, line number): all are looked up by joins."""
     return [(f, s, n) for f in "ANR" for s in ("O", "F", None) for n in range(1, 8)]
 
 
@@ -400,18 +401,22 @@ SELECT event_id, i AS import_id, i AS updated_by FROM (
 
 
 def q_staged_file_cast(spark, sf):
-    """Staged text cells as numbers and dates; what does not parse is null."""
-    cells = table(spark, sf, "orders").select(
+    """Orders as CSV lines, read by the staged files' own parsing; what does not parse is null."""
+    lines = table(spark, sf, "orders").select(
         "o_orderkey",
-        F.when(F.col("o_orderstatus") == "P", F.lit("x")).otherwise(F.concat(F.lit(" "), F.col("o_custkey").cast("string"))).alias("A"),
-        F.when(F.col("o_orderstatus") == "F", F.lit("")).otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("H"),
-        F.date_format("o_orderdate", "dd-MM-yyyy").alias("D"),
+        F.concat_ws(
+            ";",
+            F.when(F.col("o_orderstatus") == "P", F.lit("x")).otherwise(F.concat(F.lit('" '), F.col("o_custkey"), F.lit('"'))),
+            F.date_format("o_orderdate", "dd-MM-yyyy"),
+            F.when(F.col("o_orderstatus") == "F", F.lit("")).otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")),
+        ).alias("line"),
     )
+    cells = lines.withColumn("cell", staged_cells(F.col("line"), ";"))
     return cells.select(
         "o_orderkey",
-        F.trim("A").try_cast("int").alias("a_int"),
-        F.trim("H").try_cast("double").alias("h_real"),
-        F.try_to_timestamp("D", F.lit("dd-MM-yyyy")).cast("date").alias("d_date"),
+        staged_number(F.col("cell.A")).cast("int").alias("a_int"),
+        staged_number(F.col("cell.C")).alias("h_real"),
+        staged_date(F.col("cell.B"), "dd-MM-yyyy").cast("date").alias("d_date"),
     )
 
 
@@ -421,7 +426,51 @@ SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS INTEGER
        CAST(o_orderdate AS DATE) AS d_date
 FROM orders"""
 
+
+def q_import_range_filters(spark, sf):
+    """An import per price range: sixty filters that no lookup can settle."""
+    runs = [
+        Run(
+            import_id=700 + n, activity_id=n, forecast_id=1, group_by="o_orderdate",
+            filter=f"o_totalprice >= {n * 10000} and o_totalprice < {(n + 1) * 10000}",
+            fields_source="sum(o_totalprice), count(*)", fields_target="value1,value2",
+        )
+        for n in range(60)
+    ]
+    return shown(import_day(table(spark, sf, "orders"), runs), "value1", "value2")
+
+
+SQL_IMPORT_RANGE_FILTERS = """
+SELECT CAST(o_orderdate AS DATE) AS date, CAST(floor(o_totalprice / 10000) AS INTEGER) AS activity_id, 1 AS forecast_id, 1 AS site_id,
+       CAST(700 + floor(o_totalprice / 10000) AS INTEGER) AS import_id,
+       round(sum(o_totalprice), 4) AS value1, CAST(count(*) AS DOUBLE) AS value2
+FROM orders WHERE o_totalprice >= 0 AND o_totalprice < 600000 GROUP BY ALL"""
+
+
+def q_import_nested_names(spark, sf):
+    """Elements of arrays, fields of a struct named like a table letter, and bracketed names."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderdate", "o_orderpriority", F.struct(F.col("o_totalprice").alias("value"), F.col("o_orderstatus").alias("id")).alias("data")
+    )
+    runs = [
+        Run(
+            import_id=800 + n, activity_id=n, forecast_id=1, group_by="[o_orderdate]",
+            filter=f"split([o_orderpriority], '-')[0] = '{n}' and data.id <> 'S.P'",
+            fields_source="sum(data.value)", fields_target="[value1]",
+        )
+        for n in range(1, 6)
+    ]
+    return shown(import_day(orders, runs), "value1")
+
+
+SQL_IMPORT_NESTED_NAMES = """
+SELECT CAST(o_orderdate AS DATE) AS date, CAST(left(o_orderpriority, 1) AS INTEGER) AS activity_id, 1 AS forecast_id, 1 AS site_id,
+       800 + CAST(left(o_orderpriority, 1) AS INTEGER) AS import_id, round(sum(o_totalprice), 4) AS value1
+FROM orders WHERE o_orderpriority[2] = '-' GROUP BY ALL"""
+
 QUERIES = {
+    "import_range_filters": q_import_range_filters,
+    "import_nested_names": q_import_nested_names,
     "import_day": q_import_day,
     "import_day_sumfields": q_import_day_sumfields,
     "import_day_nogroupby": q_import_day_nogroupby,
@@ -439,6 +488,8 @@ QUERIES = {
     "staged_file_cast": q_staged_file_cast,
 }
 ORACLE = {
+    "import_range_filters": SQL_IMPORT_RANGE_FILTERS,
+    "import_nested_names": SQL_IMPORT_NESTED_NAMES,
     "import_day": SQL_IMPORT_DAY,
     "import_day_sumfields": SQL_IMPORT_DAY_SUMFIELDS,
     "import_day_nogroupby": SQL_IMPORT_DAY_NOGROUPBY,
