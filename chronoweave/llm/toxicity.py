@@ -3,7 +3,7 @@
 Disguised stretches (digits and signs for letters, letters set apart, letters repeated) become
 lattices of the characters that may have been meant, each with what the channel charges for it.
 A Viterbi search finds the likeliest reading under a trigram model of characters, counted over
-all texts. The restored text is scored by words learned from labelled rows.
+all texts. The restored text is scored by words and beginnings of words learned from labelled rows.
 
 Character counts are combined in each task and come to as many rows as there are trigrams of 28
 symbols. Words are counted over a bounded sample of labelled rows in Spark; the weights of a few
@@ -30,6 +30,8 @@ from chronoweave.llm.language_id import remainder
 TRAINING_ROWS = 24_000
 #: Texts that a word must be in to be learned, and words that are learned at most, the surest first.
 LEAST_TEXTS, MOST_WORDS = 4, 4000
+#: Lengths of the beginnings of longer words that are learned like words; written with a hyphen.
+BEGINNINGS = (4, 5, 6, 7)
 #: Score from which a text is called toxic.
 TOXIC = 0.7
 #: What the channel charges: for a sign instead of its letter, for leaving a sign out, for a letter
@@ -168,20 +170,32 @@ class Model:
 
     costs: np.ndarray
     words: dict[str, float] = field(default_factory=dict)
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(5))
-    means: np.ndarray = field(default_factory=lambda: np.zeros(4))
-    spreads: np.ndarray = field(default_factory=lambda: np.ones(4))
-
-    def features(self, found: list[float]) -> list[float]:
-        """Of the weights of a text's learned words: the three largest, and the sum of all."""
-        top = sorted(found, reverse=True)[:3]
-        return [*top, *[0.0] * (3 - len(top)), math.log1p(sum(found))]
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(6))
+    means: np.ndarray = field(default_factory=lambda: np.zeros(5))
+    spreads: np.ndarray = field(default_factory=lambda: np.ones(5))
+
+    def features(self, words: set[str]) -> list[float]:
+        """Of the weights of a text's words: the three largest and the sum of all; and their number.
+
+        A word counts by the surest of itself and its learned beginnings.
+        """
+        known, found = self.words, []
+        for word in words:
+            forms = [known[f] for f in (word, *beginnings(word)) if f in known]
+            if forms:
+                found.append(max(forms))
+        found.sort(reverse=True)
+        return [*found[:3], *[0.0] * (3 - len(found)), math.log1p(sum(found)), math.log1p(len(words))]
 
     def score(self, features: np.ndarray) -> np.ndarray:
         z = self.weights[0] + ((features - self.means) / self.spreads) @ self.weights[1:]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def beginnings(word: str) -> list[str]:
+    return [word[:n] + "-" for n in BEGINNINGS if len(word) > n]
+
+
 def words_of(text: str | None, decoder: Decoder) -> set[str]:
     """The distinct words of a text once it is restored."""
     return set(_WORD.findall(decoder.restore((text or "").lower())))
@@ -227,7 +241,8 @@ def fit(
 
         for batch in batches:
             for content, toxic in zip(*batch.columns):
-                seen[toxic.as_py()].update(words_of(content.as_py(), decoder))
+                words = words_of(content.as_py(), decoder)
+                seen[toxic.as_py()].update(words.union(*map(beginnings, words)))
                 if len(seen[0]) + len(seen[1]) > 200_000:
                     yield counted()
         yield counted()
@@ -272,14 +287,11 @@ def _features(docs: DataFrame, model: Model, keep: list[str], text: str) -> Data
 
     def make() -> Callable:
         own = shared.value
-        decoder, weights = Decoder(own.costs), own.words
+        decoder = Decoder(own.costs)
 
         def work(texts: pa.Array) -> list[pa.Array]:
-            rows = []
-            for value in texts:
-                words = words_of(value.as_py(), decoder)
-                rows.append(own.features([weights[w] for w in sorted(words & weights.keys())]))
-            score = own.score(np.array(rows, float).reshape(-1, 4))
+            rows = [own.features(words_of(value.as_py(), decoder)) for value in texts]
+            score = own.score(np.array(rows, float).reshape(-1, len(own.means)))
             return [pa.array(rows, pa.list_(pa.float64())), pa.array(score, pa.float64())]
 
         return work

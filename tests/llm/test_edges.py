@@ -1,7 +1,9 @@
 """Every operator on nulls, blanks, ties, repeated rows, empty tables and clashing column names."""
 
 import hashlib
+import math
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -144,6 +146,13 @@ def test_disguised_words_are_restored(spark):
         assert decoder.restore(disguised) == meant
 
 
+def test_toxic_words_count_by_their_surest_form():
+    model = toxicity.Model(np.zeros((28, 28, 28)), {"lout": 2.0, "lout-": 3.0, "loutis-": 1.0, "oaf": 4.0})
+    assert toxicity.beginnings("lout") == [] and toxicity.beginnings("loutish") == ["lout-", "louti-", "loutis-"]
+    assert model.features({"lout", "loutish", "oaf", "kind"}) == [4.0, 3.0, 2.0, math.log1p(9), math.log1p(4)]
+    assert model.features(set()) == [0.0] * 5
+
+
 def test_pages(spark):
     html = '<div class="nav">menu</div><div class="post-7"><h1>Title</h1><p>Some&nbsp;text<br>here &amp; there<p>More</div><footer>f</footer>'
     rows = [(1, "http://h/1", html), (2, "http://h/2", html.replace("7", "8")), (3, "http://h/3", None), (4, None, ""), (4, None, "")]
