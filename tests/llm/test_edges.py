@@ -83,6 +83,8 @@ def test_language(docs):
         lettered = any(c.isalpha() for c in text or "")
         assert found.lang == ("en" if lettered else "und") and found.rejected != lettered and 0 <= found.score <= 1
     assert language_id.accepted_documents(docs, model).columns == docs.columns
+    signs = docs.sparkSession.createDataFrame([("² ½ Ⅷ ٣",), ("ª",)], "text string")
+    assert [r[-1].lang for r in language_id.predict(signs, model).collect()] == ["und", "en" if model else "und"]
     nothing = language_id.fit(docs, F.lit(False))
     assert nothing is None
     assert language_id.accepted_documents(docs, nothing).count() == language_id.accepted_documents(docs, model).count()
