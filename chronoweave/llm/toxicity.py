@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.llm.common import annotate, checkpoint, pieces, quoted, utf8
-from chronoweave.llm.language_id import remainder
 
 #: Labelled rows to learn from, at most.
 TRAINING_ROWS = 24_000
@@ -174,13 +173,19 @@ class Model:
     means: np.ndarray = field(default_factory=lambda: np.zeros(5))
     spreads: np.ndarray = field(default_factory=lambda: np.ones(5))
 
+    def __post_init__(self) -> None:
+        #: What a word must begin with for any of its forms to be known.
+        self.starts = {form[: min(BEGINNINGS)] for form in self.words}
+
     def features(self, words: set[str]) -> list[float]:
         """Of the weights of a text's words: the three largest and the sum of all; and their number.
 
         A word counts by the surest of itself and its learned beginnings.
         """
-        known, found = self.words, []
+        known, starts, n, found = self.words, self.starts, min(BEGINNINGS), []
         for word in words:
+            if word[:n] not in starts:
+                continue
             forms = [known[f] for f in (word, *beginnings(word)) if f in known]
             if forms:
                 found.append(max(forms))
@@ -207,7 +212,8 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, id: str, text: str
     Rows are drawn by a hash of the id; half of the room is for toxic ones, if there are so many.
     """
     own = labels.select(labels["doc_id"].alias("of"), labels[quoted(label)].cast("int").alias("toxic")).where("toxic in (0, 1)")
-    own = own.where(remainder(F.col("of"), 3) != 1).groupBy("of").agg(F.max("toxic").alias("toxic"))
+    learned = docs.where(learn).select(docs[quoted(id)].alias("id"))
+    own = own.groupBy("of").agg(F.max("toxic").alias("toxic")).join(learned, F.col("of") == F.col("id"), "left_semi")
     draw = F.xxhash64(F.col("of").cast("string"), F.lit("toxicity"))
     half = [own.where(F.col("toxic") == t).orderBy(draw, "of").limit(rows // 2) for t in (0, 1)]
     chosen = checkpoint(half[0].union(half[1]))
@@ -258,7 +264,7 @@ def fit(
     total = counts.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     sure = total.where(F.col("toxic") >= LEAST_TEXTS).withColumn("weight", odds).where("weight > 0.5")
     best = sure.orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "word").limit(MOST_WORDS)
-    model.words = {r.word: r.weight for r in best.select("word", "weight").collect()}
+    model = Model(model.costs, {r.word: r.weight for r in best.select("word", "weight").collect()})
     scored = _features(chosen.where("part = 0"), model, ["toxic"], "text").select("toxic", "found.features")
     rows_ = [(r.toxic, r.features) for r in scored.collect()]
     if rows_:
