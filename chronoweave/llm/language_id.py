@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.llm.common import added, annotate, pieces, quoted, utf8
@@ -27,6 +27,9 @@ BUCKETS, LENGTHS, SIZE = 8192, (2, 3, 4), 16
 ROWS_PER_LANGUAGE, MOST_LANGUAGES = 800, 64
 #: Training: passes, rows in a step, step size, seed.
 PASSES, STEP_ROWS, RATE, SEED = 12, 32, 6.0, 11
+#: Steps at least, for which a small sample has more passes; rows of each language in a pass at least,
+#: for which a rare language's rows are repeated.
+LEAST_STEPS, LEAST_SEEN = 960, 80
 #: A text is rejected near chance, below NEAR. Where that leaves over WRONG of wrong languages, below the
 #: confidence that does not; but at most LOST of the rightly predicted texts are rejected.
 NEAR, WRONG, LOST = 0.35, 0.01, 0.001
@@ -121,10 +124,14 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languag
     rng = np.random.default_rng(SEED)
     embedding = rng.normal(0, 0.1, (BUCKETS, SIZE)).astype(np.float32)
     weight, bias = np.zeros((SIZE, len(languages)), np.float32), np.zeros(len(languages), np.float32)
-    n_steps = PASSES * -(-len(rows) // STEP_ROWS)
+    often = -(-LEAST_SEEN // np.maximum(1, np.bincount(labels, minlength=len(languages))))
+    seen = np.repeat(np.arange(len(rows)), often[labels])
+    in_pass = -(-len(seen) // STEP_ROWS)
+    n_passes = max(PASSES, -(-LEAST_STEPS // in_pass))
+    n_steps = n_passes * in_pass
     done = 0
-    for _ in range(PASSES):
-        for chosen in np.array_split(rng.permutation(len(rows)), -(-len(rows) // STEP_ROWS)):
+    for _ in range(n_passes):
+        for chosen in np.array_split(rng.permutation(seen), in_pass):
             at = np.concatenate([rows[i][0] for i in chosen])
             share = np.concatenate([rows[i][1] for i in chosen])[:, None]
             places = np.cumsum([0, *[len(rows[i][0]) for i in chosen]])
@@ -177,9 +184,9 @@ def fit(
 ) -> Model | None:
     """A model learned from the rows that `learn` holds for; None if there is nothing to learn.
 
-    At most rows_per_language * number of languages rows are used, drawn by a hash of id and
-    text, so that a language's copies are one row and the same table gives the same model. A fifth of
-    them, by the same hash, calibrates. Empty texts and null labels are not learned from.
+    At most rows_per_language rows of each language are used, however frequent the others are, drawn
+    by a hash of id and text, so that a language's copies are one row and the same table gives the
+    same model. A fifth of them, by the same hash, calibrates. Empty texts and null labels are not learned from.
     """
     own, content = docs[quoted(label)].cast("string"), docs[quoted(text)]
     named = docs.where(learn & own.isNotNull())
@@ -205,15 +212,17 @@ def fit(
 
     bags = annotate(sample, "at binary, share binary", make, ["text"], ["label", "draw"])
     wanted = bags.select("draw", "label", added(bags, "at").alias("at"), added(bags, "share").alias("share"))
-    rows = wanted.where(F.length("at") > 0).distinct().orderBy("draw", "label", "at").limit(rows_per_language * len(counts)).collect()
+    place = F.row_number().over(Window.partitionBy("label").orderBy("draw", "at"))
+    first = wanted.where(F.length("at") > 0).distinct().withColumn("place", place).where(F.col("place") <= rows_per_language)
+    rows = sorted(first.collect(), key=lambda r: (r.draw, r.label, r.at))
     languages = sorted({r.label for r in rows})
     if not languages:
         return None
     labels = np.array([languages.index(r.label) for r in rows])
     parsed = [(np.frombuffer(r.at, "<u2").astype(np.int64), np.frombuffer(r.share, "<f4")) for r in rows]
     kept_back = np.array([int(r.draw * (1 << 40)) % 5 == 0 for r in rows])
-    if kept_back.all():
-        kept_back[:] = False
+    # A language without any other row is learned from those.
+    kept_back &= (np.bincount(labels[~kept_back], minlength=len(languages)) > 0)[labels]
     model = train([parsed[i] for i in np.flatnonzero(~kept_back)], labels[~kept_back], languages)
     calibrate(model, [parsed[i] for i in np.flatnonzero(kept_back)], labels[kept_back])
     return model

@@ -90,6 +90,31 @@ def test_language(docs):
     assert language_id.accepted_documents(docs, nothing).count() == language_id.accepted_documents(docs, model).count()
 
 
+def invented(n_languages, n_rows, seed=3):
+    """n_rows[k] texts of an invented language k each, from words of its own: (label, text)."""
+    rng, letters, rows = np.random.default_rng(seed), list("abcdefghijklmnopqrstuvwxyz"), []
+    for k in range(n_languages):
+        words = ["".join(rng.choice(letters, 5)) for _ in range(12)]
+        rows += [(f"l{k:02}", " ".join(rng.choice(words, 12))) for _ in range(n_rows[k])]
+    return rows
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+
+
+def called(table, model):
+    """(lang, what it is called) of the rows and the struct found."""
+    return [(r.lang, r[-1]) for r in language_id.predict(table, model).collect()]
+
+
+def test_a_rare_language_is_learned(spark):
+    table = labelled(spark, invented(9, [1500] * 8 + [25]))
+    model = language_id.fit(table, F.lit(True), rows_per_language=100)
+    rare = [found.lang for lang, found in called(table, model) if lang == "l08"]
+    assert rare.count("l08") >= 24
+
+
 def test_encoding(docs):
     plain = bpe.codec(PATH, public_tokenizers.PATTERN).plain
     for r in bpe.encode_documents(docs, PATH, public_tokenizers.PATTERN).collect():
