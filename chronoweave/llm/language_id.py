@@ -179,33 +179,34 @@ def fit(
     learn: Column,
     text: str = "text",
     label: str = "lang",
-    id: str = "doc_id",
     rows_per_language: int = ROWS_PER_LANGUAGE,
 ) -> Model | None:
     """A model learned from the rows that `learn` holds for; None if there is nothing to learn.
 
     At most rows_per_language rows of each language are used, however frequent the others are, drawn
-    by a hash of id and text, so that a language's copies are one row and the same table gives the
-    same model. A fifth of them, by the same hash, calibrates. Empty texts and null labels are not learned from.
+    by a hash of the text, so that a language's copies are one row and the same table gives the
+    same model. A fifth of them, by the same hash, calibrates; copies are not on both sides. Empty texts and null labels are not learned from.
     """
     own, content = docs[quoted(label)].cast("string"), docs[quoted(text)]
-    named = docs.where(learn & own.isNotNull())
-    counts = dict(named.groupBy(own.alias("l")).count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect())
+    named = docs.where(learn & own.isNotNull() & (F.octet_length(content) > 0))
+    copies = F.xxhash64(content, F.lit("language"))
+    counts = dict(named.select(own.alias("l"), copies).distinct().groupBy("l").count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect())
     if not counts:
         return None
     share = {k: min(1.0, 1.3 * rows_per_language / n) for k, n in counts.items()}
     limits = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
-    draw = F.pmod(F.xxhash64(docs[quoted(id)].cast("string"), F.lit("language")), F.lit(1 << 40)) / float(1 << 40)
-    sample = named.where(draw < F.coalesce(limits[own], F.lit(0.0))).where(F.octet_length(content) > 0)
+    draw = F.pmod(copies, F.lit(1 << 40)) / float(1 << 40)
+    sample = named.where(draw < F.coalesce(limits[own], F.lit(0.0)))
     sample = sample.select(own.alias("label"), content.alias("text"), draw.alias("draw"))
 
     def make() -> Callable:
         def work(texts: pa.Array) -> list[pa.Array]:
-            data, offsets = utf8(texts)
+            each = texts.dictionary_encode()
+            data, offsets = utf8(each.dictionary)
             bags = [bag(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
             return [
-                pa.array([at.astype("<u2").tobytes() for at, _ in bags], pa.binary()),
-                pa.array([s.astype("<f4").tobytes() for _, s in bags], pa.binary()),
+                pa.array([at.astype("<u2").tobytes() for at, _ in bags], pa.binary()).take(each.indices),
+                pa.array([s.astype("<f4").tobytes() for _, s in bags], pa.binary()).take(each.indices),
             ]
 
         return work

@@ -115,6 +115,20 @@ def test_a_rare_language_is_learned(spark):
     assert rare.count("l08") >= 24
 
 
+def test_copies_are_learned_from_once(spark, monkeypatch):
+    rows = invented(3, [1000, 1000, 60])
+    table = labelled(spark, rows + rows[-1:] * 1000)
+    seen, train, calibrate = [], language_id.train, language_id.calibrate
+
+    def noted(step, bags, labels):
+        seen.extend((step, label, at.tobytes(), share.tobytes()) for (at, share), label in zip(bags, labels))
+
+    monkeypatch.setattr(language_id, "train", lambda b, l, n: noted("train", b, l) or train(b, l, n))
+    monkeypatch.setattr(language_id, "calibrate", lambda m, b, l: noted("calibrate", b, l) or calibrate(m, b, l))
+    language_id.fit(table, F.lit(True), rows_per_language=60)
+    assert len(seen) == len({s[1:] for s in seen}) and sum(s[1] == 2 for s in seen) == 60
+
+
 def test_encoding(docs):
     plain = bpe.codec(PATH, public_tokenizers.PATTERN).plain
     for r in bpe.encode_documents(docs, PATH, public_tokenizers.PATTERN).collect():
