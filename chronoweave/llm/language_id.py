@@ -23,8 +23,9 @@ from chronoweave.llm.common import added, annotate, pieces, quoted, utf8
 
 #: Buckets of subwords, lengths of subwords in bytes, size of an embedding.
 BUCKETS, LENGTHS, SIZE = 8192, (2, 3, 4), 16
-#: The sample: rows wanted for each language, and at most so many languages, the most frequent.
-ROWS_PER_LANGUAGE, MOST_LANGUAGES = 800, 64
+#: The sample: rows wanted for each language. So many that all languages have together MOST_ROWS are
+#: enough, but LEAST_ROWS of each are wanted however many languages there are.
+ROWS_PER_LANGUAGE, MOST_ROWS, LEAST_ROWS = 800, 51_200, 100
 #: Training: passes, rows in a step, step size, seed.
 PASSES, STEP_ROWS, RATE, SEED = 12, 32, 6.0, 11
 #: Steps at least, for which a small sample has more passes; rows of each language in a pass at least,
@@ -41,8 +42,8 @@ _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
-#: Bytes of texts whose subwords are made at a time.
-_PIECE = 1 << 20
+#: Bytes of texts whose subwords are made at a time; scores of texts by languages made at a time.
+_PIECE, _SCORES = 1 << 20, 1 << 20
 
 
 def subwords(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -82,13 +83,34 @@ def group_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """languages; per bucket what it adds to each language's score; bias; temperature; threshold."""
+    """languages; per bucket what it adds to each language's score; bias; temperature; threshold.
+
+    With more languages than SIZE the table has the embeddings and `weight` makes scores of them.
+    """
 
     languages: list[str]
     table: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    weight: np.ndarray | None = None
+
+    def scores(self, means: np.ndarray) -> np.ndarray:
+        """Scores of texts that are given by the means of their subwords' rows of the table."""
+        return (means if self.weight is None else means @ self.weight) + self.bias
+
+    def blocks(self, n: int) -> list[slice]:
+        """Ranges of n texts whose scores are made together, however many languages there are."""
+        step = max(1, _SCORES // len(self.languages))
+        return [slice(a, min(n, a + step)) for a in range(0, n, step)]
+
+    def best(self, means: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The best language's place and its probability for each text."""
+        place, confidence = np.zeros(len(means), np.int64), np.zeros(len(means))
+        for b in self.blocks(len(means)):
+            p = self.confidences(self.scores(means[b]))
+            place[b], confidence[b] = p.argmax(axis=1), p.max(axis=1)
+        return place, confidence
 
     def confidences(self, scores: np.ndarray) -> np.ndarray:
         z = scores / self.temperature
@@ -100,13 +122,12 @@ class Model:
         n = len(offsets) - 1
         best, confidence = np.zeros(n, np.int64), np.zeros(n)
         for a, b in pieces(offsets, _PIECE):
-            total, count = np.zeros((b - a, len(self.languages))), np.zeros(b - a)
+            total, count = np.zeros((b - a, self.table.shape[1])), np.zeros(b - a)
             own = data[offsets[a] : offsets[b]]
             for bucket, at in subwords(own, offsets[a : b + 1] - offsets[a]):
                 total += group_sums(self.table[bucket], at)
                 count += np.diff(at)
-            p = self.confidences(total / np.maximum(count, 1)[:, None] + self.bias)
-            best[a:b], confidence[a:b] = p.argmax(axis=1), p.max(axis=1)
+            best[a:b], confidence[a:b] = self.best(total / np.maximum(count, 1)[:, None])
         return best, confidence
 
 
@@ -146,6 +167,8 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languag
             bias -= 0.1 * slope.sum(axis=0)
             np.subtract.at(embedding, at, np.repeat(back, np.diff(places), axis=0) * share)
             done += 1
+    if len(languages) > SIZE:
+        return Model(languages, embedding, bias, weight=weight)
     return Model(languages, (embedding @ weight).astype(np.float32), bias)
 
 
@@ -153,14 +176,17 @@ def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray]], labels: n
     """Sets temperature and threshold by rows that were not trained on."""
     if not rows:
         return
-    scores = np.array([share @ model.table[at] for at, share in rows]) + model.bias
-    loss = {}
-    for t in np.geomspace(1, 20, 41):
-        model.temperature = float(t)
-        loss[t] = -np.log(np.maximum(model.confidences(scores)[np.arange(len(rows)), labels], 1e-12)).mean()
+    means = np.array([share @ model.table[at] for at, share in rows])
+    temperatures = np.geomspace(1, 20, 41)
+    loss = dict.fromkeys(temperatures, 0.0)
+    for b in model.blocks(len(rows)):
+        scores, own = model.scores(means[b]), labels[b]
+        for t in temperatures:
+            model.temperature = float(t)
+            loss[t] -= np.log(np.maximum(model.confidences(scores)[np.arange(len(own)), own], 1e-12)).sum()
     model.temperature = float(min(loss, key=loss.get))
-    p = model.confidences(scores)
-    confidence, right = p.max(axis=1), p.argmax(axis=1) == labels
+    best, confidence = model.best(means)
+    right = best == labels
     order = np.argsort(-confidence)
     wrong = np.cumsum(~right[order]) / np.arange(1, len(order) + 1)
     good = np.flatnonzero(wrong <= WRONG)
@@ -183,21 +209,23 @@ def fit(
 ) -> Model | None:
     """A model learned from the rows that `learn` holds for; None if there is nothing to learn.
 
-    At most rows_per_language rows of each language are used, however frequent the others are, drawn
+    Every language is learned. At most rows_per_language rows of each are used, and of more than
+    MOST_ROWS / rows_per_language languages MOST_ROWS together or LEAST_ROWS of each, drawn
     by a hash of the text, so that a language's copies are one row and the same table gives the
     same model. A fifth of them, by the same hash, calibrates; copies are not on both sides. Empty texts and null labels are not learned from.
     """
     own, content = docs[quoted(label)].cast("string"), docs[quoted(text)]
     named = docs.where(learn & own.isNotNull() & (F.octet_length(content) > 0))
     copies = F.xxhash64(content, F.lit("language"))
-    counts = dict(named.select(own.alias("l"), copies).distinct().groupBy("l").count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect())
+    counts = named.select(own.alias("l"), copies).distinct().groupBy("l").count().collect()
     if not counts:
         return None
-    share = {k: min(1.0, 1.3 * rows_per_language / n) for k, n in counts.items()}
-    limits = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
+    rows_per_language = min(rows_per_language, max(LEAST_ROWS, MOST_ROWS // len(counts)))
+    share = [(r["l"], min(1.0, 1.3 * rows_per_language / r["count"])) for r in counts]
+    share = F.broadcast(docs.sparkSession.createDataFrame(share, "of string, share double"))
     draw = F.pmod(copies, F.lit(1 << 40)) / float(1 << 40)
-    sample = named.where(draw < F.coalesce(limits[own], F.lit(0.0)))
-    sample = sample.select(own.alias("label"), content.alias("text"), draw.alias("draw"))
+    sample = named.select(own.alias("label"), content.alias("text"), draw.alias("draw"))
+    sample = sample.join(share, (F.col("label") == F.col("of")) & (F.col("draw") < F.col("share"))).drop("of", "share")
 
     def make() -> Callable:
         def work(texts: pa.Array) -> list[pa.Array]:
@@ -219,8 +247,9 @@ def fit(
     languages = sorted({r.label for r in rows})
     if not languages:
         return None
-    labels = np.array([languages.index(r.label) for r in rows])
-    parsed = [(np.frombuffer(r.at, "<u2").astype(np.int64), np.frombuffer(r.share, "<f4")) for r in rows]
+    place_of = {language: i for i, language in enumerate(languages)}
+    labels = np.array([place_of[r.label] for r in rows])
+    parsed = [(np.frombuffer(r.at, "<u2"), np.frombuffer(r.share, "<f4")) for r in rows]
     kept_back = np.array([int(r.draw * (1 << 40)) % 5 == 0 for r in rows])
     # A language without any other row is learned from those.
     kept_back &= (np.bincount(labels[~kept_back], minlength=len(languages)) > 0)[labels]

@@ -115,6 +115,14 @@ def test_a_rare_language_is_learned(spark):
     assert rare.count("l08") >= 24
 
 
+def test_every_language_is_learned(spark):
+    table = labelled(spark, invented(70, [20 + k % 2 for k in range(70)]))
+    model = language_id.fit(table, F.lit(True))
+    found = called(table, model)
+    assert len(model.languages) == 70 and {lang for lang, f in found if f.lang == lang} == set(model.languages)
+    assert sum(lang == f.lang for lang, f in found) >= 0.97 * len(found)
+
+
 def test_copies_are_learned_from_once(spark, monkeypatch):
     rows = invented(3, [1000, 1000, 60])
     table = labelled(spark, rows + rows[-1:] * 1000)
