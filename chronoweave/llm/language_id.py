@@ -31,9 +31,10 @@ PASSES, STEP_ROWS, RATE, SEED = 12, 32, 6.0, 11
 #: Steps at least, for which a small sample has more passes; rows of each language in a pass at least,
 #: for which a rare language's rows are repeated.
 LEAST_STEPS, LEAST_SEEN = 960, 80
-#: A text is rejected near chance, below NEAR. Where that leaves over WRONG of wrong languages, below the
-#: confidence that does not; but at most LOST of the rightly predicted texts are rejected.
-NEAR, WRONG, LOST = 0.35, 0.01, 0.001
+#: A text is rejected below the confidence that loses LOST of the rightly predicted texts, or below a
+#: lower one that leaves at most WRONG of wrong languages where LOST would leave more; but always up
+#: to MARGIN of the way from chance, which is one in the number of languages, to certainty.
+MARGIN, WRONG, LOST = 0.15, 0.01, 0.001
 #: What a text is called that has no letter.
 UNKNOWN = "und"
 
@@ -173,7 +174,13 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languag
 
 
 def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> None:
-    """Sets temperature and threshold by rows that were not trained on."""
+    """Sets temperature and threshold by rows that were not trained on.
+
+    With one language every text is certain and none is rejected.
+    """
+    chance = 1 / len(model.languages)
+    least = chance + MARGIN * (1 - chance)
+    model.threshold = least
     if not rows:
         return
     means = np.array([share @ model.table[at] for at, share in rows])
@@ -190,9 +197,12 @@ def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray]], labels: n
     order = np.argsort(-confidence)
     wrong = np.cumsum(~right[order]) / np.arange(1, len(order) + 1)
     good = np.flatnonzero(wrong <= WRONG)
-    wanted = 1.0 if not len(good) else NEAR if good[-1] == len(order) - 1 else confidence[order[good[-1]]]
-    spared = np.quantile(confidence[right], LOST) if right.any() else 0.0
-    model.threshold = float(min(wanted, spared))
+    spared = max(least, np.quantile(confidence[right], LOST)) if right.any() else least
+    # So few rows that none of them may be lost do not tell the quantile; it is taken nearer to least.
+    spared = least + (spared - least) * min(1.0, right.sum() * LOST)
+    fitted = len(good) and good[-1] == len(order) - 1
+    wanted = spared if fitted or not len(good) else confidence[order[good[-1]]]
+    model.threshold = float(max(least, min(wanted, spared)))
 
 
 def remainder(id: Column, by: int) -> Column:
@@ -212,7 +222,8 @@ def fit(
     Every language is learned. At most rows_per_language rows of each are used, and of more than
     MOST_ROWS / rows_per_language languages MOST_ROWS together or LEAST_ROWS of each, drawn
     by a hash of the text, so that a language's copies are one row and the same table gives the
-    same model. A fifth of them, by the same hash, calibrates; copies are not on both sides. Empty texts and null labels are not learned from.
+    same model. A fifth of them, by the same hash, calibrates; copies are not on both sides. Empty
+    texts and null labels are not learned from.
     """
     own, content = docs[quoted(label)].cast("string"), docs[quoted(text)]
     named = docs.where(learn & own.isNotNull() & (F.octet_length(content) > 0))

@@ -123,6 +123,16 @@ def test_every_language_is_learned(spark):
     assert sum(lang == f.lang for lang, f in found) >= 0.97 * len(found)
 
 
+@pytest.mark.parametrize("n_learned", [2, 4])
+def test_texts_of_a_language_not_learned_are_rejected(spark, n_learned):
+    table = labelled(spark, invented(n_learned + 1, [300] * (n_learned + 1)))
+    model = language_id.fit(table, F.col("lang") != f"l{n_learned:02}")
+    rejected = {True: [], False: []}
+    for lang, found in called(table, model):
+        rejected[lang in model.languages].append(found.rejected)
+    assert np.mean(rejected[True]) <= 0.01 and np.mean(rejected[False]) >= 0.3
+
+
 def test_copies_are_learned_from_once(spark, monkeypatch):
     rows = invented(3, [1000, 1000, 60])
     table = labelled(spark, rows + rows[-1:] * 1000)
