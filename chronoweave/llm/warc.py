@@ -17,6 +17,7 @@ import base64
 import gzip
 import hashlib
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -32,6 +33,8 @@ SEGMENT_BYTES, CHUNK_BYTES, ARCHIVE_RECORDS = 16 << 10, 4 << 10, 4096
 _VERSION, _END = b"WARC/1.1\r\n", b"\r\n\r\n"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 _UNSAFE = re.compile(r"[\x00-\x20\x7f<>]")
+#: A field of our own on segments: rows with equal id and payload share identifiers, but not this.
+_COPY = "X-Segments-Copy"
 _PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -93,10 +96,12 @@ def page_records(id: str | None, url: str | None, payload: bytes, first: str | N
     if len(block) <= segment_bytes:
         yield record(head, block)
         return
-    yield record([*head, ("WARC-Segment-Number", "1")], block[:segment_bytes])
+    # Rows alike have one identifier; this field tells whose segments are whose.
+    copy = (_COPY, uuid.uuid4().hex)
+    yield record([*head, ("WARC-Segment-Number", "1"), copy], block[:segment_bytes])
     for n, at in enumerate(range(segment_bytes, len(block), segment_bytes), 2):
         own = [("WARC-Type", "continuation"), ("WARC-Record-ID", name[:-1] + f":{n}>"), ("WARC-Date", date), *target]
-        own += [("WARC-Segment-Origin-ID", name), ("WARC-Segment-Number", str(n))]
+        own += [("WARC-Segment-Origin-ID", name), ("WARC-Segment-Number", str(n)), copy]
         if at + segment_bytes >= len(block):
             own.append(("WARC-Segment-Total-Length", str(len(block))))
         yield record(own, block[at : at + segment_bytes])
@@ -214,7 +219,7 @@ def read_records(spark: SparkSession, folder: str, with_payload: bool = True) ->
     stated; else the payload's columns are null. A revisit has no payload of its own. A record
     that stands in the archives several times is several rows.
     """
-    files = spark.read.format("binaryFile").load(folder).select("content")
+    files = spark.read.format("binaryFile").load(folder).select("path", "content")
     outcome = "payload_bytes long, payload_digest string, whole boolean, payload binary"
     names = [*re.findall(r"(\w+) \w+", _HEAD), "origin", "number", "total", "block", *re.findall(r"(\w+) \w+", outcome)]
 
@@ -228,26 +233,29 @@ def read_records(spark: SparkSession, folder: str, with_payload: bool = True) ->
         return len(payload), digest, True, payload if with_payload else None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [*[pa.string()] * 6, pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.bool_(), pa.binary()]
+        types = [*[pa.string()] * 6, pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.bool_(), pa.binary(), pa.string()]
         for batch in batches:
-            for content in batch.column(0):
+            for path, content in zip(*batch.columns):
                 data, rows = content.as_py(), []
+                place = hashlib.md5(path.as_py().encode()).hexdigest()
                 for head, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                     own = [head.get(k) for k in ("warc-record-id", "warc-type", "warc-target-uri", "warc-refers-to", "warc-payload-digest")]
                     number, total = head.get("warc-segment-number"), head.get("warc-segment-total-length")
                     if number is not None:
                         origin = head.get("warc-segment-origin-id") or own[0]
-                        rows.append((*own, origin, int(number), int(total) if total else None, block, None, None, None, None))
+                        rows.append((*own, origin, int(number), int(total) if total else None, block, None, None, None, None, head.get(_COPY.lower())))
                     else:
                         result = (None, None, True, None) if own[1] == "revisit" else decoded(block, own[4])
-                        rows.append((*own, own[0], None, None, None, *result))
+                        rows.append((*own, own[0], None, None, None, *result, f"{place}-{len(rows)}"))
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(types), types)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "copy"])
 
-    found = files.mapInArrow(read, f"{_HEAD}, origin string, number int, total long, block binary, {outcome}")
+    found = files.mapInArrow(read, f"{_HEAD}, origin string, number int, total long, block binary, {outcome}, copy string")
     segment = F.when(F.col("number").isNotNull(), F.struct("number", "total", "block"))
     first = F.when(F.coalesce("number", F.lit(1)) == 1, F.struct(*names[:5], *names[9:]))
-    grouped = found.groupBy("origin").agg(F.collect_list(segment).alias("parts"), F.collect_list(first).alias("heads"))
+    # A group is one written record's segments. Only in archives of others, without the field, segments
+    # of copies of a record are together.
+    grouped = found.groupBy("origin", "copy").agg(F.collect_list(segment).alias("parts"), F.collect_list(first).alias("heads"))
 
     def assemble() -> Callable:
         def work(parts: pa.Array, heads: pa.Array) -> list[pa.Array]:

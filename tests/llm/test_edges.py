@@ -246,6 +246,19 @@ def test_archives(spark, tmp_path):
     assert warc.read_records(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_copies_of_pages_are_read_apart(spark, tmp_path, monkeypatch):
+    rows = [(None, "u", "b")] * 20 + [(None, "u", "é" * 3000)] * 20 + [(5, "u", "é" * 2000)] * 20 + [(6, "u", "é" * 2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archives(pages, f"{tmp_path}/w", segment_bytes=1000, archive_records=7)
+    groups, annotate = [], warc.annotate
+    monkeypatch.setattr(warc, "annotate", lambda df, *more: groups.append(df) or annotate(df, *more))
+    records = warc.read_records(spark, f"{tmp_path}/w")
+    assert groups[0].where("size(heads) > 1 or size(parts) > 7").count() == 0
+    assert records.where("type = 'response' and whole").count() == 60 and records.where("not whole").count() == 0
+    assert sorted({r.payload_bytes for r in warc.pages_again(records).collect()}) == [1, 4000, 6000]
+    assert warc.pages_again(records).count() == 61
+
+
 def test_broken_segments_and_framing():
     block = warc._HTTP + warc.chunked(b"abc" * 10, 7)
     assert warc.payload_of(block) == b"abc" * 10 and warc.payload_of(block[:-9]) is None
