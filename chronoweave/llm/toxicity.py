@@ -37,8 +37,8 @@ TOXIC = 0.7
 #: said again in a run of three or more or of two, for reading a separator between single letters
 #: as none or as the end of a word.
 SIGN, DROPPED, AGAIN, TWICE, JOINED, PARTED = 0.7, 8.0, 0.5, 6.0, 0.1, 3.0
-#: Disguised stretches whose reading a task remembers.
-MOST_READINGS = 100_000
+#: Disguised stretches whose reading a task remembers, and their characters; longer ones are read anew.
+MOST_READINGS, LONGEST_REMEMBERED = 100_000, 256
 
 # The letters that a digit or sign may stand for.
 SIGNS = {
@@ -53,11 +53,12 @@ _SYMBOL[65:91] = _SYMBOL[97:123] = np.arange(1, 27)
 _SYMBOL[128:] = 27
 _SIGN = "".join(SIGNS)
 _MIXED = re.compile(rf"(?<![^\W_])(?<![{re.escape(_SIGN)}])(?=[a-z]*+[{re.escape(_SIGN)}])[a-z{re.escape(_SIGN)}]{{3,}}+")
-_SPACED = re.compile(rf"(?<![^\W_])[a-z{re.escape(_SIGN)}](?:[ ._*-][a-z{re.escape(_SIGN)}](?![^\W_])){{3,}}+")
-_REPEATED = re.compile(r"(?<![^\W_])(?=[a-z]*([a-z])\1\1)[a-z]{3,64}(?![^\W_])")
+_SPACED = re.compile(rf"(?<![^\W_])[a-z{re.escape(_SIGN)}](?:(?:[._*-]|\s++)[a-z{re.escape(_SIGN)}](?![^\W_])){{2,}}+")
+_REPEATED = re.compile(r"(?<![^\W_])(?=[a-z]*([a-z])\1\1)[a-z]{3,}+(?![^\W_])")
 _RUN = re.compile(r"([a-z])\1\1")
 _WORD = re.compile(r"[^\W\d_]+")
 _LETTER = re.compile(r"[a-z]")
+_BLANKS = re.compile(r"\s+")
 
 
 def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -102,10 +103,15 @@ class Decoder:
         self.readings: dict[tuple[str, bool], str] = {}
 
     def restore(self, text: str) -> str:
-        text = _SPACED.sub(lambda m: self._read(m[0], True), text)
+        text = _SPACED.sub(self._spaced, text)
         text = _MIXED.sub(self._mixed, text)
         return _REPEATED.sub(lambda m: self._read(m[0], False), text) if _RUN.search(text) else text
 
+    def _spaced(self, m: re.Match) -> str:
+        stretch = _BLANKS.sub(" ", m[0])
+        # Three digits or signs set apart are no word.
+        return self._read(stretch, True) if len(stretch) > 5 or _LETTER.search(stretch) else m[0]
+
     def _mixed(self, m: re.Match) -> str:
         whole = m[0]
         inner = whole.rstrip("!|+*$@")
@@ -116,6 +122,8 @@ class Decoder:
         return whole.replace(inner, self._read(inner, False), 1)
 
     def _read(self, stretch: str, spaced: bool) -> str:
+        if len(stretch) > LONGEST_REMEMBERED:
+            return self.viterbi(stretch, spaced)
         known = self.readings.get((stretch, spaced))
         if known is None:
             if len(self.readings) >= MOST_READINGS:

@@ -205,6 +205,17 @@ def test_disguised_words_are_restored(spark):
         assert decoder.restore(disguised) == meant
 
 
+def test_long_and_short_disguises_are_restored(spark):
+    plain = "you are an idiot and a moron said the clown to that stupid pathetic loser in the trash"
+    docs = spark.createDataFrame([(i, plain) for i in range(50)], "doc_id long, text string")
+    decoder = toxicity.Decoder(toxicity.trigram_costs(toxicity.trigram_counts(docs)))
+    for disguised, meant in {
+        "id" + "i" * 62 + "ot": "idiot", "cl" + "o" * 3000 + "wn": "clown", "y o u": "you",
+        "i  d  i  o  t": "idiot", "s\tt\tu\tp\ti\td": "stupid", "1 0 5": "1 0 5", "a b": "a b",
+    }.items():
+        assert decoder.restore(disguised) == meant
+
+
 def test_toxic_words_count_by_their_surest_form():
     model = toxicity.Model(np.zeros((28, 28, 28)), {"lout": 2.0, "lout-": 3.0, "loutis-": 1.0, "oaf": 4.0})
     assert toxicity.beginnings("lout") == [] and toxicity.beginnings("loutish") == ["lout-", "louti-", "loutis-"]
