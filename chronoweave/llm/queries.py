@@ -15,6 +15,7 @@ from chronoweave.llm import (
     language_id,
     pii,
     simhash,
+    spelling,
     substring_dedup,
     toxicity,
     vector_dedup,
@@ -125,10 +126,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.run_counts(documents(spark, sf_dir)))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_personal_data, op3_vector_dedup, op4_language, op5_byte_bpe, op6_html_text, op7_toxicity, op8_substring_dedup, op9_simhash, op10_warc)
-}
+    for f in (
+        op1_decontamination, op2_personal_data, op3_vector_dedup, op4_language, op5_byte_bpe, op6_html_text, op7_toxicity,
+        op8_substring_dedup, op9_simhash, op10_warc, op12_spelling,
+    )
+}
 
 ORACLE: dict[str, str] = {
     "op8_substring_dedup": r"""
