@@ -20,6 +20,7 @@ from chronoweave.llm import (
     toxicity,
     vector_dedup,
     warc,
+    whitening,
 )
 from chronoweave.llm.common import added, shared_folder
 
@@ -130,11 +131,36 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(spelling.run_counts(documents(spark, sf_dir)))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    error, explained, n = None, [], 0
+    if model:
+        error, n = whitening.identity_error(vectors, model), model.n
+        explained = [float(e) / model.trace if model.trace > 0 else None for e in model.values[: whitening.COMPONENTS]]
+        found = whitening.whiten(vectors, model, keep=["vec_id"])
+    else:
+        found = vectors.select("vec_id", F.lit(None).cast("struct<whitened:array<double>,deviation:bigint>").alias("found")).limit(0)
+    shares = F.array(*[F.lit(e).cast("double") for e in explained]).cast("array<double>")
+    each = found.where(added(found, "whitened").isNotNull()).select(
+        "vec_id", added(found, "deviation").alias("deviation"), F.posexplode(added(found, "whitened")).alias("place", "whitened")
+    )
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, "place").alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_personal_data, op3_vector_dedup, op4_language, op5_byte_bpe, op6_html_text, op7_toxicity,
-        op8_substring_dedup, op9_simhash, op10_warc, op12_spelling,
+        op8_substring_dedup, op9_simhash, op10_warc, op12_spelling, op13_whitening,
     )
 }
 
