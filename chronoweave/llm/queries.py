@@ -14,6 +14,7 @@ from chronoweave.llm import (
     html_text,
     language_id,
     pii,
+    secret_scan,
     simhash,
     spelling,
     substring_dedup,
@@ -127,6 +128,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = secret_scan.fit(secret_scan.labelled_strings(docs))
+    found = secret_scan.find_secrets(docs, model, keep=["doc_id"], with_text=False)
+    return found.select("doc_id", *fields(found, "n_assign", "n_access", "n_hex", "base_sha256", "spans"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(spelling.run_counts(documents(spark, sf_dir)))
 
@@ -160,7 +168,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_personal_data, op3_vector_dedup, op4_language, op5_byte_bpe, op6_html_text, op7_toxicity,
-        op8_substring_dedup, op9_simhash, op10_warc, op12_spelling, op13_whitening,
+        op8_substring_dedup, op9_simhash, op10_warc, op11_secrets, op12_spelling, op13_whitening,
     )
 }
 
