@@ -87,20 +87,26 @@ def sql_text(text: str, columns: Collection[str] = ()) -> str:
     return _QUOTED_OR_NAME.sub(one, text or "").strip()
 
 
+_QUOTED = r"'(?:\\.|''|[^'\\])*'|\"(?:\\.|\"\"|[^\"\\])*\"|`[^`]*`"
+
+
+def split_outside(text: str, separator: str) -> list[str]:
+    """The parts of a text between separators (a pattern) that stand outside quotes and brackets."""
+    out, depth, start = [], 0, 0
+    for m in re.finditer(rf"(?P<quoted>{_QUOTED})|(?P<cut>{separator})|[(\[{{]|[)\]}}]", text, re.IGNORECASE):
+        if m["cut"] is not None and depth == 0:
+            out.append(text[start : m.start()])
+            start = m.end()
+        elif m["quoted"] is None and m[0] in "([{":
+            depth += 1
+        elif m["quoted"] is None and m[0] in ")]}":
+            depth -= 1
+    return [*out, text[start:]]
+
+
 def field_list(text: str, columns: Collection[str] = ()) -> list[str]:
     """The expressions of a comma-separated list; commas inside brackets or quotes do not split."""
-    out, depth, quoted, part = [], 0, False, ""
-    for c in sql_text(text, columns):
-        quoted ^= c == "'"
-        if not quoted:
-            depth += (c == "(") - (c == ")")
-            if c == "," and depth == 0:
-                out.append(part.strip())
-                part = ""
-                continue
-        part += c
-    out.append(part.strip())
-    return [p for p in out if p]
+    return [p.strip() for p in split_outside(sql_text(text, columns), ",") if p.strip()]
 
 
 def to_int(text: str) -> int:

@@ -4,8 +4,8 @@ Filters are free SQL text per import, so thousands of imports could mean thousan
 Here all distinct filters are tried in one pass over the rows, however many there are, and
 imports are attached afterwards by an equi-join on the number of the filter plus the keys.
 Operators aggregate between the two steps, so rows are never copied once per import. Filters
-that only compare columns with constants are looked up by an equi-join instead of being tried
-one by one.
+that only ask for constants in columns are looked up by an equi-join, those with ranges of
+values by a search in their bounds; only the others are tried one by one.
 """
 
 from __future__ import annotations
@@ -22,8 +22,11 @@ from pyspark.sql import functions as F
 from chronoweave.functions.calendar import with_calendar
 from chronoweave.functions.text import sql_text
 from chronoweave.model import Run, broadcast_if_small, local_table
+from chronoweave.operators.intervals import Conjunction, conjunction, hull, interval_hits
 
 ANY = -1
+#: So many filters with ranges are searched for; fewer are tried one by one, which costs less.
+LEAST_INDEXED = 16
 HITS = "_filter_hits"
 
 KEYS = ["filter_no", "site_id", "activity_key", "forecast_key"]
@@ -52,26 +55,34 @@ def match_filters(rows: DataFrame, filters: Sequence[str], number: str = "filter
 def with_hits(rows: DataFrame, filters: Sequence[str], only: bool = True) -> DataFrame:
     """The rows with an array of the numbers of the filters they meet, in one pass.
 
-    Filters that only compare columns with constants are looked up by an equi-join on these
-    columns, one table per set of columns; the others are tried on the row. With `only`, rows
-    that meet none may be left out, by a condition that can reach the scan.
+    Filters that only ask for constants are looked up by an equi-join on their columns, one table
+    per set of columns, and many filters with ranges in an index of their bounds; the others are
+    tried on the row. With `only`, rows that meet none may be left out, by a condition that can
+    reach the scan.
     """
     kinds = dict(rows.dtypes)
     lookups: dict[tuple[str, ...], list[tuple[int, dict]]] = {}
     tried: list[tuple[int, str]] = []
+    indexed: list[tuple[int, Conjunction]] = []
     for n, text in enumerate(filters):
         constants = _constants(text, kinds)
-        if constants is None:
-            tried.append((n, text))
-        else:
+        if constants is not None:
             lookups.setdefault(tuple(sorted(constants)), []).append((n, constants))
-    if only and all(text for _, text in tried):
+        elif (found := conjunction(text, kinds)).ranges:
+            indexed.append((n, found))
+        else:
+            tried.append((n, text))
+    if len(indexed) < LEAST_INDEXED:
+        tried, indexed = sorted([*tried, *[(n, filters[n]) for n, _ in indexed]]), []
+    outline = hull([f for _, f in indexed])
+    if only and all(text for _, text in tried) and (outline or not indexed):
         among = [
             reduce(lambda a, b: a & b, [F.expr(_in(c, {k[c] for _, k in found})) for c in columns])
             for columns, found in lookups.items()
         ]
-        rows = rows.where(_any([*among, *[F.expr(text) for _, text in tried]]))
-    return _look_up(rows, lookups, tried)
+        whole = [F.expr(outline)] if indexed else []
+        rows = rows.where(_any([*among, *whole, *[F.expr(text) for _, text in tried]]))
+    return _look_up(rows, lookups, tried, indexed)
 
 
 def _any(tests: list[Column]) -> Column:
@@ -124,10 +135,13 @@ def _look_up(
     rows: DataFrame,
     lookups: dict[tuple[str, ...], list[tuple[int, dict]]],
     tried: Sequence[tuple[int, str]],
+    indexed: Sequence[tuple[int, Conjunction]],
 ) -> DataFrame:
-    """Constant filters by a join on their columns, together with filters that are tried."""
+    """Constant filters by a join on their columns, together with those of an index and those tried."""
     kinds, columns_in = dict(rows.dtypes), rows.columns
     hits = [_tried(tried)] if tried else []
+    if indexed:
+        hits.append(interval_hits(rows, indexed))
     for i, (columns, found) in enumerate(lookups.items()):
         numbers: dict[tuple, list[int]] = {}
         for n, constants in found:

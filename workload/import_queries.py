@@ -428,25 +428,58 @@ FROM orders"""
 
 
 def q_import_range_filters(spark, sf):
-    """An import per price range: sixty filters that no lookup can settle."""
+    """An import per price range: 960 filters that no lookup can settle."""
     runs = [
         Run(
             import_id=700 + n, activity_id=n, forecast_id=1, group_by="o_orderdate",
-            filter=f"o_totalprice >= {n * 10000} and o_totalprice < {(n + 1) * 10000}",
+            filter=f"o_totalprice >= {n * 625} and o_totalprice < {(n + 1) * 625}",
             fields_source="sum(o_totalprice), count(*)", fields_target="value1,value2",
         )
-        for n in range(60)
+        for n in range(960)
     ]
     return shown(import_day(table(spark, sf, "orders"), runs), "value1", "value2")
 
 
 SQL_IMPORT_RANGE_FILTERS = """
-SELECT CAST(o_orderdate AS DATE) AS date, CAST(floor(o_totalprice / 10000) AS INTEGER) AS activity_id, 1 AS forecast_id, 1 AS site_id,
-       CAST(700 + floor(o_totalprice / 10000) AS INTEGER) AS import_id,
+SELECT CAST(o_orderdate AS DATE) AS date, CAST(floor(o_totalprice / 625) AS INTEGER) AS activity_id, 1 AS forecast_id, 1 AS site_id,
+       CAST(700 + floor(o_totalprice / 625) AS INTEGER) AS import_id,
        round(sum(o_totalprice), 4) AS value1, CAST(count(*) AS DOUBLE) AS value2
 FROM orders WHERE o_totalprice >= 0 AND o_totalprice < 600000 GROUP BY ALL"""
 
 
+def _overlapping() -> list[tuple[int, int, int, str, str]]:
+    """(import, least price, first year, status, comparison of the priority): nested ranges on two columns."""
+    signs = ("<=", ">")
+    return [
+        (5000 + 40 * n + 4 * y + 2 * s + k, 12500 * n, 1995 + y, "FO"[s], signs[k])
+        for n in range(40) for y in range(10) for s in range(2) for k in range(2)
+    ]
+
+
+def q_import_overlapping_ranges(spark, sf):
+    """1600 imports whose ranges of price and day overlap, each with a status and a test of the priority."""
+    runs = [
+        Run(
+            import_id=i, activity_id=i, forecast_id=1, group_by="o_orderdate",
+            filter=f"o_totalprice > {price} AND (o_orderdate between '{year}-01-01' AND '{year + 1}-06-30') "
+            f"and [o_orderstatus] = '{status}' and left(o_orderpriority, 1) {sign} '2'",
+            fields_source="count(*), max(o_totalprice)", fields_target="value1,value2", date_from=D(1996, 1, 1), date_until=D(1996, 3, 31),
+        )
+        for i, price, year, status, sign in _overlapping()
+    ]
+    return shown(import_day(table(spark, sf, "orders"), runs), "value1", "value2")
+
+
+SQL_IMPORT_OVERLAPPING_RANGES = f"""WITH runs(import_id, price, y, status, sign) AS (VALUES {
+    ", ".join(str(r) for r in _overlapping())
+})
+SELECT CAST(o_orderdate AS DATE) AS date, import_id AS activity_id, 1 AS forecast_id, 1 AS site_id, import_id,
+       CAST(count(*) AS DOUBLE) AS value1, round(max(o_totalprice), 4) AS value2
+FROM orders JOIN runs ON o_totalprice > price AND o_orderstatus = status AND (left(o_orderpriority, 1) > '2') = (sign = '>')
+  AND o_orderdate >= make_date(y, 1, 1) AND o_orderdate <= make_date(y + 1, 6, 30)
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-03-31' GROUP BY ALL"""
+
+
 def q_import_nested_names(spark, sf):
     """Elements of arrays, fields of a struct named like a table letter, and bracketed names."""
     orders = table(spark, sf, "orders").select(
@@ -470,6 +503,7 @@ FROM orders WHERE o_orderpriority[2] = '-' GROUP BY ALL"""
 
 QUERIES = {
     "import_range_filters": q_import_range_filters,
+    "import_overlapping_ranges": q_import_overlapping_ranges,
     "import_nested_names": q_import_nested_names,
     "import_day": q_import_day,
     "import_day_sumfields": q_import_day_sumfields,
@@ -489,6 +523,7 @@ QUERIES = {
 }
 ORACLE = {
     "import_range_filters": SQL_IMPORT_RANGE_FILTERS,
+    "import_overlapping_ranges": SQL_IMPORT_OVERLAPPING_RANGES,
     "import_nested_names": SQL_IMPORT_NESTED_NAMES,
     "import_day": SQL_IMPORT_DAY,
     "import_day_sumfields": SQL_IMPORT_DAY_SUMFIELDS,
