@@ -172,7 +172,43 @@ QUERIES = {
     )
 }
 
+
+
+def _crc_steps() -> list[int]:
+    """The reversed CRC-32 of each half byte."""
+    out = list(range(16))
+    for _ in range(4):
+        out = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in out]
+    return out
+
+
 ORACLE: dict[str, str] = {
+    "op12_spelling": f"""
+        WITH RECURSIVE r AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w
+            FROM documents),
+        g AS (SELECT w, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS x FROM r WHERE length(w) >= 7 GROUP BY doc_id, w),
+        c AS (
+            SELECT w, n, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(generate_series(0, length(x) - 1), lambda k:
+                    (instr('0123456789ABCDEF', substr(x, CASE WHEN k % 2 = 0 THEN k + 2 ELSE k END, 1)) - 1)::BIGINT)),
+                lambda h, b: xor(list_extract({_crc_steps()}, (xor(h, b) & 15) + 1), h >> 4))) AS h
+            FROM g),
+        v AS (SELECT CASE WHEN h % 31 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM c),
+        words AS (SELECT word, sum(n)::BIGINT AS n FROM v WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        k AS (SELECT word, n, unnest(generate_series(0, length(word) - 1)) AS i FROM words),
+        s AS (SELECT word, n, left(word, i) AS a, substr(word, i + 2) AS b FROM k),
+        one AS (
+            SELECT x.word, y.word AS near, y.n FROM s x JOIN s y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+            UNION SELECT s.word, u.word, u.n FROM s JOIN words u ON u.word = a || b
+            UNION SELECT u.word, s.word, s.n FROM s JOIN words u ON u.word = a || b),
+        o AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM one),
+        f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN o.n >= 10 * w.n THEN near END AS form, CASE WHEN o.n >= 10 * w.n THEN o.n END AS form_n
+              FROM words w LEFT JOIN o ON o.word = w.word AND place = 1),
+        l AS (SELECT word, word AS last FROM f UNION ALL SELECT l.word, f.form FROM l JOIN f ON l.last = f.word WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, l.last AS root, f.n, f.n_near, f.form_n
+        FROM f JOIN l ON f.word = l.word JOIN f AS e ON l.last = e.word WHERE e.form IS NULL
+    """,
     "op8_substring_dedup": r"""
         WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS ws FROM documents),
         g AS (SELECT doc_id, unnest(generate_series(1, len(ws) - 19)) AS s, ws FROM d WHERE len(ws) >= 20),
