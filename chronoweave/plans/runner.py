@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.session import register_functions
 from chronoweave.functions.text import error_json, field_list, sql_text, to_int
-from chronoweave.model import OPEN_FROM, Run
+from chronoweave.model import OPEN_FROM, Run, local_table
 from chronoweave.operators import alert, correlation, imports, parallel, regression, split, ytd
 from chronoweave.operators.copies import copy_imports, copy_series
 from chronoweave.operators.replace import Scope, scope_of, write_back
@@ -33,6 +33,7 @@ from chronoweave.plans.config import (
 from chronoweave.plans.runlog import DEBUG, FAILED, SUCCEEDED, WARNING, RunLog, Timer
 from chronoweave.plans.store import FactStore
 from chronoweave.sources.generators import interval_dimension
+from chronoweave.sources.staged import Staged, StagedFile, stage_files
 from chronoweave.sources.views import fact_day_view, fact_intraday_view
 
 CATEGORY = "SERIES RUN"
@@ -202,6 +203,28 @@ class Runner:
         self.log.flush()
         return results
 
+    def load_files(self, files: Sequence[StagedFile], folder: str) -> Staged:
+        """Stages user files under `folder` for the imports that read them, and logs bad lines and files
+        left out. Staged rows of earlier files stay unless a file of the same id is read again."""
+        timer = Timer()
+        found = stage_files(self.spark, files, folder, self.log.session)
+        for file in files:
+            n = found.errors.get(file.file_id, 0)
+            if n:
+                left_out = file.file_id in found.rejected
+                self.log.add(
+                    "FILE", "LOAD", FAILED if left_out else WARNING, site=file.site_id, object=file.path, object_id=file.file_id,
+                    data="file left out" if left_out else "lines set aside", value=n,
+                )
+        self.log.add("FILE", "END", FAILED if found.rejected else SUCCEEDED, duration=timer.seconds(), value=sum(found.errors.values()))
+        rows = found.rows
+        if self.tables.staged is not None:
+            again = local_table(self.spark, [{"file_id": f.file_id} for f in files], "file_id int")
+            rows = self.tables.staged.join(again, "file_id", "left_anti").select(*rows.columns).unionByName(rows)
+        self.tables.staged = rows
+        self.log.flush()
+        return found
+
     def create_views(self) -> None:
         """Temporary views for reports in SQL: `fact_day`, `fact_day_view` and `import_run`, and
         with an intraday store `fact_intraday` and `fact_intraday_view`."""

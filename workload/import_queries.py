@@ -10,7 +10,7 @@ from chronoweave.functions.text import flag_set
 from chronoweave.model import Run
 from chronoweave.operators.imports import delta_windows, import_day, import_intraday
 from chronoweave.operators.replace import Scope, replace_range, replaced_counts, write_back
-from chronoweave.sources.staged import staged_cells, staged_date, staged_number
+from chronoweave.sources.staged import StagedFile, quoted_records, staged_cell, staged_cells, staged_date, staged_number, with_problem
 from workload.inputs import (
     EVENT_ACTIVITY,
     EVENT_SOURCE,
@@ -414,9 +414,9 @@ def q_staged_file_cast(spark, sf):
     cells = lines.withColumn("cell", staged_cells(F.col("line"), ";"))
     return cells.select(
         "o_orderkey",
-        staged_number(F.col("cell.A")).cast("int").alias("a_int"),
-        staged_number(F.col("cell.C")).alias("h_real"),
-        staged_date(F.col("cell.B"), "dd-MM-yyyy").cast("date").alias("d_date"),
+        staged_number(staged_cell(F.col("cell"), "A")).cast("int").alias("a_int"),
+        staged_number(staged_cell(F.col("cell"), "C")).alias("h_real"),
+        staged_date(staged_cell(F.col("cell"), "B"), "dd-MM-yyyy").cast("date").alias("d_date"),
     )
 
 
@@ -427,6 +427,58 @@ SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS INTEGER
 FROM orders"""
 
 
+def q_staged_quoted_records(spark, sf):
+    """Orders as lines of five files, some with line breaks inside quotes, cut into blocks wherever it falls;
+    records are put together again and read as cells."""
+    orders = table(spark, sf, "orders")
+    late = F.col("o_orderkey") % 3 == 0
+    parts = F.when(late, F.array(
+        F.concat(F.col("o_orderkey"), F.lit(',"first '), F.col("o_orderstatus")), F.lit(""), F.concat(F.lit('"",third"",",'), F.col("o_custkey"))
+    )).otherwise(F.array(F.concat_ws(",", "o_orderkey", "o_orderstatus", "o_custkey")))
+    lines = orders.select(
+        F.col("o_orderpriority").alias("path"), (F.col("o_orderkey") * 3).alias("first"), F.posexplode(parts).alias("place", "value")
+    ).withColumn("id", F.col("first") + F.col("place"))
+    found = quoted_records(lines.select("path", F.expr("id div 1000").alias("block"), "id", "value"))
+    cells = found.withColumn("cells", staged_cells(F.col("value")))
+    return cells.select(
+        "path", "line", "record",
+        staged_number(staged_cell(F.col("cells"), "A")).cast("bigint").alias("o_orderkey"),
+        staged_cell(F.col("cells"), "B").alias("note"),
+        staged_number(staged_cell(F.col("cells"), "C")).cast("bigint").alias("o_custkey"),
+    )
+
+
+SQL_STAGED_QUOTED_RECORDS = """
+SELECT o_orderpriority AS path, CAST(1 + coalesce(sum(CASE WHEN o_orderkey % 3 = 0 THEN 3 ELSE 1 END) OVER w, 0) AS BIGINT) AS line,
+       row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS record, o_orderkey,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'first ' || o_orderstatus || chr(10) || chr(10) || '",third",' ELSE o_orderstatus END AS note, o_custkey
+FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+def q_staged_bad_lines(spark, sf):
+    """Lines of orders that cannot be staged: a quote left open, too many columns, no date, no number."""
+    orders = table(spark, sf, "orders")
+    kind = F.col("o_orderkey") % 50
+    line = F.concat_ws(
+        ";",
+        F.when(kind == 7, F.concat(F.lit('"'), F.col("o_orderstatus"))).otherwise(F.col("o_orderstatus")),
+        F.when(kind == 11, F.date_format("o_orderdate", "yyyy/dd/MM")).when(kind == 12, F.lit(" ")).otherwise(F.date_format("o_orderdate", "dd.MM.yyyy")),
+        F.when(kind == 23, F.lit("n/a")).otherwise(F.col("o_custkey").cast("string")),
+        F.when(kind == 31, F.repeat(F.lit(";"), 75)).when(kind == 32, F.repeat(F.lit(";"), 74)),
+    )
+    file = StagedFile("orders.csv", 1, separator=";", field_date="B", field_date_format="dd.MM.yyyy", numbers="C")
+    found = with_problem(orders.select(F.col("o_orderkey").alias("line"), line.alias("value")), file)
+    return found.where("problem is not null").select("line", F.col("problem").alias("reason"), "value")
+
+
+SQL_STAGED_BAD_LINES = """WITH o AS (SELECT o_orderkey AS line, o_orderkey % 50 AS k, o_orderstatus AS s, o_orderdate AS d, CAST(o_custkey AS VARCHAR) AS c FROM orders)
+SELECT line, CASE k WHEN 7 THEN 'a quote is not closed' WHEN 11 THEN 'no date in column B: ' || strftime(d, '%Y/%d/%m')
+         WHEN 23 THEN 'no number in column C: n/a' ELSE 'more columns than BZ' END AS reason,
+       CASE k WHEN 7 THEN '"' ELSE '' END || s || ';' || CASE k WHEN 11 THEN strftime(d, '%Y/%d/%m') ELSE strftime(d, '%d.%m.%Y') END || ';' ||
+         CASE k WHEN 23 THEN 'n/a' ELSE c END || CASE k WHEN 31 THEN repeat(';', 76) ELSE '' END AS value
+FROM o WHERE k IN (7, 11, 23, 31)"""
+
+
 def q_import_range_filters(spark, sf):
     """An import per price range: 960 filters that no lookup can settle."""
     runs = [
@@ -520,6 +572,8 @@ QUERIES = {
     "run_summary": q_run_summary,
     "import_id_writeback": q_import_id_writeback,
     "staged_file_cast": q_staged_file_cast,
+    "staged_quoted_records": q_staged_quoted_records,
+    "staged_bad_lines": q_staged_bad_lines,
 }
 ORACLE = {
     "import_range_filters": SQL_IMPORT_RANGE_FILTERS,
@@ -540,4 +594,6 @@ ORACLE = {
     "run_summary": SQL_RUN_SUMMARY,
     "import_id_writeback": SQL_IMPORT_ID_WRITEBACK,
     "staged_file_cast": SQL_STAGED_FILE_CAST,
+    "staged_quoted_records": SQL_STAGED_QUOTED_RECORDS,
+    "staged_bad_lines": SQL_STAGED_BAD_LINES,
 }
