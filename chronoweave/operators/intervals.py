@@ -161,10 +161,10 @@ class Cuts:
         """The place of a row's value, by bisection; null for null."""
         n = len(self.bounds)
         kind = "bigint" if self.kind in _WHOLE else self.kind
-        texts = _literal([str(b) for b in self.bounds], "array<string>") if kind != "double" else None
-        bounds = _literal(self.bounds, "array<double>") if texts is None else F.transform(texts, lambda b: b.cast(kind))
+        texts = constant([str(b) for b in self.bounds], "array<string>") if kind != "double" else None
+        bounds = constant(self.bounds, "array<double>") if texts is None else F.transform(texts, lambda b: b.cast(kind))
         value = F.col(f"`{self.column}`").cast(kind)
-        steps = _literal([1 << k for k in range(n.bit_length() - 1, -1, -1)], "array<int>")
+        steps = constant([1 << k for k in range(n.bit_length() - 1, -1, -1)], "array<int>")
 
         def further(at: Column, step: Column) -> Column:
             return F.when((at + step <= n) & (F.get(bounds, at + step - 1) <= value), at + step).otherwise(at)
@@ -174,7 +174,7 @@ class Cuts:
         return F.when(value.isNotNull(), F.get(hit, F.lit(0)))
 
 
-def _literal(values, kind: str) -> Column:
+def constant(values, kind: str) -> Column:
     """A constant array. Spark evaluates it once, when it plans."""
     return F.from_json(F.lit(json.dumps(values)), kind)
 
@@ -216,14 +216,14 @@ def _hits_by(cuts: dict[str, Cuts], column: str, filters: Sequence[tuple[int, Co
     for at, (_, f) in enumerate(filters):
         for node in covering(*cuts[column].span(f.ranges[column]), size):
             nodes[node].append(at)
-    tree = _literal(nodes, "array<array<int>>")
-    numbers = _literal([n for n, _ in filters], "array<int>")
-    levels = _literal(list(range(size.bit_length())), "array<int>")
+    tree = constant(nodes, "array<array<int>>")
+    numbers = constant([n for n, _ in filters], "array<int>")
+    levels = constant(list(range(size.bit_length())), "array<int>")
     spans = {c: [cuts[c].span(f.ranges[c]) if c in f.ranges else None for _, f in filters] for c in further}
     first, last = (
-        {c: _literal([s and s[i] for s in spans[c]], "array<int>") for c in further} for i in (0, 1)
+        {c: constant([s and s[i] for s in spans[c]], "array<int>") for c in further} for i in (0, 1)
     )
-    rest = _literal([rests.index(f.rest) if f.rest else None for _, f in filters], "array<int>")
+    rest = constant([rests.index(f.rest) if f.rest else None for _, f in filters], "array<int>")
 
     # The places are worked out once a row: inside, they are names of a function.
     def met(row: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import heapq
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,7 +14,8 @@ from pyspark.sql import functions as F
 from chronoweave.functions.text import sql_text
 from chronoweave.model import SERIES, Run, broadcast_if_small, literal_rows, local_table
 from chronoweave.functions.calendar import with_calendar
-from chronoweave.operators.matching import HITS, numbered, with_activity, with_dates, with_hits
+from chronoweave.operators.intervals import constant
+from chronoweave.operators.matching import HITS, numbered, with_dates, with_hits
 
 RANGE, TAIL, HEAD = "range", "tail", "head"
 
@@ -43,47 +46,102 @@ def scope_of(run: Run) -> Scope:
     )
 
 
-def scope_table(spark: SparkSession, scopes: Sequence[Scope]) -> DataFrame:
-    return local_table(
-        spark,
-        [
-            {
-                "site_id": s.site_id,
-                "activity_id": s.activity_id,
-                "forecast_id": s.forecast_id,
-                "scope_import": s.import_id,
-                "date_from": s.date_from,
-                "date_until": s.date_until,
-                "mode": s.mode,
-            }
-            for s in scopes
-        ],
-        "site_id int, activity_id int, forecast_id int, scope_import int, date_from date, "
-        "date_until date, mode string",
-    )
-
+# Days since 1970-01-01 that no date lies beyond, either way.
+_FIRST, _LAST = -10_000_000, 10_000_000
+
+
+def _days(scope: Scope) -> tuple[int, int]:
+    """First and last day of a scope, counted from 1970-01-01."""
+    epoch = dt.date(1970, 1, 1)
+    first, last = (scope.date_from - epoch).days, (scope.date_until - epoch).days
+    return (first, _LAST) if scope.mode == TAIL else (_FIRST, last - 1) if scope.mode == HEAD else (first, last)
+
+
+def owned_spans(spans: Sequence[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Disjoint spans in order, each with the smallest number of the given (first, last, number) that hold it."""
+    starts = sorted(s for s in spans if s[0] <= s[1])
+    edges = sorted({e for first, last, _ in starts for e in (first, last + 1)})
+    out: list[tuple[int, int, int]] = []
+    active: list[tuple[int, int]] = []
+    at = 0
+    for start, end in zip(edges, edges[1:]):
+        while at < len(starts) and starts[at][0] <= start:
+            heapq.heappush(active, (starts[at][2], starts[at][1]))
+            at += 1
+        while active and active[0][1] < start:
+            heapq.heappop(active)
+        if active:
+            owner = active[0][0]
+            if out and out[-1][2] == owner and out[-1][1] == start - 1:
+                out[-1] = (out[-1][0], end - 1, owner)
+            else:
+                out.append((start, end - 1, owner))
+    return out
+
+
+def scope_table(spark: SparkSession, scopes: Sequence[tuple[int, Scope]]) -> DataFrame:
+    """One row per series: the first and last days of its spans and the number of the scope that owns each."""
+    by_series: dict[tuple, list[tuple[int, int, int]]] = defaultdict(list)
+    for number, s in scopes:
+        by_series[s.site_id, s.activity_id, s.forecast_id].append((*_days(s), number))
+    rows = []
+    for key, spans in by_series.items():
+        owned = owned_spans(spans)
+        columns = zip(*owned) if owned else ([], [], [])
+        rows.append(dict(zip([f"_{k}" for k in SERIES], (key[0], key[1], key[2])), **{n: list(c) for n, c in zip(("_firsts", "_lasts", "_numbers"), columns)}))
+    return local_table(spark, rows, "_site_id int, _activity_id int, _forecast_id int, _firsts ints, _lasts ints, _numbers ints")
+
+
+def _by_series(old: DataFrame, scopes: Sequence[tuple[int, Scope]]) -> DataFrame:
+    """`old` with `_scope`, the number of the first scope of the row's series that holds its day: one search."""
+    table = scope_table(old.sparkSession, scopes)
+    found = old.join(table, [F.col(k) == F.col(f"_{k}") for k in SERIES], "left")
+    most = len(scopes).bit_length()
+    steps = constant([1 << k for k in range(most, -1, -1)], "array<int>")
+    day = F.unix_date("date")
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.get("_firsts", at + step - 1) <= day, at + step).otherwise(at)
+
+    below = F.aggregate(steps, F.lit(0), further) - 1
+    found = found.withColumn("_below", F.when(F.col("_firsts").isNotNull(), below))
+    # Before the first span there is nothing to get: place -1.
+    return found.select(*old.columns, F.when(F.get("_lasts", "_below") >= day, F.get("_numbers", "_below")).alias("_scope"))
+
+
+def _by_filter(old: DataFrame, scopes: Sequence[tuple[int, Scope]], activity: DataFrame | None, dates: DataFrame | None) -> DataFrame:
+    """`old` with `_scope`, the number of the first scope whose filter holds for the row."""
+    found = old if activity is None else _left_activity(old, activity)
+    found = with_dates(with_calendar(found), dates)
+    texts = [
+        f"site_id = {s.site_id} AND forecast_id = {s.forecast_id} AND date BETWEEN '{s.date_from}' AND '{s.date_until}'"
+        + (f" AND ({sql_text(s.filter)})" if s.filter.strip() else "")
+        for _, s in scopes
+    ]
+    found = with_hits(found, texts, only=False)
+    numbers = constant([n for n, _ in scopes], "array<int>")
+    return found.select(*old.columns, F.get(numbers, F.array_min(HITS)).alias("_scope"))
 
-def _in_scope() -> Column:
-    return (
-        F.when(F.col("mode") == TAIL, F.col("date") >= F.col("date_from"))
-        .when(F.col("mode") == HEAD, F.col("date") < F.col("date_until"))
-        .otherwise(F.col("date").between(F.col("date_from"), F.col("date_until")))
-    )
 
+def with_owner(
+    old: DataFrame, scopes: Sequence[Scope], activity: DataFrame | None = None, dates: DataFrame | None = None, name: str = "owner"
+) -> DataFrame:
+    """`old` with the import that replaces the row: of several the first in the order of the scopes; else null.
 
-def _by_filter(scopes: Sequence[Scope]) -> Column:
-    """The import whose filter scope holds the row, else null."""
-    hits = [
-        F.when(
-            (F.col("site_id") == s.site_id)
-            & (F.col("forecast_id") == s.forecast_id)
-            & F.col("date").between(F.lit(s.date_from), F.lit(s.date_until))
-            & (F.expr(sql_text(s.filter)) if s.filter.strip() else F.lit(True)),
-            F.lit(s.import_id),
-        )
-        for s in scopes
-    ]
-    return F.coalesce(*hits)
+    Rows stay as many as they are, however many scopes overlap.
+    """
+    numbered_ = list(enumerate(scopes))
+    series = [(n, s) for n, s in numbered_ if s.activity_id is not None]
+    filters = [(n, s) for n, s in numbered_ if s.activity_id is None]
+    columns, found, scope = old.columns, old, F.lit(None).cast("int")
+    if series:
+        found = _by_series(found, series).withColumnRenamed("_scope", "_first_scope")
+        scope = F.col("_first_scope")
+    if filters:
+        found = _by_filter(found, filters, activity, dates)
+        scope = F.least("_first_scope", "_scope") if series else F.col("_scope")
+    ids = constant([s.import_id for s in scopes], "array<int>")
+    return found.select(*columns, F.get(ids, scope).alias(name))
 
 
 def without_scopes(
@@ -93,19 +151,7 @@ def without_scopes(
     dates: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of `old` that no scope replaces."""
-    series = [s for s in scopes if s.activity_id is not None]
-    filters = [s for s in scopes if s.activity_id is None]
-    columns, kept = old.columns, old
-    if series:
-        s = scope_table(old.sparkSession, series).alias("s")
-        o = kept.alias("o")
-        on = [F.col(f"o.{k}") == F.col(f"s.{k}") for k in SERIES]
-        kept = o.join(s, [*on, _in_scope()], "left_anti")
-    if filters:
-        attributed = kept if activity is None else _left_activity(kept, activity)
-        attributed = with_dates(with_calendar(attributed), dates)
-        kept = attributed.where(_by_filter(filters).isNull())
-    return kept.select(*columns)
+    return with_owner(old, scopes, activity, dates, "_owner").where("_owner is null").drop("_owner")
 
 
 def _left_activity(rows: DataFrame, activity: DataFrame) -> DataFrame:
@@ -122,17 +168,30 @@ def replaced_counts(
     dates: DataFrame | None = None,
 ) -> DataFrame:
     """`import_id, rows_deleted`: how many rows of `old` each scope replaces."""
-    series = [s for s in scopes if s.activity_id is not None]
-    filters = [s for s in scopes if s.activity_id is None]
-    parts = []
-    if series:
-        found = old.join(scope_table(old.sparkSession, series), SERIES).where(_in_scope())
-        parts.append(found.select(F.col("scope_import").alias("import_id")))
-    if filters:
-        found = with_dates(with_calendar(with_activity(old, activity)), dates).select(_by_filter(filters).alias("import_id"))
-        parts.append(found.where(F.col("import_id").isNotNull()))
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return rows.groupBy("import_id").agg(F.count(F.lit(1)).alias("rows_deleted"))
+    owned = with_owner(old, scopes, activity, dates, "_owner").where("_owner is not null")
+    return owned.groupBy(F.col("_owner").alias("import_id")).agg(F.count(F.lit(1)).alias("rows_deleted"))
+
+
+def replacement(
+    old: DataFrame,
+    new: DataFrame,
+    scopes: Sequence[Scope],
+    activity: DataFrame | None = None,
+    dates: DataFrame | None = None,
+) -> DataFrame:
+    """All rows that take part in a replacement: those of `old` with `deleted_by`, the import that replaces them,
+    and `new` with `inserted_by`. What stays is where `deleted_by` is null."""
+    kept = with_owner(old, scopes, activity, dates, "deleted_by").withColumn("inserted_by", F.lit(None).cast("int"))
+    added = new.select(*old.columns).withColumns({"deleted_by": F.lit(None).cast("int"), "inserted_by": F.col("import_id").cast("int")})
+    return kept.unionByName(added)
+
+
+def replacement_counts(rows: DataFrame) -> DataFrame:
+    """`import_id, rows_deleted, rows_inserted` of a replacement, in one pass."""
+    which = F.coalesce("deleted_by", "inserted_by")
+    return rows.where(which.isNotNull()).groupBy(which.alias("import_id")).agg(
+        F.count("deleted_by").alias("rows_deleted"), F.count("inserted_by").alias("rows_inserted")
+    )
 
 
 def replace_range(

@@ -264,8 +264,7 @@ class Runner:
                     Scope(r["import_id"], r["site_id"], forecast_to, r["first"], r["last"], r["activity_id"])
                     for r in spans
                 ]
-                ids_written = sorted({r["import_id"] for r in spans})
-                _, added = self.day.replace(new, scopes, F.col("import_id").isin(*ids_written))
+                _, added = self.day.replace(new, scopes)
                 self.log.add("APP", "COPY SERIES", object="copy_imports", value=sum(added.values()))
         self.log.flush()
         return copies
@@ -510,10 +509,7 @@ class Runner:
             self.plans[(operator, step, *(str(o.run.import_id) for o in outcomes))] = new
             return
         timer = Timer()
-        deleted, added = store.replace(
-            new, scopes, F.col("date_updated") == F.lit(self.when), self.tables.activity,
-            self.tables.dates,
-        )
+        deleted, added = store.replace(new, scopes, self.tables.activity, self.tables.dates)
         for o in outcomes:
             o.deleted += deleted.get(o.run.import_id, 0)
             o.inserted += added.get(o.run.import_id, 0)

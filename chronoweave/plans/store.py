@@ -1,33 +1,34 @@
 """Fact tables on a shared file system, where an import replaces exactly its range.
 
 Plain parquet has no row-level delete, so the partitions an import touches are written anew,
-each time under a new version directory; other partitions stay as they are. A small manifest
-lists the partition directories in force. Writing the next manifest is the only step that
-changes what readers see: a writer lost before it has changed nothing, and afterwards nothing
-is left to finish. Directories of the version before stay, so that plans made before a
-replacement can still run; older ones are removed.
+each time under a new version directory; other partitions stay as they are. Which version of a
+partition is in force stands in a small Parquet table of places, one row a partition. Facts are read
+by partition discovery and a join with the places, so Spark lists, prunes and filters. A replacement
+counts once the next table of places has its name: a writer lost before has changed nothing, and
+afterwards nothing is left to finish. What the replacement before has replaced stays on disk, so that
+plans made earlier can still run; what is older is removed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoweave.model import FACT_DAY, FACT_INTRADAY
-from chronoweave.operators.replace import HEAD, TAIL, Scope, replaced_counts, without_scopes
+from chronoweave.model import FACT_DAY, FACT_INTRADAY, local_table, schema_of
+from chronoweave.operators.replace import HEAD, TAIL, Scope, replacement
 
 PARTITIONS = ["site_id", "forecast_id", "year_month", "bucket"]
 #: Activities of a month are spread over so many partitions; an import of one rewrites one.
 ACTIVITY_BUCKETS = 8
-_MANIFEST = "_manifest"  # Spark does not read names that start with _
-_VALUE = r"=(-?\d+|__HIVE_DEFAULT_PARTITION__)/"  # the latter stands for null
-_PARTITION = re.compile(r"version=\w+/" + "".join(p + _VALUE for p in PARTITIONS))
+#: Files of a table of places.
+PLACE_FILES = 4
+PLACES = schema_of("version string, site_id int, forecast_id int, year_month int, bucket int")
+_PLACES = "_places"  # Spark does not read names that start with _
 
 
 class FactStore:
@@ -55,165 +56,192 @@ class FactStore:
 
     def read(self) -> DataFrame:
         """All facts."""
-        return self._rows(self._entries())
+        return self._rows(self.places())
 
     def read_by_month(self) -> DataFrame:
         """All facts with `year`, `month` and `year_month` taken from the partitions, so that
         conditions on them in a filter leave the other months unread."""
-        entries = self._entries()
-        if not entries:
-            return self.read()
-        stored = F.col("year_month")
-        return self._rows(entries, ["year_month"]).withColumns(
-            {"year": F.expr("year_month div 100").cast("int"), "month": F.pmod(stored, F.lit(100))}
-        )
+        rows = self._rows(self.places(), ["year_month"])
+        month = F.col("year_month")
+        return rows.withColumns({"year": F.expr("year_month div 100").cast("int"), "month": F.pmod(month, F.lit(100))})
 
     def where_days(self, first: dt.date, last: dt.date) -> DataFrame:
         """Facts of a date range, reading only its months."""
-        entries = [e for e in self._entries() if _month(first) <= _place(e)[2] <= _month(last)]
-        return self._rows(entries).where(F.col("date").between(F.lit(first), F.lit(last)))
-
-    def _rows(self, entries: Sequence[str], places: Sequence[str] = ()) -> DataFrame:
-        """The rows of some partition directories, with some columns of their places; no other
-        directory is listed."""
-        if not entries:
-            return self.spark.createDataFrame([], self.schema)
-        stored = T.StructType([*self.schema.fields, T.StructField("version", T.StringType())])
+        months = F.col("year_month").between(_month(first), _month(last))
+        rows = self._rows(self.places().where(months), ["year_month"]).where(months).drop("year_month")
+        return rows.where(F.col("date").between(F.lit(first), F.lit(last)))
+
+    def places(self, number: int | None = None) -> DataFrame:
+        """The partitions and their versions, in force or of an earlier number."""
+        number = number or max(self._numbers(), default=0)
+        if not number:
+            return self.spark.createDataFrame([], PLACES)
+        return self.spark.read.schema(PLACES).parquet(f"{self.path}/{_PLACES}/{number:012}")
+
+    def _rows(self, places: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+        """The rows of some places, with some columns of theirs."""
+        if not self._numbers():
+            extra = [T.StructField(c, T.IntegerType()) for c in more]
+            return self.spark.createDataFrame([], T.StructType([*self.schema.fields, *extra]))
+        stored = T.StructType([*self.schema.fields, PLACES["version"]])
         for name in ("year_month", "bucket"):
             stored = stored.add(name, T.IntegerType())
-        reader = self.spark.read.schema(stored).option("basePath", self.path)
-        return reader.parquet(*[f"{self.path}/{e}" for e in entries]).select(*self.schema.names, *places)
+        facts = self.spark.read.schema(stored).parquet(self.path)
+        same = [facts[c].eqNullSafe(places[c]) if c == "site_id" else facts[c] == places[c] for c in ("version", *PARTITIONS)]
+        # The comparison tells Spark that places may leave out partitions, so that it prunes by them.
+        return facts.join(places.where("year_month > 0"), same, "left_semi").select(*self.schema.names, *more)
 
     # --- writing --------------------------------------------------------------------
 
     def append(self, rows: DataFrame) -> None:
-        self._commit([*self._entries(), *self._write(rows)])
+        version, _ = self._write(_undeleted(rows.select(*self.schema.names)))
+        self._commit(self.places().unionByName(self._written(version)))
 
     def replace(
         self,
         new: DataFrame,
         scopes: Sequence[Scope],
-        inserted: Column,
         activity: DataFrame | None = None,
         dates: DataFrame | None = None,
     ) -> tuple[dict[int, int], dict[int, int]]:
         """Removes the scopes' rows, adds `new`, and returns rows deleted and inserted per import.
 
-        `inserted` tells new rows from kept ones, such as the time stamp of this run. New rows
-        have to lie in the months of the scopes.
+        Both are counted as the rows are written, so the old ones are read once. New rows have to lie in
+        the months of the scopes.
         """
-        entries = self._entries()
-        touched = set(self._touched(scopes, entries))
-        old = self._rows(sorted(touched))
-        deleted = _counts(replaced_counts(old, scopes, activity, dates), "rows_deleted")
-        kept = without_scopes(old, scopes, activity, dates)
-        written = self._write(kept.unionByName(new.select(*self.schema.names)))
-        spared = [e for e in entries if e not in touched]
-        outside = {_place(e) for e in written} & {_place(e) for e in spared}
+        places = self._touched(scopes).persist()
+        old = self._rows(places.where("touched"))
+        rows = replacement(old, new.select(*self.schema.names), scopes, activity, dates)
+        version, counts = self._write(rows, len(scopes))
+        written, spared = self._written(version).persist(), places.where("not touched").drop("touched")
+        same = [written[c].eqNullSafe(spared[c]) for c in PARTITIONS]
+        outside = written.join(spared, same, "left_semi").limit(5).collect()
         if outside:
-            self._drop(written)
-            raise ValueError(f"new rows outside the months to replace: {sorted(outside, key=str)[:5]}")
-        added: dict[int, int] = {}
-        if written:
-            by_import = self._rows(written).where(inserted).groupBy("import_id")
-            added = _counts(by_import.agg(F.count(F.lit(1)).alias("n")), "n")
-        self._commit([*spared, *written])
-        return deleted, added
+            self._fs.delete(self._at(f"{self.path}/version={version}"), True)
+            raise ValueError(f"new rows outside the months to replace: {[tuple(r)[1:] for r in outside]}")
+        self._commit(spared.unionByName(written))
+        places.unpersist(), written.unpersist()
+        return counts
 
     def update(self, change: Callable[[DataFrame], DataFrame], first: dt.date, last: dt.date) -> None:
         """Writes the months from `first` to `last` anew with `change` applied to their rows."""
-        entries = self._entries()
-        touched = {e for e in entries if _month(first) <= _place(e)[2] <= _month(last)}
-        if touched:
-            written = self._write(change(self._rows(sorted(touched))).select(*self.schema.names))
-            self._commit([*[e for e in entries if e not in touched], *written])
-
-    def _write(self, rows: DataFrame) -> list[str]:
-        """The partition directories that hold `rows` now, as yet in no manifest."""
-        version = f"version={uuid.uuid4().hex}"
+        months = F.col("year_month").between(_month(first), _month(last))
+        places = self.places()
+        version, _ = self._write(_undeleted(change(self._rows(places.where(months))).select(*self.schema.names)))
+        self._commit(places.where(~months).unionByName(self._written(version)))
+
+    def _touched(self, scopes: Sequence[Scope]) -> DataFrame:
+        """The places in force, `touched` if they hold rows that are replaced or will get new ones."""
+        spans = [
+            dict(zip(("_site", "_forecast", "_bucket", "_first", "_last"), (s.site_id, s.forecast_id, b, *_months(s))))
+            for s in scopes
+            for b in (range(ACTIVITY_BUCKETS) if s.activity_id is None else [s.activity_id % ACTIVITY_BUCKETS])
+        ]
+        table = local_table(self.spark, spans, "_site int, _forecast int, _bucket int, _first int, _last int")
+        places = self.places()
+        on = [F.col("site_id") == F.col("_site"), F.col("forecast_id") == F.col("_forecast"), F.col("bucket") == F.col("_bucket")]
+        met = places.join(table, on).where(F.col("year_month").between(F.col("_first"), F.col("_last")))
+        met = met.select(*[F.col(c).alias(f"_{c}") for c in PLACES.names]).distinct()
+        same = [F.col(c) == F.col(f"_{c}") for c in PLACES.names]
+        return places.join(met, same, "left").select(*PLACES.names, F.col("_version").isNotNull().alias("touched"))
+
+    def _write(self, rows: DataFrame, imports: int = 0) -> tuple[str, tuple[dict[int, int], dict[int, int]]]:
+        """The version under which the rows that stay are written, and the rows deleted and inserted per import.
+
+        Deleted rows come along as far as the task that writes their partition, empty but for their keys: there
+        each row is counted once, whichever tasks before had to run again.
+        """
+        version, seen = uuid.uuid4().hex, Observation()
+        keys = {"date", *PARTITIONS, "activity_id"}
+        gone = F.col("deleted_by").isNotNull()
+        light = [c if c in keys else F.when(~gone, F.col(c)).alias(c) for c in self.schema.names]
+        # A histogram of as many values as it has bins is exact: a count per import, however many there are.
+        bins = F.lit(4 * imports + 8)
+        counts = [F.histogram_numeric(F.col(c).cast("double"), bins).alias(c) for c in ("deleted_by", "inserted_by")]
         # The rebalance keeps one partition's rows together but splits a month that is too
         # large for one task; sorted files let activity and date filters skip row groups.
-        (
-            rows.withColumn("year_month", F.year("date") * 100 + F.month("date"))
+        dealt = (
+            rows.select(*light, "deleted_by", "inserted_by")
+            .withColumn("year_month", F.year("date") * 100 + F.month("date"))
             .withColumn("bucket", F.pmod(F.coalesce("activity_id", F.lit(0)), F.lit(ACTIVITY_BUCKETS)))
             .hint("rebalance", *PARTITIONS)
             .sortWithinPartitions(*PARTITIONS, "activity_id", "date")
-            .write.partitionBy(*PARTITIONS)
-            .parquet(f"{self.path}/{version}")
         )
-        found = self._fs.globStatus(self._at(f"{self.path}/{version}/" + "/".join(f"{p}=*" for p in PARTITIONS))) or []
-        return sorted("/".join(s.getPath().toString().split("/")[-len(PARTITIONS) - 1 :]) for s in found)
-
-    def _touched(self, scopes: Sequence[Scope], entries: Sequence[str]) -> list[str]:
-        """Directories of the partitions that hold replaced rows or will get new ones."""
-        spans: dict[tuple[int, int], list[tuple[int, int, int | None]]] = {}
-        for s in scopes:
-            bucket = None if s.activity_id is None else s.activity_id % ACTIVITY_BUCKETS
-            spans.setdefault((s.site_id, s.forecast_id), []).append((*_months(s), bucket))
-        out = []
-        for e in entries:
-            site, forecast, month, bucket = _place(e)
-            if any(a <= month <= b and c in (None, bucket) for a, b, c in spans.get((site, forecast), ())):
-                out.append(e)
-        return out
-
-    # --- manifest -------------------------------------------------------------------
+        if imports:
+            dealt = dealt.observe(seen, *counts)
+        kept = dealt.where(~gone).drop("deleted_by", "inserted_by")
+        kept.write.partitionBy(*PARTITIONS).parquet(f"{self.path}/version={version}")
+        found = seen.get if imports else {}
+        return version, tuple(_by_import(found.get(c)) for c in ("deleted_by", "inserted_by"))
+
+    def _written(self, version: str) -> DataFrame:
+        """The places of a version, found by partition discovery."""
+        stored = T.StructType([f for f in PLACES.fields if f.name != "version"])
+        found = self.spark.read.schema(T.StructType([self.schema["date"], *stored.fields])).parquet(f"{self.path}/version={version}")
+        return found.select(F.lit(version).alias("version"), *PARTITIONS).distinct()
+
+    # --- places ---------------------------------------------------------------------
 
     def _numbers(self) -> list[int]:
-        found = self._fs.globStatus(self._at(f"{self.path}/{_MANIFEST}/[0-9]*")) or []
+        """Numbers of the tables of places that are complete: two at most, but while one is written."""
+        found = self._fs.globStatus(self._at(f"{self.path}/{_PLACES}/[0-9]*")) or []
         return sorted(int(s.getPath().getName()) for s in found)
 
-    def _entries(self, number: int | None = None) -> list[str]:
-        """The partition directories in force: one line each in the newest manifest."""
-        if number is None:
-            number = max(self._numbers(), default=0)
-        if not number:
-            return []
-        stream = self._fs.open(self._at(f"{self.path}/{_MANIFEST}/{number:012}"))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
-        finally:
-            stream.close()
-
-    def _commit(self, entries: Iterable[str]) -> None:
-        """Makes `entries` the partitions in force, in one step."""
+    def _commit(self, places: DataFrame) -> None:
+        """Makes `places` the partitions in force, in one step."""
         numbers = self._numbers()
         number = max(numbers, default=0) + 1
-        # Written under another name first: a manifest counts only once it is complete.
-        draft = self._at(f"{self.path}/{_MANIFEST}/.{uuid.uuid4().hex}")
-        out = self._fs.create(draft, True)
-        out.write(bytearray("\n".join(entries).encode()))
-        out.close()
-        target = self._at(f"{self.path}/{_MANIFEST}/{number:012}")
-        if self._fs.exists(target) or not self._fs.rename(draft, target):
+        # Written under another name first: a table counts only once it is complete.
+        draft = f"{self.path}/{_PLACES}/.{uuid.uuid4().hex}"
+        places.select(*PLACES.names).coalesce(PLACE_FILES).write.parquet(draft)
+        target = self._at(f"{self.path}/{_PLACES}/{number:012}")
+        if self._fs.exists(target) or not self._fs.rename(self._at(draft), target):
             raise OSError(f"could not write {target}; is there another writer?")
         self._forget(numbers)
 
     def _forget(self, before: Sequence[int]) -> None:
-        """Drops what only manifests older than the one before the newest hold."""
+        """Drops what only places older than those before the newest hold: what one replacement replaced."""
         if len(before) < 2:
             return
-        held = set(self._entries()) | set(self._entries(before[-1]))
+        held = self.places().unionByName(self.places(before[-1]))
         for number in before[:-1]:
-            self._drop([e for e in self._entries(number) if e not in held])
-            self._fs.delete(self._at(f"{self.path}/{_MANIFEST}/{number:012}"), False)
-
-    def _drop(self, entries: Iterable[str]) -> None:
-        for e in entries:
-            self._fs.delete(self._at(f"{self.path}/{e}"), True)
+            old = self.places(number)
+            same = [old[c].eqNullSafe(held[c]) for c in PLACES.names]
+            for r in old.join(held, same, "left_anti").collect():
+                place = self._at(f"{self.path}/" + "/".join(f"{c}={_shown(r[c])}" for c in PLACES.names))
+                self._fs.delete(place, True)
+                for _ in PARTITIONS:  # and what is left empty above it
+                    place = place.getParent()
+                    if self._fs.exists(place) and not self._fs.listStatus(place):
+                        self._fs.delete(place, False)
+            self._fs.delete(self._at(f"{self.path}/{_PLACES}/{number:012}"), True)
 
     def recover(self) -> None:
-        """Removes versions that a lost writer left and no manifest names. Readers need no
+        """Removes versions that a lost writer left and no table of places names. Readers need no
         recovery; call it while nothing writes."""
-        held = {e.split("/")[0] for n in self._numbers() for e in self._entries(n)}
+        held = {r.version for n in self._numbers() for r in self.places(n).select("version").distinct().collect()}
         for status in self._fs.globStatus(self._at(f"{self.path}/version=*")) or []:
-            if status.getPath().getName() not in held:
+            if status.getPath().getName().removeprefix("version=") not in held:
                 self._fs.delete(status.getPath(), True)
+        for status in self._fs.globStatus(self._at(f"{self.path}/{_PLACES}/.*")) or []:
+            if not status.getPath().getName().endswith(".crc"):
+                self._fs.delete(status.getPath(), True)
+
+
+def _undeleted(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.lit(None).cast("int") for c in ("deleted_by", "inserted_by")})
+
 
+def _by_import(bins) -> dict[int, int]:
+    """Counts per import from a histogram: at most one value per import of the run."""
+    out: dict[int, int] = {}
+    for x, y in bins or ():
+        out[int(x)] = out.get(int(x), 0) + int(y)
+    return out
 
-def _place(entry: str) -> tuple:
-    """Site, forecast, month and bucket of a partition directory."""
-    return tuple(None if v.startswith("_") else int(v) for v in _PARTITION.fullmatch(entry + "/").groups())
+
+def _shown(value) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
 
 
 def _month(d: dt.date) -> int:
@@ -224,8 +252,3 @@ def _months(scope: Scope) -> tuple[int, int]:
     first = 0 if scope.mode == HEAD else _month(scope.date_from)
     last = 999912 if scope.mode == TAIL else _month(scope.date_until)
     return first, last
-
-
-def _counts(rows: DataFrame, name: str) -> dict[int, int]:
-    """Counts per import: at most one row per import of the run."""
-    return {r["import_id"]: r[name] for r in rows.collect()}

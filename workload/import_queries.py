@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chronoweave.functions.text import flag_set
 from chronoweave.model import Run
 from chronoweave.operators.imports import delta_windows, import_day, import_intraday
-from chronoweave.operators.replace import Scope, replace_range, replaced_counts, write_back
+from chronoweave.operators.replace import Scope, replace_range, replacement, replacement_counts, write_back
 from chronoweave.sources.staged import StagedFile, quoted_records, staged_cell, staged_cells, staged_date, staged_number, with_problem
 from workload.inputs import (
     EVENT_ACTIVITY,
@@ -362,13 +362,7 @@ FROM supplier_facts WHERE date BETWEEN DATE '1996-05-01' AND DATE '1996-05-31'""
 
 def q_run_summary(spark, sf):
     """Rows deleted and inserted per import of a replacing run."""
-    deleted = replaced_counts(order_facts(spark, sf), day_scopes())
-    inserted = _new_day_rows(spark, sf).groupBy("import_id").agg(F.count(F.lit(1)).alias("rows_inserted"))
-    return deleted.join(inserted, "import_id", "full").select(
-        "import_id",
-        F.coalesce("rows_deleted", F.lit(0)).cast("bigint").alias("rows_deleted"),
-        F.coalesce("rows_inserted", F.lit(0)).cast("bigint").alias("rows_inserted"),
-    )
+    return replacement_counts(replacement(order_facts(spark, sf), _new_day_rows(spark, sf), day_scopes()))
 
 
 SQL_RUN_SUMMARY = f"""WITH {ORDER_FACTS}, {NEW_DAY_ROWS},
