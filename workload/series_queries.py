@@ -7,13 +7,15 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from chronoweave.functions.calendar import with_calendar
-from chronoweave.model import Run, local_table
+from chronoweave.model import SERIES, Run, local_table
 from chronoweave.operators.alert import alert_series
 from chronoweave.operators.correlation import RATIO_WEIGHTS, correlation_forecast, weekly_series
 from chronoweave.operators.forecast_weeks import FIRST_YEAR, YEAR_COLUMNS, assign_forecast_weeks
+from chronoweave.operators.long_series import framed_sums, running_totals
 from chronoweave.operators.parallel import parallel_period
 from chronoweave.operators.regression import (
     LAG_LAYOUT,
+    LAG_ROWS,
     SIMPLE_LAYOUT,
     lag_categories,
     regression_lag_categories,
@@ -23,10 +25,12 @@ from chronoweave.operators.split import split_totals
 from chronoweave.operators.ytd import year_to_date
 from workload.import_queries import imported_orders
 from workload.inputs import (
+    INTRADAY_FACTS,
     ORDER_FACTS,
     SUPPLIER_ACTIVITY,
     SUPPLIER_FACTS,
     calendar_sql,
+    intraday_facts,
     order_facts,
     rounded,
     shown,
@@ -463,7 +467,35 @@ SELECT date, orders, c.day_week_set,
        WHEN g.cell = 1 THEN 202500 + c.week WHEN g.cell = 0 THEN NULL ELSE g.cell END AS INTEGER) AS year_next_week_fc
 FROM c LEFT JOIN g ON c.day_week_set = g.day_week_set AND c.week = g.week AND c.year52 = g.year52"""
 
+def q_intraday_running_totals(spark, sf):
+    """Totals so far of every event type by quarter hour: blocks of days, no task with a whole series."""
+    facts = intraday_facts(spark, sf)
+    found = running_totals(facts, SERIES, ["date", "interval_id"], F.col("date"), {"events": "value1", "total": "value2"})
+    return found.select("date", "interval_id", "activity_id", F.col("events").cast("bigint").alias("events"), F.round("total", 2).alias("total"))
+
+
+SQL_INTRADAY_RUNNING_TOTALS = f"""WITH {INTRADAY_FACTS}
+SELECT date, interval_id, activity_id, CAST(sum(value1) OVER w AS BIGINT) AS events, round(sum(value2) OVER w, 2) AS total
+FROM intraday_facts WINDOW w AS (PARTITION BY activity_id ORDER BY date, interval_id)"""
+
+
+def q_intraday_lag_sums(spark, sf):
+    """Lag categories of every event type over quarter hours with data, in chunks of 500 rows and their halo."""
+    facts = intraday_facts(spark, sf).select(*SERIES, "date", "interval_id", "value1")
+    frames = {f"c{k}": ("value1", *rows) for k, rows in LAG_ROWS.items()} | {"around": ("value1", -4, 4)}
+    found = framed_sums(facts, SERIES, ["date", "interval_id"], F.col("date"), frames, size=500)
+    return found.select("date", "interval_id", "activity_id", *frames)
+
+
+SQL_INTRADAY_LAG_SUMS = f"""WITH {INTRADAY_FACTS}
+SELECT date, interval_id, activity_id, sum(value1) OVER (w ROWS BETWEEN CURRENT ROW AND CURRENT ROW) AS c0,
+       lag(value1, 1) OVER w AS c1, lag(value1, 2) OVER w AS c2, sum(value1) OVER (w ROWS BETWEEN 6 PRECEDING AND 3 PRECEDING) AS c3,
+       sum(value1) OVER (w ROWS BETWEEN 13 PRECEDING AND 7 PRECEDING) AS c4, sum(value1) OVER (w ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) AS around
+FROM intraday_facts WINDOW w AS (PARTITION BY activity_id ORDER BY date, interval_id)"""
+
 QUERIES = {
+    "intraday_running_totals": q_intraday_running_totals,
+    "intraday_lag_sums": q_intraday_lag_sums,
     "ytd_of_import": q_ytd_of_import,
     "ytd_month": q_ytd_month,
     "ytd_week": q_ytd_week,
@@ -481,6 +513,8 @@ QUERIES = {
     "forecast_week_assign": q_forecast_week_assign,
 }
 ORACLE = {
+    "intraday_running_totals": SQL_INTRADAY_RUNNING_TOTALS,
+    "intraday_lag_sums": SQL_INTRADAY_LAG_SUMS,
     "ytd_of_import": SQL_YTD_OF_IMPORT,
     "ytd_month": SQL_YTD_MONTH,
     "ytd_week": SQL_YTD_WEEK,
