@@ -30,6 +30,15 @@ def check(run: Run) -> None:
         raise ValueError(f"import {run.import_id}: p2 and p3 must name forecasts")
 
 
+def reach(runs: Sequence[Run]) -> tuple[dt.date, dt.date, int]:
+    """First and last day of the weeks whose ratios and forecasts the windows need, and how many weeks with data
+    before the first one their smoothing and lags may also look at. One week with data behind the last is enough."""
+    first, last = min(r.date_from for r in runs), max(r.date_until for r in runs)
+    monday = max(first.toordinal() - first.weekday() - 7 * max(RATIO_WEIGHTS), 1)
+    sunday = min(last.toordinal() + 6 - last.weekday(), dt.date.max.toordinal())
+    return dt.date.fromordinal(monday), dt.date.fromordinal(sunday), 1 + max(to_int(r.p4) for r in runs)
+
+
 def correlation_forecast(
     facts: DataFrame, runs: Sequence[Run], when: dt.datetime | None = None
 ) -> DataFrame:
@@ -44,7 +53,7 @@ def correlation_forecast(
         check(r)
     spark = facts.sparkSession
     roles = _roles(spark, runs)
-    wanted = {(r.site_id, a, f) for r in runs for a, f, _ in _reads(r)}
+    wanted = {(r.site_id, a, f) for r in runs for a, f, _ in reads(r)}
     lags = sorted({to_int(r.p4) for r in runs})
     weekly = weekly_series(
         facts.where(_among("site_id", sorted({s for s, _, _ in wanted})))
@@ -163,7 +172,8 @@ def weekly_series(facts: DataFrame, lags: Sequence[int] = ()) -> DataFrame:
     )
 
 
-def _reads(run: Run) -> list[tuple[int, int, str]]:
+def reads(run: Run) -> list[tuple[int, int, str]]:
+    """(activity, forecast, role) of the series that an import reads."""
     return [
         (run.activity_id, to_int(run.p2), "activity"),
         (driver_of(run), to_int(run.p2), "driver"),
@@ -184,7 +194,7 @@ def _roles(spark, runs: Sequence[Run]) -> DataFrame:
                 "lag": to_int(r.p4),
             }
             for r in runs
-            for a, f, role in _reads(r)
+            for a, f, role in reads(r)
         ],
         "import_id int, site_id int, activity_id int, forecast_id int, role string, lag int",
     )

@@ -37,14 +37,18 @@ def wants(runs: Sequence[Run]) -> list[Want]:
 def source_span(run: Run) -> tuple[dt.date, dt.date]:
     """Days of the source that can land in the run's window; a week of slack covers the shift
     between ISO weeks of different years."""
-    shift = to_int(run.p5)
+    return _moved(run.date_from, -to_int(run.p5), -10), _moved(run.date_until, -to_int(run.p5), 10)
 
-    def back(d: dt.date, slack: int) -> dt.date:
-        year = min(max(d.year - shift, 1), 9999)
-        base = dt.date(year, d.month, min(d.day, 28)).toordinal() + slack
-        return dt.date.fromordinal(min(max(base, dt.date.min.toordinal()), dt.date.max.toordinal()))
 
-    return back(run.date_from, -10), back(run.date_until, 10)
+def target_span(run: Run, first: dt.date, last: dt.date) -> tuple[dt.date, dt.date]:
+    """Days that source days from first to last can land on, with the same slack."""
+    return _moved(first, to_int(run.p5), -10), _moved(last, to_int(run.p5), 10)
+
+
+def _moved(d: dt.date, years: int, slack: int) -> dt.date:
+    year = min(max(d.year + years, 1), 9999)
+    base = dt.date(year, d.month, min(d.day, 28)).toordinal() + slack
+    return dt.date.fromordinal(min(max(base, dt.date.min.toordinal()), dt.date.max.toordinal()))
 
 
 def parallel_period(

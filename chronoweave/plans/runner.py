@@ -14,12 +14,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoweave.functions.calendar import continuous_week
 from chronoweave.functions.session import register_functions
-from chronoweave.functions.text import error_json, field_list, sql_text, to_int
-from chronoweave.model import OPEN_FROM, Run, local_table
+from chronoweave.functions.text import error_json, field_list, flag_set, sql_text, to_int
+from chronoweave.model import OPEN_FROM, SERIES, Run, local_table
 from chronoweave.operators import alert, correlation, imports, parallel, regression, split, ytd
 from chronoweave.operators.copies import copy_imports, copy_series
 from chronoweave.operators.replace import Scope, scope_of, write_back
+from chronoweave.plans.changes import Change, change_of, derived_scope, narrowed
 from chronoweave.plans.config import (
     current_year_window,
     due,
@@ -123,6 +125,8 @@ class Runner:
         register_functions(spark, self.when)
         self.log = RunLog(spark, uuid.uuid4().hex, log_path)
         self.plans: dict[tuple[str, ...], DataFrame] = {}
+        # Days of series that this session has replaced; others may be added before a run of changes.
+        self.changes: list[Change] = []
 
     # --- entry points ---------------------------------------------------------------
 
@@ -138,8 +142,13 @@ class Runner:
         category: str = "",
         commands: str = "",
         p: str = "{}",
+        changed_only: bool = False,
     ) -> list[Outcome]:
-        """Runs the selected active imports of a procedure code; returns one outcome each."""
+        """Runs the selected active imports of a procedure code; returns one outcome each.
+
+        With `changed_only` derived imports run for the days that `changes` can reach, or not at all. Their
+        series then are those of a full run, if they were before the changes.
+        """
         operator = self.codes.get(procedure_code, procedure_code)
         if operator not in OPERATORS:
             raise ValueError(f"no operator for procedure code {procedure_code!r}")
@@ -167,6 +176,8 @@ class Runner:
         self._check_schedules(operator, outcomes)
         self._check_parameters(operator, outcomes)
         for batch in _batches(outcomes, operator):
+            if changed_only and operator != "import":
+                self._narrow(operator, batch)
             self._run_batch(operator, batch, extras)
         self._summaries(operator, outcomes, commands, site_id, timer)
         self.log.flush()
@@ -174,9 +185,12 @@ class Runner:
             self.create_views()  # those before show the facts as they were
         return outcomes
 
-    def run_all(self, app: str = "SP", status: str = "TEST", commands: str = "") -> dict[str, dict]:
+    def run_all(
+        self, app: str = "SP", status: str = "TEST", commands: str = "", changed_only: bool = False
+    ) -> dict[str, dict]:
         """Runs every active procedure of an app and status in its sort order. A failing
-        procedure does not stop the next."""
+        procedure does not stop the next. With `changed_only` derived series follow what the
+        imports before them have replaced."""
         timer = Timer()
         self.log.add("SESSION", "START", data=commands)
         procedures = (
@@ -191,7 +205,7 @@ class Runner:
         for row in procedures:
             name = row["procedure_name"] or ""
             try:
-                done = self.run(row["procedure_code"], procedure_name=name, commands=commands)
+                done = self.run(row["procedure_code"], procedure_name=name, commands=commands, changed_only=changed_only)
                 results[name] = totals(done)
             except Exception as e:  # noqa: BLE001 - the batch goes on, the log keeps the error
                 results[name] = {"Errors": 1, "Message": str(e)}
@@ -251,7 +265,7 @@ class Runner:
         """Copies imports to another forecast; with `-DATADAY` also their day facts, replacing
         what an earlier copy wrote. Returns the new imports with `old_import_id`."""
         copies = copy_imports(self.tables.imports, ids, forecast_to, first_id, self.when)
-        if "-DATADAY" in commands.upper().split():
+        if "DATADAY" in flag_set(commands):
             new = copy_series(self.day.read(), copies, forecast_to)
             # One row per copied series: configuration size.
             spans = (
@@ -333,6 +347,18 @@ class Runner:
 
     # --- batches --------------------------------------------------------------------
 
+    def _narrow(self, operator: str, batch: list[Outcome]) -> None:
+        """Leaves each import the days that changes reach; one that they do not reach does not run."""
+        for o in batch:
+            if o.blocked:
+                continue
+            run = narrowed(operator, o.run, self.changes)
+            if run is None:
+                o.blocked = True
+                self._warn(operator, o, "CHANGES TEST", "nothing that it reads has changed")
+            else:
+                o.run = run
+
     def _run_batch(self, operator: str, batch: list[Outcome], extras: dict) -> None:
         live = [o for o in batch if not o.blocked]
         if not live:
@@ -477,7 +503,7 @@ class Runner:
             new = regression.regression_simple(facts, t.staged, runs, self.when)
         else:
             new = alert.alert_series(facts, runs, t.activity, self.when, dates=t.dates)
-        self._store(operator, "DAY", self.day, new, outcomes, [_derived_scope(operator, r) for r in runs])
+        self._store(operator, "DAY", self.day, new, outcomes, [derived_scope(operator, r) for r in runs])
 
     def _facts_for(self, operator: str, runs: Sequence[Run]) -> DataFrame:
         """The day facts an operator can need: only the months its windows reach."""
@@ -491,7 +517,37 @@ class Runner:
             return self.day.where_days(min(s[0] for s in spans), max(s[1] for s in spans))
         if operator == "split":
             return self.day.read_by_month()  # profiles are often those of a year
-        return self.day.read()
+        return self._correlation_facts(runs) if operator == "correlation" else self.day.read()
+
+    def _correlation_facts(self, runs: Sequence[Run]) -> DataFrame:
+        """The months of a correlation: those of its weeks, and as many beside them as hold the weeks with
+        data, of each series it reads, that smoothing and lags may look at."""
+        first, last, weeks = correlation.reach(runs)
+        stored = self.day.days()
+        if stored is None:
+            return self.day.read()
+        read = {(r.site_id, a, f) for r in runs for a, f, _ in correlation.reads(r)}
+        series = local_table(self.spark, [dict(zip(SERIES, s)) for s in sorted(read)], "site_id int, activity_id int, forecast_id int")
+
+        def enough(lo: dt.date, hi: dt.date, least: int) -> bool:
+            week = continuous_week(F.col("date"))
+            found = self.day.where_days(lo, hi).join(series, SERIES).groupBy(*SERIES).agg(F.count_distinct(week).alias("weeks"))
+            return found.where(F.col("weeks") >= least).count() == len(read)
+
+        step = dt.timedelta(7 * weeks + 31)
+        start, end = first, last
+        while start > stored[0]:
+            start = max(first - step, stored[0]) if first - dt.date.min > step else stored[0]
+            if enough(start, first - dt.timedelta(1), weeks):
+                break
+            step *= 2
+        step = dt.timedelta(38)
+        while end < stored[1]:
+            end = min(last + step, stored[1])
+            if enough(last + dt.timedelta(1), end, 1):
+                break
+            step *= 2
+        return self.day.where_days(start, end)
 
     def _store(self, operator, step, store, new, outcomes: list[Outcome], scopes: list[Scope]) -> None:
         logged = [o.run for o in outcomes if o.run.has("LOG_QUERY")]
@@ -510,6 +566,8 @@ class Runner:
             return
         timer = Timer()
         deleted, added = store.replace(new, scopes, self.tables.activity, self.tables.dates)
+        if store is self.day:
+            self.changes.extend(change_of(s) for s in scopes)
         for o in outcomes:
             o.deleted += deleted.get(o.run.import_id, 0)
             o.inserted += added.get(o.run.import_id, 0)
@@ -536,7 +594,7 @@ class Runner:
                     object_id=o.run.import_id, data=o.summary(number),
                     value=o.errors or o.warnings,
                 )
-        if not outcomes and "-LOG_WARNING" in commands.upper().split():
+        if not outcomes and "LOG_WARNING" in flag_set(commands):
             self.log.add(CATEGORY, "END", WARNING, object=operator, data="no active imports found")
         done = totals(outcomes)
         self.log.add(
@@ -589,17 +647,6 @@ _CHECKS = {
 }
 
 
-def _derived_scope(operator: str, run: Run) -> Scope:
-    """Year-to-date and parallel imports with a filter replace all its activities."""
-    wide = (operator == "ytd" and len(run.filter) >= 4) or (
-        operator == "parallel" and run.filter.strip() != ""
-    )
-    return Scope(
-        run.import_id, run.site_id, run.forecast_id, run.date_from, run.date_until,
-        None if wide else run.activity_id, filter=run.filter if wide else "",
-    )
-
-
 def _batches(outcomes: Sequence[Outcome], operator: str) -> list[list[Outcome]]:
     """Imports that may run as one plan, in order.
 
@@ -615,7 +662,7 @@ def _batches(outcomes: Sequence[Outcome], operator: str) -> list[list[Outcome]]:
         waves: list[tuple[set, list[Outcome]]] = []
         last: dict[object, int] = {}
         for o in group:
-            scope = _derived_scope(operator, o.run)
+            scope = derived_scope(operator, o.run)
             target = (scope.site_id, scope.forecast_id)
             series = (*target, scope.activity_id)
             if scope.activity_id is None:

@@ -71,6 +71,14 @@ class FactStore:
         rows = self._rows(self.places().where(months), ["year_month"]).where(months).drop("year_month")
         return rows.where(F.col("date").between(F.lit(first), F.lit(last)))
 
+    def days(self) -> tuple[dt.date, dt.date] | None:
+        """First day of the first month with facts and last day of the last one."""
+        first, last = self.places().agg(F.min("year_month"), F.max("year_month")).first()
+        if first is None:
+            return None
+        following = dt.date(last // 100 + last % 100 // 12, last % 100 % 12 + 1, 1) if last < 999912 else dt.date.max
+        return dt.date(first // 100, first % 100, 1), following - dt.timedelta(1)
+
     def places(self, number: int | None = None) -> DataFrame:
         """The partitions and their versions, in force or of an earlier number."""
         number = number or max(self._numbers(), default=0)

@@ -21,8 +21,10 @@ from chronoweave.operators.regression import (
     regression_lag_categories,
     regression_simple,
 )
+from chronoweave.operators.replace import Scope, replace_range
 from chronoweave.operators.split import split_totals
 from chronoweave.operators.ytd import year_to_date
+from chronoweave.plans.changes import change_of, derived_scope, narrowed
 from workload.import_queries import imported_orders
 from workload.inputs import (
     INTRADAY_FACTS,
@@ -94,6 +96,47 @@ SQL_YTD_MONTH = _ytd_sql(
 )
 
 
+CHANGED_FROM, CHANGED_UNTIL = D(1998, 11, 20), D(1999, 1, 10)
+
+
+def _changed_facts(spark, sf):
+    """Supplier facts, those facts after some days of some suppliers were replaced, and the scopes of it."""
+    old = supplier_facts(spark, sf)
+    new = old.where(F.col("date").between(F.lit(CHANGED_FROM), F.lit(CHANGED_UNTIL)) & (F.col("activity_id") % 7 == 3))
+    new = new.where("value3 > 1").withColumns({"value1": F.col("value1") * 3, "value2": F.col("value2") + 1000})
+    scopes = [Scope(90, 1, 1, CHANGED_FROM, CHANGED_UNTIL, filter="activity_id % 7 = 3")]
+    return old, replace_range(old, new, scopes), [change_of(s) for s in scopes]
+
+
+CHANGED_FACTS = SUPPLIER_FACTS.replace("supplier_facts AS", "shipped AS") + f""", touched AS (
+  SELECT *, date BETWEEN DATE '{CHANGED_FROM}' AND DATE '{CHANGED_UNTIL}' AND activity_id % 7 = 3 AS t FROM shipped),
+supplier_facts AS (
+  SELECT date, activity_id, forecast_id, site_id, import_id, CASE WHEN t THEN value1 * 3 ELSE value1 END AS value1,
+         CASE WHEN t THEN value2 + 1000 ELSE value2 END AS value2, value3
+  FROM touched WHERE NOT t OR value3 > 1)"""
+
+
+def _followed(operator: str, derive, facts, changed, changes, runs, activity):
+    """Series derived before a change, brought up to date for the days that it reaches alone."""
+    concerned = [n for r in runs if (n := narrowed(operator, r, changes))]
+    reached = F.col("date").between(F.lit(min(r.date_from for r in concerned)), F.lit(max(r.date_until for r in concerned)))
+    again = derive(changed.where(reached), concerned, activity)
+    return replace_range(derive(facts, runs, activity), again, [derived_scope(operator, r) for r in concerned], activity)
+
+
+def q_ytd_after_change(spark, sf):
+    """Year-to-date by month, of which a change of some weeks renews two years."""
+    runs = [_region_run(i, r, p2="month") for i, r in enumerate(REGIONS, 1)]
+    facts, changed, changes = _changed_facts(spark, sf)
+    return shown(_followed("ytd", year_to_date, facts, changed, changes, runs, supplier_activity(spark, sf)), "value1", "value2")
+
+
+SQL_YTD_AFTER_CHANGE = _ytd_sql(
+    f"{CHANGED_FACTS}, {SUPPLIER_ACTIVITY}, regions(number, name) AS (VALUES {_REGION_VALUES})", "month(date)", "year(date)",
+    f"SELECT date, f.activity_id, 20 + number AS forecast_id, number AS import_id, value1, value2 FROM {_REGION_JOIN}",
+)
+
+
 def q_ytd_week(spark, sf):
     """As by month but by ISO week, from the middle of a year on."""
     runs = [
@@ -420,6 +463,14 @@ SELECT date, 900 + number AS activity_id, 9 AS forecast_id, 1 AS site_id, {base}
 FROM c WHERE {test} OR value IS NULL"""
 
 
+def q_alert_after_change(spark, sf):
+    """Monthly alerts, of which a change of some weeks renews three months."""
+    facts, changed, changes = _changed_facts(spark, sf)
+    runs = _alert_runs("year_month", "dif_pct > 0.05", 1020)
+    rows = _followed("alert", alert_series, facts, changed, changes, runs, supplier_activity(spark, sf))
+    return shown(rows, "value1", "value2", "value3")
+
+
 _ALERTS = {
     "alert_day": ("date", "dif_pct > 0.5", 1000, ""),
     "alert_week": ("year_week", "dif_pct > 0.2 or value < 100000", 1010, "HAVING count(*) = 7"),
@@ -510,6 +561,8 @@ QUERIES = {
     "lag_categories": q_lag_categories,
     "weekly_series": q_weekly_series,
     **{name: _alert(*spec[:3]) for name, spec in _ALERTS.items()},
+    "ytd_after_change": q_ytd_after_change,
+    "alert_after_change": q_alert_after_change,
     "forecast_week_assign": q_forecast_week_assign,
 }
 ORACLE = {
@@ -527,5 +580,7 @@ ORACLE = {
     "lag_categories": SQL_LAG_CATEGORIES,
     "weekly_series": SQL_WEEKLY_SERIES,
     **{name: _alert_sql(*spec) for name, spec in _ALERTS.items()},
+    "ytd_after_change": SQL_YTD_AFTER_CHANGE,
+    "alert_after_change": _alert_sql(*_ALERTS["alert_month"]).replace(SUPPLIER_FACTS, CHANGED_FACTS),
     "forecast_week_assign": SQL_FORECAST_WEEK_ASSIGN,
 }
