@@ -13,6 +13,7 @@ from chronoweave.operators.imports import delta_windows, import_day, import_intr
 from chronoweave.operators.matching import match_filters
 from chronoweave.operators.parallel import parallel_period
 from chronoweave.operators.regression import regression_lag_categories, regression_simple
+from chronoweave.operators import replace
 from chronoweave.operators.replace import Scope, replace_range, replaced_counts, write_back
 from chronoweave.operators.split import split_totals
 from chronoweave.operators.ytd import year_to_date
@@ -403,7 +404,9 @@ def test_replace_modes_and_counts(spark, day_facts, tuples):
             assert tuples(again, "date", "value1") == tuples(rows, "date", "value1")
 
 
-def test_write_back_order_and_nulls(spark):
+@pytest.mark.parametrize("few", [0, 16])
+def test_write_back_order_and_nulls(spark, monkeypatch, few):
+    monkeypatch.setattr(replace, "FEW_MARKS", few)
     rows = local_table(
         spark,
         [{"date": D(2024, 1, d), "v": d, "import_id": i} for d, i in ((1, None), (2, 99), (3, None))],
