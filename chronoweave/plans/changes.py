@@ -63,7 +63,8 @@ def narrowed(operator: str, run: Run, changes: Sequence[Change]) -> Run | None:
     return run.with_window(first, last) if first <= last else None
 
 
-def _wants(operator: str, run: Run) -> list[Want]:
+def wants(operator: str, run: Run) -> list[Want]:
+    """What a derived import reads."""
     if operator == "ytd":
         return ytd.wants([run])
     if operator == "parallel":
@@ -81,7 +82,7 @@ def _reads(operator: str, run: Run, change: Change) -> bool:
     """Whether the import may read what has changed. Filters are taken to let everything pass."""
     return change.site_id == run.site_id and any(
         w.forecast in (ANY, change.forecast_id) and (change.activity_id is None or w.activity in (ANY, change.activity_id))
-        for w in _wants(operator, run)
+        for w in wants(operator, run)
     )
 
 

@@ -32,6 +32,7 @@ from chronoweave.plans.config import (
     with_parameters,
     with_run_columns,
 )
+from chronoweave.plans.levels import levels
 from chronoweave.plans.runlog import DEBUG, FAILED, SUCCEEDED, WARNING, RunLog, Timer
 from chronoweave.plans.store import FactStore
 from chronoweave.sources.generators import interval_dimension
@@ -154,27 +155,9 @@ class Runner:
             raise ValueError(f"no operator for procedure code {procedure_code!r}")
         timer = Timer()
         self.log.add(CATEGORY, "START", site=site_id, object=operator, data=commands)
-        rows = select_imports(
-            resolve_config(
-                self.tables.imports, self.tables.procedures, self.tables.activity,
-                self.tables.forecast, self.when.date(),
-            ),
-            procedure_code, import_id, site_id, activity_id, forecast_id, procedure_name, category,
+        outcomes, extras = self._prepare(
+            operator, procedure_code, import_id, site_id, activity_id, forecast_id, procedure_name, category, commands, p
         )
-        # Configuration only, never data: the texts are needed here to build the plans.
-        chosen = in_run_order(with_parameters(rows, p)).collect()
-        extras = {
-            r["import_id"]: (r["source_import_id_field"], r["intraday_duration"]) for r in chosen
-        }
-        outcomes = [Outcome(to_run(r, commands)) for r in chosen]
-        if self.default_current_year:
-            for o in outcomes:
-                o.run = current_year_window(o.run, self.when.date())
-        if operator in ("split", "alert") and self.calendar:
-            for o in outcomes:
-                o.run = o.run.closed(self.calendar)
-        self._check_schedules(operator, outcomes)
-        self._check_parameters(operator, outcomes)
         for batch in _batches(outcomes, operator):
             if changed_only and operator != "import":
                 self._narrow(operator, batch)
@@ -193,16 +176,8 @@ class Runner:
         imports before them have replaced."""
         timer = Timer()
         self.log.add("SESSION", "START", data=commands)
-        procedures = (
-            self.tables.procedures.where(
-                (F.col("app") == app) & (F.col("status") == status) & F.col("active")
-            )
-            .orderBy("sort_order", "procedure_id")
-            .select("procedure_code", "procedure_name")
-            .collect()
-        )
         results: dict[str, dict] = {}
-        for row in procedures:
+        for row in self._procedures(app, status):
             name = row["procedure_name"] or ""
             try:
                 done = self.run(row["procedure_code"], procedure_name=name, commands=commands, changed_only=changed_only)
@@ -283,6 +258,84 @@ class Runner:
         self.log.flush()
         return copies
 
+    def run_levels(self, app: str = "SP", status: str = "TEST", commands: str = "") -> dict[str, dict]:
+        """Runs every active procedure of an app and status as `run_all` does, but import by import in the order
+        of what they read and write: what does not depend on each other runs together, whatever procedure
+        it belongs to. Imports that depend on each other in a ring fail."""
+        timer = Timer()
+        self.log.add("SESSION", "START", data=commands)
+        results, nodes, extras = {}, [], {}
+        outcomes: dict[str, tuple[str, list[Outcome]]] = {}
+        for row in self._procedures(app, status):
+            code, name = row["procedure_code"], row["procedure_name"] or ""
+            operator = self.codes.get(code, code)
+            try:
+                if operator not in OPERATORS:
+                    raise ValueError(f"no operator for procedure code {code!r}")
+                chosen, more = self._prepare(operator, code, procedure_name=name, commands=commands)
+            except Exception as e:  # noqa: BLE001 - the others go on, the log keeps the error
+                results[name] = {"Errors": 1, "Message": str(e)}
+                self.log.add("SESSION", "PROCEDURE", FAILED, object=code, object_sub=name, data=error_json(e, code))
+                continue
+            outcomes[name] = (operator, chosen)
+            extras |= more
+            nodes += [(operator, o) for o in chosen if not o.blocked]
+        order, rings = levels([(operator, o.run) for operator, o in nodes])
+        for ring in rings:
+            ids = [nodes[i][1].run.import_id for i in ring]
+            for i in ring:
+                self._fail(*nodes[i], "DEPENDENCIES TEST", ValueError(f"imports that read what each other writes: {ids}"))
+        for number, level in enumerate(order):
+            by_operator: dict[str, list[Outcome]] = {}
+            for i in level:
+                by_operator.setdefault(nodes[i][0], []).append(nodes[i][1])
+            self.log.add("SESSION", "LEVEL", value=number, data={o: [x.run.import_id for x in found] for o, found in by_operator.items()})
+            for operator, found in by_operator.items():
+                for batch in _batches(found, operator, by_procedure=False):
+                    self._run_batch(operator, batch, extras)
+        for name, (operator, found) in outcomes.items():
+            self._summaries(operator, found, commands, 0, timer)
+            results[name] = totals(found)
+        self.log.add("SESSION", "FINISH", duration=timer.seconds())
+        self.log.flush()
+        if self.has_views:
+            self.create_views()
+        return results
+
+    def _procedures(self, app: str, status: str) -> list:
+        """The active procedures in their order: configuration."""
+        active = (F.col("app") == app) & (F.col("status") == status) & F.col("active")
+        chosen = self.tables.procedures.where(active).orderBy("sort_order", "procedure_id")
+        return chosen.select("procedure_code", "procedure_name").collect()
+
+    def _prepare(
+        self, operator: str, procedure_code: str, import_id: int = 0, site_id: int = 0, activity_id: int = 0, forecast_id: int = 0,
+        procedure_name: str = "", category: str = "", commands: str = "", p: str = "{}",
+    ) -> tuple[list[Outcome], dict]:
+        """The selected imports, those that may not run blocked, and the settings that only imports use."""
+        rows = select_imports(
+            resolve_config(
+                self.tables.imports, self.tables.procedures, self.tables.activity,
+                self.tables.forecast, self.when.date(),
+            ),
+            procedure_code, import_id, site_id, activity_id, forecast_id, procedure_name, category,
+        )
+        # Configuration only, never data: the texts are needed here to build the plans.
+        chosen = in_run_order(with_parameters(rows, p)).collect()
+        extras = {
+            r["import_id"]: (r["source_import_id_field"], r["intraday_duration"]) for r in chosen
+        }
+        outcomes = [Outcome(to_run(r, commands)) for r in chosen]
+        if self.default_current_year:
+            for o in outcomes:
+                o.run = current_year_window(o.run, self.when.date())
+        if operator in ("split", "alert") and self.calendar:
+            for o in outcomes:
+                o.run = o.run.closed(self.calendar)
+        self._check_schedules(operator, outcomes)
+        self._check_parameters(operator, outcomes)
+        return outcomes, extras
+
     # --- checks ---------------------------------------------------------------------
 
     def _fail(self, operator: str, o: Outcome, step: str, error: BaseException) -> None:
@@ -647,8 +700,8 @@ _CHECKS = {
 }
 
 
-def _batches(outcomes: Sequence[Outcome], operator: str) -> list[list[Outcome]]:
-    """Imports that may run as one plan, in order.
+def _batches(outcomes: Sequence[Outcome], operator: str, by_procedure: bool = True) -> list[list[Outcome]]:
+    """Imports that may run as one plan, in order; of one procedure and sort order, unless said otherwise.
 
     Later sort orders and procedures see what earlier ones wrote. Two imports that write the
     same series do not share a plan, so the later one replaces the earlier as it should; nor do
@@ -657,7 +710,8 @@ def _batches(outcomes: Sequence[Outcome], operator: str) -> list[list[Outcome]]:
     out: list[list[Outcome]] = []
     groups: dict[tuple, list[Outcome]] = {}
     for o in outcomes:
-        groups.setdefault((o.run.sort_order, o.run.procedure_name, o.run.has("PRINT")), []).append(o)
+        own = (o.run.sort_order, o.run.procedure_name) if by_procedure else ()
+        groups.setdefault((*own, o.run.has("PRINT")), []).append(o)
     for group in groups.values():
         waves: list[tuple[set, list[Outcome]]] = []
         last: dict[object, int] = {}
