@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -209,3 +212,9 @@ def rounded(*values: str) -> str:
 
 
 ALL_VALUES = list(VALUES)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors share."""
+    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared or tempfile.mkdtemp(prefix='workload-')}/{uuid.uuid4().hex}"
