@@ -69,7 +69,7 @@ class Page:
         open_tags: dict[str, int] = {}
         pieces: list[str] = []
         linked = [0, 0]  # depth of links, characters in them
-        at = 0
+        at, last = 0, source.rfind(">") + 1  # beyond the last bracket no tag ends
 
         def flush() -> None:
             raw = "".join(pieces)
@@ -105,7 +105,7 @@ class Page:
             tag, ends = tag.lower(), bool(m["end"])
             if tag in RAW:
                 if not ends and not m["rest"].endswith("/"):
-                    stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
+                    stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at, last)
                     at = stop.end() if stop else len(source)
                 continue
             if tag == "br":

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -151,15 +152,31 @@ def find_spans(text: str) -> list[Span]:
     if not _DIGIT.search(text):
         return found
     for kind in KINDS[1:]:
+        # Spans of one kind never overlap; those of the kinds before are looked up by their place.
+        taken = [] if kind in BASE else merged(found)
+        starts = [s for s, _ in taken]
         for s, e in _FINDERS[kind](text):
+            if kind not in BASE:
+                at = bisect_left(starts, e) - 1
+                if at >= 0 and taken[at][1] > s:
+                    continue
             score = scored(text, kind, s, e)
-            if kind in BASE:
-                found.append(Span(kind, s, e, score))
-            elif score >= LEAST_SCORE and all(e <= f.start or f.end <= s for f in found if f.kind != kind):
+            if kind in BASE or score >= LEAST_SCORE:
                 found.append(Span(kind, s, e, score))
     return found
 
 
+def merged(spans: list[Span]) -> list[tuple[int, int]]:
+    """The ranges that spans cover, in order and apart."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted((s.start, s.end) for s in spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def redact(text: str, spans: list[Span]) -> str:
     """The text with each span, overlapping ones together, replaced by its kind in brackets."""
     out, at = [], 0

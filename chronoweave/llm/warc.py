@@ -14,10 +14,10 @@ are read, so only segments move.
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -30,6 +30,8 @@ from chronoweave.llm.common import MOST_BROADCAST_KEYS, annotate, added, quoted
 #: larger than SEGMENT_BYTES * ARCHIVE_RECORDS and its headers.
 SEGMENT_BYTES, CHUNK_BYTES, ARCHIVE_RECORDS = 16 << 10, 4 << 10, 4096
 
+#: Bytes that are unpacked at a time, so that what precedes damage is kept; segments beyond this number are one.
+_PIECE, _MOST_SEGMENTS = 1 << 12, (1 << 31) - 1
 _VERSION, _END = b"WARC/1.1\r\n", b"\r\n\r\n"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 _UNSAFE = re.compile(r"[\x00-\x20\x7f<>]")
@@ -167,10 +169,28 @@ def write_archives(
     records.write.options(**options).text(folder)
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def unpacked(data: bytes) -> bytes:
+    """The content of an archive, gzip members one after the other; of a damaged one what can be read."""
+    if data[:2] != b"\x1f\x8b":
+        return data
+    parts, rest = [], memoryview(data)
+    while rest:
+        member = zlib.decompressobj(wbits=31)
+        try:
+            while rest and not member.eof:
+                piece, rest = rest[:_PIECE], rest[_PIECE:]
+                parts.append(member.decompress(piece))
+        except zlib.error:
+            break
+        rest = memoryview(data)[len(data) - len(rest) - len(member.unused_data) :]
+    return b"".join(parts)
+
+
+def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes | None]]:
     """Header fields in lower case and block of each record of an archive.
 
-    What is no record, as after a broken length, is skipped up to the next version line.
+    The block of a record whose length is no number, or more than what is left, is None; reading goes on at
+    the next version line, as it does after anything that is no record.
     """
     at = data.find(_VERSION)
     while at >= 0:
@@ -186,6 +206,7 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             yield head, data[start:stop]
             at = data.find(_VERSION, stop)
         else:
+            yield head, None
             at = data.find(_VERSION, start)
 
 
@@ -217,7 +238,9 @@ def read_records(spark: SparkSession, folder: str, with_payload: bool = True) ->
 
     whole says that all segments were there, lengths and framing were right and the digest is that
     stated; else the payload's columns are null. A revisit has no payload of its own. A record
-    that stands in the archives several times is several rows.
+    that stands in the archives several times is several rows. Damage ends nothing: of a cut or broken
+    archive the records before it are read; a record whose length or segment number is wrong, or
+    that is cut short, is a row that is not whole; a damaged continuation makes its record one.
     """
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
     outcome = "payload_bytes long, payload_digest string, whole boolean, payload binary"
@@ -238,14 +261,17 @@ def read_records(spark: SparkSession, folder: str, with_payload: bool = True) ->
             for path, content in zip(*batch.columns):
                 data, rows = content.as_py(), []
                 place = hashlib.md5(path.as_py().encode()).hexdigest()
-                for head, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
+                for head, block in parse(unpacked(data)):
                     own = [head.get(k) for k in ("warc-record-id", "warc-type", "warc-target-uri", "warc-refers-to", "warc-payload-digest")]
                     number, total = head.get("warc-segment-number"), head.get("warc-segment-total-length")
-                    if number is not None:
+                    damaged = block is None or not all(n is None or n.isdecimal() and len(n) < 19 for n in (number, total))
+                    damaged = damaged or number is not None and own[1] != "continuation" and int(number) != 1
+                    if number is not None and not damaged:
                         origin = head.get("warc-segment-origin-id") or own[0]
-                        rows.append((*own, origin, int(number), int(total) if total else None, block, None, None, None, None, head.get(_COPY.lower())))
-                    else:
-                        result = (None, None, True, None) if own[1] == "revisit" else decoded(block, own[4])
+                        rows.append((*own, origin, min(int(number), _MOST_SEGMENTS), int(total) if total else None, block, None, None, None, None, head.get(_COPY.lower())))
+                    elif not (damaged and own[1] == "continuation"):  # which its origin will miss
+                        kept = own[1] == "revisit" and not damaged
+                        result = (None, None, True, None) if kept else decoded(None if damaged else block, own[4])
                         rows.append((*own, own[0], None, None, None, *result, f"{place}-{len(rows)}"))
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(types), types)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "copy"])

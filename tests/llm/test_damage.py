@@ -1,0 +1,81 @@
+"""Damaged archives, and texts on which a search must not start over at every place."""
+
+import gzip
+import time
+
+from chronoweave.llm import html_text, pii, warc
+
+
+def archive(*records):
+    return b"".join(r + warc._END for r in records)
+
+
+def response(name, body, *more):
+    block = warc._HTTP + warc.chunked(body)
+    digest = ("WARC-Payload-Digest", f"sha1:{warc.base32_sha1(body)}")
+    return warc.record([("WARC-Type", "response"), ("WARC-Record-ID", name), digest, *more], block)
+
+
+def test_damaged_archives_are_rows(spark, tmp_path):
+    good, other = response("<a>", b"x" * 500), response("<b>", b"y" * 500)
+    folder = tmp_path / "w"
+    folder.mkdir()
+    packed = gzip.compress(archive(good)) + gzip.compress(archive(other))
+    (folder / "cut.warc.gz").write_bytes(packed[:-60])
+    broken = bytearray(gzip.compress(archive(*[response(f"<n{k}>", bytes([k % 251]) * 40 + str(k * k).encode()) for k in range(400)]), 0))
+    broken[len(broken) * 3 // 4 :] = b"\0" * (len(broken) - len(broken) * 3 // 4)
+    (folder / "broken.warc.gz").write_bytes(bytes(broken))
+    (folder / "plain.warc").write_bytes(
+        archive(
+            response("<c>", b"c", ("WARC-Segment-Number", "one")), response("<d>", b"d", ("WARC-Segment-Number", "7")),
+            response("<e>", b"e", ("WARC-Segment-Number", "9" * 30)), response("<f>", b"f"),
+            good.replace(b"<a>", b"<g>").replace(b"Content-Length: ", b"Content-Length: x"),
+            good.replace(b"<a>", b"<h>").replace(b"Content-Length: ", b"Content-Length: 9"), response("<i>", b"i"),
+            warc.record([("WARC-Type", "continuation"), ("WARC-Segment-Origin-ID", "<k>"), ("WARC-Segment-Number", "x")], b"z"),
+        )
+    )
+    (folder / "no.warc.gz").write_bytes(b"\x1f\x8bnothing")
+    (folder / "empty.warc").write_bytes(b"")
+    rows = warc.read_records(spark, str(folder)).collect()
+    found = {r.record_id: r.whole for r in rows if not r.record_id.startswith("<n")}
+    assert found == {"<a>": True, "<b>": False, "<c>": False, "<d>": False, "<e>": False, "<f>": True, "<g>": False, "<h>": False, "<i>": True}
+    kept = [r.whole for r in rows if r.record_id.startswith("<n")]
+    assert sum(kept) >= 250 and len(rows) == len(found) + len(kept)
+    assert warc.pages_again(warc.read_records(spark, str(folder), with_payload=False)).where("payload_bytes is not null").count() >= 253
+
+
+def test_members_of_an_archive():
+    parts = [b"a" * 10, b"", b"b" * 300_000]
+    assert warc.unpacked(b"".join(map(gzip.compress, parts))) == b"".join(parts)
+    assert warc.unpacked(b"plain") == b"plain" and warc.unpacked(gzip.compress(b"x" * 9)[:-3]) == b"x" * 9
+
+
+def growth(work, make):
+    """How much longer four times the input takes."""
+
+    def seconds(n):
+        text = make(n)
+        return min(_timed(work, text) for _ in range(3))
+
+    return seconds(40_000) / max(seconds(10_000), 0.005)
+
+
+def _timed(work, text):
+    start = time.monotonic()
+    work(text)
+    return time.monotonic() - start
+
+
+def test_long_texts_take_time_in_proportion():
+    assert growth(pii.find_spans, lambda n: "call 555 123 4567 or phone (555) 765-4321, " * (n // 20)) < 9
+    assert growth(html_text.Page, lambda n: "<p>a</p><script>" + "</script " * n) < 9
+    assert growth(html_text.Page, lambda n: "<script>" + "</script " * n + "> <p>b</p>") < 9
+
+
+def test_further_kinds_overlap_no_other():
+    text = "tel +1 555 123 4567, phone 555 123 4567, tel 10.0.0.1 555.123.4567"
+    spans = pii.find_spans(text)
+    assert [(s.kind, text[s.start : s.end]) for s in spans] == [
+        ("ip", "10.0.0.1"), ("phone", "+1 555 123 4567"), ("local_phone", "555 123 4567"), ("local_phone", "555.123.4567"),
+    ]
+    assert pii.merged([pii.Span("a", 5, 9, 1), pii.Span("b", 1, 3, 1), pii.Span("c", 2, 4, 1), pii.Span("d", 9, 10, 1)]) == [(1, 4), (5, 9), (9, 10)]
