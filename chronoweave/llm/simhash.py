@@ -30,7 +30,7 @@ SHINGLE, MOST_BITS, SEED = 4, 4, 42
 #: Reference fingerprints in the distance table, and the seed they are drawn with.
 REFERENCES, REFERENCE_SEED = 48, 7
 #: Classes in a block of a split group, and rows in a task.
-BLOCK, LOAD = 2048, 40_000
+BLOCK, LOAD = 2048, 5_000
 #: Classes that a group should have on average at most; sets the number of bands.
 GROUP = 128
 

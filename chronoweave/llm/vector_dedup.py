@@ -35,7 +35,7 @@ PIVOT_RATE, LEAST_PIVOTS, MOST_PIVOTS, MOST_PIVOT_BYTES = 2, 16, 4096, 32 << 20
 #: Of sampled pivots whose cosine is this or more, one stays: near copies tell vectors nothing apart.
 PIVOT_COSINE = 0.8
 #: Classes in a block of a long list, rows in a task, pairs whose cosine is computed at a time.
-BLOCK, LOAD, PAIRS = 1024, 20_000, 1 << 15
+BLOCK, LOAD, PAIRS = 1024, 3_000, 1 << 15
 
 
 def vectors(table: DataFrame, id: str, embedding: str, label: str) -> DataFrame:
