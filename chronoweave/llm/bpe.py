@@ -10,6 +10,9 @@ proved stable, so any split of a text gives the same ids:
 - Within one long match, ids t1..tn are the encoding of their bytes when each pair of neighbours
   encodes to itself. The window is grown until the pairs at both of its ends do so.
 
+A leaf is cut into matches of the pattern, and a short match into bytes whose neighbours are merged, of all
+pairs in the vocabulary the one of lowest rank first, from left to right. What a word encodes to is remembered.
+
 Decoding concatenates the bytes of the halves up the same kind of tree.
 """
 
@@ -17,24 +20,26 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import re
 from collections.abc import Callable
 
 import pyarrow as pa
 import regex
-import tiktoken
 from pyspark.sql import DataFrame
 
 from chronoweave.llm.common import annotate
 
 #: Characters of a leaf, bytes of a leaf within one match, ids of a leaf in decoding.
-LEAF, PIECE_LEAF, ID_LEAF = 2048, 64, 4096
-#: Pairs of ids whose stability is remembered; the memory is emptied beyond.
-MOST_PAIRS = 200_000
+LEAF, PIECE_LEAF, ID_LEAF = 1024, 32, 4096
+#: Words and matches whose ids, and pairs of ids whose stability is remembered; a memory is emptied beyond.
+MOST_WORDS, MOST_PAIRS = 400_000, 200_000
 
 #: Places that the pattern never matches across. Python's \S leaves out all white space of the
 #: pattern and a few control characters more.
 _STABLE = re.compile(r"(?<=\S)(?=[ \n\t\r])")
+_WORD = re.compile(r"[ \n\t\r]*+[^ \n\t\r]++|[ \n\t\r]++")
+_ODD = re.compile(r"[^\S \n\t\r]")
 
 
 class Codec:
@@ -47,15 +52,14 @@ class Codec:
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
         self.leaf, self.piece_leaf = leaf, piece_leaf
-        self.plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
         self.pattern = regex.compile(pattern)
+        self.words: dict[str, list[int]] = {}
+        self.matches: dict[str, list[int]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def encode(self, text: str) -> list[int]:
-        if len(text) <= self.leaf:
-            return self.plain.encode_ordinary(text)
         middle = len(text) // 2
-        if _STABLE.search(text) is None:
+        if len(text) <= self.leaf or _STABLE.search(text) is None:
             return self._unbroken(text)
         return self._join(text, middle, self.encode(text[:middle]), self.encode(text[middle:]))
 
@@ -72,7 +76,7 @@ class Codec:
             self._drop(left, -1, len(text[start:middle].encode()))
             rest = self._drop(right, 0, len(text[middle:end].encode()))
             window = text[start:end]
-            left += self.plain.encode_ordinary(window) if len(window) <= self.leaf else self._unbroken(window)
+            left += self._unbroken(window)
             right = right[rest:]
         left += right
         return left
@@ -86,24 +90,88 @@ class Codec:
         return n
 
     def _unbroken(self, text: str) -> list[int]:
+        """Ids of a text as it stands: cut into matches, of which those of a word stay together and are remembered."""
         ids: list[int] = []
-        for match in self.pattern.finditer(text):
-            ids += self.encode_piece(match.group().encode())
+        known = self.words
+        # A word and the white space before it; with other white space than its own the pattern must see all of it.
+        for word in _WORD.findall(text) if _ODD.search(text) is None else [text]:
+            own = known.get(word)
+            if own is None:
+                own = [t for match in self.pattern.findall(word) for t in self._match(match)]
+                if len(word) <= self.piece_leaf:
+                    if len(known) >= MOST_WORDS:
+                        known.clear()
+                    known[word] = own
+            ids += own
         return ids
 
+    def _match(self, match: str) -> list[int]:
+        own = self.matches.get(match)
+        if own is None:
+            own = self.encode_piece(match.encode())
+            if len(match) <= self.piece_leaf:
+                if len(self.matches) >= MOST_WORDS:
+                    self.matches.clear()
+                self.matches[match] = own
+        return own
+
+    def merge(self, piece: bytes) -> list[int]:
+        """Ids of some bytes: neighbours are merged, the pair of lowest rank and of equals the first, until none can be."""
+        if len(piece) > self.piece_leaf:
+            return self._merge_window(piece)
+        rank_of, none = self.ranks.get, len(self.bytes_of)
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        ranks = [rank_of(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+        while ranks and (least := min(ranks)) < none:
+            i = ranks.index(least)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank_of(parts[i] + parts[i + 1], none)
+            if i:
+                ranks[i - 1] = rank_of(parts[i - 1] + parts[i], none)
+        return [self.ranks[p] for p in parts]
+
+    def _merge_window(self, piece: bytes) -> list[int]:
+        """As merge(), with the pairs in a heap: n log n steps."""
+        n, ranks = len(piece), self.ranks
+        end = list(range(1, n + 1))  # of the part that starts here; 0 where none does any more
+        before = list(range(-1, n))
+        heap = [(ranks[piece[i : i + 2]], i, i + 1, i + 2) for i in range(n - 1) if piece[i : i + 2] in ranks]
+        heapq.heapify(heap)
+        while heap:
+            _, i, middle, stop = heapq.heappop(heap)
+            if end[i] != middle or middle == n or end[middle] != stop:
+                continue  # one of the two has been merged since
+            end[i], end[middle] = stop, 0
+            before[stop] = i
+            if stop < n and (rank := ranks.get(piece[i : end[stop]])) is not None:
+                heapq.heappush(heap, (rank, i, stop, end[stop]))
+            if i and (rank := ranks.get(piece[before[i] : stop])) is not None:
+                heapq.heappush(heap, (rank, before[i], i, stop))
+        out, i = [], 0
+        while i < n:
+            out.append(ranks[piece[i : end[i]]])
+            i = end[i]
+        return out
+
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one match of the pattern."""
-        if len(piece) <= self.piece_leaf or piece in self.ranks:
-            return self.plain._encode_single_piece(piece)
+        whole = self.ranks.get(piece)
+        return [whole] if whole is not None else self._halves(piece)
+
+    def _halves(self, piece: bytes) -> list[int]:
+        if len(piece) <= self.piece_leaf:
+            return self.merge(piece)
         middle = len(piece) // 2
-        left, right = self.encode_piece(piece[:middle]), self.encode_piece(piece[middle:])
+        left, right = self._halves(piece[:middle]), self._halves(piece[middle:])
         width = 1
         if self._stable(left[-1], right[0]):
             return left + right
         while True:
             i, j = max(0, len(left) - width), min(width, len(right))
             window = b"".join(self.bytes_of[t] for t in left[i:] + right[:j])
-            inner = self.plain._encode_single_piece(window)
+            inner = self.merge(window)
             if (i == 0 or self._stable(left[i - 1], inner[0])) and (j == len(right) or self._stable(inner[-1], right[j])):
                 return left[:i] + inner + right[j:]
             width *= 2
@@ -113,7 +181,7 @@ class Codec:
         if known is None:
             if len(self.pairs) >= MOST_PAIRS:
                 self.pairs.clear()
-            known = self.plain._encode_single_piece(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            known = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
             self.pairs[a, b] = known
         return known
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from chronoweave.llm.common import mixed, pieces, powers, quoted, word_bounds, word_hashes
+from chronoweave.llm.common import checkpoint, mixed, pieces, powers, quoted, word_bounds, word_hashes
 
 #: Words in a window that counts as a repeat.
 WINDOW = 20
@@ -287,11 +287,18 @@ def mark(bits: int, window: int, schema: pa.Schema):
 
 
 def in_chunks(docs: DataFrame, id: str, text: str, n_chunks: int) -> DataFrame:
-    """(id, text, chunk): chunks are ranges of ids in order; rows without id come last, by text."""
+    """(id, text, chunk): chunks are ranges of ids in order; rows without id come last, by text.
+
+    Ids that are no integers are sorted, by id and text, into ranges of about as many rows each, which are
+    kept in the shared folder, as the passes over them have to see the same ones.
+    """
     own = docs.select(docs[quoted(id)].alias("id"), docs[quoted(text)].cast("string").alias("text"))
+    if n_chunks > 1 and dict(own.dtypes)["id"] not in ("tinyint", "smallint", "int", "bigint"):
+        ordered = own.repartitionByRange(n_chunks, F.col("id").isNull(), "id", "text")
+        return checkpoint(ordered.withColumn("chunk", F.spark_partition_id().cast("long")))
     unnamed = F.lit(n_chunks) + F.pmod(F.xxhash64("text"), F.lit(n_chunks))
     number = F.lit(0).cast("long")
-    if n_chunks > 1 and dict(own.dtypes)["id"] in ("tinyint", "smallint", "int", "bigint"):
+    if n_chunks > 1:
         n_ranges = min(n_chunks, MOST_RANGES)
         limits = own.agg(F.percentile_approx("id", [i / n_ranges for i in range(n_ranges + 1)], 100 * n_ranges)).first()[0]
         limits = sorted(set(limits or [0]))
@@ -320,8 +327,8 @@ def remove_repeats(
     smaller id, or earlier in the same row. repeats are the ranges of such words, kept the others
     joined by one space. Rows of one id are ordered by text, and rows alike in both count as one
     document and have the same result. Rows without id come last. Null and empty texts have no
-    words. Ids that are no integers are compared too, but in one chunk. An empty table gives an
-    empty one; other columns are not looked at.
+    words. Ids may be of any type that has an order. An empty table gives an empty one; other columns
+    are not looked at.
     """
     size = docs.agg(F.sum(F.octet_length(docs[quoted(text)].cast("string")))).first()[0] or 0
     n_chunks = size // chunk_bytes + 1

@@ -1,9 +1,15 @@
-"""Damaged archives, and texts on which a search must not start over at every place."""
+"""Damaged archives, long texts, ids of any type, and the ids of a byte-pair encoding against a library's."""
 
 import gzip
+import hashlib
+import random
 import time
 
-from chronoweave.llm import html_text, pii, warc
+import public_tokenizers
+import tiktoken
+from pyspark.sql import functions as F
+
+from chronoweave.llm import bpe, html_text, pii, queries, substring_dedup, warc
 
 
 def archive(*records):
@@ -79,3 +85,52 @@ def test_further_kinds_overlap_no_other():
         ("ip", "10.0.0.1"), ("phone", "+1 555 123 4567"), ("local_phone", "555 123 4567"), ("local_phone", "555.123.4567"),
     ]
     assert pii.merged([pii.Span("a", 5, 9, 1), pii.Span("b", 1, 3, 1), pii.Span("c", 2, 4, 1), pii.Span("d", 9, 10, 1)]) == [(1, 4), (5, 9), (9, 10)]
+
+
+def test_ids_of_any_type_are_dealt_into_bounded_chunks(spark):
+    draw = random.Random(8)
+    words = [f"w{k}" for k in range(300)]
+    passages = [" ".join(draw.choices(words, k=25)) for _ in range(30)]
+    rows = [(f"id-{k:05}", " ".join([*draw.choices(words, k=15), draw.choice(passages), *draw.choices(words, k=10)])) for k in range(1500)]
+    rows += [(None, passages[0] + " end"), ("id-00007", passages[1]), ("id-00007", "another text " + passages[1])]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+
+    def result(size):
+        found = substring_dedup.remove_repeats(docs, with_text=False, chunk_bytes=size)
+        return sorted((str(r.id), r.n_words, r.n_removed, r.kept_sha256) for r in found.collect())
+
+    chunks = substring_dedup.in_chunks(docs, "doc_id", "text", 20)
+    sizes = [r["count"] for r in chunks.groupBy("chunk").count().orderBy("chunk").collect()]
+    assert len(sizes) >= 15 and max(sizes) < 0.2 * len(rows)
+    firsts = [r[0] for r in chunks.where("id is not null").groupBy("chunk").agg(F.min("id"), F.max("id")).orderBy("chunk").select("min(id)").collect()]
+    assert firsts == sorted(firsts)
+    whole = result(1 << 30)
+    assert result(20_000) == whole and sum(r[2] for r in whole) > 1400 * 20
+
+
+def test_bpe_by_its_own_merges_is_that_of_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    own = bpe.Codec(path, public_tokenizers.PATTERN, leaf=40, piece_leaf=8)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    draw = random.Random(2)
+    texts = ["".join(draw.choice("ab é\n'st1! \t") for _ in range(draw.randint(0, 400))) for _ in range(300)]
+    texts += ["".join(draw.choice("aeiou th") for _ in range(500)) for _ in range(20)] + ["\x1c \x85a  b   c", "a" * 999, " " * 999, "é" * 300]
+    texts += ["".join(chr(draw.randint(1, 0x2FFF)) for _ in range(300)) for _ in range(20)]
+    for text in texts:
+        assert own.encode(text) == library.encode_ordinary(text), text
+    for _ in range(200):
+        piece = bytes(draw.choices(b"abcdeinorst ", k=draw.randint(1, 80)))
+        assert own.merge(piece) == own._merge_window(piece)
+
+
+def test_ids_of_all_documents_are_those_of_the_library(spark):
+    folder = "/root/testdata/sf0.01"
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.codec(path, public_tokenizers.PATTERN).ranks, special_tokens={})
+    docs = {r.doc_id: r.text or "" for r in queries.documents(spark, folder).collect()}
+    rows = queries.op5_byte_bpe(spark, folder).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        ids = library.encode_ordinary(docs[r.doc_id])
+        decimal = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), decimal, hashlib.sha256(docs[r.doc_id].encode()).hexdigest())
