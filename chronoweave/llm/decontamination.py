@@ -43,37 +43,45 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 class Tests:
     """The suffixes of a block of benchmark items, ready to be looked up.
 
-    ids: per item the words' numbers from 1 on; suffixes: (item, start) of every suffix that holds
-    a whole window, one for each distinct rest of words; windows: a distinct window per suffix.
+    flat holds the words' numbers from 1 on, item after item. Of every suffix that holds a whole window there
+    are its item, place in it, first word, window's size and words left; order and group sort them by
+    window, heads are one suffix of each. All are arrays, of some 60 bytes a word.
     """
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int) -> None:
         texts = [(text or "").encode() for _, text in items]
         data = np.frombuffer(b"".join(texts), np.uint8)
         offsets = np.cumsum([0, *map(len, texts)])
-        low, starts, ends, hashes, first = _words(data, offsets)
-        raw = low.tobytes()
+        self.low, self.starts, self.ends, hashes, first = _words(data, offsets)
         self.names = [name for name, _ in items]
-        self.known = np.sort(np.unique(hashes))
+        self.known = np.unique(hashes)
         numbers = np.searchsorted(self.known, hashes) + 1
-        self.words = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
-        self.longest = int(np.max(np.diff(first), initial=0))
+        sizes = np.diff(first)
+        self.longest = int(sizes.max(initial=0))
         self.flat = np.concatenate([numbers, np.zeros(self.longest + 64, np.int64)])
-        at, size, item, place = [], [], [], []
-        for i in range(len(items)):
-            a, b = int(first[i]), int(first[i + 1])
-            n = min(window, b - a)
-            for p in range(a, b - n + 1) if n else ():
-                at.append(p), size.append(n), item.append(i), place.append(p - a)
-        self.at, self.size = np.array(at, np.int64), np.array(size, np.int64)
-        self.item, self.place = np.array(item, np.int64), np.array(place, np.int64)
-        self.rest = first[self.item + 1] - self.at if len(self.at) else np.zeros(0, np.int64)
+        # Of an item of n words n - window + 1 windows; of a shorter one the whole.
+        n_windows = np.where(sizes > window, sizes - window + 1, np.minimum(sizes, 1))
+        self.item = np.repeat(np.arange(len(items)), n_windows)
+        self.place = np.arange(len(self.item)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+        self.at = first[self.item] + self.place
+        self.size = np.minimum(sizes[self.item], window)
+        self.rest = first[self.item + 1] - self.at
         # Windows of the same words are looked up once, and stand for all their items.
-        self.same: dict[tuple[bytes, ...], list[int]] = {}
-        for k, (p, n) in enumerate(zip(at, size)):
-            self.same.setdefault(tuple(self.words[p : p + n]), []).append(k)
-        self.windows = list(self.same)
-        self.heads = np.array([self.same[w][0] for w in self.windows], np.int64)
+        self.order = np.arange(len(self.at))
+        for j in range(window):
+            word = np.where(j < self.size, self.flat[self.at + j], 0)
+            self.order = self.order[np.argsort(word[self.order], kind="stable")]
+        differ = np.ones(len(self.order), bool)
+        if len(differ):
+            differ[1:] = False
+            for j in range(window):
+                word = np.where(j < self.size, self.flat[self.at + j], 0)[self.order]
+                differ[1:] |= word[1:] != word[:-1]
+        self.group = np.append(np.flatnonzero(differ), len(self.order))
+        self.heads = self.order[self.group[:-1]]
+        # A block is far smaller than 2 GB.
+        for name in ("starts", "ends", "flat", "item", "place", "at", "size", "rest", "order", "group", "heads"):
+            setattr(self, name, getattr(self, name).astype(np.int32))
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, dict[int, tuple[list, dict]]]:
         """Words of each text; for texts with finds their hit words' spans and their items.
@@ -96,12 +104,13 @@ class Tests:
         for window, at in zip(*self._lookup(ids)):
             text = int(np.searchsorted(first + np.arange(n_texts + 1), at, "right")) - 1
             word = int(at) - text
-            words = self.windows[window]
-            if any(low[starts[word + i] : ends[word + i]].tobytes() != w for i, w in enumerate(words)):
+            head, size = int(self.at[self.heads[window]]), int(self.size[self.heads[window]])
+            here = (low[starts[word + i] : ends[word + i]].tobytes() for i in range(size))
+            if any(own != self._word(head + i) for i, own in enumerate(here)):
                 continue  # equal hashes of different words
             spans, items = found.setdefault(text, ([], {}))
-            spans.append((word - int(first[text]), word - int(first[text]) + len(words)))
-            for k in self.same[words]:
+            spans.append((word - int(first[text]), word - int(first[text]) + size))
+            for k in self.order[self.group[window] : self.group[window + 1]].tolist():
                 name = self.names[self.item[k]]
                 if name is not None:
                     n = self._extent(ids, int(at), k)
@@ -109,6 +118,9 @@ class Tests:
                     items[name] = max(items.get(name, best), best)
         return n_words, found
 
+    def _word(self, at: int) -> bytes:
+        return self.low[self.starts[at] : self.ends[at]].tobytes()
+
     def _extent(self, ids: np.ndarray, at: int, k: int) -> int:
         """Words that the text from `at` and the item's suffix k have in common."""
         rest, start = int(self.rest[k]), int(self.at[k])
@@ -214,7 +226,7 @@ def find_benchmark(
     keep = list(docs.columns if keep is None else keep)
     items = benchmark.select(
         F.col(quoted(item_id)).cast("string").alias("name"), F.col(quoted(item_text)).cast("string").alias("text")
-    ).where("text is not null")
+    ).where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = size // block_bytes + 1
     found = docs
