@@ -71,6 +71,7 @@ class Outcome:
     marked: bool = False  # its source rows hold its id; a retry does not mark them again
 
     def summary(self, number: int) -> dict:
+        # The keys of an import's summary in the run log.
         return {
             "N": number,
             "Errors": self.errors,
@@ -85,6 +86,7 @@ class Outcome:
 
 def totals(outcomes: Sequence[Outcome]) -> dict:
     """The summary of a run over its imports."""
+    # The keys of a run's summary in the run log.
     return {
         "Imports": len(outcomes),
         "Errors": sum(o.errors for o in outcomes),

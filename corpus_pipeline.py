@@ -1,7 +1,11 @@
 """A training-data pipeline over `documents`: language, near copies, benchmark, personal data, ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
-columns of docs. What a stage returns is written as Parquet and read again as the next one's docs.
+columns of docs. What a stage returns is written as Parquet and read again as the next one's docs,
+under `pipeline-<id>` in the shared folder, which whoever runs the pipeline removes.
+
+In every stage null and empty texts count as texts without words, texts of any length are read whole, an
+empty table gives an empty one, and further columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,28 +20,38 @@ from chronoweave.llm.common import added, shared_folder
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language identification accepts."""
+    """Documents that language identification accepts.
+
+    Texts without a letter, null ones included, go; copies go or stay together; without any labelled text to
+    learn from every document with a letter stays.
+    """
     model = language_id.fit(docs, language_id.remainder(docs.doc_id, 5) != 0)
     return language_id.accepted_documents(docs, model)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, that of the smallest doc_id.
+
+    All texts without words are one group; rows that repeat a doc_id are documents of their own.
+    """
     return simhash.distinct_documents(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Null and empty items are no passages; without any item every document stays; copies go or stay together.
+    """
     return decontamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind."""
+    """All documents, personal data replaced by its kind and n_chars counted anew; null texts stay null."""
     return pii.redacted_documents(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document and the digests of ids and decoded bytes."""
+    """Ids of each document and the digests of ids and decoded bytes; a null text has no ids."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     found = bpe.encode_documents(docs, path, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source"])
     names = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
