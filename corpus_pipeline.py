@@ -32,7 +32,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest doc_id.
 
-    All texts without words are one group; rows that repeat a doc_id are documents of their own.
+    All texts without words are one group; of rows that repeat its doc_id the one that sorts first stays.
     """
     return simhash.distinct_documents(docs)
 
