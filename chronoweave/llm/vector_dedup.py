@@ -8,7 +8,8 @@ shares, and there the cosine of the two decides.
 Equal vectors are one class, combined beforehand. Lists of any length are compared in pairs of
 blocks, and a task returns each class's number of links and the one member it hangs on, so rows do
 not grow with the square of a list. The number of pivots grows with the root of the number of
-classes, up to a bound; each class is indexed, only the pivots are a sample.
+classes, up to a bound that is reached at 10^9 classes of up to 256 dimensions, 10^8 of 768; lists are longer
+beyond. Each class is indexed, only the pivots are a sample.
 """
 
 from __future__ import annotations
@@ -31,7 +32,9 @@ LEAST_COSINE = 0.93
 #: Pivots that describe a vector, and how many of them candidates share.
 NEAREST, SHARED = 8, 2
 #: The sample of pivots: its growth with the root of the classes, and its bounds.
-PIVOT_RATE, LEAST_PIVOTS, MOST_PIVOTS, MOST_PIVOT_BYTES = 2, 16, 4096, 32 << 20
+PIVOT_RATE, LEAST_PIVOTS, MOST_PIVOTS, MOST_PIVOT_BYTES = 2, 16, 1 << 16, 128 << 20
+#: Distances from vectors to pivots that a task holds at a time.
+MOST_DISTANCES = 1 << 22
 #: Of sampled pivots whose cosine is this or more, one stays: near copies tell vectors nothing apart.
 PIVOT_COSINE = 0.8
 #: Classes in a block of a long list, rows in a task, pairs whose cosine is computed at a time.
@@ -75,6 +78,23 @@ def units(raw: list[bytes], dim: int) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
+def apart(places: np.ndarray) -> np.ndarray:
+    """Of unit vectors, in order, those whose cosine with all that were taken before is below PIVOT_COSINE."""
+    taken = places[:0]
+    for at in range(0, len(places), 1024):
+        block = places[at : at + 1024]
+        free = np.ones(len(block), bool)
+        for start in range(0, len(taken), 4096):
+            free &= (block @ taken[start : start + 4096].T).max(axis=1) < PIVOT_COSINE
+        near = block @ block.T >= PIVOT_COSINE
+        chosen: list[int] = []
+        for i in np.flatnonzero(free):
+            if not near[i, chosen].any():
+                chosen.append(int(i))
+        taken = np.concatenate([taken, block[chosen]])
+    return taken
+
+
 def with_pivots(classes: DataFrame, nearest: int) -> tuple[DataFrame, int]:
     """classes with `pivots`, the numbers of their nearest pivots in order; and how many a row has.
 
@@ -88,11 +108,10 @@ def with_pivots(classes: DataFrame, nearest: int) -> tuple[DataFrame, int]:
     places = np.zeros((len(sample), dim or 1))
     for k, r in enumerate(sample):
         places[k, : r.dim] = units([bytes(r.vec)], r.dim)
-    apart: list[int] = []
-    for i in range(len(places)):
-        if not apart or (places[apart] @ places[i]).max() < PIVOT_COSINE:
-            apart.append(i)
-    shared, k = classes.sparkSession.sparkContext.broadcast(places[apart]), min(nearest, len(apart))
+    kept = apart(places)
+    shared, k = classes.sparkSession.sparkContext.broadcast(kept), min(nearest, len(kept))
+    # Rows whose distances to all pivots are held at a time.
+    rows_at_once = max(1, min(2048, MOST_DISTANCES // max(1, len(kept))))
 
     def make() -> Callable:
         pivots = shared.value
@@ -101,7 +120,7 @@ def with_pivots(classes: DataFrame, nearest: int) -> tuple[DataFrame, int]:
             raw, dims = raw.to_pylist(), dims.to_numpy(zero_copy_only=False)
             out = np.zeros((len(raw), k), np.int32)
             for d in np.unique(dims):
-                for at in np.array_split(np.flatnonzero(dims == d), -(-int((dims == d).sum()) // 2048)):
+                for at in np.array_split(np.flatnonzero(dims == d), -(-int((dims == d).sum()) // rows_at_once)):
                     near = units([raw[i] for i in at], int(d)) @ pivots[:, :d].T
                     top = np.argpartition(-near, k - 1, axis=1)[:, :k]
                     out[at] = np.take_along_axis(top, np.lexsort((top, -np.take_along_axis(near, top, 1))), 1)
