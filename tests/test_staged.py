@@ -73,7 +73,7 @@ LONG_ROW = ",".join(map(str, range(79)))
 
 def staged_folder(tmp_path):
     (tmp_path / "a.csv").write_text(f"day,n\n2024-01-01,1\n2024-13-01,2\n\n2024-01-02,x\n{LONG_ROW}\n2024-01-03,\n2024-01-04,\"5\n,7\n")
-    (tmp_path / "b.csv").write_text("".join(f"2024-01-01,{'no' if k % 2 else k}\n" for k in range(40)))
+    (tmp_path / "b.csv").write_text("".join(f"2024-01-01,{'no' if k % 2 else k},{'y' * 120}\n" for k in range(40)))
     quote = '2024-02-01,"1\n2"\n2024-02-02,"3\n\n4"\n2024-02-03,5\n'
     (tmp_path / "c.csv").write_text("day,n\n" + quote + '2024-02-04,"6\n')
     return [
@@ -83,7 +83,7 @@ def staged_folder(tmp_path):
     ]
 
 
-@pytest.mark.parametrize("size", [250, 100_000])
+@pytest.mark.parametrize("size", [1500, 100_000])
 def test_bad_lines_are_set_aside(spark, tmp_path, size):
     files = staged_folder(tmp_path)
     spark.conf.set("spark.sql.files.maxPartitionBytes", size)
