@@ -34,6 +34,8 @@ from chronoweave.llm.common import annotate
 LEAF, PIECE_LEAF, ID_LEAF = 1024, 32, 4096
 #: Words and matches whose ids, and pairs of ids whose stability is remembered; a memory is emptied beyond.
 MOST_WORDS, MOST_PAIRS = 400_000, 200_000
+#: Bits of an id in a pair of ids.
+_SHIFT = 32
 
 #: Places that the pattern never matches across. Python's \S leaves out all white space of the
 #: pattern and a few control characters more.
@@ -51,6 +53,14 @@ class Codec:
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
+        self.byte_ids = [self.ranks[bytes([b])] for b in range(256)]
+        # The rank of each pair of ids that are one id together: all ways to cut a token in two.
+        self.pair_ranks = {
+            self.ranks[token[:i]] << _SHIFT | self.ranks[token[i:]]: rank
+            for token, rank in self.ranks.items()
+            for i in range(1, len(token))
+            if token[:i] in self.ranks and token[i:] in self.ranks
+        }
         self.leaf, self.piece_leaf = leaf, piece_leaf
         self.pattern = regex.compile(pattern)
         self.words: dict[str, list[int]] = {}
@@ -119,18 +129,18 @@ class Codec:
         """Ids of some bytes: neighbours are merged, the pair of lowest rank and of equals the first, until none can be."""
         if len(piece) > self.piece_leaf:
             return self._merge_window(piece)
-        rank_of, none = self.ranks.get, len(self.bytes_of)
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        ranks = [rank_of(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+        rank_of, none = self.pair_ranks.get, len(self.bytes_of)
+        ids = [self.byte_ids[b] for b in piece]
+        ranks = [rank_of(a << _SHIFT | b, none) for a, b in zip(ids, ids[1:])]
         while ranks and (least := min(ranks)) < none:
             i = ranks.index(least)
-            parts[i] += parts.pop(i + 1)
-            del ranks[i]
+            ids[i] = least
+            del ids[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = rank_of(parts[i] + parts[i + 1], none)
+                ranks[i] = rank_of(least << _SHIFT | ids[i + 1], none)
             if i:
-                ranks[i - 1] = rank_of(parts[i - 1] + parts[i], none)
-        return [self.ranks[p] for p in parts]
+                ranks[i - 1] = rank_of(ids[i - 1] << _SHIFT | least, none)
+        return ids
 
     def _merge_window(self, piece: bytes) -> list[int]:
         """As merge(), with the pairs in a heap: n log n steps."""
