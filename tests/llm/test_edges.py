@@ -6,6 +6,7 @@ import math
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -148,7 +149,8 @@ def test_copies_are_learned_from_once(spark, monkeypatch):
 
 
 def test_encoding(docs):
-    plain = bpe.codec(PATH, public_tokenizers.PATTERN).plain
+    ranks = bpe.codec(PATH, public_tokenizers.PATTERN).ranks
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     for r in bpe.encode_documents(docs, PATH, public_tokenizers.PATTERN).collect():
         ids = plain.encode_ordinary(r.text or "")
         assert r[-1].ids == ids and r[-1].n_tokens == len(ids)
