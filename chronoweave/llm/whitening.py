@@ -188,6 +188,18 @@ class Spectrum:
         self.mean = self.mean + apart * (times / total)
         self.n = total
 
+    def add_reduced(self, x: np.ndarray, times: np.ndarray) -> None:
+        """Vectors (rows) so many times each, by as many updates as they have entries.
+
+        The triangular factor of the centred vectors has their scatter matrix; its rows are added one by one,
+        and the vectors' mean is added as often as there are vectors.
+        """
+        n = int(times.sum())
+        mean = times @ x / n
+        for row in np.linalg.qr((x - mean) * np.sqrt(times)[:, None], mode="r"):
+            self.values, self.vectors = rank_one(self.values, self.vectors, row, 1.0)
+        self.add(mean, n)
+
     def combine(self, other: Spectrum) -> None:
         """The vectors of another spectrum."""
         if other.n:
@@ -243,13 +255,16 @@ def totals(vectors: DataFrame) -> tuple[int, list[int]]:
     return chosen[0].n, [int(r.total) for r in sums.where(F.col("size") == chosen[0]["size"]).orderBy("place").collect()]
 
 
-def spectrum(vectors: DataFrame, dim: int) -> Spectrum:
+def spectrum(vectors: DataFrame, dim: int, reduced: bool = False) -> Spectrum:
     """Of all usable vectors of the only column: partitions by rank-one updates, combined up a tree."""
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Spectrum(dim)
         for whole in matrices(batches, dim):
             rows, times = np.unique(whole, axis=0, return_counts=True)
+            if reduced and len(rows) > dim:
+                found.add_reduced(rows.astype(float), times)
+                continue
             for x, n in zip(rows.astype(float), times.tolist()):
                 found.add(x, n)
         if found.n:
@@ -296,9 +311,12 @@ def scaled_distances(whole: np.ndarray, n: int, sums: list[int]) -> np.ndarray:
     return whole.astype(object) * n - np.array(sums, object)
 
 
-def fit(table: DataFrame, embedding: str = "embedding") -> Model | None:
+def fit(table: DataFrame, embedding: str = "embedding", reduced: bool = False) -> Model | None:
     """The variances and axes of the usable vectors of table; None without any.
 
+    Each vector is one update of its partition's spectrum. With `reduced`, for tables on which that takes too
+    long, a batch of vectors is first turned into as many as they have entries, of the same scatter.
+
     Rows whose vector is null or empty or holds null or non-finite entries do not take part, nor do
     vectors of another length than the most frequent one (of equals the longest). Repeated rows count
     again. Entries beyond MOST / SCALE count as that.
@@ -308,7 +326,7 @@ def fit(table: DataFrame, embedding: str = "embedding") -> Model | None:
     if not n:
         return None
     dim = len(sums)
-    rough, _ = np.linalg.qr(spectrum(vectors, dim).vectors)
+    rough, _ = np.linalg.qr(spectrum(vectors, dim, reduced).vectors)
 
     def turned(whole: np.ndarray) -> np.ndarray:
         return (scaled_distances(whole, n, sums).astype(float) / n) @ rough

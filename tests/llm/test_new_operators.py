@@ -204,6 +204,11 @@ def test_spectra_by_rank_one_updates(seed):
         parts[k % 3].add(row, 1 + k % 2)
     for other in parts[1:]:
         parts[0].combine(other)
+    some = whitening.Spectrum(dim)
+    some.add_reduced(x[: n // 2 + 1], np.ones(n // 2 + 1, int))
+    some.add_reduced(x[n // 2 + 1 :], np.ones(n - n // 2 - 1, int)) if n > n // 2 + 1 else None
+    near = (x - x.mean(0)).T @ (x - x.mean(0))
+    assert some.n == n and np.abs(some.vectors * some.values @ some.vectors.T - near).max() <= 1e-11 * max(1, np.abs(near).max())
     whole = np.repeat(x, [1 + k % 2 for k in range(n)], axis=0)
     scatter = (whole - whole.mean(0)).T @ (whole - whole.mean(0))
     s = parts[0]
@@ -254,6 +259,9 @@ def test_whitening_does_not_depend_on_partitions(spark):
     one, many = whitening.fit(table.coalesce(1)), whitening.fit(table.repartition(23))
     assert one.sums == many.sums and np.allclose(one.values, many.values, rtol=1e-12)
     assert np.abs(np.abs((one.axes * many.axes).sum(0)) - 1).max() < 1e-9
+    fast = whitening.fit(table.repartition(3), reduced=True)
+    assert fast.sums == one.sums and np.allclose(one.values, fast.values, rtol=1e-12)
+    assert np.abs(np.abs((one.axes * fast.axes).sum(0)) - 1).max() < 1e-9
 
 
 def test_query_of_no_vectors(spark, tmp_path):
