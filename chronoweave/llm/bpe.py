@@ -11,7 +11,7 @@ proved stable, so any split of a text gives the same ids:
   encodes to itself. The window is grown until the pairs at both of its ends do so.
 
 A leaf is cut into matches of the pattern, and a short match into bytes whose neighbours are merged, of all
-pairs in the vocabulary the one of lowest rank first, from left to right. What a word encodes to is remembered.
+pairs in the vocabulary the one of lowest rank first, from left to right. What matches and short bytes encode to is remembered.
 
 Decoding concatenates the bytes of the halves up the same kind of tree.
 """
@@ -31,17 +31,17 @@ from pyspark.sql import DataFrame
 from chronoweave.llm.common import annotate
 
 #: Characters of a leaf, bytes of a leaf within one match, ids of a leaf in decoding.
-LEAF, PIECE_LEAF, ID_LEAF = 1024, 32, 4096
-#: Words and matches whose ids, and pairs of ids whose stability is remembered; a memory is emptied beyond.
-MOST_WORDS, MOST_PAIRS = 400_000, 200_000
+LEAF, PIECE_LEAF, ID_LEAF = 1024, 6, 4096
+#: Longest text or bytes whose ids are remembered.
+MEMORABLE = 32
+#: Matches, and short bytes and pairs of ids, that are remembered; a memory is emptied beyond.
+MOST_MATCHES, MOST_PAIRS = 600_000, 300_000
 #: Bits of an id in a pair of ids.
 _SHIFT = 32
 
 #: Places that the pattern never matches across. Python's \S leaves out all white space of the
 #: pattern and a few control characters more.
 _STABLE = re.compile(r"(?<=\S)(?=[ \n\t\r])")
-_WORD = re.compile(r"[ \n\t\r]*+[^ \n\t\r]++|[ \n\t\r]++")
-_ODD = re.compile(r"[^\S \n\t\r]")
 
 
 class Codec:
@@ -63,8 +63,8 @@ class Codec:
         }
         self.leaf, self.piece_leaf = leaf, piece_leaf
         self.pattern = regex.compile(pattern)
-        self.words: dict[str, list[int]] = {}
         self.matches: dict[str, list[int]] = {}
+        self.short: dict[bytes, list[int]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def encode(self, text: str) -> list[int]:
@@ -100,35 +100,29 @@ class Codec:
         return n
 
     def _unbroken(self, text: str) -> list[int]:
-        """Ids of a text as it stands: cut into matches, of which those of a word stay together and are remembered."""
+        """Ids of a text, match by match."""
         ids: list[int] = []
-        known = self.words
-        # A word and the white space before it; with other white space than its own the pattern must see all of it.
-        for word in _WORD.findall(text) if _ODD.search(text) is None else [text]:
-            own = known.get(word)
-            if own is None:
-                own = [t for match in self.pattern.findall(word) for t in self._match(match)]
-                if len(word) <= self.piece_leaf:
-                    if len(known) >= MOST_WORDS:
-                        known.clear()
-                    known[word] = own
-            ids += own
+        known = self.matches
+        for match in self.pattern.findall(text):
+            own = known.get(match)
+            ids += self._match(match) if own is None else own
         return ids
 
     def _match(self, match: str) -> list[int]:
-        own = self.matches.get(match)
-        if own is None:
-            own = self.encode_piece(match.encode())
-            if len(match) <= self.piece_leaf:
-                if len(self.matches) >= MOST_WORDS:
-                    self.matches.clear()
-                self.matches[match] = own
+        own = self.encode_piece(match.encode())
+        if len(match) <= MEMORABLE:
+            if len(self.matches) >= MOST_MATCHES:
+                self.matches.clear()
+            self.matches[match] = own
         return own
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of some bytes: neighbours are merged, the pair of lowest rank and of equals the first, until none can be."""
-        if len(piece) > self.piece_leaf:
+        if len(piece) > MEMORABLE:
             return self._merge_window(piece)
+        known = self.short.get(piece)
+        if known is not None:
+            return known
         rank_of, none = self.pair_ranks.get, len(self.bytes_of)
         ids = [self.byte_ids[b] for b in piece]
         ranks = [rank_of(a << _SHIFT | b, none) for a, b in zip(ids, ids[1:])]
@@ -140,6 +134,9 @@ class Codec:
                 ranks[i] = rank_of(least << _SHIFT | ids[i + 1], none)
             if i:
                 ranks[i - 1] = rank_of(ids[i - 1] << _SHIFT | least, none)
+        if len(self.short) >= MOST_PAIRS:
+            self.short.clear()
+        self.short[piece] = ids
         return ids
 
     def _merge_window(self, piece: bytes) -> list[int]:
