@@ -35,7 +35,7 @@ LEAF, PIECE_LEAF, ID_LEAF = 1024, 6, 4096
 #: Longest text or bytes whose ids are remembered.
 MEMORABLE = 32
 #: Matches, and short bytes and pairs of ids, that are remembered; a memory is emptied beyond.
-MOST_MATCHES, MOST_PAIRS = 600_000, 300_000
+MOST_MATCHES, MOST_PAIRS = 300_000, 150_000
 #: Bits of an id in a pair of ids.
 _SHIFT = 32
 
