@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronoweave.functions.calendar import calendar_columns
 from chronoweave.functions.text import to_int
 from chronoweave.model import VALUES, Run, as_fact_day
+from chronoweave.operators.intervals import Cuts
 from chronoweave.operators.matching import ANY, Reading, Want, filterable, own_window
 
 
@@ -42,11 +43,15 @@ def year_to_date(
     """
     reading = Reading(facts.sparkSession, wants(runs))
     rows = reading.rows(reading.in_any_window(filterable(facts, activity, dates)))
-    # Per day before imports are attached: a filter that n imports share is aggregated once.
-    per_day = rows.groupBy(*KEEP).agg(*[F.sum(v).alias(v) for v in VALUES])
-    dated = reading.attach(
-        per_day, {"weekly": ("boolean", lambda w: "w" in w.run.p2.lower())}
-    ).where(own_window())
+    # Per span before imports are attached: a filter that n imports share is aggregated once. All days of a
+    # span are in the same windows and periods, so its last day stands for them. Spans and not days, as a
+    # task holds a row for each in memory.
+    per_span = (
+        rows.withColumns(spans(runs))
+        .groupBy(*KEEP, *spans(runs))
+        .agg(F.max("date").alias("date"), *[F.sum(v).alias(v) for v in VALUES])
+    )
+    dated = reading.attach(per_span, {"weekly": ("boolean", lambda w: weekly(w.run))}).where(own_window())
     cal = calendar_columns(F.col("date"))
     series = ["import_id", "site_id", "activity_id", "to_forecast"]
     per_period = (
@@ -67,4 +72,20 @@ def year_to_date(
     return as_fact_day(totals.withColumnRenamed("to_forecast", "forecast_id"), when)
 
 
-KEEP = ["filter_no", "site_id", "activity_key", "forecast_key", "activity_id", "date"]
+KEEP = ["filter_no", "site_id", "activity_key", "forecast_key", "activity_id"]
+
+
+def weekly(run: Run) -> bool:
+    return "w" in run.p2.lower()
+
+
+def spans(runs: Sequence[Run]) -> dict[str, Column]:
+    """What tells spans of days apart: the periods in use, and where windows begin or end between the outermost bounds."""
+    date = F.col("date")
+    out = {"_week" if w else "_month": F.trunc(date, "WEEK" if w else "MM") for w in sorted({weekly(r) for r in runs})}
+    first, last = min(r.date_from for r in runs), max(r.date_until for r in runs)
+    begun = {r.date_from for r in runs} | {r.date_until + dt.timedelta(1) for r in runs if r.date_until < last}
+    # A window that ends before it begins holds no day and may lie outside of all others.
+    if cuts := {d for d in begun if first < d <= last}:
+        out["_cut"] = F.shiftright(Cuts("date", "date", cuts).place() + 1, 1)
+    return out

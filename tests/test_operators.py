@@ -10,7 +10,7 @@ from chronoweave.operators.alert import alert_series
 from chronoweave.operators.correlation import correlation_forecast
 from chronoweave.operators.forecast_weeks import assign_forecast_weeks
 from chronoweave.operators.imports import delta_windows, import_day, import_intraday
-from chronoweave.operators.matching import match_filters
+from chronoweave.operators.matching import Reading, match_filters
 from chronoweave.operators.parallel import parallel_period
 from chronoweave.operators.regression import regression_lag_categories, regression_simple
 from chronoweave.operators import replace
@@ -156,6 +156,47 @@ def test_ytd_last_row_is_the_year_sum(spark, day_facts, tuples):
     ]
 
 
+def test_ytd_keeps_a_row_a_period_and_not_a_day_in_memory(spark, day_facts, tuples, monkeypatch):
+    attach, counts = Reading.attach, []
+
+    def counted(self, rows, extra=None):
+        counts.append(rows.count())
+        return attach(self, rows, extra)
+
+    monkeypatch.setattr(Reading, "attach", counted)
+    facts = day_facts(days("2021-01-01", [1.0] * 365))
+    runs = [Run(n, 1, 9, p1="1", p2="month") for n in (1, 2)]
+    got = tuples(year_to_date(facts, runs).where("month(date) = 12"), "import_id", "date", "value1")
+    assert got == [(1, "2021-12-31", 365.0), (2, "2021-12-31", 365.0)]
+    year_to_date(facts, [Run(1, 1, 9, p1="1", p2="week")])
+    year_to_date(facts, [Run(1, 1, 9, p1="1", p2="month", date_until=D(2021, 3, 10)), Run(2, 1, 9, p1="1", p2="month", date_from=D(2021, 2, 1))])
+    assert counts == [12, 53, 13]
+
+
+def test_ytd_of_windows_that_cut_periods(spark, day_facts, tuples):
+    sold = [(D(2019, 11, 20) + dt.timedelta(n), a, float(n % 11 + a)) for n in range(800) for a in (1, 2) if n % 5 != a]
+    facts = day_facts([(str(d), a, 1, v) for d, a, v in sold] + [("2020-05-05", 1, 1, None), ("2020-05-05", 1, 1, 0.5), ("2020-05-06", 1, 2, 9.0)])
+    sold.append((D(2020, 5, 5), 1, 0.5))
+    windows = [
+        (D(1900, 1, 1), D(9999, 1, 1)), (D(2020, 2, 13), D(2021, 1, 3)), (D(2020, 2, 13), dt.date.max), (D(2020, 7, 1), D(2020, 7, 1)),
+        (D(2020, 12, 30), D(2021, 1, 6)), (D(2021, 5, 1), D(2020, 5, 1)), (D(1950, 1, 1), D(2020, 6, 17)),
+    ]
+    runs = [
+        Run(10 * n + a + 5 * (level == "week"), a, 9, p1="1", p2=level, date_from=first, date_until=last)
+        for n, (first, last) in enumerate(windows) for level in ("week", "month") for a in (1, 2)
+    ]
+    expected = []
+    for r in runs:
+        sums, ends = {}, {}
+        for d, a, v in sold:
+            if a == r.activity_id and r.date_from <= d <= r.date_until:
+                period = d.isocalendar()[:2] if r.p2 == "week" else (d.year, d.month)
+                sums[period] = sums.get(period, 0.0) + v
+                ends[period] = max(d, ends.get(period, d))
+        expected += [(r.import_id, str(ends[p]), a, sum(v for q, v in sums.items() if q[0] == p[0] and q <= p)) for p in sums for a in [r.activity_id]]
+    assert tuples(year_to_date(facts, runs), "import_id", "date", "activity_id", "value1") == sorted(expected)
+
+
 def test_parallel_lag_zero_is_the_identity(spark, day_facts, tuples):
     facts = day_facts(days("2020-02-27", [1.0, 2.0, 3.0, 4.0]))
     for level in ("week", "month"):
