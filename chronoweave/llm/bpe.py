@@ -23,6 +23,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Callable
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -44,6 +45,22 @@ _SHIFT = 32
 _STABLE = re.compile(r"(?<=\S)(?=[ \n\t\r])")
 
 
+class _Memory(dict):
+    """What a function gives for short keys; emptied when full. Ids are tuples, which the garbage collector soon leaves alone."""
+
+    def __init__(self, function: Callable, most: int) -> None:
+        super().__init__()
+        self.function, self.most = function, most
+
+    def __missing__(self, key):
+        own = self.function(key)
+        if len(key) <= MEMORABLE:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = own
+        return own
+
+
 class Codec:
     """Encoder and decoder for one vocabulary of byte strings with ranks and one pattern."""
 
@@ -63,9 +80,9 @@ class Codec:
         }
         self.leaf, self.piece_leaf = leaf, piece_leaf
         self.pattern = regex.compile(pattern)
-        self.matches: dict[str, list[int]] = {}
-        self.short: dict[bytes, list[int]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.matches = _Memory(self._match, MOST_MATCHES)
+        self.short = _Memory(self._merge, MOST_PAIRS)
+        self.pairs = _Memory(self._stable, MOST_PAIRS)
 
     def encode(self, text: str) -> list[int]:
         middle = len(text) // 2
@@ -101,30 +118,22 @@ class Codec:
 
     def _unbroken(self, text: str) -> list[int]:
         """Ids of a text, match by match."""
-        ids: list[int] = []
-        known = self.matches
-        for match in self.pattern.findall(text):
-            own = known.get(match)
-            ids += self._match(match) if own is None else own
-        return ids
-
-    def _match(self, match: str) -> list[int]:
-        own = self.encode_piece(match.encode())
-        if len(match) <= MEMORABLE:
-            if len(self.matches) >= MOST_MATCHES:
-                self.matches.clear()
-            self.matches[match] = own
-        return own
+        return list(chain.from_iterable(map(self.matches.__getitem__, self.pattern.findall(text))))
+
+    def _match(self, match: str | bytes) -> tuple[int, ...]:
+        piece = match if isinstance(match, bytes) else match.encode()
+        whole = self.ranks.get(piece)
+        return (whole,) if whole is not None else self._halves(piece)
 
-    def merge(self, piece: bytes) -> list[int]:
+    def merge(self, piece: bytes) -> tuple[int, ...]:
         """Ids of some bytes: neighbours are merged, the pair of lowest rank and of equals the first, until none can be."""
+        return self.short[piece]
+
+    def _merge(self, piece: bytes) -> tuple[int, ...]:
         if len(piece) > MEMORABLE:
             return self._merge_window(piece)
-        known = self.short.get(piece)
-        if known is not None:
-            return known
         rank_of, none = self.pair_ranks.get, len(self.bytes_of)
-        ids = [self.byte_ids[b] for b in piece]
+        ids = list(map(self.byte_ids.__getitem__, piece))
         ranks = [rank_of(a << _SHIFT | b, none) for a, b in zip(ids, ids[1:])]
         while ranks and (least := min(ranks)) < none:
             i = ranks.index(least)
@@ -134,13 +143,10 @@ class Codec:
                 ranks[i] = rank_of(least << _SHIFT | ids[i + 1], none)
             if i:
                 ranks[i - 1] = rank_of(ids[i - 1] << _SHIFT | least, none)
-        if len(self.short) >= MOST_PAIRS:
-            self.short.clear()
-        self.short[piece] = ids
-        return ids
+        return tuple(ids)
 
-    def _merge_window(self, piece: bytes) -> list[int]:
-        """As merge(), with the pairs in a heap: n log n steps."""
+    def _merge_window(self, piece: bytes) -> tuple[int, ...]:
+        """As _merge(), with the pairs in a heap: n log n steps."""
         n, ranks = len(piece), self.ranks
         end = list(range(1, n + 1))  # of the part that starts here; 0 where none does any more
         before = list(range(-1, n))
@@ -160,37 +166,33 @@ class Codec:
         while i < n:
             out.append(ranks[piece[i : end[i]]])
             i = end[i]
-        return out
+        return tuple(out)
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one match of the pattern."""
-        whole = self.ranks.get(piece)
-        return [whole] if whole is not None else self._halves(piece)
+        return list(self._match(piece))
 
-    def _halves(self, piece: bytes) -> list[int]:
-        if len(piece) <= self.piece_leaf:
-            return self.merge(piece)
+    def _halves(self, piece: bytes) -> tuple[int, ...]:
+        leaf, merged, stable = self.piece_leaf, self.short, self.pairs
+        if len(piece) <= leaf:
+            return merged[piece]
         middle = len(piece) // 2
-        left, right = self._halves(piece[:middle]), self._halves(piece[middle:])
-        width = 1
-        if self._stable(left[-1], right[0]):
+        left, right = piece[:middle], piece[middle:]
+        left = merged[left] if middle <= leaf else self._halves(left)
+        right = merged[right] if len(right) <= leaf else self._halves(right)
+        if stable[left[-1], right[0]]:
             return left + right
+        n, m, width = len(left), len(right), 1
         while True:
-            i, j = max(0, len(left) - width), min(width, len(right))
-            window = b"".join(self.bytes_of[t] for t in left[i:] + right[:j])
-            inner = self.merge(window)
-            if (i == 0 or self._stable(left[i - 1], inner[0])) and (j == len(right) or self._stable(inner[-1], right[j])):
+            i, j = max(0, n - width), min(width, m)
+            inner = merged[b"".join(map(self.bytes_of.__getitem__, left[i:] + right[:j]))]
+            if (i == 0 or stable[left[i - 1], inner[0]]) and (j == m or stable[inner[-1], right[j]]):
                 return left[:i] + inner + right[j:]
             width *= 2
 
-    def _stable(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= MOST_PAIRS:
-                self.pairs.clear()
-            known = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-            self.pairs[a, b] = known
-        return known
+    def _stable(self, pair: tuple[int, int]) -> bool:
+        a, b = pair
+        return self.short[self.bytes_of[a] + self.bytes_of[b]] == pair
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= ID_LEAF:

@@ -123,6 +123,23 @@ def test_bpe_by_its_own_merges_is_that_of_the_library():
         assert own.merge(piece) == own._merge_window(piece)
 
 
+def test_bpe_remembers_short_matches_as_tuples_in_bounded_memories():
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    own, plain = bpe.Codec(path, public_tokenizers.PATTERN), bpe.Codec(path, public_tokenizers.PATTERN)
+    asked = []
+    own.matches = bpe._Memory(lambda match: asked.append(match) or own._match(match), 20)
+    own.short.most = own.pairs.most = 7
+    long = " " + "xq" * 40
+    assert own.encode(" qzxqz qzxqz" + long * 2) == plain.encode(" qzxqz qzxqz" + long * 2)
+    assert asked == [" qzxqz", long, long] and list(own.matches) == [" qzxqz"] and isinstance(own.matches[" qzxqz"], tuple)
+    draw = random.Random(3)
+    for _ in range(50):
+        text = " ".join("".join(draw.choices("qxzjéa1", k=draw.randint(1, 45))) for _ in range(60))
+        assert own.encode(text) == plain.encode(text) and own.decode(own.encode(text)) == text.encode()
+        assert len(own.matches) <= 20 and max(len(own.short), len(own.pairs)) <= 7
+    assert max(map(len, own.matches)) <= bpe.MEMORABLE and max(map(len, own.short)) <= bpe.MEMORABLE
+
+
 def test_ids_of_all_documents_are_those_of_the_library(spark):
     folder = "/root/testdata/sf0.01"
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
